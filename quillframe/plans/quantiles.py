@@ -31,7 +31,7 @@ def group_quantiles(df: DataFrame, by, col: str, qs: Sequence[float]) -> DataFra
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     if largest_group(counts, by) <= groups.LARGEST_PLAIN_GROUP:
-        wanted = [F.percentile("_value", q, "_rows").alias(quantile_name(q)) for q in qs]
+        wanted = [F.percentile("_value", q, F.col("_rows")).alias(quantile_name(q)) for q in qs]
         return counts.groupBy(*by).agg(*wanted)
     running = with_running(counts, by, "_value", {"_upto": ("sum", "_rows")})
     totals = running.groupBy(*by).agg(F.max("_upto").alias("_n"))
