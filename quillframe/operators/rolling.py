@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.dates import micros
 from ..plans import groups
 from ..plans.groups import as_list, attach, largest_group
+from ..plans.lineage import cut_lineage
 from ..plans.ordering import Order, lay_out, with_running
 
 _FUNCTIONS: dict[str, Callable[[str], Column]] = {
@@ -34,18 +35,20 @@ def rolling_rows(
     order_by: Order,
     col: str,
     n: int,
-    f: str,
-    out: str,
+    wanted: dict[str, str],
     min_periods: int | None = None,
     center: bool = False,
 ) -> DataFrame:
-    """Statistic over n rows ending at (or centred on) each row; null with fewer than
-    ``min_periods`` (default n) known values."""
+    """Statistics over n rows ending at (or centred on) each row; null with fewer than
+    ``min_periods`` (default n) known values. ``wanted`` maps new names to sum, mean, min,
+    max, std, var, count or median."""
     before, after = _reach(n, center)
     lay = lay_out(df, by, order_by, before, after)
     frame = lay.window().rowsBetween(-before, after)
     enough = F.count(col).over(frame) >= (n if min_periods is None else min_periods)
-    rows = lay.rows.withColumn(out, F.when(enough, _FUNCTIONS[f](col).over(frame)))
+    rows = lay.rows.withColumns(
+        {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
+    )
     return lay.own_rows(rows)
 
 
@@ -65,46 +68,59 @@ def rolling_cov_corr(
     df: DataFrame, by, order_by: Order, a: str, b: str, n: int, min_periods: int | None = None
 ) -> DataFrame:
     """Sample covariance and correlation of two columns over the last n rows (columns
-    ``cov`` and ``corr``; at least two pairs are needed)."""
+    ``cov`` and ``corr``; at least two pairs are needed, and a constant column has no
+    correlation)."""
     lay = lay_out(df, by, order_by, before=n - 1)
     frame = lay.window().rowsBetween(-(n - 1), 0)
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
     pairs = F.count(F.when(both, 1)).over(frame)
     enough = pairs >= max(2, n if min_periods is None else min_periods)
+    spreads = [F.stddev_samp(F.when(both, F.col(c))).over(frame) for c in (a, b)]
+    cov = F.covar_samp(a, b).over(frame)  # corr() itself fails on constant values
     rows = lay.rows.withColumns(
         {
-            "cov": F.when(enough, F.covar_samp(a, b).over(frame)),
-            "corr": F.when(enough, F.corr(a, b).over(frame)),
+            "cov": F.when(enough, cov),
+            "corr": F.when(enough, F.try_divide(cov, spreads[0] * spreads[1])),
         }
     )
     return lay.own_rows(rows)
 
 
-def expanding(df: DataFrame, by, order_by: Order, col: str, f: str, out: str, min_periods: int = 1) -> DataFrame:
-    """Running sum, mean, min, max or count from the start of the group."""
-    seen, total = "_seen", "_total"
-    wanted = {seen: ("count", col)}
-    if f != "count":
-        wanted[total] = ("sum" if f == "mean" else f, col)
-    rows = with_running(df, by, order_by, wanted)
-    value = {"count": F.col(seen), "mean": F.try_divide(F.col(total), F.col(seen))}.get(f, F.col(total) if f != "count" else None)
-    return rows.withColumn(out, F.when(F.col(seen) >= min_periods, value)).drop(seen, total)
-
-
-def rolling_time(df: DataFrame, by, time: str, span_us: int, col: str, f: str, out: str, min_periods: int = 1) -> DataFrame:
-    """Statistic over the span that ends at each row: open on the left, closed on the
-    right, rows of equal time included. ``span_us`` is in microseconds."""
+def expanding(
+    df: DataFrame, by, order_by: Order, col: str, wanted: dict[str, str], min_periods: int = 1
+) -> DataFrame:
+    """Running statistics from the start of the group; ``wanted`` maps new names to sum,
+    mean, min, max or count."""
+    needed = {"_count": ("count", col)}
+    for f in wanted.values():
+        if f != "count":
+            base = "sum" if f == "mean" else f
+            needed[f"_{base}"] = (base, col)
+    rows = with_running(df, by, order_by, needed)
+    enough = F.col("_count") >= min_periods
+    mean = F.try_divide(F.col("_sum"), F.col("_count"))
+    values = {out: F.when(enough, mean if f == "mean" else F.col(f"_{f}")) for out, f in wanted.items()}
+    return rows.withColumns(values).drop(*needed)
+
+
+def rolling_time(
+    df: DataFrame, by, time: str, span_us: int, col: str, wanted: dict[str, str], min_periods: int = 1
+) -> DataFrame:
+    """Statistics over the span that ends at each row: open on the left, closed on the
+    right, rows of equal time included. ``span_us`` is in microseconds and ``wanted`` maps
+    new names to sum, mean, min, max, count, std or var."""
     by = as_list(by)
     at = "_at"
     timed = df.withColumn(at, micros(F.col(time)))
     if by and largest_group(df, by) <= groups.LARGEST_PLAIN_GROUP:
         frame = Window.partitionBy(*by).orderBy(at).rangeBetween(-(span_us - 1), 0)
         enough = F.count(col).over(frame) >= min_periods
-        return timed.withColumn(out, F.when(enough, _FUNCTIONS[f](col).over(frame))).drop(at)
+        values = {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
+        return timed.withColumns(values).drop(at)
     found = _span_parts(timed, by, at, span_us, col)
-    value = F.when(F.col("_n") >= min_periods, _from_parts(f))
-    answers = found.select(*by, at, value.alias(out))
-    return attach(timed, answers, [*by, at], null_safe=True).drop(at)
+    enough = F.col("_n") >= min_periods
+    values = [F.when(enough, _from_parts(f)).alias(out) for out, f in wanted.items()]
+    return attach(timed, found.select(*by, at, *values), [*by, at], null_safe=True).drop(at)
 
 
 _PARTS = {"_n": F.sum, "_s": F.sum, "_q": F.sum, "_lo": F.min, "_hi": F.max}
@@ -116,15 +132,13 @@ def _span_parts(timed: DataFrame, by: list[str], at: str, span: int, col: str) -
     Time is cut into cells shorter than the span. A span is then the end of one cell,
     whole cells, and the start of the cell of its own row; each of the three comes
     from windows over single cells or over the table of cell totals. Rows of equal
-    time are summed up first, so neither a busy group nor a busy instant is gathered.
-    Values are centred on the overall mean to keep the squares exact.
+    time are summed up first and written out, so neither a busy group nor a busy
+    instant is gathered. Values are centred on the overall mean to keep squares exact.
     """
-    centre = F.coalesce(timed.agg(F.avg(col)).scalar(), F.lit(0.0))
-    x = F.col(col) - F.col("_centre")
-    points = (
-        timed.withColumn("_centre", centre)
-        .groupBy(*by, at, "_centre")
-        .agg(
+    centre = timed.agg(F.avg(col)).first()[0] or 0.0
+    x = F.col(col) - F.lit(centre)
+    points = cut_lineage(
+        timed.groupBy(*by, at).agg(
             F.count(col).alias("_n"),
             F.sum(x).alias("_s"),
             F.sum(x * x).alias("_q"),
@@ -132,7 +146,8 @@ def _span_parts(timed: DataFrame, by: list[str], at: str, span: int, col: str) -
             F.max(col).alias("_hi"),
         )
     )
-    busiest = largest_group(points.withColumn("_cell", F.floor(F.col(at) / F.lit(span))), [*by, "_cell"])
+    spans = points.select(*by, F.floor(F.col(at) / F.lit(span)).alias("_span"))
+    busiest = largest_group(spans, [*by, "_span"])
     pieces = max(2, min(span // 2, -(-2 * busiest // groups.SEGMENT_ROWS)))
     size = max(1, span // pieces)
 
@@ -142,40 +157,51 @@ def _span_parts(timed: DataFrame, by: list[str], at: str, span: int, col: str) -
     start = F.col(at) - F.lit(span - 1)
     data = points.withColumns({"_cell": cell(F.col(at)), "_key": F.col(at), "_probe": F.lit(False)})
     probes = points.select(
-        *by, start.alias(at), "_centre", cell(start).alias("_cell"), F.col(at).alias("_key"), F.lit(True).alias("_probe")
+        *by,
+        start.alias(at),
+        cell(start).alias("_cell"),
+        F.col(at).alias("_key"),
+        F.lit(True).alias("_probe"),
     )
     both = data.unionByName(probes, allowMissingColumns=True)
     inside = Window.partitionBy(*by, "_cell")
     upto = (Window.unboundedPreceding, Window.currentRow)
     heads = inside.orderBy(F.col(at)).rangeBetween(*upto)
     tails = inside.orderBy(F.col(at).desc()).rangeBetween(*upto)
-    edge = both.withColumns(
-        {p: F.when(F.col("_probe"), agg(p).over(tails)).otherwise(agg(p).over(heads)) for p, agg in _PARTS.items()}
+    ends = both.withColumns(
+        {
+            p: F.when(F.col("_probe"), agg(p).over(tails)).otherwise(agg(p).over(heads))
+            for p, agg in _PARTS.items()
+        }
     )
 
     totals = data.groupBy(*by, "_cell").agg(*[agg(p).alias(p) for p, agg in _PARTS.items()])
     ordered = Window.partitionBy(*by).orderBy("_cell")
-    apart = (span - 1) // size  # cells between the two ends: this many, or one more
+    apart = (span - 1) // size  # the two ends lie this many cells apart, or one more
+
+    def between(p: str, distance: int) -> Column:
+        if distance < 2:
+            return F.lit(None).cast(totals.schema[p].dataType)
+        return _PARTS[p](p).over(ordered.rangeBetween(-(distance - 1), -1))
+
     middles = totals.select(
         *by,
         "_cell",
-        *[
-            agg(p).over(ordered.rangeBetween(-(d - 1), -1)).alias(f"{p}_{i}") if d > 1 else F.lit(None).cast("double").alias(f"{p}_{i}")
-            for i, d in enumerate((apart, apart + 1))
-            for p, agg in _PARTS.items()
-        ],
+        *[between(p, apart).alias(f"{p}_near") for p in _PARTS],
+        *[between(p, apart + 1).alias(f"{p}_far") for p in _PARTS],
     )
+    far = F.col("_cell") - cell(start) == apart + 1
     key = [*by, "_key"]
-    own = attach(edge.filter(~F.col("_probe")), middles, [*by, "_cell"], null_safe=True)
-    wide = F.col("_cell") - cell(F.col("_key") - F.lit(span - 1)) == apart + 1
-    middle = own.select(*key, "_centre", *[F.when(wide, F.col(f"{p}_1")).otherwise(F.col(f"{p}_0")).alias(p) for p in _PARTS])
-    pieces_of_span = (
-        edge.select(*key, "_centre", *_PARTS).unionByName(middle)
+    middle = attach(data.select(*by, at, "_key", "_cell"), middles, [*by, "_cell"], null_safe=True).select(
+        *key, *[F.when(far, F.col(f"{p}_far")).otherwise(F.col(f"{p}_near")).alias(p) for p in _PARTS]
     )
     return (
-        pieces_of_span.groupBy(*key, "_centre")
+        ends.select(*key, *_PARTS)
+        .unionByName(middle)
+        .groupBy(*key)
         .agg(*[agg(p).alias(p) for p, agg in _PARTS.items()])
         .withColumnRenamed("_key", at)
+        .withColumn("_centre", F.lit(centre))
     )
 
 

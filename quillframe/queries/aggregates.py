@@ -113,7 +113,7 @@ def key_of_minimum(t):
 
 @query(
     """
-    SELECT l_returnflag, l_linestatus, sum(l_quantity) AS l_quantity_sum, round(avg(l_quantity), 6) AS l_quantity_mean,
+    SELECT l_returnflag, l_linestatus, sum(l_quantity) AS l_quantity_sum, round(avg(l_quantity), 9) AS l_quantity_mean,
            count(*) AS l_quantity_size, count(DISTINCT l_quantity) AS l_quantity_nunique,
            min(l_extendedprice) AS l_extendedprice_min, max(l_extendedprice) AS l_extendedprice_max,
            round(stddev_samp(l_extendedprice), 4) AS l_extendedprice_std,
@@ -135,7 +135,7 @@ def grouped_statistics(t):
         },
         order_by=["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
     )
-    places = {"l_quantity_mean": 6, "l_extendedprice_std": 4, "l_discount_var": 9}
+    places = {"l_quantity_mean": 9, "l_extendedprice_std": 4, "l_discount_var": 9}
     return out.withColumns({c: rnd(c, p) for c, p in places.items()})
 
 
@@ -327,9 +327,9 @@ def entropy_of_revenue(t):
 
 @query(
     """
-    SELECT l_partkey, CASE WHEN count(*) > 2 THEN round((sum(l_quantity) - max(l_quantity) - min(l_quantity)) / (count(*) - 2), 6) END AS score,
+    SELECT l_partkey, CASE WHEN count(*) > 2 THEN round((sum(l_quantity) - max(l_quantity) - min(l_quantity)) / (count(*) - 2), 9) END AS score,
            count(*) AS judges FROM lineitem GROUP BY 1
     """
 )
 def trimmed_judge_score(t):
-    return agg.judge_score(t.lineitem, "l_partkey", "l_quantity").withColumn("score", rnd("score", 6))
+    return agg.judge_score(t.lineitem, "l_partkey", "l_quantity").withColumn("score", rnd("score", 9))

@@ -1 +1,210 @@
+"""Splits, batches, scores, ensembles, models."""
 
+from pyspark.sql import functions as F
+
+from ..functions.text import words
+from ..operators import aggregate, category, metrics, models, order, split, text
+from ..sources import attach_corpus
+from .registry import query, rnd
+
+
+@query(
+    """
+    WITH j AS (SELECT l.doc_id, l.quality, d.source, d.text FROM labels l JOIN documents d USING (doc_id)),
+    u AS (SELECT min(doc_id) AS doc_id, source, quality, text FROM j GROUP BY ALL),
+    g AS (SELECT source, row_number() OVER (ORDER BY md5('42:' || source), source) - 1 AS pos, count(*) OVER () AS n
+          FROM (SELECT DISTINCT source FROM u)),
+    x AS (SELECT u.*, CASE WHEN pos < floor(n * 0.2) THEN 'valid' ELSE 'train' END AS split,
+                 dense_rank() OVER (ORDER BY quality) - 1 AS label, length(text) AS chars FROM u JOIN g USING (source))
+    SELECT split, label, count(*) AS chars_count, round(avg(chars), 9) AS chars_mean, median(chars)::DOUBLE AS chars_median
+    FROM x GROUP BY 1, 2
+    """
+)
+def example_report(t):
+    """Text joined to labels, deduplicated, encoded, split by source and summarised."""
+    sources = t.documents.select("doc_id", "source")
+    rows = attach_corpus(t.labels.join(sources, "doc_id"), t.documents, "doc_id")
+    rows = order.drop_duplicates(rows, ["full_text", "source", "quality"], "doc_id")
+    rows = text.text_length(rows, "full_text", "chars").select("doc_id", "source", "quality", "chars")
+    rows = category.label_encode_sorted(rows, "quality", "label")
+    rows = split.group_split(rows, "source", 0.2)
+    out = aggregate.group_agg(rows, ["split", "label"], {"chars": ["count", "mean", "median"]})
+    return out.withColumn("chars_mean", rnd("chars_mean", 9))
+
+
+@query(
+    """
+    WITH g AS (SELECT user_id, row_number() OVER (ORDER BY md5('42:' || user_id::VARCHAR), user_id) - 1 AS pos,
+                      count(*) OVER () AS n FROM (SELECT DISTINCT user_id FROM events))
+    SELECT event_id, user_id, CASE WHEN pos < floor(n * 0.2) THEN 'valid' ELSE 'train' END AS split
+    FROM events JOIN g USING (user_id)
+    """
+)
+def split_by_group(t):
+    return split.group_split(t.events, "user_id", 0.2).select("event_id", "user_id", "split")
+
+
+@query(
+    """
+    WITH s AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1),
+    g AS (SELECT user_id, row_number() OVER (ORDER BY n DESC, md5('42:' || user_id::VARCHAR), user_id) - 1 AS pos FROM s)
+    SELECT event_id, user_id, (CASE WHEN (pos // 4) % 2 = 0 THEN pos % 4 ELSE 3 - pos % 4 END)::INTEGER AS fold
+    FROM events JOIN g USING (user_id)
+    """
+)
+def folds_by_group(t):
+    return split.group_kfold(t.events, "user_id", 4).select("event_id", "user_id", "fold")
+
+
+_BATCHES = """
+    WITH l AS (SELECT doc_id, text, length(text) AS chars FROM documents),
+    b AS (SELECT *, (row_number() OVER (ORDER BY chars DESC, doc_id) - 1) // 16 AS batch FROM l)
+"""
+
+
+@query(
+    _BATCHES
+    + """SELECT batch, count(*) AS rows, max(chars) AS max_length, CAST(max(chars) * count(*) - sum(chars) AS BIGINT) AS padding,
+         round((max(chars) * count(*) - sum(chars)) / (max(chars) * count(*)), 9) AS wasted FROM b GROUP BY 1"""
+)
+def batch_plan(t):
+    lengths = text.text_length(t.documents, "text", "chars").select("doc_id", "chars")
+    plan = split.batch_plan(lengths, "chars", 16, [("chars", "desc"), "doc_id"])
+    return plan.withColumn("wasted", rnd("wasted", 9))
+
+
+@query(
+    _BATCHES
+    + r""", w AS (SELECT doc_id, batch, list_transform(list_filter(string_split_regex(text, '\s+'), lambda x: length(x) > 0),
+                   lambda x: length(x)::INTEGER) AS ids FROM b),
+    m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) - len(ids) AS gap FROM w)
+    SELECT doc_id, batch, md5(array_to_string(list_concat(ids, list_resize([]::INTEGER[], gap, 0)), ',')) AS ids,
+           CAST(len(ids) + gap AS INTEGER) AS padded, CAST(len(ids) AS BIGINT) AS used FROM m"""
+)
+def pad_batches(t):
+    lengths = text.text_length(t.documents, "text", "chars")
+    batches = split.with_batches(lengths.select("doc_id", "text", "chars"), 16, [("chars", "desc"), "doc_id"])
+    ids = F.transform(words(F.col("text")), lambda w: F.length(w))
+    out = split.pad_sequences(batches.select("doc_id", "batch", ids.alias("ids")), "ids", "batch", 0)
+    used = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("long")
+    return out.select(
+        "doc_id", "batch", F.md5(F.array_join("ids", ",")).alias("ids"), F.size("ids").alias("padded"), used.alias("used")
+    )
+
+
+def _scores(t):
+    x = [F.get("embedding", F.lit(i)).cast("double").alias(f"s{i}") for i in range(3)]
+    return t.embeddings.select("vec_id", "label", *x)
+
+
+_SOFT = """
+    WITH s AS (SELECT vec_id, label, embedding[1]::DOUBLE AS s0, embedding[2]::DOUBLE AS s1, embedding[3]::DOUBLE AS s2 FROM embeddings),
+    m AS (SELECT *, greatest(s0, s1, s2) AS m FROM s),
+    e AS (SELECT vec_id, label, exp(s0 - m) AS e0, exp(s1 - m) AS e1, exp(s2 - m) AS e2 FROM m),
+    p AS (SELECT vec_id, label, e0 / (e0 + e1 + e2) AS p0, e1 / (e0 + e1 + e2) AS p1, e2 / (e0 + e1 + e2) AS p2 FROM e)
+"""
+
+
+@query(_SOFT + "SELECT vec_id, round(p0, 9) AS p0, round(p1, 9) AS p1, round(p2, 9) AS p2 FROM p")
+def softmax_probabilities(t):
+    out = metrics.softmax(_scores(t), ["s0", "s1", "s2"], ["p0", "p1", "p2"])
+    return out.select("vec_id", *[rnd(c, 9).alias(c) for c in ("p0", "p1", "p2")])
+
+
+_LOSS = """
+    WITH p AS (SELECT doc_id, lang, 1 / (1 + exp((1000 - n_chars) / 5000.0)) AS good FROM documents),
+    j AS (SELECT lang, CASE quality WHEN 1 THEN good ELSE 1 - good END AS p FROM p JOIN labels USING (doc_id))
+"""
+
+
+def _quality_predictions(t):
+    good = 1 / (1 + F.exp((1000 - F.col("n_chars")) / F.lit(5000.0)))
+    return t.documents.select("doc_id", "lang", (1 - good).alias("poor"), good.alias("good"))
+
+
+@query(_LOSS + "SELECT round(avg(-ln(p)), 9) AS log_loss, count(*) AS n FROM j")
+def log_loss(t):
+    out = metrics.log_loss(_quality_predictions(t), t.labels, "doc_id", ["poor", "good"], "quality")
+    return out.withColumn("log_loss", rnd("log_loss", 9))
+
+
+@query(_LOSS + "SELECT lang, round(avg(-ln(p)), 9) AS log_loss, count(*) AS n FROM j GROUP BY 1")
+def log_loss_by_group(t):
+    out = metrics.log_loss(_quality_predictions(t), t.labels, "doc_id", ["poor", "good"], "quality", by="lang")
+    return out.withColumn("log_loss", rnd("log_loss", 9))
+
+
+_ENTRIES = """
+    WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x FROM embeddings),
+    e AS (SELECT vec_id, CASE WHEN x > 0.05 THEN 1.0 ELSE 0.0 END::DOUBLE AS t, least(greatest(x * 4, 0), 1) AS p FROM x),
+    b AS (SELECT *, 1 - sum(t) OVER (PARTITION BY vec_id) / count(*) OVER (PARTITION BY vec_id) AS beta,
+                 CASE WHEN p > 0 THEN greatest(ln(p), -100) ELSE -100 END AS lp,
+                 CASE WHEN p < 1 THEN greatest(ln(1 - p), -100) ELSE -100 END AS lq FROM e),
+    r AS (SELECT vec_id, -sum(beta * t * lp + (1 - beta) * (1 - t) * lq) AS loss FROM b GROUP BY 1)
+"""
+
+
+def _entries(t):
+    flat = t.embeddings.select("vec_id", F.explode("embedding").alias("x"))
+    flat = flat.withColumn("x", F.col("x").cast("double"))
+    return flat.select(
+        "vec_id",
+        F.when(F.col("x") > 0.05, 1.0).otherwise(0.0).alias("t"),
+        F.least(F.greatest(F.col("x") * 4, F.lit(0.0)), F.lit(1.0)).alias("p"),
+    )
+
+
+@query(_ENTRIES + "SELECT vec_id, round(loss, 6) AS loss FROM r")
+def balanced_cross_entropy(t):
+    return metrics.balanced_ce(_entries(t), "vec_id", "t", "p").withColumn("loss", rnd("loss", 6))
+
+
+@query(_ENTRIES + "SELECT round(sum(loss), 3) AS loss, count(*) AS rows FROM r")
+def balanced_cross_entropy_total(t):
+    total = metrics.total_loss(metrics.balanced_ce(_entries(t), "vec_id", "t", "p"))
+    return total.withColumn("loss", rnd("loss", 3))
+
+
+@query(
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+    m AS (SELECT vec_id, e[1:3] AS a, e[4:6] AS b, e[7:9] AS c FROM v),
+    d AS (SELECT *, list_distance(a, b) AS ab, list_distance(b, c) AS bc, list_distance(c, a) AS ca FROM m),
+    p AS (SELECT *, CASE WHEN ab <= bc AND ab <= ca THEN 0 WHEN bc <= ca THEN 1 ELSE 2 END AS pair FROM d)
+    SELECT vec_id, pair::INTEGER AS pair, list_transform(list_zip(CASE pair WHEN 1 THEN b WHEN 2 THEN c ELSE a END,
+           CASE pair WHEN 0 THEN b WHEN 1 THEN c ELSE a END), lambda z: round((z[1] + z[2]) / 2, 9)) AS scores FROM p
+    """
+)
+def blend_of_nearest_pair(t):
+    def model(start):
+        scores = F.transform(F.slice("embedding", start, 3), lambda x: x.cast("double"))
+        return t.embeddings.select("vec_id", scores.alias("scores"))
+
+    out = metrics.blend_nearest_pair([model(1), model(4), model(7)], "vec_id", "scores")
+    return out.withColumn("scores", F.transform("scores", lambda x: rnd(x, 9)))
+
+
+@query(
+    """
+    WITH x AS (SELECT label, (embedding[1] > 0)::INTEGER AS m, unnest(range(1, 65)) AS i, embedding FROM embeddings),
+    p AS (SELECT label, i, sum(embedding[i]::DOUBLE * m) / greatest(sum(m), 1e-9) AS v FROM x GROUP BY 1, 2)
+    SELECT label, list(round(v, 9) ORDER BY i) AS pooled FROM p GROUP BY 1
+    """
+)
+def masked_mean_pooling(t):
+    out = metrics.masked_mean_pool(t.embeddings, "label", "embedding", F.get("embedding", F.lit(0)) > 0, 64)
+    return out.withColumn("pooled", F.transform("pooled", lambda x: rnd(x, 9)))
+
+
+@query()
+def linear_classifier(t):
+    out = models.linear_head(t.embeddings, "vec_id", "embedding", "label", max_iter=20, reg=0.01)
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), rnd(hit, 4).alias("recall"))
+
+
+@query()
+def boosted_tree_classifier(t):
+    open_ = (F.col("o_orderstatus") == "O").cast("double")
+    rows = t.orders.select("o_orderkey", open_.alias("is_open"), "o_totalprice", F.col("o_custkey").cast("double").alias("o_custkey"))
+    return models.boosted_trees(rows, "o_orderkey", ["o_totalprice", "o_custkey"], "is_open", rounds=5)
