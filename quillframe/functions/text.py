@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -50,59 +51,42 @@ TYPOGRAPHIC = {
 
 
 def repair_text(text: str) -> str:
-    """Undo UTF-8 read as Windows-1252 or Latin-1, then fold to plain ASCII.
+    """Undo UTF-8 that was read as Windows-1252 or Latin-1, then fold to plain ASCII.
 
-    Only stretches of characters up to U+00FF (and the Windows-1252 specials) can be
-    misread bytes; each stretch is read again as UTF-8 if that is possible.
+    A stretch of characters is only read again where it spells the bytes of one UTF-8
+    character; leftover control characters are Windows-1252 bytes.
     """
-    return _fold(_reread(text))
+    reread = _MISREAD.sub(_as_utf8, text)
+    plain = _SPECIAL.sub(lambda m: _PLAIN[m[0]], reread)
+    return unicodedata.normalize("NFKD", plain).encode("ascii", "ignore").decode("ascii")
 
 
-def _byte_of(ch: str) -> int | None:
-    if ord(ch) <= 0xFF:
-        return ord(ch)
-    try:
-        return ch.encode("cp1252")[0]
-    except UnicodeEncodeError:
-        return None
-
-
-def _reread(text: str) -> str:
-    out: list[str] = []
-    i = 0
-    while i < len(text):
-        taken = _misread_at(text, i)
-        if taken:
-            length, char = taken
-            out.append(char)
-            i += length
-            continue
-        ch = text[i]
-        if 0x80 <= ord(ch) <= 0x9F:  # a Windows-1252 byte that was kept as a control character
-            ch = bytes([ord(ch)]).decode("cp1252", "replace")
-        out.append(ch)
-        i += 1
-    return "".join(out)
-
-
-def _misread_at(text: str, i: int) -> tuple[int, str] | None:
-    """The UTF-8 character whose bytes stand at position i as single characters."""
-    lead = _byte_of(text[i])
-    if lead is None or not 0xC2 <= lead <= 0xF4:
-        return None
-    length = 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-    raw = [_byte_of(c) for c in text[i : i + length]]
-    if len(raw) < length or None in raw:
-        return None
+def _characters(first: int, last: int) -> dict[str, int]:
+    """Every character that stands for a byte in the range, in Latin-1 or Windows-1252."""
+    out = {chr(b): b for b in range(first, last + 1)}
+    for b in range(first, last + 1):
+        out.setdefault(bytes([b]).decode("cp1252", "ignore"), b)
+    out.pop("", None)
+    return out
+
+
+_FOLLOW = _characters(0x80, 0xBF)
+_BYTE = {**_characters(0xC2, 0xF4), **_FOLLOW}
+_NEXT = "[" + re.escape("".join(_FOLLOW)) + "]"
+_MISREAD = re.compile(f"[\u00c2-\u00df]{_NEXT}|[\u00e0-\u00ef]{_NEXT}{{2}}|[\u00f0-\u00f4]{_NEXT}{{3}}")
+
+
+def _as_utf8(match: re.Match) -> str:
     try:
-        return length, bytes(raw).decode("utf-8")
+        return bytes(_BYTE[c] for c in match[0]).decode("utf-8")
     except UnicodeDecodeError:
-        return None
+        return match[0]
 
 
-def _fold(text: str) -> str:
-    plain = "".join(TYPOGRAPHIC.get(c, c) for c in text)
-    return unicodedata.normalize("NFKD", plain).encode("ascii", "ignore").decode("ascii")
+# Control characters U+0080-U+009F by their Windows-1252 meaning, and the folds above.
+_CONTROLS = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+_PLAIN = {c: TYPOGRAPHIC.get(meant, meant) for c, meant in _CONTROLS.items()} | TYPOGRAPHIC
+_SPECIAL = re.compile("[" + re.escape("".join(_PLAIN)) + "]")
 
 
 @F.pandas_udf(T.StringType())

@@ -231,17 +231,24 @@ def group_apply(
     if merge is None:
         if top > largest:
             raise ValueError(f"a group has {top} rows; give merge= to work on slices")
-        return df.groupBy(*by).applyInPandas(fn, schema)
+        return _spread(df, by).groupBy(*by).applyInPandas(fn, schema)
     slices = max(1, -(-top // slice_rows))
-    part = F.pmod(F.xxhash64(slice_key), F.lit(slices)).alias("_slice")
+    cut = df.withColumn("_slice", F.pmod(F.xxhash64(slice_key), F.lit(slices)))
 
     def one_slice(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(pdf)
+        return fn(pdf.drop(columns="_slice"))
 
-    partial = df.groupBy(*[F.col(b) for b in by], part).applyInPandas(one_slice, schema)
+    keys = [*by, "_slice"]
+    partial = _spread(cut, keys).groupBy(*keys).applyInPandas(one_slice, schema)
     return partial.groupBy(*by).applyInPandas(merge, schema)
 
 
+def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Hash partitions of a fixed number: Python time per row is what counts here, and
+    partitions packed by bytes would leave most workers idle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def group_metrics(df: DataFrame, by, exprs: dict[str, Column]) -> DataFrame:
     """Several named, possibly cross-column, indicators per group in one pass."""
     by = as_list(by)

@@ -33,9 +33,9 @@ class Categories:
 
     def table(self, df: DataFrame, col: str) -> DataFrame:
         """(value, code) as a DataFrame."""
-        kind = df.schema[col].dataType.simpleString()
-        rows = [(v, i) for i, v in enumerate(self.values)]
-        return df.sparkSession.createDataFrame(rows, f"`{col}` {kind}, code int")
+        kind = df.schema[col].dataType
+        rows = [F.struct(F.lit(v).cast(kind).alias(col), F.lit(i).alias("code")) for i, v in enumerate(self.values)]
+        return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
     def add(self, *values) -> Categories:
         return replace(self, values=self.values + tuple(v for v in values if v not in self.values))

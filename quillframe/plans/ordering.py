@@ -54,8 +54,8 @@ def with_position(df: DataFrame, order_by: Order, name: str = POSITION) -> DataF
     """0-based dense row number over the whole table.
 
     One range shuffle; the partition and the row index inside it are written out,
-    and only one count per partition is summed up centrally, so the broadcast side
-    has as many rows as there are partitions.
+    and only one count per partition is summed up on the driver, so the broadcast
+    side has as many rows as there are partitions.
     """
     keys = sort_columns(order_by)
     raw = "_raw_position"
@@ -65,12 +65,13 @@ def with_position(df: DataFrame, order_by: Order, name: str = POSITION) -> DataF
         .withColumn(raw, F.monotonically_increasing_id())
     )
     part = F.shiftright(F.col(raw), _ROW_BITS)
-    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
     index = F.col(raw).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows")).toPandas()
+    if len(counts) < 2:
+        return placed.withColumn(name, index).drop(raw)
+    counts = counts.sort_values("_part")
+    counts["_offset"] = counts["_rows"].cumsum() - counts["_rows"]
+    offsets = df.sparkSession.createDataFrame(counts[["_part", "_offset"]], "_part long, _offset long")
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")

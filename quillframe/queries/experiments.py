@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import words
 from ..operators import aggregate, category, metrics, models, order, split, text
+from ..plans.lineage import cut_lineage
 from ..sources import attach_corpus
 from .registry import query, rnd
 
@@ -26,6 +27,7 @@ def example_report(t):
     rows = attach_corpus(t.labels.join(sources, "doc_id"), t.documents, "doc_id")
     rows = order.drop_duplicates(rows, ["full_text", "source", "quality"], "doc_id")
     rows = text.text_length(rows, "full_text", "chars").select("doc_id", "source", "quality", "chars")
+    rows = cut_lineage(rows)  # narrow rows, read three times below
     rows = category.label_encode_sorted(rows, "quality", "label")
     rows = split.group_split(rows, "source", 0.2)
     out = aggregate.group_agg(rows, ["split", "label"], {"chars": ["count", "mean", "median"]})

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..plans.lineage import scratch_path
 
 
 class Tables:
@@ -23,8 +22,7 @@ class Tables:
 
     def scratch(self) -> str:
         """A new folder all executors can reach, next to the checkpoints."""
-        ensure_checkpoint_dir(self.spark)
-        return f"{self.spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+        return scratch_path(self.spark, "files")
 
 
 @dataclass(frozen=True)
