@@ -50,29 +50,31 @@ _DESCRIBED = [0.25, 0.5, 0.75]
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column (and group)."""
+    """count, mean, std, min, quartiles and max, one row per column (and group).
+
+    All columns share one aggregation for the plain statistics; quartiles are found
+    column by column."""
     by = as_list(by)
     df = not_null(df, by)
-    parts = []
-    for c in cols:
-        basic = df.groupBy(*by).agg(
-            F.count(c).alias("n"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        )
-        quartiles = group_quantiles(df, by, c, _DESCRIBED)
-        names = [quantile_name(q) for q in _DESCRIBED]
-        if by:
-            joined = basic.join(quartiles, by, "left")
-        else:
-            packed = quartiles.select(F.struct(*names).alias("q")).scalar()
-            joined = basic.select("*", *[packed[n].alias(n) for n in names])
-        parts.append(
-            joined.select(*by, F.lit(c).alias("column"), "n", "mean", "std", "min", *names, "max")
+    wanted = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    basic = df.groupBy(*by).agg(*[f(c).alias(f"{c}_{n}") for c in cols for n, f in wanted.items()])
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col(f"{c}_n").alias("n"),
+            *[F.col(f"{c}_{n}").cast("double").alias(n) for n in ("mean", "std", "min", "max")],
         )
-    return reduce(DataFrame.unionByName, parts)
+        for c in cols
+    ]
+    table = basic.select(*by, F.inline(F.array(*entries)))
+    names = [quantile_name(q) for q in _DESCRIBED]
+    quartiles = reduce(
+        DataFrame.unionByName,
+        [group_quantiles(df, by, c, _DESCRIBED).withColumn("column", F.lit(c)) for c in cols],
+    )
+    return table.join(quartiles, [*by, "column"], "left").select(
+        *by, "column", "n", "mean", "std", "min", *names, "max"
+    )
 
 
 def describe_text(df: DataFrame, col: str) -> DataFrame:
@@ -140,21 +142,30 @@ def _named(function: str, col: str, order: Column | None) -> Column:
     return {"first": F.min_by, "last": F.max_by}[function](F.col(col), known)
 
 
-def group_agg(df: DataFrame, by, spec: dict[str, Sequence[str]], order_by: Sequence[str] | None = None) -> DataFrame:
+def group_agg(
+    df: DataFrame, by, spec: dict[str, Sequence[str]], order_by: Sequence[str] | None = None
+) -> DataFrame:
     """Several statistics per column, named column_function.
 
     Functions: sum, mean, min, max, count, size, nunique, std, var, median, first
-    and last (the latter two need ``order_by``). All but the median share one pass
-    with partial sums before the shuffle."""
+    and last (the latter two need ``order_by``). Plain sums take one hash aggregation.
+    Distinct counts, first / last (which sort) and medians would drag all other
+    columns through their wider plans, so each of these kinds reads only its own
+    columns and is joined on the group keys."""
     by = as_list(by)
     df = not_null(df, by)
     order = F.struct(*order_by) if order_by else None
     wanted = [(c, f) for c, fs in spec.items() for f in fs]
-    plain = [_named(f, c, order).alias(f"{c}_{f}") for c, f in wanted if f != "median"]
-    out = df.groupBy(*by).agg(*plain) if plain else df.select(*by).distinct()
+    kinds: dict[str, list[Column]] = {}
+    for c, f in wanted:
+        if f != "median":
+            kind = f if f == "nunique" else "edge" if f in ("first", "last") else "plain"
+            kinds.setdefault(kind, []).append(_named(f, c, order).alias(f"{c}_{f}"))
+    tables = [df.groupBy(*by).agg(*columns) for columns in kinds.values()]
     for c in [c for c, f in wanted if f == "median"]:
-        medians = group_quantiles(df, by, c, [0.5]).withColumnRenamed(quantile_name(0.5), f"{c}_median")
-        out = out.join(medians, by, "left")
+        medians = group_quantiles(df, by, c, [0.5])
+        tables.append(medians.withColumnRenamed(quantile_name(0.5), f"{c}_median"))
+    out = reduce(lambda a, b: a.join(b, by, "full"), tables)
     return out.select(*by, *[f"{c}_{f}" for c, f in wanted])
 
 

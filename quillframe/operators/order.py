@@ -61,7 +61,7 @@ def duplicated(
     Only the count and the outermost row's key of each group are aggregated and
     joined back, so many copies of one row do not meet in one task."""
     subset = list(subset)
-    place = F.struct(*order_by)
+    place = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)  # a lone key hashes
     edge = {"first": F.min, "last": F.max}[keep or "first"](place)
     marks = df.groupBy(*subset).agg(edge.alias("_kept"), F.count(F.lit(1)).alias("_copies"))
     repeat = F.col("_copies") > 1 if keep is None else place != F.col("_kept")
@@ -74,13 +74,15 @@ def drop_duplicates(
     """One chosen row per distinct subset; with keep=None only rows without a copy.
 
     Keeping first or last asks for row 1 of a group, so every task sends at most one
-    row per group to the shuffle, however many copies there are."""
+    row per group to the shuffle, however many copies there are. The hash in front of
+    the subset settles most comparisons of long texts by one number."""
     subset = list(subset or df.columns)
     if keep is None:
         single = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies = 1")
         return attach(df, single, subset, null_safe=True, how="inner").drop("_copies")
-    window = Window.partitionBy(*subset).orderBy(*sort_columns(order_by, reverse=keep == "last"))
-    return df.withColumn("_copy", F.row_number().over(window)).filter("_copy = 1").drop("_copy")
+    hashed = df.withColumn("_hash", F.xxhash64(*subset))
+    window = Window.partitionBy("_hash", *subset).orderBy(*sort_columns(order_by, reverse=keep == "last"))
+    return hashed.withColumn("_copy", F.row_number().over(window)).filter("_copy = 1").drop("_copy", "_hash")
 
 
 def _uniform(seed: int, key: Sequence[str], salt: str = "") -> Column:

@@ -8,11 +8,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import text as fn
-from ..plans import groups
 from ..plans.groups import as_list, largest_group
 from ..plans.ordering import Order, as_keys, with_group_position
 
 
+# A group of more rows than this is not gathered into one string.
+ROWS_PER_STRING = 200_000
+
+
 def to_string(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in cols})
 
@@ -42,13 +45,13 @@ def cat_all(
 ) -> DataFrame:
     """A whole column joined to one string per group, in order, nulls skipped.
 
-    One string must fit into one row, so a group above ``LARGEST_PLAIN_GROUP`` rows is
+    One string must fit into one row, so a group above ``ROWS_PER_STRING`` rows is
     refused; ``piece_rows`` gives such groups as numbered pieces of that many rows,
     which joined with ``sep`` are the whole string."""
     by = as_list(by)
     known = df.filter(F.col(col).isNotNull())
     if piece_rows is None:
-        if largest_group(known, by) > groups.LARGEST_PLAIN_GROUP:
+        if largest_group(known, by) > ROWS_PER_STRING:
             raise ValueError("a group is too long for one string; give piece_rows")
         pieces, keys = known, by
     else:

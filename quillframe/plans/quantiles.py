@@ -30,7 +30,7 @@ def group_quantiles(df: DataFrame, by, col: str, qs: Sequence[float]) -> DataFra
         .groupBy(*by, F.col(col).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    if largest_group(counts, by) <= groups.LARGEST_PLAIN_GROUP:
+    if largest_group(counts, by) <= min(groups.LARGEST_PLAIN_GROUP, groups.SEGMENT_ROWS):
         wanted = [F.percentile("_value", q, F.col("_rows")).alias(quantile_name(q)) for q in qs]
         return counts.groupBy(*by).agg(*wanted)
     running = with_running(counts, by, "_value", {"_upto": ("sum", "_rows")})
