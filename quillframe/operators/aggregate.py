@@ -12,6 +12,7 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.functions import PandasUDFType
 
 
 from ..plans.groups import as_list, attach, largest_group, not_null, scalar_of
@@ -196,10 +197,11 @@ def group_filter(df: DataFrame, by, cond: Column) -> DataFrame:
     return df.join(kept, by, "left_semi")
 
 
-def group_transform(df: DataFrame, by, col: str, how: str, out: str) -> DataFrame:
-    """Group statistic carried back to the rows.
+def group_transform(df: DataFrame, by, col: str, wanted: dict[str, str]) -> DataFrame:
+    """Group statistics carried back to the rows in one pass and one join.
 
-    ``how`` is mean, sum, demean, zscore or fill_mean; rows without a key get null."""
+    ``wanted`` maps new (or existing) names to mean, sum, demean, zscore or fill_mean;
+    rows without a key get null."""
     by = as_list(by)
     stats = (
         not_null(df, by)
@@ -207,15 +209,41 @@ def group_transform(df: DataFrame, by, col: str, how: str, out: str) -> DataFram
         .agg(F.avg(col).alias("_mean"), F.sum(col).alias("_sum"), F.stddev_samp(col).alias("_std"))
     )
     x, mean = F.col(col), F.col("_mean")
-    value = {
+    values = {
         "mean": mean,
         "sum": F.col("_sum"),
         "demean": x - mean,
         "zscore": F.try_divide(x - mean, F.col("_std")),
         "fill_mean": F.coalesce(x, mean),
-    }[how]
-    joined = attach(df, stats, by).withColumn(out, value)
-    return joined.select(*df.columns, *([out] if out not in df.columns else []))
+    }
+    joined = attach(df, stats, by).withColumns({out: values[how] for out, how in wanted.items()})
+    return joined.select(*df.columns, *[out for out in wanted if out not in df.columns])
+
+
+def group_custom(
+    df: DataFrame, by, wanted: dict[str, tuple[Callable[[pd.Series], float], str]], largest: int = 1_000_000
+) -> DataFrame:
+    """Own aggregate functions: new name -> (function of a Series to a number, column).
+
+    Such a function sees a group's values at once, so groups above ``largest`` rows are
+    refused; :func:`group_apply` with ``merge`` works on slices of them."""
+    by = as_list(by)
+    df = not_null(df, by)
+    top = largest_group(df, by)
+    if top > largest:
+        raise ValueError(f"a group has {top} rows; use group_apply with merge=")
+
+    def aggregate_of(fn: Callable[[pd.Series], float], col: str) -> Column:
+        def over(values: pd.Series) -> float:
+            return float(fn(values))
+
+        return _grouped_udf(over)(F.col(col).cast("double"))
+
+    return _spread(df, by).groupBy(*by).agg(*[aggregate_of(fn, c).alias(n) for n, (fn, c) in wanted.items()])
+
+
+def _grouped_udf(fn):
+    return F.pandas_udf(fn, returnType=T.DoubleType(), functionType=PandasUDFType.GROUPED_AGG)
 
 
 def group_apply(

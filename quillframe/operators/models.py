@@ -9,6 +9,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def linear_head(
     df: DataFrame,
@@ -49,6 +51,7 @@ def boosted_trees(
     """Boosted trees for a 0/1 label; missing features count as 0 on both sides.
 
     Rounds are sequential jobs, so the default is small; raise ``rounds`` as needed."""
+    ensure_checkpoint_dir(df.sparkSession)  # lets the fit cut its lineage every few rounds
     assembler = VectorAssembler(inputCols=list(features), outputCol="_x")
 
     def vectors(table: DataFrame) -> DataFrame:

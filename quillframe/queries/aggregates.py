@@ -190,8 +190,7 @@ def filter_groups(t):
     """
 )
 def standardise_within_group(t):
-    out = agg.group_transform(t.events, "user_id", "value", "demean", "demeaned")
-    out = agg.group_transform(out, "user_id", "value", "zscore", "z")
+    out = agg.group_transform(t.events, "user_id", "value", {"demeaned": "demean", "z": "zscore"})
     return out.select("event_id", rnd("demeaned", 9).alias("demeaned"), rnd("z", 9).alias("z"))
 
 
@@ -199,10 +198,25 @@ def standardise_within_group(t):
     f"WITH {GAPS} SELECT event_id, round(coalesce(v, avg(v) OVER (PARTITION BY user_id)), 9) AS v FROM ev"
 )
 def fill_with_group_mean(t):
-    out = agg.group_transform(with_gaps(t), "user_id", "v", "fill_mean", "v")
+    out = agg.group_transform(with_gaps(t), "user_id", "v", {"v": "fill_mean"})
     return out.select("event_id", rnd("v", 9).alias("v"))
 
 
+def _mean_deviation(values: pd.Series) -> float:
+    return (values - values.median()).abs().mean()
+
+
+@query(
+    """
+    WITH m AS (SELECT user_id, value, median(value) OVER (PARTITION BY user_id) AS m FROM events)
+    SELECT user_id, round(avg(abs(value - m)), 6) AS deviation FROM m GROUP BY 1
+    """
+)
+def custom_aggregate(t):
+    out = agg.group_custom(t.events, "user_id", {"deviation": (_mean_deviation, "value")})
+    return out.withColumn("deviation", rnd("deviation", 6))
+
+
 def _spread(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(
         {"user_id": [pdf["user_id"].iloc[0]], "low": [pdf["value"].min()], "high": [pdf["value"].max()]}
