@@ -10,7 +10,11 @@ from ..functions.dates import micros
 from ..plans import groups
 from ..plans.groups import as_list, attach, largest_group
 from ..plans.lineage import cut_lineage
-from ..plans.ordering import Order, lay_out, with_running
+from ..plans.ordering import Order, lay_out, with_group_position, with_running
+
+# Spark adds up a sliding frame anew for every row, which is the fastest way for short
+# frames. Frames of more rows than this are put together from shared partial results.
+SHORT_FRAME_ROWS = 100
 
 _FUNCTIONS: dict[str, Callable[[str], Column]] = {
     "sum": F.sum,
@@ -42,10 +46,14 @@ def rolling_rows(
     """Statistics over n rows ending at (or centred on) each row; null with fewer than
     ``min_periods`` (default n) known values. ``wanted`` maps new names to sum, mean, min,
     max, std, var, count or median."""
+    least = n if min_periods is None else min_periods
+    if n > SHORT_FRAME_ROWS and not center and "median" not in wanted.values():
+        placed = with_group_position(df, by, order_by, _AT)
+        return _with_spans(placed, as_list(by), n, col, wanted, least)
     before, after = _reach(n, center)
     lay = lay_out(df, by, order_by, before, after)
     frame = lay.window().rowsBetween(-before, after)
-    enough = F.count(col).over(frame) >= (n if min_periods is None else min_periods)
+    enough = F.count(col).over(frame) >= least
     rows = lay.rows.withColumns(
         {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
     )
@@ -110,24 +118,54 @@ def rolling_time(
     right, rows of equal time included. ``span_us`` is in microseconds and ``wanted`` maps
     new names to sum, mean, min, max, count, std or var."""
     by = as_list(by)
-    at = "_at"
-    timed = df.withColumn(at, micros(F.col(time)))
-    if by and largest_group(df, by) <= groups.LARGEST_PLAIN_GROUP:
-        frame = Window.partitionBy(*by).orderBy(at).rangeBetween(-(span_us - 1), 0)
+    timed = df.withColumn(_AT, micros(F.col(time)))
+    if by and _is_plain(timed, by, span_us):
+        frame = Window.partitionBy(*by).orderBy(_AT).rangeBetween(-(span_us - 1), 0)
         enough = F.count(col).over(frame) >= min_periods
         values = {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
-        return timed.withColumns(values).drop(at)
-    found = _span_parts(timed, by, at, span_us, col)
-    enough = F.col("_n") >= min_periods
-    values = [F.when(enough, _from_parts(f)).alias(out) for out, f in wanted.items()]
-    return attach(timed, found.select(*by, at, *values), [*by, at], null_safe=True).drop(at)
+        return timed.withColumns(values).drop(_AT)
+    return _with_spans(timed, by, span_us, col, wanted, min_periods)
+
 
+_AT = "_at"
 
+
+def _is_plain(timed: DataFrame, by: list[str], span: int) -> bool:
+    """Are groups small enough for one task, and spans short? (one pass over keys and times)"""
+    spans = timed.groupBy(*by, F.floor(F.col(_AT) / F.lit(span)).alias("_span")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = spans.groupBy(*by).agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_busiest"))
+    group, busiest = sizes.agg(F.max("_rows"), F.max("_busiest")).first()
+    return (group or 0) <= groups.LARGEST_PLAIN_GROUP and (busiest or 0) <= SHORT_FRAME_ROWS
+
+
+# Partial results of a span (count, sum, sum of squares, min, max) and how they add up.
 _PARTS = {"_n": F.sum, "_s": F.sum, "_q": F.sum, "_lo": F.min, "_hi": F.max}
+_NEEDED = {
+    "count": ("_n",),
+    "sum": ("_n", "_s"),
+    "mean": ("_n", "_s"),
+    "std": ("_n", "_s", "_q"),
+    "var": ("_n", "_s", "_q"),
+    "min": ("_n", "_lo"),
+    "max": ("_n", "_hi"),
+}
 
 
-def _span_parts(timed: DataFrame, by: list[str], at: str, span: int, col: str) -> DataFrame:
-    """Count, sum, sum of squares, min and max of every distinct time's span.
+def _with_spans(
+    timed: DataFrame, by: list[str], span: int, col: str, wanted: dict[str, str], min_periods: int
+) -> DataFrame:
+    """Statistics over (at - span, at] for the integer column ``_at``, which is dropped."""
+    needed = {p for f in wanted.values() for p in _NEEDED[f]}
+    found = _span_parts(timed, by, _AT, span, col, [p for p in _PARTS if p in needed])
+    enough = F.col("_n") >= min_periods
+    values = [F.when(enough, _from_parts(f)).alias(out) for out, f in wanted.items()]
+    return attach(timed, found.select(*by, _AT, *values), [*by, _AT], null_safe=True).drop(_AT)
+
+
+def _span_parts(
+    timed: DataFrame, by: list[str], at: str, span: int, col: str, names: list[str]
+) -> DataFrame:
+    """The named partial results of every distinct time's span.
 
     Time is cut into cells shorter than the span. A span is then the end of one cell,
     whole cells, and the start of the cell of its own row; each of the three comes
@@ -137,15 +175,11 @@ def _span_parts(timed: DataFrame, by: list[str], at: str, span: int, col: str) -
     """
     centre = timed.agg(F.avg(col)).first()[0] or 0.0
     x = F.col(col) - F.lit(centre)
-    points = cut_lineage(
-        timed.groupBy(*by, at).agg(
-            F.count(col).alias("_n"),
-            F.sum(x).alias("_s"),
-            F.sum(x * x).alias("_q"),
-            F.min(col).alias("_lo"),
-            F.max(col).alias("_hi"),
-        )
-    )
+    first = {"_n": F.count(col), "_s": F.sum(x), "_q": F.sum(x * x), "_lo": F.min(col), "_hi": F.max(col)}
+    points = cut_lineage(timed.groupBy(*by, at).agg(*[first[p].alias(p) for p in names]))
+    if span < 2:  # only rows of the same time
+        return points.withColumn("_centre", F.lit(centre))
+    parts = {p: _PARTS[p] for p in names}
     spans = points.select(*by, F.floor(F.col(at) / F.lit(span)).alias("_span"))
     busiest = largest_group(spans, [*by, "_span"])
     pieces = max(2, min(span // 2, -(-2 * busiest // groups.SEGMENT_ROWS)))
@@ -171,35 +205,35 @@ def _span_parts(timed: DataFrame, by: list[str], at: str, span: int, col: str) -
     ends = both.withColumns(
         {
             p: F.when(F.col("_probe"), agg(p).over(tails)).otherwise(agg(p).over(heads))
-            for p, agg in _PARTS.items()
+            for p, agg in parts.items()
         }
     )
 
-    totals = data.groupBy(*by, "_cell").agg(*[agg(p).alias(p) for p, agg in _PARTS.items()])
+    totals = data.groupBy(*by, "_cell").agg(*[agg(p).alias(p) for p, agg in parts.items()])
     ordered = Window.partitionBy(*by).orderBy("_cell")
     apart = (span - 1) // size  # the two ends lie this many cells apart, or one more
 
     def between(p: str, distance: int) -> Column:
         if distance < 2:
             return F.lit(None).cast(totals.schema[p].dataType)
-        return _PARTS[p](p).over(ordered.rangeBetween(-(distance - 1), -1))
+        return parts[p](p).over(ordered.rangeBetween(-(distance - 1), -1))
 
     middles = totals.select(
         *by,
         "_cell",
-        *[between(p, apart).alias(f"{p}_near") for p in _PARTS],
-        *[between(p, apart + 1).alias(f"{p}_far") for p in _PARTS],
+        *[between(p, apart).alias(f"{p}_near") for p in names],
+        *[between(p, apart + 1).alias(f"{p}_far") for p in names],
     )
     far = F.col("_cell") - cell(start) == apart + 1
     key = [*by, "_key"]
     middle = attach(data.select(*by, at, "_key", "_cell"), middles, [*by, "_cell"], null_safe=True).select(
-        *key, *[F.when(far, F.col(f"{p}_far")).otherwise(F.col(f"{p}_near")).alias(p) for p in _PARTS]
+        *key, *[F.when(far, F.col(f"{p}_far")).otherwise(F.col(f"{p}_near")).alias(p) for p in names]
     )
     return (
-        ends.select(*key, *_PARTS)
+        ends.select(*key, *names)
         .unionByName(middle)
         .groupBy(*key)
-        .agg(*[agg(p).alias(p) for p, agg in _PARTS.items()])
+        .agg(*[agg(p).alias(p) for p, agg in parts.items()])
         .withColumnRenamed("_key", at)
         .withColumn("_centre", F.lit(centre))
     )

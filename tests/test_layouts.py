@@ -55,6 +55,7 @@ OPERATIONS = {
         d, "g", "ts", 7_000_000, "v", {"s": "sum", "m": "mean", "lo": "min", "hi": "max", "n": "count", "d": "std"}
     ),
     "rolling_time_long": lambda d: rolling.rolling_time(d, "g", "ts", 33_000_000, "v", {"s": "sum", "q": "var"}, 2),
+    "rolling_moment": lambda d: rolling.rolling_time(d, "g", "ts", 1, "v", {"s": "sum", "n": "count"}),
     "rolling_instant": lambda d: rolling.rolling_time(d, "g", "ts", 5, "v", {"s": "sum"}),
     "quantiles": lambda d: group_quantiles(d, "g", "v", [0, 0.25, 0.5, 0.9, 1]),
     "quantiles_all": lambda d: group_quantiles(d, None, "w", [0.25, 0.5, 0.99]),
@@ -76,6 +77,20 @@ def test_split_equals_plain(rows, name, monkeypatch):
     assert result(OPERATIONS[name](rows)) == expected
 
 
+LONG_FRAMES = [n for n in OPERATIONS if n.startswith("rolling")]
+
+
+@pytest.mark.parametrize("name", LONG_FRAMES)
+@pytest.mark.parametrize("split", [False, True])
+def test_long_frames_equal_short_ones(rows, name, split, monkeypatch):
+    expected = result(OPERATIONS[name](rows))
+    monkeypatch.setattr(rolling, "SHORT_FRAME_ROWS", 1)
+    if split:
+        monkeypatch.setattr(groups, "LARGEST_PLAIN_GROUP", 0)
+        monkeypatch.setattr(groups, "SEGMENT_ROWS", 3)
+    assert result(OPERATIONS[name](rows)) == expected
+
+
 def test_whole_table_equals_one_group(rows, tiny_segments):
     one = rows.withColumn("all", F.lit(1))
     whole = result(missing.fill_forward(rows, None, ORDER, "v"))
