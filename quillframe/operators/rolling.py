@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import micros
 from ..plans import groups
-from ..plans.groups import as_list, attach, largest_group
+from ..plans.groups import as_list, attach, kept_or_none, largest_group, parted
 from ..plans.lineage import cut_lineage
-from ..plans.ordering import Order, lay_out, with_group_position, with_running
+from ..plans.ordering import Layout, Order, over_groups, with_group_position, with_running
 
 # Spark adds up a sliding frame anew for every row, which is the fastest way for short
 # frames. Frames of more rows than this are put together from shared partial results.
@@ -51,13 +51,14 @@ def rolling_rows(
         placed = with_group_position(df, by, order_by, _AT)
         return _with_spans(placed, as_list(by), n, col, wanted, least)
     before, after = _reach(n, center)
-    lay = lay_out(df, by, order_by, before, after)
-    frame = lay.window().rowsBetween(-before, after)
-    enough = F.count(col).over(frame) >= least
-    rows = lay.rows.withColumns(
-        {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
-    )
-    return lay.own_rows(rows)
+
+    def rolled(lay: Layout) -> DataFrame:
+        frame = lay.window().rowsBetween(-before, after)
+        enough = F.count(col).over(frame) >= least
+        values = {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
+        return lay.own_rows(lay.rows.withColumns(values))
+
+    return over_groups(df, by, order_by, rolled, before, after)
 
 
 def rolling_apply(
@@ -65,11 +66,14 @@ def rolling_apply(
 ) -> DataFrame:
     """``fn`` maps the array of the last n known values to a value; null before n rows
     are known."""
-    lay = lay_out(df, by, order_by, before=n - 1)
-    frame = lay.window().rowsBetween(-(n - 1), 0)
-    rows = lay.rows.withColumn("_frame", F.collect_list(col).over(frame))
-    rows = rows.withColumn(out, F.when(F.size("_frame") >= n, fn(F.col("_frame")))).drop("_frame")
-    return lay.own_rows(rows)
+
+    def applied(lay: Layout) -> DataFrame:
+        frame = lay.window().rowsBetween(-(n - 1), 0)
+        rows = lay.rows.withColumn("_frame", F.collect_list(col).over(frame))
+        value = F.when(F.size("_frame") >= n, fn(F.col("_frame")))
+        return lay.own_rows(rows.withColumn(out, value).drop("_frame"))
+
+    return over_groups(df, by, order_by, applied, before=n - 1)
 
 
 def rolling_cov_corr(
@@ -78,20 +82,19 @@ def rolling_cov_corr(
     """Sample covariance and correlation of two columns over the last n rows (columns
     ``cov`` and ``corr``; at least two pairs are needed, and a constant column has no
     correlation)."""
-    lay = lay_out(df, by, order_by, before=n - 1)
-    frame = lay.window().rowsBetween(-(n - 1), 0)
+    least = max(2, n if min_periods is None else min_periods)
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    pairs = F.count(F.when(both, 1)).over(frame)
-    enough = pairs >= max(2, n if min_periods is None else min_periods)
-    spreads = [F.stddev_samp(F.when(both, F.col(c))).over(frame) for c in (a, b)]
-    cov = F.covar_samp(a, b).over(frame)  # corr() itself fails on constant values
-    rows = lay.rows.withColumns(
-        {
-            "cov": F.when(enough, cov),
-            "corr": F.when(enough, F.try_divide(cov, spreads[0] * spreads[1])),
-        }
-    )
-    return lay.own_rows(rows)
+
+    def rolled(lay: Layout) -> DataFrame:
+        frame = lay.window().rowsBetween(-(n - 1), 0)
+        enough = F.count(F.when(both, 1)).over(frame) >= least
+        spreads = [F.stddev_samp(F.when(both, F.col(c))).over(frame) for c in (a, b)]
+        cov = F.covar_samp(a, b).over(frame)  # corr() itself fails on constant values
+        corr = F.try_divide(cov, spreads[0] * spreads[1])
+        rows = lay.rows.withColumns({"cov": F.when(enough, cov), "corr": F.when(enough, corr)})
+        return lay.own_rows(rows)
+
+    return over_groups(df, by, order_by, rolled, before=n - 1)
 
 
 def expanding(
@@ -119,23 +122,31 @@ def rolling_time(
     new names to sum, mean, min, max, count, std or var."""
     by = as_list(by)
     timed = df.withColumn(_AT, micros(F.col(time)))
-    if by and _is_plain(timed, by, span_us):
-        frame = Window.partitionBy(*by).orderBy(_AT).rangeBetween(-(span_us - 1), 0)
-        enough = F.count(col).over(frame) >= min_periods
-        values = {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
+    if not by:
+        return _with_spans(timed, by, span_us, col, wanted, min_periods)
+    hot = _crowded(timed, by, span_us)
+    frame = Window.partitionBy(*by).orderBy(_AT).rangeBetween(-(span_us - 1), 0)
+    enough = F.count(col).over(frame) >= min_periods
+    values = {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
+    if hot is None:
         return timed.withColumns(values).drop(_AT)
-    return _with_spans(timed, by, span_us, col, wanted, min_periods)
+    cold_rows, hot_rows = parted(timed, hot, by)
+    plain = cold_rows.withColumns(values).drop(_AT)
+    return plain.unionByName(_with_spans(hot_rows, by, span_us, col, wanted, min_periods))
 
 
 _AT = "_at"
 
 
-def _is_plain(timed: DataFrame, by: list[str], span: int) -> bool:
-    """Are groups small enough for one task, and spans short? (one pass over keys and times)"""
-    spans = timed.groupBy(*by, F.floor(F.col(_AT) / F.lit(span)).alias("_span")).agg(F.count(F.lit(1)).alias("_n"))
+def _crowded(timed: DataFrame, by: list[str], span: int) -> DataFrame | None:
+    """Keys of groups too large for one task or with many rows in one span (one pass over
+    keys and times), or None."""
+    spans = timed.groupBy(*by, F.floor(F.col(_AT) / F.lit(span)).alias("_span")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
     sizes = spans.groupBy(*by).agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_busiest"))
-    group, busiest = sizes.agg(F.max("_rows"), F.max("_busiest")).first()
-    return (group or 0) <= groups.LARGEST_PLAIN_GROUP and (busiest or 0) <= SHORT_FRAME_ROWS
+    crowded = (F.col("_rows") > groups.LARGEST_PLAIN_GROUP) | (F.col("_busiest") > SHORT_FRAME_ROWS)
+    return kept_or_none(sizes.filter(crowded).select(*by))
 
 
 # Partial results of a span (count, sum, sum of squares, min, max) and how they add up.

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .lineage import cut_lineage
+
 # A group of at most this many rows is sorted inside one task (the sort spills);
 # a larger one is cut into segments of SEGMENT_ROWS rows.
 LARGEST_PLAIN_GROUP = 4_000_000
@@ -34,6 +36,24 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
+def hot_keys(df: DataFrame, by: Sequence[str]) -> DataFrame | None:
+    """Keys of the groups above ``LARGEST_PLAIN_GROUP`` rows, or None when there are none.
+
+    One pass over the key columns with map-side counts. There are at most
+    rows / LARGEST_PLAIN_GROUP such keys; they are written out when there are any."""
+    counts = df.groupBy(*[F.col(b) for b in by]).agg(F.count(F.lit(1)).alias("_n"))
+    return kept_or_none(counts.filter(F.col("_n") > LARGEST_PLAIN_GROUP).select(*by))
+
+
+def kept_or_none(keys: DataFrame) -> DataFrame | None:
+    return None if keys.isEmpty() else cut_lineage(keys)
+
+
+def parted(df: DataFrame, hot: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of other groups, rows of the hot groups)."""
+    return tuple(attach(df, hot, by, null_safe=True, how=how) for how in ("left_anti", "left_semi"))
+
+
 def attach(
     df: DataFrame, stats: DataFrame, by: Sequence[str], null_safe: bool = False, how: str = "left"
 ) -> DataFrame:

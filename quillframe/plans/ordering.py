@@ -1,10 +1,10 @@
 """Order-dependent work without moving a table, or a hot group, into one task.
 
-Two layouts are used. While every group is small, a plain window over the group
-is the cheapest plan. When a group is larger than ``LARGEST_PLAIN_GROUP`` rows (or
-there is no group key at all) rows are range-partitioned on key and order, numbered
-from per-partition counts, and cut into segments of ``SEGMENT_ROWS`` consecutive
-rows; windows then run per segment and small per-segment summaries carry state on.
+Two layouts are used. For small groups a plain window over the group is the cheapest
+plan. The rows of groups larger than ``LARGEST_PLAIN_GROUP`` rows (or all rows, when
+there is no group key) are range-partitioned on key and order, numbered from
+per-partition counts, and cut into segments of ``SEGMENT_ROWS`` consecutive rows;
+windows then run per segment and small per-segment summaries carry state on.
 
 An order is a list of keys, each a column name (ascending) or ``(name, "desc")``;
 nulls sort last. Orders end in a unique key, so that every result is repeatable.
@@ -12,13 +12,13 @@ nulls sort last. Orders end in a unique key, so that every result is repeatable.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from . import groups
-from .groups import as_list, attach, largest_group
+from .groups import as_list, attach, hot_keys, parted
 from .lineage import cut_lineage
 
 Key = str | tuple[str, str]
@@ -82,25 +82,22 @@ def with_position(df: DataFrame, order_by: Order, name: str = POSITION) -> DataF
 
 def with_group_position(df: DataFrame, by, order_by: Order, name: str) -> DataFrame:
     """0-based row number inside each group (null keys count as a group)."""
-    by = as_list(by)
-    if not by:
-        return with_position(df, order_by, name)
-    if largest_group(df, by) <= groups.LARGEST_PLAIN_GROUP:
-        window = Window.partitionBy(*by).orderBy(*sort_columns(order_by))
-        return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
-    order = [*by, *(order_by if isinstance(order_by, list) else [order_by])]
-    placed = with_position(df, order)
-    starts = placed.groupBy(*by).agg(F.min(POSITION).alias("_start"))
-    return (
-        attach(placed, starts, by, null_safe=True)
-        .withColumn(name, F.col(POSITION) - F.col("_start"))
-        .drop(POSITION, "_start")
-    )
+
+    def numbered(lay: Layout) -> DataFrame:
+        if not lay.split:
+            return lay.rows.withColumn(name, F.row_number().over(lay.window()).cast("long") - 1)
+        if not lay.by:
+            return lay.rows.withColumn(name, F.col(POSITION)).drop(POSITION, SEGMENT)
+        starts = lay.rows.groupBy(*lay.by).agg(F.min(POSITION).alias("_start"))
+        rows = attach(lay.rows, starts, lay.by, null_safe=True)
+        return rows.withColumn(name, F.col(POSITION) - F.col("_start")).drop(POSITION, SEGMENT, "_start")
+
+    return over_groups(df, by, order_by, numbered)
 
 
 @dataclass
 class Layout:
-    """Rows laid out for ordered windows; made by :func:`lay_out`."""
+    """Rows laid out for ordered windows; made by :func:`over_groups`."""
 
     rows: DataFrame
     by: list[str]
@@ -128,16 +125,33 @@ def _segment_of(position: Column) -> Column:
     return F.floor(position / F.lit(groups.SEGMENT_ROWS)).cast("long")
 
 
-def lay_out(df: DataFrame, by, order_by: Order, before: int = 0, after: int = 0) -> Layout:
-    """Rows ready for windows that look ``before`` rows back and ``after`` ahead.
+def over_groups(
+    df: DataFrame,
+    by,
+    order_by: Order,
+    work: Callable[[Layout], DataFrame],
+    before: int = 0,
+    after: int = 0,
+) -> DataFrame:
+    """Run ``work`` on rows laid out for windows that look ``before`` rows back and
+    ``after`` ahead.
 
-    In the split layout a row near a segment's edge is lent to the neighbouring
-    segments that look at it, so at most ``1 + (before + after) / SEGMENT_ROWS``
-    copies exist on average.
-    """
+    Only hot groups (or a table without group key) go through the split layout; all
+    other rows take the plain one, and the results are put together."""
     by = as_list(by)
-    if by and largest_group(df, by) <= groups.LARGEST_PLAIN_GROUP:
-        return Layout(df, by, order_by, split=False)
+    if not by:
+        return work(_cut(df, by, order_by, before, after))
+    hot = hot_keys(df, by)
+    if hot is None:
+        return work(Layout(df, by, order_by, split=False))
+    cold_rows, hot_rows = parted(df, hot, by)
+    plain = work(Layout(cold_rows, by, order_by, split=False))
+    return plain.unionByName(work(_cut(hot_rows, by, order_by, before, after)))
+
+
+def _cut(df: DataFrame, by: list[str], order_by: Order, before: int, after: int) -> Layout:
+    """Segments of consecutive rows. A row near a segment's edge is lent to the segments
+    that look at it, on average 1 + (before + after) / SEGMENT_ROWS copies of each row."""
     order = [*by, *(order_by if isinstance(order_by, list) else [order_by])]
     placed = with_position(df, order)
     p = F.col(POSITION)
@@ -164,9 +178,12 @@ def with_known_neighbours(
     row itself when its value is known) and ``row`` is the row's own position. Only
     differences between positions of one group are meaningful.
     """
-    by = as_list(by)
-    lay = lay_out(df, by, order_by)
     at = F.lit(0) if at is None else at
+    return over_groups(df, by, order_by, lambda lay: _neighbours(lay, col, prev, nxt, row, at))
+
+
+def _neighbours(lay: Layout, col: str, prev: str, nxt: str, row: str, at: Column) -> DataFrame:
+    by = lay.by
     if lay.split:
         rows = lay.rows.withColumn(row, F.col(POSITION))
     else:
@@ -208,8 +225,11 @@ def with_running(df: DataFrame, by, order_by: Order, wanted: dict[str, tuple[str
     ``wanted`` maps a new name to ``(function, column)`` with function one of sum,
     count, min, max; values before the first non-null one are null (count: 0).
     """
-    by = as_list(by)
-    lay = lay_out(df, by, order_by)
+    return over_groups(df, by, order_by, lambda lay: _running(lay, wanted))
+
+
+def _running(lay: Layout, wanted: dict[str, tuple[str, str]]) -> DataFrame:
+    by = lay.by
     frame = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = lay.rows.withColumns({n: _RUNNING[f][0](c).over(frame) for n, (f, c) in wanted.items()})
     if lay.split:

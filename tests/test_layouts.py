@@ -13,6 +13,15 @@ from quillframe.plans.quantiles import group_quantiles
 
 @pytest.fixture(scope="module")
 def rows(spark):
+    # Small shuffles would be merged into one partition; keep several, as on large data.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield _rows(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def _rows(spark):
     rng = random.Random(5)
     data = []
     for i in range(90):
@@ -68,10 +77,11 @@ OPERATIONS = {
 }
 
 
+@pytest.mark.parametrize("largest", [0, 20])  # every group is hot, or only the one of 50 rows
 @pytest.mark.parametrize("name", sorted(OPERATIONS))
-def test_split_equals_plain(rows, name, monkeypatch):
+def test_split_equals_plain(rows, name, largest, monkeypatch):
     expected = result(OPERATIONS[name](rows))
-    monkeypatch.setattr(groups, "LARGEST_PLAIN_GROUP", 0)
+    monkeypatch.setattr(groups, "LARGEST_PLAIN_GROUP", largest)
     monkeypatch.setattr(groups, "SEGMENT_ROWS", 3)
     monkeypatch.setattr(aggregate, "GROUP_LIMIT_ROWS", 0)
     assert result(OPERATIONS[name](rows)) == expected
@@ -98,6 +108,7 @@ def test_whole_table_equals_one_group(rows, tiny_segments):
 
 
 def test_position_is_dense_and_ordered(rows):
+    assert rows.repartitionByRange("id").rdd.getNumPartitions() == 3
     got = with_position(rows, [("v", "desc"), "id"], "p").orderBy("p").collect()
     assert [r.p for r in got] == list(range(90))
     known = [(-r.v, r.id) for r in got if r.v is not None]
