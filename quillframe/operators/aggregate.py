@@ -12,7 +12,6 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
-from pyspark.sql.functions import PandasUDFType
 
 
 from ..plans.groups import as_list, attach, largest_group, not_null, scalar_of
@@ -237,15 +236,11 @@ def group_custom(
         def over(values: pd.Series) -> float:
             return float(fn(values))
 
-        return _grouped_udf(over)(F.col(col).cast("double"))
+        return F.pandas_udf(over, T.DoubleType())(F.col(col).cast("double"))
 
     return _spread(df, by).groupBy(*by).agg(*[aggregate_of(fn, c).alias(n) for n, (fn, c) in wanted.items()])
 
 
-def _grouped_udf(fn):
-    return F.pandas_udf(fn, returnType=T.DoubleType(), functionType=PandasUDFType.GROUPED_AGG)
-
-
 def group_apply(
     df: DataFrame,
     by,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import numeric
@@ -114,9 +115,14 @@ def row_apply(
 
     ``fn`` maps columns to a column and stays inside the JVM; when ``returns`` is
     given it maps pandas Series to a Series and runs on Arrow batches."""
-    if returns is not None:
-        fn = F.pandas_udf(fn, returnType=returns)
-    return df.withColumn(out, fn(*[F.col(c) for c in cols]))
+    inputs = [F.col(c) for c in cols]
+    if returns is None:
+        return df.withColumn(out, fn(*inputs))
+
+    def batched(*series: pd.Series) -> pd.Series:
+        return fn(*series)
+
+    return df.withColumn(out, F.pandas_udf(batched, returnType=returns)(*inputs))
 
 
 def log_transform(df: DataFrame, col: str, out: str) -> DataFrame:

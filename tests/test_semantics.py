@@ -160,6 +160,20 @@ def test_clip_and_log(spark):
     assert got[0] is None and math.isnan(got[1]) and got[2] == -math.inf and got[3] == pytest.approx(math.log(9))
 
 
+def test_row_apply_on_columns_and_on_batches(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 5.0)], "id int, v double")
+    assert column(select.row_apply(df, "o", lambda a, b: a * b, ["id", "v"]), "o") == [2.0, 10.0]
+    assert column(select.row_apply(df, "o", lambda a, b: a + b, ["id", "v"], "double"), "o") == [3.0, 7.0]
+
+
+def test_group_custom_refuses_hot_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("b", 2.0)], "g string, v double")
+    got = aggregate.group_custom(df, "g", {"spread": (lambda x: x.max() - x.min(), "v")})
+    assert rows(got) == [("a", 3.0), ("b", 0.0)]
+    with pytest.raises(ValueError):
+        aggregate.group_custom(df, "g", {"n": (len, "v")}, largest=1)
+
+
 def test_replace_keeps_unlisted_values(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "s string")
     assert rows(select.replace_values(df, {"s": {"a": "x", None: "none"}})) == [("b",), ("none",), ("x",)]
