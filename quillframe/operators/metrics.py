@@ -88,6 +88,7 @@ def masked_mean_pool(df: DataFrame, id_col: str, vector: str, mask: Column, dim:
         pooled = F.array(*[F.col(f"_{i}") / F.col("_w") for i in range(dim)])
         return df.groupBy(id_col).agg(*sums, weight.alias("_w")).select(id_col, pooled.alias("pooled"))
     flat = df.select(id_col, m.alias("_m"), F.posexplode(vector).alias("_pos", "_x"))
-    cells = flat.groupBy(id_col, "_pos").agg((F.sum(F.col("_x") * F.col("_m")) / F.greatest(F.sum("_m"), F.lit(floor))).alias("_v"))
+    mean = F.sum(F.col("_x") * F.col("_m")) / F.greatest(F.sum("_m"), F.lit(floor))
+    cells = flat.groupBy(id_col, "_pos").agg(mean.alias("_v"))
     ordered = F.array_sort(F.collect_list(F.struct("_pos", "_v")))  # dim entries per id
     return cells.groupBy(id_col).agg(F.transform(ordered, lambda e: e["_v"]).alias("pooled"))

@@ -66,4 +66,5 @@ def boosted_trees(
 
 def _predictions(scored: DataFrame, id_col: str, label: str) -> DataFrame:
     keep = [c for c in (id_col, label) if c in scored.columns]
-    return scored.select(*keep, F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability").alias("probability"))
+    prediction = F.col("prediction").cast("int").alias("prediction")
+    return scored.select(*keep, prediction, vector_to_array("probability").alias("probability"))

@@ -50,7 +50,7 @@ def add_offset(df: DataFrame, col: str, offset: str, n: int, out: str) -> DataFr
         target = dates.business_shift(day, n)
     elif offset == "month_end":
         end = F.last_day(day)
-        step = F.when(day == end, n).otherwise(n - 1 if n > 0 else n) if n > 0 else F.lit(n)
+        step = F.when(day == end, n).otherwise(n - 1) if n > 0 else F.lit(n)
         target = F.last_day(F.add_months(F.trunc(day, "month"), step))
     elif offset == "month_start":
         start = F.trunc(day, "month")
@@ -73,10 +73,9 @@ def date_range(
     first = F.lit(str(lo)).cast("timestamp_ntz")
     if freq in dates.CALENDAR:
         a, b = _calendar_index(lo, freq), _calendar_index(hi, freq)
-        label = dates.bucket_label(F.col("id"), freq)
-        return (
-            spark.range(a, b + 1).select(label.alias(out)).filter(F.col(out).between(first, F.lit(str(hi)).cast("timestamp_ntz")))
-        )
+        last = F.lit(str(hi)).cast("timestamp_ntz")
+        labels = spark.range(a, b + 1).select(dates.bucket_label(F.col("id"), freq).alias(out))
+        return labels.filter(F.col(out).between(first, last))
     step = dates.DAY if freq == "B" else dates.width(freq)
     count = (hi - lo) // timedelta(microseconds=step) + 1
     points = spark.range(max(count, 0)).select(
