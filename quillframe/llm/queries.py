@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding
+from . import exact_dedup, line_dedup, mixing, packing, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.pages_round_trip(_table(spark, folder, "pages"))
+
+
+@_query
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, folder, "documents"))
+
+
 @_query
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup_groups(_table(spark, folder, "documents"))
@@ -31,4 +41,15 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.kd_shards(_table(spark, folder, "documents"))
 
 
+@_query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(_table(spark, folder, "documents")).select("doc_id", "text", "lines", "deleted_lines")
+
+
+@_query
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
+ORACLES["op2_warc"] = warc.SQL
 ORACLES["op5_exact_dedup"] = exact_dedup.SQL
