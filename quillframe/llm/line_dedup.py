@@ -30,9 +30,10 @@ def _same_start(own: Column, other: Column) -> Column:
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """For documents with deletions: id, text_key and runs (first and last line, lines more on either side).
+    """For documents with deletions: id, text_key and runs, each by its first and last line (from 0).
 
-    Lines are compared with single spaces, blank lines are passed over and never deleted.
+    Lines are compared with single spaces; blank lines are passed over, and go with a run
+    that they lie in.
     A window is the shortest run of lines, from each line on, that holds ``min_words``
     words; the smallest line hash in it is its fingerprint. Any repeated run of that many
     words contains such a window in both places, with the same fingerprint.
@@ -45,11 +46,11 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of places, not of pairs; at least one copy of every line stays.
     """
     text = text_or_empty(text_col)
-    documents = df.select(
-        F.col(f"`{id_col}`").alias("id"),
-        _text_key(text).alias("text_key"),
-        F.monotonically_increasing_id().alias("row"),
-        F.posexplode(F.split(text, "\n")).alias("at", "line"),
+    numbered = df.select(  # before the lines part, or each line had a number of its own
+        F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("row")
+    )
+    documents = numbered.select(
+        "id", _text_key(F.col("text")).alias("text_key"), "row", F.posexplode(F.split("text", "\n")).alias("at", "line")
     ).withColumn("line", _line_key(F.col("line")))
     lines = cut_lineage(
         documents.filter(F.col("line") != "").select(
@@ -74,11 +75,11 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "row",
         "start",
         F.collect_list(F.struct("line", "at")).over(window).alias("run"),
-        F.reverse(F.collect_list("line").over(by_word.rangeBetween(1 - min_words, -1))).alias("left"),
+        F.reverse(F.collect_list(F.struct("line", "at")).over(by_word.rangeBetween(1 - min_words, -1))).alias("left"),
         (F.sum("words").over(of_text) - F.col("start")).alias("words_on"),
     )
     # What follows a window is the window of the line after its last one.
-    runs = runs.withColumn("next", F.lead(F.col("run.line")).over(by_word))
+    runs = runs.withColumn("next", F.lead("run").over(by_word))
     windows = runs.select(
         "id",
         "text_key",
@@ -98,18 +99,19 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = windows.join(repeated, "print", "left_semi")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_key", "at")
     firsts = met.groupBy("content").agg(
-        F.count(F.lit(1)).alias("places"), F.min(F.struct(order.alias("order"), "left", "right")).alias("first")
+        F.count(F.lit(1)).alias("places"),
+        F.min(F.struct(order.alias("order"), F.col("left.line").alias("left"), F.col("right.line").alias("right"))).alias("first"),
     )
     matches = met.join(firsts.filter("places > 1"), "content").filter(order != F.col("first.order"))
+    before = _same_start(F.col("left.line"), F.col("first.left"))
+    after = _same_start(F.col("right.line"), F.col("first.right"))
     grown = matches.select(
         "id",
         "text_key",
-        "at",
-        "end",
-        _same_start(F.col("left"), F.col("first.left")).alias("before"),
-        _same_start(F.col("right"), F.col("first.right")).alias("after"),
+        F.when(before > 0, F.get("left", before - 1)["at"]).otherwise(F.col("at")).alias("from"),
+        F.when(after > 0, F.get("right", after - 1)["at"]).otherwise(F.col("end")).alias("to"),
     )
-    return grown.groupBy("id", "text_key").agg(F.collect_set(F.struct("at", "end", "before", "after")).alias("runs"))
+    return grown.groupBy("id", "text_key").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
 
 
 def drop_repeated_lines(
@@ -130,21 +132,7 @@ def drop_repeated_lines(
     joined = keyed.join(found, keyed[f"`{id_col}`"].eqNullSafe(F.col(f"{key}_id")) & (F.col(key) == F.col(f"{key}_r")), "left")
     text = F.col(f"`{text_col}`").cast("string")
     lines = F.split(text, "\n")
-    # Non-blank lines are what runs count; `at` and `end` are places among all lines.
-    solid = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: _line_key(F.get(lines, i)) != "")
-    spans = F.transform(
-        F.col(marks),
-        lambda r: F.slice(
-            solid,
-            F.array_position(solid, r["at"]).cast("int") - r["before"],
-            F.array_position(solid, r["end"]).cast("int")
-            - F.array_position(solid, r["at"]).cast("int")
-            + 1
-            + r["before"]
-            + r["after"],
-        ),
-    )
-    dead = F.array_distinct(F.flatten(spans))
+    dead = F.array_distinct(F.flatten(F.transform(F.col(marks), lambda r: F.sequence(r["from"], r["to"]))))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dead)
     new_text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     return joined.select(
