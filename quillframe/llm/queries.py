@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, mixing, packing, sharding, warc
+from . import exact_dedup, jaccard, line_dedup, mixing, packing, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,5 +51,10 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+@_query
+def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, folder, "documents"))
+
+
 ORACLES["op2_warc"] = warc.SQL
 ORACLES["op5_exact_dedup"] = exact_dedup.SQL

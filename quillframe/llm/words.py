@@ -84,8 +84,8 @@ def hash_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, counts
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Slices of a string array of about CHUNK_BYTES: first row, row after, bytes, ends.
+def chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slices of a string array of about ``chunk_bytes``: first row, row after, bytes, ends.
 
     Null texts are empty.
     """
@@ -100,7 +100,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     at = 0
     while at < n:
-        to = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + chunk_bytes, "right")) - 1
         to = min(n, max(at + 1, to))
         yield at, to, data[offsets[at] : offsets[to]], offsets[at + 1 : to + 1] - offsets[at]
         at = to
