@@ -5,7 +5,9 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -94,6 +96,18 @@ def _record(row: dict) -> bytes:
     return b"WARC/1.1\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
 
 
+def _member(record: bytes) -> bytes:
+    """A gzip member of its own, whose extra field ``sl`` holds its length and the record's.
+
+    Any gzip reader takes it; a reader that knows the field need not inflate what it skips.
+    """
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflate.compress(record) + deflate.flush()
+    length = 12 + 12 + len(body) + 8
+    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H2sHII", 12, b"sl", 8, length, len(record) & 0xFFFFFFFF)
+    return head + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
+
+
 class _Writer(DataSourceArrowWriter):
     """Every task writes files of its own; only those of committed tasks enter the manifest."""
 
@@ -112,7 +126,7 @@ class _Writer(DataSourceArrowWriter):
                     name = f"part-{part:05d}-{uuid.uuid4().hex}.warc" + ".gz" * self.compress
                     out, size = store.open_output_stream(f"{root}/{name}", compression=None), 0
                 record = _record(row)
-                record = gzip.compress(record, 6) if self.compress else record  # a member a record
+                record = _member(record) if self.compress else record
                 out.write(record)
                 size += len(record)
                 if size >= self.file_bytes:
@@ -192,8 +206,8 @@ class _Reader(DataSourceReader):
         rows, size = [], 0
         for path in partition.files:
             with store.open_input_file(path) as raw:
-                stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if path.endswith(".gz") else raw
-                for row in _records(stream, self.tests, self.payload):
+                found = _compressed_records if path.endswith(".gz") else _records
+                for row in found(raw, self.tests, self.payload):
                     rows.append(row)
                     size += len(row["payload"] or b"")
                     if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
@@ -216,11 +230,11 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 class _Lines:
     """Lines and blocks of a stream, with a look-ahead of its own so that blocks can be skipped by seeking."""
 
-    def __init__(self, stream):
-        self.stream, self.held, self.at = stream, b"", 0
+    def __init__(self, stream, ahead: int = 65_536):
+        self.stream, self.held, self.at, self.ahead = stream, b"", 0, ahead
 
     def _more(self) -> bool:
-        data = self.stream.read(65_536)
+        data = self.stream.read(self.ahead)
         self.held, self.at = self.held[self.at :] + data, 0
         return bool(data)
 
@@ -268,14 +282,55 @@ def _passes(row: dict, tests) -> bool:
     return True
 
 
-def _records(stream, tests, payload: bool) -> Iterator[dict]:
-    """Records that pass the tests; the blocks of all others are skipped unread."""
-    lines = _Lines(stream)
+class _Inflated:
+    """The bytes of one gzip member, inflated as far as they are asked for."""
+
+    def __init__(self, raw, left: int):
+        self.raw, self.left, self.inflate = raw, left, zlib.decompressobj(-15)
+
+    def read(self, n: int) -> bytes:
+        out = []
+        while n > 0 and not self.inflate.eof:
+            data = self.inflate.unconsumed_tail
+            if not data:
+                data = self.raw.read(min(self.left, 16_384))
+                self.left -= len(data)
+                if not data:
+                    break
+            out.append(self.inflate.decompress(data, n))
+            n -= len(out[-1])
+        return b"".join(out)
+
+
+def _compressed_records(raw, tests, payload: bool) -> Iterator[dict]:
+    """Records of gzip members; a member with its length in field ``sl`` is left by seeking."""
+    at = 0
+    while True:
+        raw.seek(at)
+        head = raw.read(24)
+        if head[3:4] == b"\x04" and head[12:14] == b"sl":
+            yield from _records(_Inflated(raw, 1 << 62), tests, payload, ahead=2_048, single=True)
+            at += struct.unpack("<I", head[16:20])[0]
+            continue
+        if head:
+            raw.seek(at)
+            yield from _records(io.BufferedReader(gzip.GzipFile(fileobj=raw)), tests, payload)
+        return
+
+
+def _records(stream, tests, payload: bool, ahead: int = 65_536, single: bool = False) -> Iterator[dict]:
+    """Records that pass the tests; the blocks of all others are skipped unread.
+
+    ``single``: the stream holds one record, so nothing needs to be skipped.
+    """
+    lines = _Lines(stream, ahead)
     while (head := lines.until(b"\r\n\r\n")) is not None:
         headers = _fields(head.lstrip(b"\r\n"))
         length = int(headers.get("content-length", 0))
         row = {n: _bare(headers.get(h), "sha1:" if n == "payload_digest" else "") for n, h in HEADER_OF.items()}
         if not _passes(row, tests):
+            if single:
+                return
             lines.skip(length + 4)
             continue
         row |= {"headers": list(headers.items()), "payload": None, "payload_bytes": length}
@@ -287,8 +342,10 @@ def _records(stream, tests, payload: bool) -> Iterator[dict]:
         if payload and row["record_type"] != "revisit":
             row["payload"] = lines.take(length)
             length = 0
-        lines.skip(length + 4)
         yield row
+        if single:
+            return
+        lines.skip(length + 4)
 
 
 class WarcDataSource(DataSource):
@@ -370,7 +427,7 @@ def pages_round_trip(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
-    write_warc(page_records(pages), path)
+    write_warc(page_records(pages), path, compression="gzip")
     page = lambda c: F.expr(f"try_cast(substr({c}, {len('urn:page:') + 1}) AS bigint)")
     return read_warc(spark, path).select(
         page("record_id").alias("page_id"),
