@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard, line_dedup, mixing, packing, sharding, warc
+from . import exact_dedup, jaccard, line_dedup, mixing, ngram_lm, packing, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.pages_round_trip(_table(spark, folder, "pages"))
 
 
+@_query
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_lm.score_texts(_table(spark, folder, "documents"))
+
+
 @_query
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
