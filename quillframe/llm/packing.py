@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -16,9 +17,9 @@ from .common import cut_lineage, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 0
-# Text tokenised at once, and how many words a worker remembers (about 200 bytes each).
-CHUNK_CHARS = 1_000_000
-CACHE_WORDS = 400_000
+# Text tokenised at once, and how many words and stems a worker remembers (about 200 bytes each).
+CHUNK_CHARS = 2_000_000
+CACHE_WORDS, CACHE_STEMS = 400_000, 500_000
 CACHE_LENGTH = 48
 # Pieces of one length that one task puts in order.
 PART_ROWS = 200_000
@@ -38,31 +39,60 @@ class _WordEncoder:
 
     This tokenizer drops white space and never joins over a space (its normaliser and its
     pattern act within words, its added tokens hold no space), so a text's ids are those of
-    its words in a row, and a word that was seen need not be encoded again.
+    its words in a row, and a word that was seen need not be encoded again. It also lowers
+    letters one by one and parts letters from a mark after them, so a word of Latin letters
+    with or without one mark has the ids of its lower-case stem and of the mark.
     """
 
+    MARKS = frozenset(".,;:!?")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    @staticmethod
+    def bytes_of(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        stem, mark = (word[:-1], word[-1]) if word[-1:] in self.MARKS else (word, "")
+        if stem.isalpha() and max(stem) < "\u0250":  # before any letter that changes with its neighbours
+            return stem.lower(), mark
+        return word, ""
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        parts = [self._parts(w) for w in words]
+        new = list({p for both in parts for p in both if p and p not in self.stems})
+        ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        stems = self.stems
+        stems[""] = b""
+        stems.update((w, self.bytes_of(e.ids)) for w, e in zip(new, ids))
+        out = {w: stems[stem] + stems[mark] for w, (stem, mark) in zip(words, parts)}
+        if len(stems) > CACHE_STEMS:
+            stems.clear()
+        else:
+            for w in new:
+                if len(w) > CACHE_LENGTH:
+                    del stems[w]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers, without the end id."""
         words = [t.split(" ") for t in texts]
-        need = set().union(*words)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = [w for w in need if w not in self.known]
-        ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        long = {}
-        for w, e in zip(new, ids):
-            (self.known if len(w) <= CACHE_LENGTH else long)[w] = np.array(e.ids, "<u4").tobytes()
-        known = self.known
-        if not long:
-            return [b"".join([known[w] for w in ws]) for ws in words]
-        return [b"".join([known[w] if w in known else long[w] for w in ws]) for ws in words]
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        known = self.words
+        learned = self._learn([w for w in set().union(*words) if w not in known])
+        known.update(learned)
+        out = [b"".join([known[w] for w in ws]) for ws in words]
+        for w in learned:
+            if len(w) > CACHE_LENGTH:
+                del known[w]
+        return out
 
 
 _PIECES = pa.schema(
