@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, jaccard, line_dedup, mixing, ngram_lm, packing, sharding, warc
+from . import exact_dedup, jaccard, line_dedup, mixing, neighbours, ngram_lm, packing, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,5 +61,10 @@ def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents"))
 
 
+@_query
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 ORACLES["op2_warc"] = warc.SQL
 ORACLES["op5_exact_dedup"] = exact_dedup.SQL
