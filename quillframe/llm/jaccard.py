@@ -15,7 +15,7 @@ from .words import chunks, hash_words, mix, shingles
 SHINGLE = 5
 PERCENT = 75
 # Text of a block of documents, and shingles that one counting task holds.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 BUCKET_SHINGLES = 2_000_000
 # A signature's bits and a tree node's children.
 BITS = 2048
