@@ -1,16 +1,68 @@
-"""A corpus pipeline of five stages; each is written as Parquet and read by the next."""
+"""A corpus pipeline of five stages; each is written as Parquet and read by the next.
+
+Every stage takes what its predecessor kept and all but the last return the columns of
+documents. Stages work on rows, so null texts and ids, repeated rows and extra columns pass
+through as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillframe.llm.jaccard import jaccard_components
+from quillframe.llm.line_dedup import drop_repeated_lines
+from quillframe.llm.mixing import mix_sources
+from quillframe.llm.packing import pack
+from quillframe.llm.quality import quality_scores
 from quillframe.plans.lineage import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality_scores(docs, labels, carry=("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    return scored.filter("kept").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeats of runs of lines go, and documents of which nothing is left by that."""
+    cut = drop_repeated_lines(docs)
+    left = cut.filter((F.col("deleted_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    text_length = F.when(F.col("deleted_lines") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", text_length).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of similar shingle sets connect, the one with the smallest id stays."""
+    groups = jaccard_components(docs).select("doc_id", "component_id").distinct()
+    lost = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    return docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time that the mix takes a document; documents that it does not take go."""
+    taken = mix_sources(docs).filter("taken > 0").select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("times"))
+    taken = taken.groupBy("doc_id").agg(F.max("times").alias("times"))
+    rows = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return rows.select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in which sequence."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources to target weights", mixing),
+    ("best-fit packing", packing),
+]
 
 # The classifier is trained and the packing is a search: no SQL twin.
 ORACLE_SQL = None
@@ -18,6 +70,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, jaccard, line_dedup, mixing, neighbours, ngram_lm, packing, sharding, warc
+from . import exact_dedup, jaccard, line_dedup, mixing, neighbours, ngram_lm, packing, quality, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @_query
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.pages_round_trip(_table(spark, folder, "pages"))

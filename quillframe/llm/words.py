@@ -57,31 +57,43 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _TABLES["up"][:n], _TABLES["down"]
 
 
-def hash_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of texts laid end to end, and each text's number of words.
+def runs(data: np.ndarray, ends: np.ndarray, parts: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last byte of each run of bytes that ``parts`` does not name, and each text's runs.
 
-    ``data`` holds the bytes, ``ends`` the first byte after each text.
+    ``data`` holds the bytes of texts laid end to end, ``ends`` the first byte after each text.
     """
-    counts = np.zeros(len(ends), np.int64)
     if not len(data):
-        return np.zeros(0, np.uint64), counts
-    inside = ~_SPACE[data]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(ends), np.int64)
+    inside = ~parts[data]
     starts_here = inside.copy()
     starts_here[1:] &= ~inside[:-1]
     stops_here = inside.copy()
     stops_here[:-1] &= ~inside[1:]
-    for_texts = np.concatenate([[0], ends])
-    first = for_texts[:-1][for_texts[:-1] < ends]
-    starts_here[first] = inside[first]
-    stops_here[ends[for_texts[:-1] < ends] - 1] = inside[ends[for_texts[:-1] < ends] - 1]
+    edges = np.concatenate([[0], ends])
+    some = edges[:-1] < ends  # a text's edge parts runs as well
+    starts_here[edges[:-1][some]] = inside[edges[:-1][some]]
+    stops_here[ends[some] - 1] = inside[ends[some] - 1]
     starts, stops = np.flatnonzero(starts_here), np.flatnonzero(stops_here)
-    up, down = _tables(len(data))
-    summed = np.cumsum(_BYTE[_LOWER[data]] * up)
+    return starts, stops, np.diff(np.searchsorted(starts, edges))
+
+
+def running_hash(data: np.ndarray) -> np.ndarray:
+    """Sums from which :func:`hash_spans` takes the hash of any span of the bytes."""
+    return np.cumsum(_BYTE[_LOWER[data]] * _tables(len(data))[0])
+
+
+def hash_spans(summed: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     words = summed[stops]
     words[starts > 0] -= summed[starts[starts > 0] - 1]
-    words = mix(words * down[starts])
-    counts = np.diff(np.searchsorted(starts, for_texts))
-    return words, counts
+    return mix(words * _tables(len(summed))[1][starts])
+
+
+def hash_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of texts laid end to end, and each text's number of words."""
+    starts, stops, counts = runs(data, ends)
+    if not len(starts):
+        return np.zeros(0, np.uint64), counts
+    return hash_spans(running_hash(data), starts, stops), counts
 
 
 def chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
