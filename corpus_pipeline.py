@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillframe.llm.common import fresh
 from quillframe.llm.jaccard import jaccard_components
 from quillframe.llm.line_dedup import drop_repeated_lines
 from quillframe.llm.mixing import mix_sources
@@ -25,14 +26,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality_scores(docs, labels, carry=("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    return scored.filter("kept").select(docs.columns)
+    return scored.filter(F.col(scored.columns[-1])).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines go, and documents of which nothing is left by that."""
     cut = drop_repeated_lines(docs)
-    left = cut.filter((F.col("deleted_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    text_length = F.when(F.col("deleted_lines") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    deleted = F.col(cut.columns[-1])
+    left = cut.filter((deleted == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    text_length = F.when(deleted > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", text_length).select(docs.columns)
 
 
@@ -44,11 +46,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time that the mix takes a document; documents that it does not take go."""
-    taken = mix_sources(docs).filter("taken > 0").select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("times"))
-    taken = taken.groupBy("doc_id").agg(F.max("times").alias("times"))
-    rows = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return rows.select(docs.columns)
+    """A row for each time that the mix takes a document; documents that it does not take go.
+
+    Rows that share an id, or have none, are taken as often as the one of them taken most.
+    """
+    mixed, times, turn = fresh(docs, "mixed_id", "times", "turn")
+    taken = mix_sources(docs).filter("taken > 0").groupBy(F.col("doc_id").alias(mixed))
+    taken = taken.agg(F.max(F.col("taken") / F.col("size")).cast("int").alias(times))
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(mixed)))
+    return rows.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,9 +12,8 @@ WEIGHTS = (5, 2, 1)
 # A source, and so each of its documents, is used at most this many times.
 MOST = 3
 SEED = 20240601
-# Words that the dynamic programme fits exactly; what is left after rounding is below it
-# or is handed out by length first.
-FIT_WORDS = 200_000
+# Words of a source's budget that the dynamic programme fits exactly; the rest is handed out by share.
+FIT_WORDS = 50_000
 # Documents of one source and length that one task puts in order.
 PART_ROWS = 50_000
 
@@ -60,27 +59,27 @@ def choose_counts(size: np.ndarray, count: np.ndarray, budget: int, fit_words: i
     """How many documents of each size to take, so that their words come nearest the budget.
 
     ``size`` is positive and distinct, ``0 <= budget <= (size * count).sum()``. Every size
-    first gives its share, rounded down; then single documents are added, largest first,
-    while more than ``fit_words`` words are left; the rest is a bounded knapsack over sums
-    up to what is left plus the smallest size, solved for the nearest reachable sum.
+    first gives its share of all but ``fit_words`` words, rounded down, and what rounding
+    leaves beyond twice as many goes to the largest. The rest is a bounded knapsack over sums
+    up to what is left plus the largest size, solved for the nearest reachable sum.
     """
     total = int((size * count).sum())
     if not total or budget <= 0:
         return np.zeros(len(size), np.int64)
     if budget >= total:
         return count.astype(np.int64)
-    taken = np.array([int(c) * budget // total for c in count], np.int64)
+    taken = np.array([int(c) * max(0, budget - fit_words) // total for c in count], np.int64)
     left = budget - int((size * taken).sum())
     order = np.argsort(-size, kind="stable")
     for i in order:
-        if left <= fit_words:
+        if left <= 2 * fit_words:
             break
         more = min(int(count[i] - taken[i]), max(0, (left - fit_words) // int(size[i])))
         taken[i] += more
         left -= more * int(size[i])
     # Reachable sums, and the piece that first reached each: pieces are powers of two of a
     # size's free documents, so a sum's earlier pieces never repeat a piece.
-    limit = int(left + max(int(size.min()), 1))
+    limit = int(left + size.max())
     reached = np.zeros(limit + 1, bool)
     reached[0] = True
     by_piece = np.full(limit + 1, -1, np.int32)
@@ -109,16 +108,21 @@ def choose_counts(size: np.ndarray, count: np.ndarray, budget: int, fit_words: i
 
 
 def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
-    """Whole rounds and extra documents for each size of one source (rows: its histogram)."""
+    """Whole rounds and extra documents for each size of one source (rows: its histogram).
+
+    The last full round is left to the knapsack as well, which may take a document once, twice
+    or not at all beyond the rounds before.
+    """
     rows = rows.sort_values("size", kind="stable").reset_index(drop=True)
     size, count = rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     total, most = int(rows["source_size"].iloc[0]), int(rows["most"].iloc[0])
     want = int(round(rows["target"].iloc[0]))
-    rounds = min(want // total, most) if total else 0
+    rounds = max(0, min(want // total, most) - 1) if total else 0
+    turns = min(2, most - rounds)
     extra = np.zeros(len(rows), np.int64)
     some = size > 0
-    if rounds < most and some.any():
-        extra[some] = choose_counts(size[some], count[some], want - rounds * total)
+    if some.any():
+        extra[some] = choose_counts(size[some], count[some] * turns, want - rounds * total)
     return rows.assign(rounds=np.int64(rounds), extra=extra)[["source", "size", "n", "rounds", "extra"]]
 
 
@@ -134,9 +138,9 @@ def mix_sources(
     """One row per row of ``df``: the words that the mix takes of it.
 
     Returns ``id_col``, size (words), source, source_size, target and taken. Every document
-    of a source is taken ``target // source_size`` times; for the remaining budget the
-    source's histogram of exact sizes goes through :func:`choose_counts`, and of each size
-    the documents that come first in a seeded order are taken once more. Documents are
+    of a source is taken ``target // source_size - 1`` times (0 at least); for the remaining
+    budget the source's histogram of exact sizes goes through :func:`choose_counts`, and of
+    each size the documents that come first in a seeded order are taken once more. Documents are
     taken whole, so a source misses its target by at most what no sum of sizes can reach.
 
     Null texts and texts without words have size 0 and give 0 words; a null source is a
@@ -171,7 +175,7 @@ def mix_sources(
     rows = (
         slim.alias("d")
         .join(quota.alias("q"), F.col("d.source").eqNullSafe(F.col("q.source")) & (F.col("d.size") == F.col("q.size")))
-        .select("d.*", "q.rounds", "q.extra", "q.source_size", "q.target", F.pmod("d.draw", F.col("q.parts")).alias("part"))
+        .select("d.*", "q.rounds", "q.extra", "q.n", "q.source_size", "q.target", F.pmod("d.draw", F.col("q.parts")).alias("part"))
     )
     # Place in the seeded order: by part, then by draw. Only sizes of several parts have offsets.
     parts = (
@@ -192,7 +196,8 @@ def mix_sources(
         F.col("d.source").eqNullSafe(F.col("o.source")) & (F.col("d.size") == F.col("o.size")) & (F.col("d.part") == F.col("o.part")),
         "left",
     )
-    once_more = (F.col("place") + F.coalesce(F.col("offset"), F.lit(0)) <= F.col("extra")).cast("bigint")
+    extra, n = F.col("extra"), F.col("n")
+    once_more = F.expr("extra DIV n") + (F.col("place") + F.coalesce(F.col("offset"), F.lit(0)) <= extra % n).cast("bigint")
     return joined.select(
         F.col("d.id").alias(id_col),
         "d.size",

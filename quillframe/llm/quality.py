@@ -326,7 +326,7 @@ def _scorer_task(model: LabelModel, lexicons: list[Lexicon]):
     return run
 
 
-def _scored(model: LabelModel, lexicons: list[Lexicon], number: np.ndarray, weight: np.ndarray, plain: np.ndarray):
+def _scored(model: LabelModel, lexicons: list[Lexicon], number: np.ndarray, weight: np.ndarray, plain: np.ndarray, names: list[str]):
     """Posterior and score; the text is the last column, all others are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +340,7 @@ def _scored(model: LabelModel, lexicons: list[Lexicon], number: np.ndarray, weig
                 z += np.bincount(view.text_of[known], w, minlength=to - at)
                 columns = [c.slice(at, to - at) for c in batch.columns[:-1]]
                 more = [pa.array(model.bad(_code(shape), _code(toxic))), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))]
-                yield pa.RecordBatch.from_arrays(columns + more, names=[*batch.schema.names[:-1], "posterior", "score"])
+                yield pa.RecordBatch.from_arrays(columns + more, names=names)
 
     return run
 
@@ -363,7 +363,8 @@ def quality_scores(
     posterior of the sample trains the scorer, and the score of the whole text decides: kept
     where it is below ``threshold``.
 
-    Returns ``id_col``, the columns named in ``carry``, posterior, score and kept. Null and
+    Returns ``id_col``, the columns named in ``carry``, posterior, score and kept (by a longer
+    name where a carried column has that name). Null and
     very short texts get no shape votes and are kept unless they insult; null ids are scored
     like others but match no label; repeated rows count as often as they occur. An empty
     table gives an empty result.
@@ -393,7 +394,9 @@ def quality_scores(
         number, weight, plain = np.frombuffer(fitted["number"], np.uint64), np.frombuffer(fitted["weight"]), np.frombuffer(fitted["plain"])
     fields = {f.name: f.dataType.simpleString() for f in df.schema}
     extra = [c for c in carry if c != id_col]
-    ddl = ", ".join([*[f"`{c}` {fields[c]}" for c in (id_col, *extra)], "posterior double", "score double"])
+    carried = df.select(*[F.col(f"`{c}`") for c in (id_col, *extra)])
+    posterior, score, kept = fresh(carried, "posterior", "score", "kept")
+    ddl = ", ".join([*[f"`{c}` {fields[c]}" for c in (id_col, *extra)], f"{posterior} double", f"{score} double"])
     (last,) = fresh(df, "text")
     full = df.select(*[F.col(f"`{c}`") for c in (id_col, *extra)], text.alias(last))
-    return full.mapInArrow(_scored(model, lexicons, number, weight, plain), ddl).withColumn("kept", F.col("score") < threshold)
+    return full.mapInArrow(_scored(model, lexicons, number, weight, plain, [*carried.columns, posterior, score]), ddl).withColumn(kept, F.col(score) < threshold)
