@@ -19,7 +19,7 @@ SEQUENCE = 2048
 END_ID = 0
 # Text tokenised at once, and how many words and stems a worker remembers (about 200 bytes each).
 CHUNK_CHARS = 2_000_000
-CACHE_WORDS, CACHE_STEMS = 400_000, 500_000
+CACHE_WORDS, CACHE_STEMS = 700_000, 1_200_000
 CACHE_LENGTH = 48
 # Pieces of one length that one task puts in order.
 PART_ROWS = 200_000
@@ -66,7 +66,10 @@ class _WordEncoder:
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         parts = [self._parts(w) for w in words]
-        new = list({p for both in parts for p in both if p and p not in self.stems})
+        need = {stem for stem, _ in parts}
+        need.update(self.MARKS)
+        need.discard("")
+        new = [p for p in need if p not in self.stems]
         ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         stems = self.stems
         stems[""] = b""
