@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 
@@ -51,14 +52,26 @@ TYPOGRAPHIC = {
 
 
 def repair_text(text: str) -> str:
-    """Undo UTF-8 that was read as Windows-1252 or Latin-1, then fold to plain ASCII.
+    """Undo UTF-8 that was read as Windows-1252 or Latin-1, then fold Latin letters to ASCII.
 
     A stretch of characters is only read again where it spells the bytes of one UTF-8
-    character; leftover control characters are Windows-1252 bytes.
+    character; leftover control characters are Windows-1252 bytes. Letters that have no
+    ASCII base, such as those of other scripts, stay as they are.
     """
     reread = _MISREAD.sub(_as_utf8, text)
     plain = _SPECIAL.sub(lambda m: _PLAIN[m[0]], reread)
-    return unicodedata.normalize("NFKD", plain).encode("ascii", "ignore").decode("ascii")
+    return _FOREIGN.sub(lambda m: _folded(m[0]), plain)
+
+
+_FOREIGN = re.compile(r"[^\x00-\x7f]")
+
+
+@functools.cache
+def _folded(character: str) -> str:
+    """The ASCII part of a character's decomposition, or the character if it has none."""
+    if unicodedata.combining(character) or unicodedata.category(character) in ("Cc", "Cf"):
+        return ""  # a mark of the letter before, or nothing to see
+    return unicodedata.normalize("NFKD", character).encode("ascii", "ignore").decode("ascii") or character
 
 
 def _characters(first: int, last: int) -> dict[str, int]:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import numeric
 from ..plans.groups import as_list
 
-# Up to this many dimensions every coordinate is its own sum in one aggregation.
+# Up to this many dimensions every coordinate is its own sum in one aggregation; both ways
+# give the same result.
 WIDE_DIMENSIONS = 256
 
 
@@ -30,13 +31,15 @@ def log_loss(
 ) -> DataFrame:
     """Mean negative log probability of the true class (``label`` is its position).
 
-    Probabilities are rescaled to add up to 1 and kept within [eps, 1 - eps]."""
+    Probabilities are rescaled to add up to 1 and kept within [eps, 1 - eps]. A label
+    without a prediction is an error; predictions without a label are not scored."""
     by = as_list(by)
     extra = [c for c in [label, *by] if c not in preds.columns]
-    joined = preds.join(labels.select(id_col, *extra), id_col)
+    joined = labels.select(id_col, *extra).join(preds.withColumn("_predicted", F.lit(True)), id_col, "left")
     total = sum((F.col(c) for c in classes[1:]), F.col(classes[0]))
     chosen = F.coalesce(*[F.when(F.col(label) == i, F.col(c)) for i, c in enumerate(classes)])
-    p = numeric.bounded(F.try_divide(chosen, total), eps, 1 - eps)
+    missing = F.raise_error(F.concat(F.lit("no prediction for "), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    p = F.when(F.col("_predicted"), numeric.bounded(F.try_divide(chosen, total), eps, 1 - eps)).otherwise(missing)
     return joined.groupBy(*by).agg(F.avg(-F.ln(p)).alias("log_loss"), F.count(p).alias("n"))
 
 
@@ -80,8 +83,11 @@ def blend_nearest_pair(models: Sequence[DataFrame], id_col: str, scores: str) ->
 def masked_mean_pool(df: DataFrame, id_col: str, vector: str, mask: Column, dim: int, floor: float = 1e-9) -> DataFrame:
     """Mean of the vectors with mask 1 per id: array column ``pooled``.
 
-    Coordinates are summed before the shuffle, so a hot id sends one row per task."""
+    Coordinates are summed before the shuffle, so a hot id sends one row per task. A vector
+    of more than ``dim`` coordinates is an error."""
     m = mask.cast("double")
+    fits = F.col(vector).isNull() | (F.size(vector) <= dim)
+    df = df.withColumn(vector, F.when(fits, F.col(vector)).otherwise(F.raise_error(F.lit(f"a vector has more than {dim} coordinates"))))
     weight = F.greatest(F.sum(m), F.lit(floor))
     if dim <= WIDE_DIMENSIONS:
         sums = [F.sum(F.get(F.col(vector), F.lit(i)).cast("double") * m).alias(f"_{i}") for i in range(dim)]

@@ -83,8 +83,8 @@ def _fits(col: str, kind: str) -> Column:
     c = F.col(col)
     shape = {
         "boolean": r"^(?i)(true|false)$",
-        "bigint": r"^[+-]?\d{1,19}$",
-        "double": r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$",
+        "bigint": r"^[+-]?(0|[1-9]\d{0,18})$",  # a leading zero is an identifier's
+        "double": r"^[+-]?((0|[1-9]\d*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?$",
         "date": r"^\d{4}-\d{1,2}-\d{1,2}$",
         "timestamp_ntz": r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}.*$",
     }[kind]

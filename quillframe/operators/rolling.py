@@ -7,14 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import micros
-from ..plans import groups
-from ..plans.groups import as_list, attach, kept_or_none, largest_group, parted
-from ..plans.lineage import cut_lineage
-from ..plans.ordering import Layout, Order, over_groups, with_group_position, with_running
+from ..plans.groups import as_list
+from ..plans.ordering import Layout, Order, over_groups, with_running
 
-# Spark adds up a sliding frame anew for every row, which is the fastest way for short
-# frames. Frames of more rows than this are put together from shared partial results.
-SHORT_FRAME_ROWS = 100
+# Spans in one segment of a series that is rolled over by time.
+SPANS_PER_SEGMENT = 16
 
 _FUNCTIONS: dict[str, Callable[[str], Column]] = {
     "sum": F.sum,
@@ -45,11 +42,9 @@ def rolling_rows(
 ) -> DataFrame:
     """Statistics over n rows ending at (or centred on) each row; null with fewer than
     ``min_periods`` (default n) known values. ``wanted`` maps new names to sum, mean, min,
-    max, std, var, count or median."""
+    max, std, var, count or median. Any n gives the same types and, row by row, Spark's own
+    result for the frame; a frame costs n steps."""
     least = n if min_periods is None else min_periods
-    if n > SHORT_FRAME_ROWS and not center and "median" not in wanted.values():
-        placed = with_group_position(df, by, order_by, _AT)
-        return _with_spans(placed, as_list(by), n, col, wanted, least)
     before, after = _reach(n, center)
 
     def rolled(lay: Layout) -> DataFrame:
@@ -119,146 +114,23 @@ def rolling_time(
 ) -> DataFrame:
     """Statistics over the span that ends at each row: open on the left, closed on the
     right, rows of equal time included. ``span_us`` is in microseconds and ``wanted`` maps
-    new names to sum, mean, min, max, count, std or var."""
+    new names to sum, mean, min, max, count, std, var or median. A row without a time has
+    the frame of all rows without one.
+
+    Time is cut into segments of SPANS_PER_SEGMENT spans. A row near the end of a segment is
+    lent to the next one, so every frame lies in one segment, and a long series is worked on
+    segment by segment, whether it is a group or the whole table.
+    """
     by = as_list(by)
+    length = span_us * SPANS_PER_SEGMENT
+    at = F.col(_AT)
+    segment = lambda t: F.floor(t / F.lit(length)).cast("long")
     timed = df.withColumn(_AT, micros(F.col(time)))
-    if not by:
-        return _with_spans(timed, by, span_us, col, wanted, min_periods)
-    hot = _crowded(timed, by, span_us)
-    frame = Window.partitionBy(*by).orderBy(_AT).rangeBetween(-(span_us - 1), 0)
+    lent = timed.withColumn(_SEGMENT, F.explode_outer(F.sequence(segment(at), segment(at + (span_us - 1)))))
+    frame = Window.partitionBy(*by, _SEGMENT).orderBy(_AT).rangeBetween(-(span_us - 1), 0)
     enough = F.count(col).over(frame) >= min_periods
     values = {out: F.when(enough, _FUNCTIONS[f](col).over(frame)) for out, f in wanted.items()}
-    if hot is None:
-        return timed.withColumns(values).drop(_AT)
-    cold_rows, hot_rows = parted(timed, hot, by)
-    plain = cold_rows.withColumns(values).drop(_AT)
-    return plain.unionByName(_with_spans(hot_rows, by, span_us, col, wanted, min_periods))
-
-
-_AT = "_at"
-
-
-def _crowded(timed: DataFrame, by: list[str], span: int) -> DataFrame | None:
-    """Keys of groups too large for one task or with many rows in one span (one pass over
-    keys and times), or None."""
-    spans = timed.groupBy(*by, F.floor(F.col(_AT) / F.lit(span)).alias("_span")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    sizes = spans.groupBy(*by).agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_busiest"))
-    crowded = (F.col("_rows") > groups.LARGEST_PLAIN_GROUP) | (F.col("_busiest") > SHORT_FRAME_ROWS)
-    return kept_or_none(sizes.filter(crowded).select(*by))
-
-
-# Partial results of a span (count, sum, sum of squares, min, max) and how they add up.
-_PARTS = {"_n": F.sum, "_s": F.sum, "_q": F.sum, "_lo": F.min, "_hi": F.max}
-_NEEDED = {
-    "count": ("_n",),
-    "sum": ("_n", "_s"),
-    "mean": ("_n", "_s"),
-    "std": ("_n", "_s", "_q"),
-    "var": ("_n", "_s", "_q"),
-    "min": ("_n", "_lo"),
-    "max": ("_n", "_hi"),
-}
-
-
-def _with_spans(
-    timed: DataFrame, by: list[str], span: int, col: str, wanted: dict[str, str], min_periods: int
-) -> DataFrame:
-    """Statistics over (at - span, at] for the integer column ``_at``, which is dropped."""
-    needed = {p for f in wanted.values() for p in _NEEDED[f]}
-    found = _span_parts(timed, by, _AT, span, col, [p for p in _PARTS if p in needed])
-    enough = F.col("_n") >= min_periods
-    values = [F.when(enough, _from_parts(f)).alias(out) for out, f in wanted.items()]
-    return attach(timed, found.select(*by, _AT, *values), [*by, _AT], null_safe=True).drop(_AT)
-
-
-def _span_parts(
-    timed: DataFrame, by: list[str], at: str, span: int, col: str, names: list[str]
-) -> DataFrame:
-    """The named partial results of every distinct time's span.
-
-    Time is cut into cells shorter than the span. A span is then the end of one cell,
-    whole cells, and the start of the cell of its own row; each of the three comes
-    from windows over single cells or over the table of cell totals. Rows of equal
-    time are summed up first and written out, so neither a busy group nor a busy
-    instant is gathered. Values are centred on the overall mean to keep squares exact.
-    """
-    centre = timed.agg(F.avg(col)).first()[0] or 0.0
-    x = F.col(col) - F.lit(centre)
-    first = {"_n": F.count(col), "_s": F.sum(x), "_q": F.sum(x * x), "_lo": F.min(col), "_hi": F.max(col)}
-    points = cut_lineage(timed.groupBy(*by, at).agg(*[first[p].alias(p) for p in names]))
-    if span < 2:  # only rows of the same time
-        return points.withColumn("_centre", F.lit(centre))
-    parts = {p: _PARTS[p] for p in names}
-    spans = points.select(*by, F.floor(F.col(at) / F.lit(span)).alias("_span"))
-    busiest = largest_group(spans, [*by, "_span"])
-    pieces = max(2, min(span // 2, -(-2 * busiest // groups.SEGMENT_ROWS)))
-    size = max(1, span // pieces)
-
-    def cell(t: Column) -> Column:
-        return F.floor(t / F.lit(size)).cast("long")
-
-    start = F.col(at) - F.lit(span - 1)
-    data = points.withColumns({"_cell": cell(F.col(at)), "_key": F.col(at), "_probe": F.lit(False)})
-    probes = points.select(
-        *by,
-        start.alias(at),
-        cell(start).alias("_cell"),
-        F.col(at).alias("_key"),
-        F.lit(True).alias("_probe"),
-    )
-    both = data.unionByName(probes, allowMissingColumns=True)
-    inside = Window.partitionBy(*by, "_cell")
-    upto = (Window.unboundedPreceding, Window.currentRow)
-    heads = inside.orderBy(F.col(at)).rangeBetween(*upto)
-    tails = inside.orderBy(F.col(at).desc()).rangeBetween(*upto)
-    ends = both.withColumns(
-        {
-            p: F.when(F.col("_probe"), agg(p).over(tails)).otherwise(agg(p).over(heads))
-            for p, agg in parts.items()
-        }
-    )
-
-    totals = data.groupBy(*by, "_cell").agg(*[agg(p).alias(p) for p, agg in parts.items()])
-    ordered = Window.partitionBy(*by).orderBy("_cell")
-    apart = (span - 1) // size  # the two ends lie this many cells apart, or one more
-
-    def between(p: str, distance: int) -> Column:
-        if distance < 2:
-            return F.lit(None).cast(totals.schema[p].dataType)
-        return parts[p](p).over(ordered.rangeBetween(-(distance - 1), -1))
-
-    middles = totals.select(
-        *by,
-        "_cell",
-        *[between(p, apart).alias(f"{p}_near") for p in names],
-        *[between(p, apart + 1).alias(f"{p}_far") for p in names],
-    )
-    far = F.col("_cell") - cell(start) == apart + 1
-    key = [*by, "_key"]
-    middle = attach(data.select(*by, at, "_key", "_cell"), middles, [*by, "_cell"], null_safe=True).select(
-        *key, *[F.when(far, F.col(f"{p}_far")).otherwise(F.col(f"{p}_near")).alias(p) for p in names]
-    )
-    return (
-        ends.select(*key, *names)
-        .unionByName(middle)
-        .groupBy(*key)
-        .agg(*[agg(p).alias(p) for p, agg in parts.items()])
-        .withColumnRenamed("_key", at)
-        .withColumn("_centre", F.lit(centre))
-    )
+    return lent.withColumns(values).filter(F.col(_SEGMENT).eqNullSafe(segment(at))).drop(_AT, _SEGMENT)
 
 
-def _from_parts(f: str) -> Column:
-    n, s, q, centre = (F.col(c) for c in ("_n", "_s", "_q", "_centre"))
-    spread = F.when(n > 1, F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
-    return {
-        "sum": s + n * centre,
-        "mean": s / n + centre,
-        "min": F.col("_lo"),
-        "max": F.col("_hi"),
-        "count": n,
-        "var": spread,
-        "std": F.sqrt(spread),
-    }[f]
+_AT, _SEGMENT = "_at", "_span_segment"

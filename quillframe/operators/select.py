@@ -87,12 +87,15 @@ def mapped(col: Column, mapping: dict) -> Column:
 def replace_values(df: DataFrame, mapping: dict[str, dict]) -> DataFrame:
     """Per-column value replacement; values that are not listed stay.
 
-    When the new values have another type the column takes that type if all its
-    unlisted values can be read as it, and becomes null there otherwise."""
+    When the new values have another type the column takes that type; an unlisted value
+    that cannot be read as it is an error, never a null."""
     changed = {}
     for name, values in mapping.items():
         new_type = df.sparkSession.range(0).select(mapped(F.lit(None), values)).schema[0].dataType
-        old = F.col(name) if new_type == df.schema[name].dataType else F.col(name).try_cast(new_type)
+        old = F.col(name)
+        if new_type != df.schema[name].dataType:
+            unread = F.concat(F.lit(f"{name} holds a value that is not listed and is no {new_type.simpleString()}: "), old.cast("string"))
+            old = F.when(old.isNull() | old.try_cast(new_type).isNotNull(), old.try_cast(new_type)).otherwise(F.raise_error(unread))
         hit = F.col(name).isin([k for k in values if k is not None])
         if None in values:
             hit = hit | F.col(name).isNull()

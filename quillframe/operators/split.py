@@ -14,24 +14,27 @@ def _shuffled(seed: int, group: str):
 
 
 def group_split(df: DataFrame, group: str, frac: float, seed: int = 42, out: str = "split") -> DataFrame:
-    """Adds valid / train so that int(groups * frac) whole groups are held out."""
+    """Adds valid / train so that int(groups * frac) whole groups are held out.
+
+    Rows without a group stay and get null."""
     names = not_null(df, [group]).select(group).distinct().withColumn("_hash", _shuffled(seed, group))
     placed = with_position(names, ["_hash", group], "_at")
     held = F.floor(scalar_of(placed, F.count(F.lit(1))) * F.lit(frac))
     sides = placed.select(group, F.when(F.col("_at") < held, "valid").otherwise("train").alias(out))
-    return attach(df, sides, [group], how="inner")
+    return attach(df, sides, [group])
 
 
 def group_kfold(df: DataFrame, group: str, k: int, seed: int = 42, out: str = "fold") -> DataFrame:
     """Adds a fold number such that groups stay whole and folds are of similar size.
 
-    Groups, largest first, are dealt forwards and backwards over the folds."""
+    Groups, largest first, are dealt forwards and backwards over the folds. Rows without a
+    group stay and get null."""
     sizes = not_null(df, [group]).groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     placed = with_position(sizes.withColumn("_hash", _shuffled(seed, group)), [("_n", "desc"), "_hash", group], "_at")
     step = F.pmod(F.col("_at"), F.lit(k))
     backwards = F.pmod(F.floor(F.col("_at") / F.lit(k)), F.lit(2)) == 1
     fold = F.when(backwards, F.lit(k - 1) - step).otherwise(step)
-    return attach(df, placed.select(group, fold.cast("int").alias(out)), [group], how="inner")
+    return attach(df, placed.select(group, fold.cast("int").alias(out)), [group])
 
 
 def with_batches(df: DataFrame, size: int, order_by: Order, out: str = "batch") -> DataFrame:

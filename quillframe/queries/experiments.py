@@ -94,23 +94,17 @@ def pad_batches(t):
     )
 
 
-def _scores(t):
-    x = [F.get("embedding", F.lit(i)).cast("double").alias(f"s{i}") for i in range(3)]
-    return t.embeddings.select("vec_id", "label", *x)
-
-
-_SOFT = """
-    WITH s AS (SELECT vec_id, label, embedding[1]::DOUBLE AS s0, embedding[2]::DOUBLE AS s1, embedding[3]::DOUBLE AS s2 FROM embeddings),
-    m AS (SELECT *, greatest(s0, s1, s2) AS m FROM s),
-    e AS (SELECT vec_id, label, exp(s0 - m) AS e0, exp(s1 - m) AS e1, exp(s2 - m) AS e2 FROM m),
-    p AS (SELECT vec_id, label, e0 / (e0 + e1 + e2) AS p0, e1 / (e0 + e1 + e2) AS p1, e2 / (e0 + e1 + e2) AS p2 FROM e)
-"""
-
-
-@query(_SOFT + "SELECT vec_id, round(p0, 9) AS p0, round(p1, 9) AS p1, round(p2, 9) AS p2 FROM p")
+@query(
+    """
+    WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS s FROM embeddings),
+    e AS (SELECT vec_id, list_transform(s, lambda x: exp(x - list_max(s))) AS e FROM s)
+    SELECT vec_id, list_transform(e, lambda x: round(x / list_sum(e), 9)) AS p FROM e
+    """
+)
 def softmax_probabilities(t):
-    out = metrics.softmax(_scores(t), ["s0", "s1", "s2"], ["p0", "p1", "p2"])
-    return out.select("vec_id", *[rnd(c, 9).alias(c) for c in ("p0", "p1", "p2")])
+    scores = [f"s{i}" for i in range(64)]
+    wide = t.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(s) for i, s in enumerate(scores)])
+    return metrics.softmax(wide, scores).select("vec_id", F.array(*[rnd(s, 9) for s in scores]).alias("p"))
 
 
 _LOSS = """
@@ -170,7 +164,7 @@ def balanced_cross_entropy_total(t):
 @query(
     """
     WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
-    m AS (SELECT vec_id, e[1:3] AS a, e[4:6] AS b, e[7:9] AS c FROM v),
+    m AS (SELECT vec_id, e[1:22] AS a, e[22:43] AS b, e[43:64] AS c FROM v),
     d AS (SELECT *, list_distance(a, b) AS ab, list_distance(b, c) AS bc, list_distance(c, a) AS ca FROM m),
     p AS (SELECT *, CASE WHEN ab <= bc AND ab <= ca THEN 0 WHEN bc <= ca THEN 1 ELSE 2 END AS pair FROM d)
     SELECT vec_id, pair::INTEGER AS pair, list_transform(list_zip(CASE pair WHEN 1 THEN b WHEN 2 THEN c ELSE a END,
@@ -179,10 +173,10 @@ def balanced_cross_entropy_total(t):
 )
 def blend_of_nearest_pair(t):
     def model(start):
-        scores = F.transform(F.slice("embedding", start, 3), lambda x: x.cast("double"))
+        scores = F.transform(F.slice("embedding", start, 22), lambda x: x.cast("double"))
         return t.embeddings.select("vec_id", scores.alias("scores"))
 
-    out = metrics.blend_nearest_pair([model(1), model(4), model(7)], "vec_id", "scores")
+    out = metrics.blend_nearest_pair([model(1), model(22), model(43)], "vec_id", "scores")
     return out.withColumn("scores", F.transform("scores", lambda x: rnd(x, 9)))
 
 
@@ -200,7 +194,7 @@ def masked_mean_pooling(t):
 
 @query()
 def linear_classifier(t):
-    out = models.linear_head(t.embeddings, "vec_id", "embedding", "label", max_iter=20, reg=0.01)
+    out = models.linear_head(t.embeddings, "vec_id", "embedding", "label", reg=0.01)
     hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), rnd(hit, 4).alias("recall"))
 
@@ -209,4 +203,4 @@ def linear_classifier(t):
 def boosted_tree_classifier(t):
     open_ = (F.col("o_orderstatus") == "O").cast("double")
     rows = t.orders.select("o_orderkey", open_.alias("is_open"), "o_totalprice", F.col("o_custkey").cast("double").alias("o_custkey"))
-    return models.boosted_trees(rows, "o_orderkey", ["o_totalprice", "o_custkey"], "is_open", rounds=5)
+    return models.boosted_trees(rows, "o_orderkey", ["o_totalprice", "o_custkey"], "is_open")

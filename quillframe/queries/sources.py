@@ -21,6 +21,21 @@ def tab_separated_columns_by_position(t):
     return sel.select_positions(io.read_table(t.spark, path, t.part.schema), [0, 1, 4])
 
 
+@query(
+    """
+    SELECT 'document' AS kind, doc_id AS id, 0::BIGINT AS turn, md5(text) AS digest FROM documents
+    UNION ALL SELECT 'turn', conv_id, turn, md5(text) FROM conversations
+    """
+)
+def csv_of_texts_with_line_breaks(t):
+    documents = t.documents.select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("turn"), "text")
+    texts = documents.unionByName(t.conversations.select(F.lit("turn").alias("kind"), F.col("conv_id").alias("id"), "turn", "text"))
+    path = t.scratch()
+    io.write_csv(texts, path)
+    back = io.read_csv(t.spark, path, texts.schema, line_breaks=True)
+    return back.select("kind", "id", "turn", F.md5("text").alias("digest"))
+
+
 @query(
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
 )

@@ -294,6 +294,45 @@ def rolling_hours_whole_table(t):
     return out.select("event_id", rnd("mean", 9).alias("mean"), "top", "low", rnd("std", 6).alias("std"))
 
 
+_LINES = ["l_orderkey", "l_linenumber"]
+_BY_LINE = "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
+_LINE_ORDER = [*_LINES, "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+_200 = "ROWS BETWEEN 199 PRECEDING AND CURRENT ROW"
+_LONG = """
+    SELECT l_orderkey, l_linenumber, CASE WHEN count(*) OVER w >= 200 THEN (sum(l_partkey) OVER w)::BIGINT END AS total,
+           round(CASE WHEN count(*) OVER w >= 200 THEN avg(l_quantity) OVER w END, 6) AS mean,
+           round(CASE WHEN count(*) OVER w >= 200 THEN var_samp(l_quantity) OVER w END, 6) AS var,
+           CASE WHEN count(*) OVER w >= 200 THEN max(l_extendedprice) OVER w END AS top
+    FROM lineitem WINDOW w AS ({} {} {})
+"""
+
+
+def _long_frames(t, by):
+    wanted = {"total": ("l_partkey", "sum"), "mean": ("l_quantity", "mean"), "var": ("l_quantity", "var"), "top": ("l_extendedprice", "max")}
+    out = t.lineitem.select(*_LINE_ORDER, "l_quantity")
+    for name, (col, f) in wanted.items():
+        out = rolling.rolling_rows(out, by, _LINE_ORDER, col, 200, {name: f})
+    return out.select(*_LINES, "total", rnd("mean", 6).alias("mean"), rnd("var", 6).alias("var"), "top")
+
+
+@query(_LONG.format("PARTITION BY l_suppkey", _BY_LINE, _200))
+def rolling_200_rows_by_group(t):
+    return _long_frames(t, "l_suppkey")
+
+
+@query(
+    f"""
+    SELECT l_orderkey, l_linenumber, CASE WHEN count(*) OVER w >= 200 THEN (sum(l_partkey) OVER w)::BIGINT END AS total,
+           CASE WHEN count(*) OVER w >= 200 THEN quantile_cont(l_quantity, 0.5) OVER w END AS middle
+    FROM lineitem WINDOW w AS ({_BY_LINE} {_200})
+    """
+)
+def rolling_200_rows_whole_table(t):
+    out = t.lineitem.select(*_LINE_ORDER, "l_quantity")
+    out = rolling.rolling_rows(out, None, _LINE_ORDER, "l_partkey", 200, {"total": "sum"})
+    return rolling.rolling_rows(out, None, _LINE_ORDER, "l_quantity", 200, {"middle": "median"}).select(*_LINES, "total", "middle")
+
+
 @query(
     f"""
     WITH f AS (SELECT event_id, list(value) OVER ({_BY_USER} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS f FROM events)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -32,15 +30,12 @@ def local_session(cores: int | str = "*", app: str = "quillframe", **conf: str)
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors are one process, may fall
-    back to a temporary folder; on a cluster a missing setting is an error.
+    Without that setting it is a folder below the warehouse, which all executors share too.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="quillframe-checkpoint-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(shared)

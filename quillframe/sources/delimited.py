@@ -16,11 +16,14 @@ def read_csv(
     schema: StructType | str | None = None,
     header: bool = True,
     sep: str = ",",
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Delimited text with a declared schema; without one, types are inferred by an
-    extra pass over the data. Quoted values may hold separators and line breaks."""
+    extra pass over the data. Quoted values may hold separators, and with ``line_breaks``
+    line breaks too; then a file is read by one task, so keep files small
+    (:func:`write_csv` writes one per partition)."""
     reader = spark.read.options(
-        header=header, sep=sep, quote='"', escape='"', multiLine=False, mode="FAILFAST"
+        header=header, sep=sep, quote='"', escape='"', multiLine=line_breaks, mode="FAILFAST"
     )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)

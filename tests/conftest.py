@@ -4,8 +4,9 @@ from quillframe.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, spark__sql__shuffle__partitions="4")
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("spark"))
+    session = local_session(8, spark__sql__shuffle__partitions="4", spark__sql__warehouse__dir=folder)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

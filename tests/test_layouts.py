@@ -87,18 +87,28 @@ def test_split_equals_plain(rows, name, largest, monkeypatch):
     assert result(OPERATIONS[name](rows)) == expected
 
 
-LONG_FRAMES = [n for n in OPERATIONS if n.startswith("rolling")]
-
-
-@pytest.mark.parametrize("name", LONG_FRAMES)
-@pytest.mark.parametrize("split", [False, True])
-def test_long_frames_equal_short_ones(rows, name, split, monkeypatch):
-    expected = result(OPERATIONS[name](rows))
-    monkeypatch.setattr(rolling, "SHORT_FRAME_ROWS", 1)
-    if split:
-        monkeypatch.setattr(groups, "LARGEST_PLAIN_GROUP", 0)
-        monkeypatch.setattr(groups, "SEGMENT_ROWS", 3)
-    assert result(OPERATIONS[name](rows)) == expected
+@pytest.mark.parametrize("kind", ["long", "decimal(20,2)", "double"])
+@pytest.mark.parametrize("by", ["g", None])
+def test_long_frames_keep_types_and_values(spark, kind, by, monkeypatch):
+    """One huge value far from a frame of ones changes nothing, at either side of a segment's edge."""
+    monkeypatch.setattr(groups, "SEGMENT_ROWS", 50)
+    df = spark.range(400).select("id", F.lit("a").alias("g"), F.when(F.col("id") == 0, 10**16).otherwise(1).cast(kind).alias("v"))
+    for n in (50, 200):
+        got = rolling.rolling_rows(df, by, "id", "v", n, {"s": "sum", "m": "median", "d": "var"})
+        assert got.schema["s"].dataType == df.agg(F.sum("v").alias("s")).schema["s"].dataType
+        last = got.filter("id = 399").first()
+        assert (last.s, last.m, last.d) == (n, 1, 0)
+    centred = rolling.rolling_rows(df, by, "id", "v", 201, {"s": "sum"}, center=True).filter("id = 200").first()
+    assert centred.s == 201
+
+
+def test_time_spans_do_not_depend_on_how_busy_they_are(spark):
+    for per_second in (1, 300):
+        df = spark.range(900).select("id", F.lit("a").alias("g"), F.timestamp_seconds(F.floor(F.col("id") / per_second)).cast("timestamp_ntz").alias("ts"), F.lit(2).cast("long").alias("v"))
+        for by in ("g", None):
+            got = rolling.rolling_time(df, by, "ts", 1_000_000, "v", {"s": "sum", "m": "median"})
+            assert got.schema["s"].dataType.simpleString() == "bigint"
+            assert {(r.s, r.m) for r in got.collect()} == {(2 * per_second, 2.0)}
 
 
 def test_whole_table_equals_one_group(rows, tiny_segments):

@@ -177,7 +177,10 @@ def test_group_custom_refuses_hot_groups(spark):
 def test_replace_keeps_unlisted_values(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "s string")
     assert rows(select.replace_values(df, {"s": {"a": "x", None: "none"}})) == [("b",), ("none",), ("x",)]
-    assert rows(select.replace_values(df, {"s": {"a": 1}})) == [(1,), (None,), (None,)]
+    with pytest.raises(Exception, match="not listed"):
+        select.replace_values(df, {"s": {"a": 1}}).collect()
+    numbers = spark.createDataFrame([("a",), ("7",), (None,)], "s string")
+    assert rows(select.replace_values(numbers, {"s": {"a": 1}})) == [(1,), (7,), (None,)]
 
 
 @pytest.mark.parametrize("limit", [0, 100_000])
@@ -538,3 +541,39 @@ def test_empty_input(spark):
     assert timeseries.resample(df, "ts", "h", {"s": ("sum", "v")}).count() == 0
     assert split.group_split(df, "g", 0.5).count() == 0
     assert aggregate.group_agg(df, "g", {"v": ["sum", "median"]}).count() == 0
+
+
+def test_rows_without_group_stay(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 4)], "g string, v int")
+    for got in (split.group_split(df, "g", 0.5), split.group_kfold(df, "g", 2)):
+        assert got.count() == 4 and {r[2] for r in got.collect() if r.g is None} == {None}
+
+
+def test_log_loss_needs_every_prediction(spark):
+    preds = spark.createDataFrame([(1, 0.2, 0.8)], "id int, p0 double, p1 double")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "id int, y int")
+    assert metrics.log_loss(preds, labels.limit(1), "id", ["p0", "p1"], "y").first().n == 1
+    with pytest.raises(Exception, match="no prediction for 2"):
+        metrics.log_loss(preds, labels, "id", ["p0", "p1"], "y").collect()
+
+
+@pytest.mark.parametrize("dim", [64, 300])
+def test_pooling_never_cuts_vectors(spark, dim):
+    df = spark.createDataFrame([("a", [1.0] * (dim + 6), 1)], "k string, v array<double>, m int")
+    with pytest.raises(Exception, match="more than"):
+        metrics.masked_mean_pool(df, "k", "v", F.col("m"), dim).collect()
+
+
+def test_leading_zeros_are_no_numbers(spark):
+    df = spark.createDataFrame([("007", "0", "0.5", "00.5"), ("12", "-3", "10", "1")], "a string, b string, c string, d string")
+    assert missing.narrowest_types(df) == {"b": "bigint", "c": "double"}
+
+
+def test_repair_keeps_other_scripts():
+    assert repair_text("Привет мир, 你好 abc, café – naïve") == "Привет мир, 你好 abc, cafe - naive"
+
+
+def test_csv_with_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'two\nlines, "quoted"'), (2, "one")], "id int, s string")
+    io.write_csv(df, str(tmp_path / "x"))
+    assert rows(io.read_csv(spark, str(tmp_path / "x"), df.schema, line_breaks=True)) == rows(df)
