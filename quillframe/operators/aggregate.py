@@ -39,11 +39,11 @@ def count_non_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
-    """Frequency of each non-null value, with ``normalize`` also its share."""
+    """Frequency of each non-null value, descending, with ``normalize`` also its share."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     if normalize:
         counts = counts.withColumn("share", F.col("n") / scalar_of(df, F.count(col)))
-    return counts
+    return counts.orderBy(F.desc("n"), col)
 
 
 _DESCRIBED = [0.25, 0.5, 0.75]
@@ -116,10 +116,18 @@ def idxmin(df: DataFrame, col: str, key: str, order_by: str, by=None) -> DataFra
 
 
 def _extreme(df, col, key, order_by, by, name, sign):
-    rank = F.when(F.col(col).isNotNull(), F.struct(sign * F.col(col), F.col(order_by)))
-    picked = F.min_by(F.struct(F.col(key).alias("key"), F.col(col).alias("value")), rank)
-    out = not_null(df, as_list(by)).groupBy(*as_list(by)).agg(picked.alias("_hit"))
-    return out.select(*as_list(by), F.col("_hit.key").alias(name), F.col("_hit.value").alias("value"))
+    by, known = as_list(by), not_null(df, as_list(by))
+    hit = F.struct(F.col(key).alias("key"), F.col(col).alias("value"))
+    if sign > 0 or isinstance(df.schema[col].dataType, T.NumericType):
+        value = F.col(col) if sign > 0 else -F.col(col)
+        rank = F.when(F.col(col).isNotNull(), F.struct(value, F.col(order_by)))
+        out = known.groupBy(*by).agg(F.min_by(hit, rank).alias("_hit"))
+    else:  # dates, times and text have no negative: the largest first, then its first row
+        best = known.groupBy(*by).agg(F.max(col).alias("_best"))
+        rows = attach(known.withColumn("_all", F.lit(0)), best.withColumn("_all", F.lit(0)), [*by, "_all"])
+        rank = F.when(F.col(col) == F.col("_best"), F.struct(order_by))
+        out = rows.groupBy(*by).agg(F.min_by(hit, rank).alias("_hit"))
+    return out.select(*by, F.col("_hit.key").alias(name), F.col("_hit.value").alias("value"))
 
 
 def _named(function: str, col: str, order: Column | None) -> Column:
@@ -165,7 +173,9 @@ def group_agg(
     for c in [c for c, f in wanted if f == "median"]:
         medians = group_quantiles(df, by, c, [0.5])
         tables.append(medians.withColumnRenamed(quantile_name(0.5), f"{c}_median"))
-    out = reduce(lambda a, b: a.join(b, by, "full"), tables)
+    if not by:  # one row each
+        tables = [t.withColumn("_all", F.lit(0)) for t in tables]
+    out = reduce(lambda a, b: a.join(b, by or ["_all"], "full"), tables)
     return out.select(*by, *[f"{c}_{f}" for c, f in wanted])
 
 

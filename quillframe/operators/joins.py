@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.dates import micros
 from ..plans.groups import all_of, as_list
 
 
@@ -120,26 +121,43 @@ def interval_lookup(
 ) -> DataFrame:
     """Each row with every interval that holds its value (closed left/right/both/neither).
 
+    Values and bounds are numbers, dates or times; a null or infinite bound leaves that end
+    open.
+
     An interval of length up to 2^k touches at most two cells of width 2^k, so both
     sides meet in an equi-join on (k, cell) with the bounds checked afterwards. Only
     the distinct levels k, a few dozen at most, are read by the driver.
     """
-    length = F.greatest(F.col(hi) - F.col(lo), F.lit(2.0**-40))
-    level = F.ceil(F.log2(length.cast("double"))).cast("int")
-    sized = intervals.filter(F.col(lo) <= F.col(hi)).withColumn("_level", level)
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.DateType):
+        measure = lambda x: F.unix_date(x).cast("double")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        measure = lambda x: micros(x).cast("double")
+    else:
+        measure = lambda x: x.cast("double")
+    finite = lambda x: F.when(F.abs(x) < float("inf"), x)
+    value = finite(measure(F.col(col)))
+    ends = df.agg(F.min(value).alias("least"), F.max(value).alias("most"))
+    # An open end lies just beyond all values.
+    low = F.coalesce(finite(measure(F.col(lo))), ends.select(F.col("least") - 1).scalar())
+    high = F.coalesce(finite(measure(F.col(hi))), ends.select(F.col("most") + 1).scalar())
+    sized = intervals.withColumns({"_low": low, "_high": high}).filter(F.col("_low") <= F.col("_high"))
+    length = F.greatest(F.col("_high") - F.col("_low"), F.lit(2.0**-40))
+    sized = sized.withColumn("_level", F.ceil(F.log2(length)).cast("int"))
     levels = [r[0] for r in sized.select("_level").distinct().collect()]
 
     def cell(x: Column, k: Column) -> Column:
-        return F.floor(x.cast("double") / F.pow(F.lit(2.0), k)).cast("long")
+        return F.floor(x / F.pow(F.lit(2.0), k)).cast("long")
 
     k = F.col("_level")
-    cells = F.sequence(cell(F.col(lo), k), cell(F.col(hi), k))
+    cells = F.sequence(cell(F.col("_low"), k), cell(F.col("_high"), k))
     right = sized.withColumn("_cell", F.explode(cells))
     left = df.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
-    left = left.withColumn("_cell", cell(F.col(col), k))
+    left = left.withColumn("_cell", cell(measure(F.col(col)), k))
     low_ok = F.col(col) >= F.col(lo) if closed in ("left", "both") else F.col(col) > F.col(lo)
     high_ok = F.col(col) <= F.col(hi) if closed in ("right", "both") else F.col(col) < F.col(hi)
-    return left.join(right, ["_level", "_cell"]).filter(low_ok & high_ok).drop("_level", "_cell")
+    low_ok, high_ok = F.col(lo).isNull() | low_ok, F.col(hi).isNull() | high_ok
+    return left.join(right, ["_level", "_cell"]).filter(low_ok & high_ok).drop("_level", "_cell", "_low", "_high")
 
 
 def combine(

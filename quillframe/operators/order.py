@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans.groups import as_list, attach
+from ..plans.groups import as_list, attach, scalar_of
 from ..plans.ordering import Key, Order, as_keys, sort_columns, with_position
 from .select import TOP_K_ROWS
 
@@ -36,12 +36,18 @@ def sort_key(df: DataFrame, keys: Sequence[str], ascending: bool = True) -> Data
 
 
 def head(df: DataFrame, n: int, order_by: Order) -> DataFrame:
-    return df.orderBy(*sort_columns(order_by)).limit(n)
+    """First n rows; more of them than one task should merge are picked by their place."""
+    if n <= TOP_K_ROWS:
+        return df.orderBy(*sort_columns(order_by)).limit(n)
+    return with_position(df, order_by, "_at").filter(F.col("_at") < n).drop("_at")
 
 
 def tail(df: DataFrame, n: int, order_by: Order) -> DataFrame:
     """Last n rows: the first n of the reversed order."""
-    return df.orderBy(*sort_columns(order_by, reverse=True)).limit(n)
+    if n <= TOP_K_ROWS:
+        return df.orderBy(*sort_columns(order_by, reverse=True)).limit(n)
+    placed = with_position(df, order_by, "_at")
+    return placed.filter(F.col("_at") >= scalar_of(df, F.count(F.lit(1))) - n).drop("_at")
 
 
 def nlargest(df: DataFrame, n: int, col: str, ties: Sequence[Key] = ()) -> DataFrame:

@@ -215,6 +215,7 @@ def _spine(counted: DataFrame, by: list[str]) -> DataFrame:
     return (
         edges.filter(F.col("_lo").isNotNull())
         .withColumn("_block", F.explode(blocks))
+        .repartition(*by, "_block")  # else one task would list every bucket of a long series
         .select(*by, F.explode(F.sequence(first, last)).alias("_index"))
     )
 

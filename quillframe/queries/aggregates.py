@@ -106,6 +106,16 @@ def key_of_maximum(t):
     return agg.idxmax(t.events, "value", "event_id", "event_id", by="user_id")
 
 
+@query(
+    """
+    SELECT user_id, event_id AS idxmax, ts AS value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1
+    """
+)
+def latest_event_of_user(t):
+    return agg.idxmax(t.events, "ts", "event_id", "event_id", by="user_id")
+
+
 @query("SELECT event_id AS idxmin, value FROM events ORDER BY value, event_id LIMIT 1")
 def key_of_minimum(t):
     return agg.idxmin(t.events, "value", "event_id", "event_id")

@@ -141,6 +141,30 @@ def interval_lookup(t):
     return found.select("o_orderkey", "p_partkey", "o_totalprice")
 
 
+_SPANS = """
+    WITH c AS (SELECT c_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders JOIN customer ON o_custkey = c_custkey
+               WHERE c_nationkey = 0 GROUP BY 1),
+    i AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN NULL ELSE a END AS lo, CASE c_custkey % 3 WHEN 1 THEN NULL ELSE b END AS hi FROM c)
+"""
+
+
+@query(
+    _SPANS
+    + """
+    SELECT i.c_custkey, count(*) AS orders FROM i JOIN orders ON (lo IS NULL OR o_orderdate >= lo) AND (hi IS NULL OR o_orderdate <= hi)
+    GROUP BY 1
+    """
+)
+def interval_lookup_in_time_with_open_ends(t):
+    """Each customer of a nation has the time from the first to the last order, a third without start, a third without end."""
+    own = t.orders.join(t.customer.filter("c_nationkey = 0"), F.col("o_custkey") == F.col("c_custkey"))
+    spans = own.groupBy("c_custkey").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    third = F.col("c_custkey") % 3
+    spans = spans.select("c_custkey", F.when(third != 0, F.col("a")).alias("lo"), F.when(third != 1, F.col("b")).alias("hi"))
+    found = joins.interval_lookup(t.orders.select("o_orderdate"), spans, "o_orderdate", closed="both")
+    return found.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("orders"))
+
+
 _TWO = """
     WITH g AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, max(value) AS high, min(value) AS low
                FROM events GROUP BY ALL),

@@ -577,3 +577,33 @@ def test_csv_with_line_breaks(spark, tmp_path):
     df = spark.createDataFrame([(1, 'two\nlines, "quoted"'), (2, "one")], "id int, s string")
     io.write_csv(df, str(tmp_path / "x"))
     assert rows(io.read_csv(spark, str(tmp_path / "x"), df.schema, line_breaks=True)) == rows(df)
+
+
+def test_open_and_timed_intervals(spark):
+    df = spark.createDataFrame([(1.0,), (5.0,), (float("inf"),)], "x double")
+    spans = spark.createDataFrame([("low", None, 2.0), ("mid", 1.0, 5.0), ("high", 4.0, float("inf")), ("all", None, None)], "n string, lo double, hi double")
+    got = rows(joins.interval_lookup(df.filter("x < 9"), spans, "x").select("n", "x"))
+    assert got == [("all", 1.0), ("all", 5.0), ("high", 5.0), ("low", 1.0), ("mid", 5.0)]
+    day = spark.createDataFrame([(dt.date(2020, 1, 5),), (dt.date(2021, 1, 5),)], "x date")
+    years = spark.createDataFrame([("20", dt.date(2020, 1, 1), dt.date(2020, 12, 31)), ("on", dt.date(2020, 6, 1), None)], "n string, lo date, hi date")
+    assert rows(joins.interval_lookup(day, years, "x").select("n", "x")) == [("20", dt.date(2020, 1, 5)), ("on", dt.date(2021, 1, 5))]
+
+
+def test_extremes_of_times_and_text(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "z", 2), ("a", "z", 3), ("b", None, 4)], "g string, s string, id int")
+    assert rows(aggregate.idxmax(df, "s", "id", "id", by="g")) == [("a", 2, "z"), ("b", None, None)]
+    assert rows(aggregate.idxmin(df, "s", "id", "id")) == [(1, "x")]
+
+
+def test_median_of_the_whole_table_with_other_statistics(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (6.0,)], "v double")
+    assert aggregate.group_agg(df, None, {"v": ["sum", "median"]}).first().asDict() == {"v_sum": 9.0, "v_median": 2.0}
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_ends_of_the_order_both_ways(spark, limit, monkeypatch):
+    monkeypatch.setattr(order, "TOP_K_ROWS", limit)
+    df = spark.range(50).withColumn("x", 50 - F.col("id"))
+    assert sorted(r.x for r in order.head(df, 20, "x").collect()) == list(range(1, 21))
+    assert sorted(r.x for r in order.tail(df, 20, "x").collect()) == list(range(31, 51))
+    assert sorted(r.x for r in order.nlargest(df, 3, "x").collect()) == [48, 49, 50]
