@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from .common import cut_lineage, scratch_path, text_or_empty
@@ -274,6 +275,8 @@ def train(docs: DataFrame, text_col: str = "text") -> KneserNey:
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "lm")
+    if not isinstance(_open(folder)[0], fs.LocalFileSystem):
+        raise ValueError("workers map the model's arrays: mount the folder in spark.checkpoint.dir and name it by file:")
     text = text_or_empty(text_col)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = int(max(8, size // 6 // BUCKET_PAIRS))

@@ -21,6 +21,7 @@ END_ID = 0
 CHUNK_CHARS = 2_000_000
 CACHE_WORDS, CACHE_STEMS = 700_000, 1_200_000
 CACHE_LENGTH = 48
+STEMS_PER_TEXT = 2_000
 # Pieces of one length that one task puts in order.
 PART_ROWS = 200_000
 
@@ -35,9 +36,9 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
 
 
 class _WordEncoder:
-    """Encodes texts word by word.
+    """Encodes texts word by word, where the tokenizer marks the ends of words.
 
-    This tokenizer drops white space and never joins over a space (its normaliser and its
+    Such a tokenizer (word_bpe_49k) drops white space and never joins over a space (its normaliser and its
     pattern act within words, its added tokens hold no space), so a text's ids are those of
     its words in a row, and a word that was seen need not be encoded again. It also lowers
     letters one by one and parts letters from a mark after them, so a word of Latin letters
@@ -51,6 +52,9 @@ class _WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
@@ -58,23 +62,39 @@ class _WordEncoder:
     def bytes_of(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _parts(self, word: str) -> tuple[str, str]:
-        stem, mark = (word[:-1], word[-1]) if word[-1:] in self.MARKS else (word, "")
-        if stem.isalpha() and max(stem) < "\u0250":  # before any letter that changes with its neighbours
-            return stem.lower(), mark
-        return word, ""
+    def _stem_bytes(self, stems: list[str]) -> Iterator[bytes]:
+        """Ids of stems of letters, many in one text: each ends at its own last id."""
+        for at in range(0, len(stems), STEMS_PER_TEXT):
+            part = stems[at : at + STEMS_PER_TEXT]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) != len(part):
+                raise ValueError("this tokenizer does not end each run of letters by an id of its own")
+            data, begin = ids.tobytes(), 0
+            for end in ends.tolist():
+                yield data[begin:end]
+                begin = end
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        parts = [self._parts(w) for w in words]
-        need = {stem for stem, _ in parts}
-        need.update(self.MARKS)
-        need.discard("")
-        new = [p for p in need if p not in self.stems]
-        ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        stems = self.stems
-        stems[""] = b""
-        stems.update((w, self.bytes_of(e.ids)) for w, e in zip(new, ids))
-        out = {w: stems[stem] + stems[mark] for w, (stem, mark) in zip(words, parts)}
+        stems, marks = self.stems, self.MARKS
+        parts, letters, others = [], set(), set(marks)
+        for w in words:
+            mark = w[-1:]
+            stem = (w[:-1] if mark in marks else w).lower()
+            # Letters before U+0250 do not change with their neighbours.
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                parts.append((w, stem, mark if mark in marks else ""))
+                letters.add(stem)
+            elif w:
+                parts.append((w, w, ""))
+                others.add(w)
+        new = list(letters.difference(stems))
+        stems.update(zip(new, self._stem_bytes(new)))
+        rest = list(others.difference(stems))
+        stems.update(zip(rest, [self.bytes_of(e.ids) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]))
+        new += rest
+        out = {w: stems[stem] + stems[mark] if mark else stems[stem] for w, stem, mark in parts}
+        out[""] = b""
         if len(stems) > CACHE_STEMS:
             stems.clear()
         else:
@@ -85,13 +105,15 @@ class _WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers, without the end id."""
+        if not self.last.any():  # another kind of tokenizer: nothing is known about its words
+            return [self.bytes_of(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         words = [t.split(" ") for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         known = self.words
-        learned = self._learn([w for w in set().union(*words) if w not in known])
+        learned = self._learn(list(set().union(*words).difference(known)))
         known.update(learned)
-        out = [b"".join([known[w] for w in ws]) for ws in words]
+        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
         for w in learned:
             if len(w) > CACHE_LENGTH:
                 del known[w]
@@ -118,14 +140,15 @@ def _cut(path: str, limit: int):
             _WORKER.update(path=path, encoder=_WordEncoder(path))
         encoder = _WORKER["encoder"]
         for batch in batches:
-            lengths = np.cumsum([len(t) for t in batch["text"].to_pylist()])
+            texts = batch["text"].to_pylist()
+            lengths = np.cumsum([len(t) for t in texts])
             at = 0
             while at < batch.num_rows:
                 reach = (lengths[at - 1] if at else 0) + CHUNK_CHARS
                 to = max(at + 1, int(np.searchsorted(lengths, reach, "right")))
                 part = batch.slice(at, to - at)
                 out = []
-                for key, row, data in zip(part["id"].to_pylist(), part["row"].to_pylist(), encoder.encode(part["text"].to_pylist())):
+                for key, row, data in zip(part["id"].to_pylist(), part["row"].to_pylist(), encoder.encode(texts[at:to])):
                     data += end
                     for k, b in enumerate(range(0, len(data), 4 * limit)):
                         piece = data[b : b + 4 * limit]
