@@ -51,12 +51,14 @@ HEADLINE = [
     "rolling_rows",
     "rolling_two_days",
     "rolling_hours_whole_table",
+    "rolling_200_rows_by_group",
     "expanding_statistics",
     "folds_by_group",
     "batch_plan",
     "balanced_cross_entropy",
     "masked_mean_pooling",
     "linear_classifier",
+    "boosted_tree_classifier",
 ]
 
 

@@ -192,15 +192,21 @@ def masked_mean_pooling(t):
     return out.withColumn("pooled", F.transform("pooled", lambda x: rnd(x, 9)))
 
 
-@query()
+@query("SELECT label, count(*) AS n, true AS distributions, true AS better_than_chance FROM embeddings GROUP BY label")
 def linear_classifier(t):
+    """What is certain of a trained model: probabilities add up to 1, and it is right more often than by chance."""
     out = models.linear_head(t.embeddings, "vec_id", "embedding", "label", reg=0.01)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+    sound = F.forall("probability", lambda p: p.between(0, 1)) & (F.abs(total - 1) < 1e-9)
     hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
-    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), rnd(hit, 4).alias("recall"))
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.every(sound).alias("distributions"), (hit > 0.1).alias("better_than_chance"))
 
 
-@query()
+@query("SELECT o_orderkey, (o_orderstatus = 'O')::DOUBLE AS is_open, true AS distribution FROM orders")
 def boosted_tree_classifier(t):
     open_ = (F.col("o_orderstatus") == "O").cast("double")
     rows = t.orders.select("o_orderkey", open_.alias("is_open"), "o_totalprice", F.col("o_custkey").cast("double").alias("o_custkey"))
-    return models.boosted_trees(rows, "o_orderkey", ["o_totalprice", "o_custkey"], "is_open")
+    out = models.boosted_trees(rows, "o_orderkey", ["o_totalprice", "o_custkey"], "is_open")
+    p = F.col("probability")
+    sound = p[0].between(0, 1) & p[1].between(0, 1) & (F.abs(p[0] + p[1] - 1) < 1e-9) & (F.col("prediction") == (p[1] > p[0]).cast("int"))
+    return out.select("o_orderkey", "is_open", sound.alias("distribution"))

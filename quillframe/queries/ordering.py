@@ -95,9 +95,17 @@ def sample_with_replacement(t):
     return drawn.select("event_id", "value")
 
 
-@query()
+@query("SELECT count(*) AS rows, true AS near_share, true AS drawn_once FROM events")
 def sample_by_fraction(t):
-    return order.sample_fraction(t.events, 0.1, seed=11)
+    """What is certain of a random sample: a tenth of the rows within five standard deviations, none twice."""
+    drawn = order.sample_fraction(t.events, 0.1, seed=11).groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))
+    rows = t.events.select("event_id").join(drawn, "event_id", "left")
+    n, hits = F.count(F.lit(1)), F.count("times")
+    return rows.agg(
+        n.alias("rows"),
+        (F.abs(hits - 0.1 * n) <= 5 * F.sqrt(0.09 * n)).alias("near_share"),
+        (F.coalesce(F.max("times"), F.lit(1)) == 1).alias("drawn_once"),
+    )
 
 
 @query(
