@@ -32,7 +32,7 @@ class _Hasher:
 
     def __init__(self, dimension: int, trees: int, sample: np.ndarray):
         self.planes = np.random.default_rng(SEED).normal(size=(trees, dimension, BITS))
-        unit = sample / np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else sample.reshape(0, dimension)
+        unit = _unit(sample) if len(sample) else sample.reshape(0, dimension)
         self.middle = np.stack([np.median(unit @ p, axis=0) if len(unit) else np.zeros(BITS) for p in self.planes])
 
     def strings(self, unit: np.ndarray, tree: int) -> np.ndarray:
@@ -88,20 +88,20 @@ def _best_of_sample(queries: np.ndarray, dimension: int, k: int):
     return run
 
 
-def _candidates_wanted(classes: DataFrame, queries: np.ndarray, hasher: _Hasher, rows: int, k: int, recall: float) -> int:
-    """Candidates a query must reach, over all trees, for the sample's neighbours to be found.
+def _candidates_wanted(classes: DataFrame, queries: np.ndarray, hasher: _Hasher, rows: int, k: int, recall: float) -> tuple[int, int]:
+    """Depth, and candidates over all trees, that a query must reach for the sample's neighbours to be found.
 
     A neighbour is found at a depth if it shares so many first bits with the query in any
     tree. The deepest depth with enough found says how many rows a query meets there.
     """
     trees, dimension, _ = hasher.planes.shape
     if not len(queries):
-        return 1
+        return BITS, 1
     best = classes.mapInArrow(_best_of_sample(queries, dimension, k), "query int, score double, vector array<double>")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vector")
     nearest = best.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k).collect()  # k a sample query
     if not nearest:
-        return rows
+        return 0, rows
     ours = _unit(queries[[r["query"] for r in nearest]])
     theirs = _unit(np.array([r["vector"] for r in nearest]))
     shared = np.zeros(len(nearest), int)
@@ -110,7 +110,7 @@ def _candidates_wanted(classes: DataFrame, queries: np.ndarray, hasher: _Hasher,
         bits = np.where(differ > 0, BITS - 1 - np.floor(np.log2(np.maximum(differ, 1))), BITS).astype(int)
         shared = np.maximum(shared, bits)
     depth = max(d for d in range(BITS + 1) if (shared >= d).mean() >= recall)
-    return max(1, -(-trees * rows // (1 << depth)))
+    return depth, max(1, -(-trees * rows // (1 << depth)))
 
 
 # ---------------------------------------------------------------- trees
@@ -175,7 +175,7 @@ def _descend(root: int):
         counts = np.zeros((len(key), BITS + 1), np.int64)
         for d in range(root, BITS + 1):
             first, last = _prefix(string, d)
-            counts[:, d] = np.searchsorted(have, last, "right") - np.searchsorted(have, first, "left")
+            counts[:, d] = np.searchsorted(have, last, "right") - np.searchsorted(have, first, "left") - 1  # itself
         counts[:, :root] = counts[:, root : root + 1]
         return pa.table({"key": pa.array(key), "counts": pa.array(list(counts), pa.list_(pa.int64()))})
 
@@ -245,9 +245,9 @@ def nearest(
     Equal vectors are one class with its smallest ids (one more than ``k`` is all a query can
     need), so copies fill no node. Every class is in every tree: sorted arrays of hash strings,
     cut into shards of about SHARD_ROWS by their first bits. A query descends to its longest
-    prefix in each tree; then all trees ascend together, bit by bit, to the deepest depth at
-    which the query meets enough rows over all trees, at most to its shards' roots. Those rows
-    are scored where they lie. How many rows are enough is measured on at most SAMPLE_QUERIES
+    prefix in each tree; then all trees ascend together, bit by bit, to the depth that most
+    queries need, and on until the query meets enough rows over all trees, at most to its
+    shards' roots. Those rows are scored where they lie. Depth and number are measured on at most SAMPLE_QUERIES
     queries whose true neighbours are found by brute force over all rows.
     """
     vector = F.col(f"`{vector_col}`").cast("array<double>")
@@ -271,7 +271,9 @@ def nearest(
     drawn = F.xxhash64(F.lit(SEED), F.col("vector"))
     take = lambda d, most: np.array([r["vector"] for r in d.orderBy(drawn).limit(most).collect()], float).reshape(-1, dimension)
     hasher = _Hasher(dimension, trees, take(classes.select("vector"), SAMPLE_ROWS))
-    wanted = _candidates_wanted(classes, take(asked.select("vector"), SAMPLE_QUERIES), hasher, n, k, recall)
+    known, wanted = _candidates_wanted(classes, take(asked.select("vector"), SAMPLE_QUERIES), hasher, n, k, recall)
+    # So many that one tree alone has k of them, or all rows where there are fewer.
+    wanted = max(wanted, trees * min(k, n - 1))
     root = min(BITS - 1, max(0, int(np.ceil(np.log2(max(1, n / SHARD_ROWS))))))
 
     every = classes.select("key", "vector", F.lit(False).alias("query")).unionByName(
@@ -281,6 +283,7 @@ def nearest(
     counts = codes.groupBy("tree", "shard").applyInArrow(_descend(root), "key long, counts array<long>")
     sums = counts.groupBy("key").agg(*[F.sum(F.get("counts", F.lit(d))).alias(f"c{d}") for d in range(BITS + 1)])
     deep = F.greatest(F.lit(root), *[F.when(F.col(f"c{d}") >= wanted, d).otherwise(root) for d in range(root, BITS + 1)])
+    deep = F.least(deep, F.lit(max(root, known)))
     depths = cut_lineage(sums.select("key", deep.cast("int").alias("depth")))
 
     every = (
