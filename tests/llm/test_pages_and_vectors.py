@@ -83,6 +83,7 @@ def test_foreign_archives(spark, tmp_path):
 
 def brute_nearest(rows, k):
     ok = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v) and len(v) == len(rows[0][1])]
+    ok = list({(i, tuple(v)): (i, v) for i, v in ok}.values())  # a repeated row is one row
     scaled = [(i, v / np.abs(v).max()) for i, v in ok]  # squares of tiny and huge numbers
     ids, unit = [i for i, _ in ok], np.array([v / np.linalg.norm(v) for _, v in scaled])
     out = {}
