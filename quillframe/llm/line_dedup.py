@@ -1,4 +1,4 @@
-"""Deleting repeated runs of lines, found by winnowing (DataFrame functions only)."""
+"""Deleting repeated passages, found by winnowing (DataFrame functions only)."""
 
 from __future__ import annotations
 
@@ -6,140 +6,198 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import SPACES, cut_lineage, fresh, text_or_empty
 
-# A run of lines with at least so many words is deleted where it repeats an earlier one.
+# A passage of at least so many words is deleted where it repeats an earlier one.
 MIN_WORDS = 50
-
-
-def _line_key(line: Column) -> Column:
-    """The line with single spaces and none at its ends."""
-    return F.trim(F.regexp_replace(line, SPACES, " "))
+# Where a passage ends so few words inside a line of which more stays, these words stay too.
+RAGGED_WORDS = 4
+# A token is a word with the white space before it.
+TOKEN = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
+_AT = 24  # bits of a word's place in an anchor
 
 
 def _text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _same_start(own: Column, other: Column) -> Column:
-    """How many leading elements two arrays share."""
-    pairs = F.arrays_zip(own.alias("own"), other.alias("other"))
-    step = lambda acc, x: F.when(
-        acc["on"] & x["own"].eqNullSafe(x["other"]) & x["own"].isNotNull(),
-        F.struct((acc["n"] + 1).alias("n"), F.lit(True).alias("on")),
-    ).otherwise(F.struct(acc["n"].alias("n"), F.lit(False).alias("on")))
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), step, lambda acc: acc["n"])
+def _spans(df: DataFrame, column: str, out: str, length: int, both) -> DataFrame:
+    """``out``: for each element of ``column``, ``both`` folded over ``length`` elements from it on, by doubling."""
+    names, done = (f"{out}_a", f"{out}_b"), 1
+    df = df.withColumn(names[0], F.col(column))
+    while done < length:
+        step = min(done, length - done)  # spans may overlap
+        a, b = names
+        df = df.withColumn(b, F.transform(a, lambda x, i: both(x, F.get(F.col(a), i + step)))).drop(a)  # noqa: B023
+        done, names = done + step, (b, a)
+    return df.withColumnRenamed(names[0], out)
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    """With ``h``, the hashes of the words, instead of the text."""
+    words = F.filter(F.split("text", SPACES), lambda w: w != "")
+    return df.withColumn("h", F.transform(words, lambda w: F.xxhash64(w))).drop("text")
+
 
+def _clip(at: Column, before: int) -> Column:
+    return F.greatest(at - before, F.lit(0))
 
-def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """For documents with deletions: id, text_key and runs, each by its first and last line (from 0).
 
-    Lines are compared with single spaces; blank lines are passed over, and go with a run
-    that they lie in.
-    A window is the shortest run of lines, from each line on, that holds ``min_words``
-    words; the smallest line hash in it is its fingerprint. Any repeated run of that many
-    words contains such a window in both places, with the same fingerprint.
+def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """For documents with deletions: id, text_key and runs, ascending and apart, each by its first and last word (from 0).
 
-    Fingerprints that occur at one place only end there. The windows of all others meet by
-    their content; of equal windows the first (smallest id, null last, then line) stays and
-    every other one is a match with it. A match grows to the left and right, line by line,
-    while both sides agree; less than a window is left on either side, as a longer run has
-    windows of its own. Every place meets the first one only, so work grows with the number
-    of places, not of pairs; at least one copy of every line stays.
+    A word goes if it lies in a window of ``min_words`` words that is equal, word for word, to
+    an earlier one (smallest id, null last, then word); lines play no part. Exact:
+
+    1. Every window has an anchor: of the spans of half as many words in it, the first with
+       the smallest hash. Equal windows have equal anchors at the same distance, and
+       neighbouring windows mostly share theirs, so about one word in 13 is an anchor.
+    2. The context of an anchor is all windows that may have it. Of places with equal contexts
+       the first stays and all others go.
+    3. Where contexts around equal anchors differ, their first places list their windows, which
+       meet by content; again all but the first go.
+
+    Every place meets the first one only, so work grows with the number of places, not of
+    pairs; of every word the first copy stays.
     """
-    text = text_or_empty(text_col)
-    numbered = df.select(  # before the lines part, or each line had a number of its own
-        F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("row")
+    span = max(1, min_words // 2)
+    wide = min_words - span  # windows reach so far beyond an anchor on either side
+    texts = df.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
+    texts = texts.withColumn("text_key", _text_key(F.col("text")))
+    hashed = _hashed(texts).filter(F.size("h") >= min_words)
+    spans = _spans(hashed, "h", "g", span, lambda x, y: F.xxhash64(x, y))
+    coded = F.transform("g", lambda x, i: F.shiftleft(F.shiftright(x, _AT), _AT).bitwiseOR(i.cast("bigint") % (1 << _AT)))
+    least = _spans(spans.withColumn("g", coded), "g", "least", wide + 1, lambda x, y: F.least(x, y))
+    windows = F.transform(F.slice("least", 1, F.size("h") - min_words + 1), lambda x, j: F.struct(x.alias("x"), (j + F.pmod(x - j, F.lit(1 << _AT))).alias("at")))
+    found = least.select("id", "text_key", "h", F.array_distinct(windows).alias("anchors"))
+    context = lambda h, at: F.slice(h, _clip(at, wide).cast("int") + 1, (at - _clip(at, wide)).cast("int") + span + wide)
+    anchors = found.select(
+        "id",
+        "text_key",
+        F.size("h").alias("n"),
+        F.explode(
+            F.transform(
+                "anchors",
+                lambda a: F.struct(
+                    F.shiftright(a["x"], _AT).alias("print"),
+                    a["at"].cast("int").alias("at"),
+                    # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
+                    F.xxhash64(F.least(a["at"], F.lit(wide)), context(F.col("h"), a["at"])).alias("context"),
+                ),
+            )
+        ).alias("a"),
     )
-    documents = numbered.select(
-        "id", _text_key(F.col("text")).alias("text_key"), "row", F.posexplode(F.split("text", "\n")).alias("at", "line")
-    ).withColumn("line", _line_key(F.col("line")))
-    lines = cut_lineage(
-        documents.filter(F.col("line") != "").select(
+    anchors = cut_lineage(
+        anchors.select(
             "id",
             "text_key",
-            "row",
-            "at",
-            F.struct(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), F.col("line")).alias("g")).alias("line"),
-            F.size(F.split("line", " ")).cast("bigint").alias("words"),
+            F.col("a.at").alias("at"),
+            F.least(F.col("a.at") + span + wide, F.col("n")).cast("int").alias("end"),
+            F.col("a.print").alias("print"),
+            F.col("a.context").alias("context"),
         )
     )
 
-    of_text = Window.partitionBy("row")
-    so_far = of_text.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = lines.withColumn("start", F.coalesce(F.sum("words").over(so_far), F.lit(0)))
-    by_word = of_text.orderBy("start")
-    window = by_word.rangeBetween(0, min_words - 1)
-    runs = placed.select(
-        "id",
-        "text_key",
-        "at",
-        "row",
-        "start",
-        F.collect_list(F.struct("line", "at")).over(window).alias("run"),
-        F.reverse(F.collect_list(F.struct("line", "at")).over(by_word.rangeBetween(1 - min_words, -1))).alias("left"),
-        (F.sum("words").over(of_text) - F.col("start")).alias("words_on"),
-    )
-    # What follows a window is the window of the line after its last one.
-    runs = runs.withColumn("next", F.lead("run").over(by_word))
-    windows = runs.select(
-        "id",
-        "text_key",
-        "at",
-        F.element_at("run", -1)["at"].alias("end"),
-        "left",
-        F.last("next").over(window).alias("right"),
-        F.array_min("run").alias("least"),
-        F.struct(F.xxhash64("run.line").alias("h"), F.xxhash64(F.lit(1), F.col("run.line")).alias("g")).alias("content"),
-        "words_on",
-    ).filter(F.col("words_on") >= min_words)
-    windows = cut_lineage(windows.withColumn("print", F.col("least.line")))
-
-    place = F.struct("id", "text_key", F.col("least.at").alias("at"))
-    prints = windows.groupBy("print").agg(F.min(place).alias("one"), F.max(place).alias("other"))
-    repeated = prints.filter(~F.col("one").eqNullSafe(F.col("other"))).select("print")
-    met = windows.join(repeated, "print", "left_semi")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_key", "at")
-    firsts = met.groupBy("content").agg(
-        F.count(F.lit(1)).alias("places"),
-        F.min(F.struct(order.alias("order"), F.col("left.line").alias("left"), F.col("right.line").alias("right"))).alias("first"),
-    )
-    matches = met.join(firsts.filter("places > 1"), "content").filter(order != F.col("first.order"))
-    before = _same_start(F.col("left.line"), F.col("first.left"))
-    after = _same_start(F.col("right.line"), F.col("first.right"))
-    grown = matches.select(
-        "id",
-        "text_key",
-        F.when(before > 0, F.get("left", before - 1)["at"]).otherwise(F.col("at")).alias("from"),
-        F.when(after > 0, F.get("right", after - 1)["at"]).otherwise(F.col("end")).alias("to"),
-    )
-    return grown.groupBy("id", "text_key").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
+    groups = anchors.groupBy("print", "context").agg(F.min(order).alias("first"), F.max(order).alias("last"))
+    groups = cut_lineage(groups.withColumn("several", F.col("first") != F.col("last")))
+    copies = anchors.join(groups.filter("several").select("print", "context", "first"), ["print", "context"])
+    whole = copies.filter(order != F.col("first")).select("id", "text_key", _clip(F.col("at"), wide).alias("from"), (F.col("end") - 1).alias("to"))
+
+    mixed = groups.groupBy("print").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").select("print")
+    firsts = groups.join(mixed, "print", "left_semi").select("first.*", "print")
+    listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "print")).alias("anchors"))
+    renamed = listed.select(F.col("id").alias("o_id"), F.col("text_key").alias("o_key"), "anchors")
+    again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
+    places = _hashed(again).dropDuplicates(["id", "text_key"]).select("id", "text_key", "h", F.explode("anchors").alias("a"))
+    starts = F.sequence(_clip(F.col("a.at"), wide), F.least(F.col("a.at"), F.size("h") - min_words))
+    content = lambda j: F.struct(j.cast("int").alias("at"), F.xxhash64(F.slice("h", j.cast("int") + 1, min_words)).alias("content"))
+    parts = places.select("id", "text_key", F.col("a.print").alias("print"), F.explode(F.transform(starts, content)).alias("w"))
+    parts = cut_lineage(parts.select("id", "text_key", "print", "w.at", "w.content"))
+    earliest = parts.groupBy("print", "content").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
+    part = parts.join(earliest.select("print", "content", "first"), ["print", "content"]).filter(order != F.col("first"))
+    ranges = whole.unionByName(part.select("id", "text_key", F.col("at").alias("from"), (F.col("at") + min_words - 1).alias("to")))
+
+    of_text = Window.partitionBy("id", "text_key").orderBy("from", "to")
+    before = F.max("to").over(of_text.rowsBetween(Window.unboundedPreceding, -1))
+    islands = ranges.withColumn("new", F.when(F.col("from") <= before + 1, 0).otherwise(1))
+    islands = islands.withColumn("run", F.sum("new").over(of_text.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = islands.groupBy("id", "text_key", "run").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    return runs.groupBy("id", "text_key").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs"))
+
+
+def _opens(tokens: Column, i: Column) -> Column:
+    """Whether token ``i`` is the first of a line, or one past the last token."""
+    return (i <= 0) | (i >= F.size(tokens)) | F.coalesce(F.get(tokens, i).contains("\n"), F.lit(True))
+
+
+def _trimmed(tokens: Column, run: Column) -> Column:
+    """The run without a few words at either end in a line of which more stays."""
+    start, end = run["from"], run["to"]
+    for k in range(RAGGED_WORDS, 0, -1):
+        first = F.when(~_opens(tokens, run["from"]) & _opens(tokens, run["from"] + k), run["from"] + k)
+        last = F.when(~_opens(tokens, run["to"] + 1) & _opens(tokens, run["to"] + 1 - k), run["to"] - k)
+        start, end = F.coalesce(first, start), F.coalesce(last, end)
+    return F.struct(start.cast("int").alias("from"), end.cast("int").alias("to"))
 
 
 def drop_repeated_lines(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """``df`` with later repeated runs of lines deleted, and two more columns.
-
-    All columns and rows of ``df`` stay, the text without the deleted lines; ``lines`` and
-    ``deleted_lines`` count its lines before. Null texts stay null (0 lines), texts without
-    a repeated run stay as they are, a text of which every line goes becomes empty. Rows
-    that agree in id and text are one document: they lose the same lines. Null ids come
-    last. New columns give way to columns of the same name by a longer name.
+    """``df`` with later repeated passages of ``min_words`` words or more deleted, and two more columns.
+
+    All columns and rows of ``df`` stay, the text without the deleted passages; these may begin
+    and end inside lines, but up to RAGGED_WORDS words in a line of which more stays are left.
+    Lines of which nothing is left go. ``lines`` counts the lines before, ``deleted_lines``
+    those that lose words (and blank ones inside passages). Null texts stay null (0 lines),
+    texts without a repeated passage stay as they are, a text of which every line goes becomes
+    empty. Rows that agree in id and text are one document: they lose the same words. Null ids
+    come last. New columns give way to columns of the same name by a longer name.
     """
-    runs = repeated_lines(df, id_col, text_col, min_words)
-    key, marks, many, gone = fresh(df, "text_key", "runs", "lines", "deleted_lines")
+    runs = repeated_passages(df, id_col, text_col, min_words)
+    key, marks, many, gone, token = fresh(df, "text_key", "runs", "lines", "deleted_lines", "tokens")
     found = runs.select(F.col("id").alias(f"{key}_id"), F.col("text_key").alias(f"{key}_r"), F.col("runs").alias(marks))
     keyed = df.withColumn(key, _text_key(text_or_empty(text_col)))
     joined = keyed.join(found, keyed[f"`{id_col}`"].eqNullSafe(F.col(f"{key}_id")) & (F.col(key) == F.col(f"{key}_r")), "left")
     text = F.col(f"`{text_col}`").cast("string")
-    lines = F.split(text, "\n")
-    dead = F.array_distinct(F.flatten(F.transform(F.col(marks), lambda r: F.sequence(r["from"], r["to"]))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dead)
-    new_text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    tokens, cuts = F.col(token), F.col(marks)
+    # The white space at the end is one more token, so a deletion always has one after it.
+    cut = F.concat(F.regexp_extract_all(text, F.lit(TOKEN), 1), F.array(F.regexp_extract(text, r"[\x20\x09-\x0D]*\z", 0)))
+    joined = joined.withColumn(token, F.when(cuts.isNotNull(), cut))
+    words = F.slice(tokens, 1, F.size(tokens) - 1)
+    joined = joined.withColumn(f"{marks}_w", words)
+    joined = joined.withColumn(marks, F.transform(cuts, lambda r: _trimmed(F.col(f"{marks}_w"), r)))
+
+    space = lambda t: F.regexp_extract(t, r"\A[\x20\x09-\x0D]*", 0)
+    number = F.size(cuts)
+    upto = lambda i: F.when(i + 1 < number, F.get(cuts, i + 1)["from"]).otherwise(F.size(tokens))
+
+    def seam(r: Column) -> Column:
+        """The white space that stays for a run: of two line breaks one goes, and parts of different lines do not meet."""
+        left, right = space(F.get(tokens, r["from"])), space(F.get(tokens, r["to"] + 1))
+        opens, closes = (r["from"] == 0) | left.contains("\n"), (r["to"] + 2 == F.size(tokens)) | right.contains("\n")
+        both = F.when(right.contains("\n"), F.concat(left, F.regexp_replace(right, r"\A[^\n]*\n", ""))).otherwise(
+            F.regexp_replace(left, r"\n[^\n]*\z", "")
+        )
+        broken = F.array_join(F.slice(tokens, r["from"] + 2, r["to"] - r["from"]), "").contains("\n")
+        return F.when(opens & closes, both).when(closes, right).when(~opens & broken, "\n").otherwise(left)
+
+    def after(r: Column, i: Column) -> Column:
+        """What stays between a run and the next one."""
+        rest = F.array_join(F.slice(tokens, r["to"] + 2, upto(i) - r["to"] - 1), "")
+        return F.concat(seam(r), F.regexp_replace(rest, r"\A[\x20\x09-\x0D]+", ""))
+
+    head = F.array_join(F.slice(tokens, 1, F.get(cuts, F.lit(0))["from"]), "")
+    new_text = F.concat(head, F.array_join(F.transform(cuts, after), ""))
+    breaks = lambda a, n: F.size(F.split(F.array_join(F.slice(tokens, a, n), ""), "\n")) - 1
+    # Lines of a run are its breaks and one; a line that the run before has counted counts once.
+    inside = lambda r, i: breaks(r["from"] + 2, r["to"] - r["from"]) + F.when(
+        (i > 0) & (breaks(F.get(cuts, F.greatest(i - 1, F.lit(0)))["to"] + 2, r["from"] - F.get(cuts, F.greatest(i - 1, F.lit(0)))["to"]) == 0), 0
+    ).otherwise(1)
+    dead = F.aggregate(F.transform(cuts, inside), F.lit(0), lambda a, x: a + x)
     return joined.select(
         *[
-            F.when(F.col(marks).isNull(), text).otherwise(new_text).alias(c) if c == text_col else F.col(f"`{c}`")
+            F.when(cuts.isNull(), text).otherwise(new_text).alias(c) if c == text_col else F.col(f"`{c}`")
             for c in df.columns
         ],
-        F.coalesce(F.size(lines), F.lit(0)).alias(many),
-        F.when(F.col(marks).isNull(), 0).otherwise(F.size(dead)).alias(gone),
+        F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias(many),
+        F.when(cuts.isNull(), 0).otherwise(dead).alias(gone),
     )

@@ -248,6 +248,47 @@ def test_line_dedup_of_awkward_rows(edge, nothing):
     assert line_dedup.drop_repeated_lines(nothing).count() == 0
 
 
+def test_passages_inside_lines_go(spark):
+    rng = np.random.default_rng(11)
+    own = lambda n: [f"o{rng.integers(10**9)}" for _ in range(n)]
+    texts, want = [], {}
+    for k in range(51, 61):  # a passage of k words, the second time in the middle of another line and broken in two
+        passage, left, right = own(k), own(20), own(30)
+        texts.append((2 * k, " ".join(own(7) + passage + own(9))))
+        texts.append((2 * k + 1, "first line\n" + " ".join(left + passage[:25]) + "\n" + " ".join(passage[25:] + right)))
+        want[2 * k + 1] = "first line\n" + " ".join(left) + "\n" + " ".join(right)
+    short = own(49)
+    texts += [(900 + i, " ".join(own(5) + short + own(5))) for i in range(2)]
+    # The earliest place that shares the span in the middle shares too little; a later one shares all.
+    passage = own(60)
+    texts.append((920, " ".join(own(3) + passage[10:50] + own(3))))
+    texts += [(921, " ".join(own(3) + passage)), (922, " ".join(["x", *passage, "y"]))]
+    want[922] = "x y"
+    got = {r["doc_id"]: r for r in rows(line_dedup.drop_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")))}
+    for i, t in texts:
+        assert got[i]["text"] == want.get(i, t), i
+        assert (got[i]["deleted_lines"] > 0) == (i in want)
+
+
+def test_every_repeated_window_of_words_goes(spark):
+    rng = np.random.default_rng(12)
+    parts = [[f"w{rng.integers(400)}" for _ in range(rng.integers(5, 60))] for _ in range(12)]
+    texts = [(i, " ".join(w for k in rng.integers(0, 12, 5) for w in parts[k])) for i in range(40)]
+    texts.append((40, "again " * 130))
+    seen, want = set(), {}
+    for i, t in texts:
+        words = t.split()
+        dead = set()
+        for j in range(len(words) - 29):
+            window = tuple(words[j : j + 30])
+            if window in seen:
+                dead.update(range(j, j + 30))
+            seen.add(window)
+        want[i] = [w for k, w in enumerate(words) if k not in dead]
+    got = rows(line_dedup.drop_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string"), min_words=30))
+    assert {r["doc_id"]: r["text"].split() for r in got} == want and any(len(t.split()) > len(want[i]) > 0 for i, t in texts)
+
+
 # ---------------------------------------------------------------- n-gram Jaccard join
 
 
