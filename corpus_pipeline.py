@@ -39,10 +39,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similar shingle sets connect, the one with the smallest id stays."""
-    groups = jaccard_components(docs).select("doc_id", "component_id").distinct()
-    lost = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+    """Of the rows that links of similar shingle sets connect, one stays: smallest id, nulls last, then row."""
+    (row,) = fresh(docs, "row")
+    # Written, so that rows keep their numbers in both places where they are used.
+    numbered = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+    groups = cut_lineage(jaccard_components(numbered, row_col=row).select(row, "doc_id", "component"))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    first = groups.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
+    lost = groups.join(first.filter("rows > 1"), "component").filter(F.col(row) != F.col("first.row")).select(row)
+    return numbered.join(lost, row, "left_anti").select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -335,14 +335,13 @@ def _link_cluster(percent: int):
 # ---------------------------------------------------------------- the join
 
 
-def shingle_sets(df: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, size: int, percent: int, row_col: str | None = None) -> DataFrame:
     """Rows (id, row, same_as, n, keys, shared) of all documents, written to the shared folder."""
     text = text_or_empty(text_col)
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = int(min(60_000, max(8, total // 6 // BUCKET_SHINGLES)))
-    rows = df.select(
-        F.col(f"`{id_col}`").cast("bigint").alias("id"), F.monotonically_increasing_id().alias("row"), text.alias("text")
-    )
+    row = F.monotonically_increasing_id() if row_col is None else F.col(f"`{row_col}`").cast("bigint")
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), row.alias("row"), text.alias("text"))
     blocks = rows.mapInArrow(
         _split(size, buckets),
         "bucket int, block long, hashes binary, counts binary, ids array<long>, rows array<long>, same_as binary",
@@ -364,9 +363,14 @@ def jaccard_components(
     text_col: str = "text",
     size: int = SHINGLE,
     percent: int = PERCENT,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``df``: ``id_col``, n_shingles and component_id.
 
+    With ``row_col``, a bigint column of ``df`` that is unique and not null, rows go by it: it
+    is returned first, and component, the row_col of some row of the component, last.
+
+
     Two rows link when their sets of ``size``-word shingles have a Jaccard similarity of at
     least ``percent`` in a hundred; component_id is the smallest id that links reach.
     Words are lower-cased (A-Z) and split at white space; a text with fewer words is one
@@ -384,7 +388,7 @@ def jaccard_components(
        components), so no link leaves a cluster and no pairs are listed.
     4. In each cluster a signature tree is traversed against itself (:func:`link_sets`).
     """
-    sets = shingle_sets(df, id_col, text_col, size, percent)
+    sets = shingle_sets(df, id_col, text_col, size, percent, row_col)
     keys = sets.filter("keys IS NOT NULL").select("row", F.explode("keys").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("row").alias("hub"), F.count(F.lit(1)).alias("held")).filter("held > 1").select("key", "hub")
     stars = keys.join(hubs, "key").filter("row <> hub").groupBy("row", "hub").agg(F.count(F.lit(1)).alias("keys")).select("row", "hub")
@@ -392,12 +396,15 @@ def jaccard_components(
     members = sets.filter("shared IS NOT NULL").select("row", "n", "shared").join(clusters.withColumnRenamed("node", "row"), "row")
     linked = members.groupBy("component").applyInArrow(_link_cluster(percent), "row long, component long")
     linked = cut_lineage(linked.withColumnRenamed("row", "same_as"))
-    placed = sets.select("id", "same_as", "n").join(linked, "same_as", "left")
+    placed = sets.select("id", "row", "same_as", "n").join(linked, "same_as", "left")
     placed = placed.withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "same_as")))
     least = placed.groupBy("component").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows"))
     least = least.filter("component IS NOT NULL AND rows > 1").select("component", "least")
+    by_row = row_col is not None
     return placed.join(least, "component", "left").select(
+        *([F.col("row").alias(row_col)] if by_row else []),
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.coalesce("least", "id").alias("component_id"),
+        *(["component"] if by_row else []),
     )

@@ -163,3 +163,15 @@ def test_pipeline(spark, folder, edge):
         assert stage(spark, awkward.limit(0), folder).count() == 0
 
 
+def test_one_row_of_each_group_of_near_duplicates_stays(spark, folder):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("a")), (None, text("a"))]  # null ids
+    rows += [(5, text("b"))] * 3  # repeated rows
+    rows += [(7, text("c")), (8, text("c")), (8, text("d")), (None, text("c"))]  # one id, two texts
+    rows += [(9, text("e")), (9, ""), (9, ""), (10, None), (None, None)]  # texts without words are nobody's copies
+    table = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, row int").repartition(3)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, table, folder).collect())
+    want = [(None, text("a")), (5, text("b")), (7, text("c")), (8, text("d")), (9, text("e")), (9, ""), (9, ""), (10, None), (None, None)]
+    assert got == collections.Counter(want)
