@@ -10,6 +10,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut_lineage
+from .words import mix
 
 TREES = 40
 BITS = 32  # length of a hash string
@@ -115,11 +116,14 @@ def _candidates_wanted(classes: DataFrame, queries: np.ndarray, hasher: _Hasher,
 
 # ---------------------------------------------------------------- trees
 
-_CODES = "tree int, shard int, query boolean, key array<long>, string array<long>, vector array<double>, depth array<int>"
+_CODES = "tree int, shard int, part int, query boolean, key array<long>, string array<long>, vector array<double>, depth array<int>"
 
 
-def _plant(hasher: _Hasher, root: int, with_vectors: bool):
-    """Deal rows out to every tree's shards; ``root`` first bits name the shard."""
+def _plant(hasher: _Hasher, root: int, parts: int, with_vectors: bool):
+    """Deal rows out to every tree's shards; ``root`` first bits name the shard.
+
+    A hash of the row names one of the shard's ``parts``; queries go to all of them.
+    """
     trees, dimension, _ = hasher.planes.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,16 +134,18 @@ def _plant(hasher: _Hasher, root: int, with_vectors: bool):
             unit, key = _unit(matrix), batch["key"].to_numpy()
             query = batch["query"].to_numpy(zero_copy_only=False)
             depth = batch["depth"].to_numpy() if with_vectors else np.zeros(len(key), np.int32)
+            of = (mix(key.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
             rows = []
             for t in range(trees):
                 strings = hasher.strings(unit, t)
                 shard = strings >> np.uint32(BITS - root) if root else np.zeros(len(strings), np.uint32)
                 for s in np.unique(shard):
-                    for asks in (False, True):
-                        at = np.flatnonzero((shard == s) & (query == asks))
-                        if len(at):
-                            vectors = matrix[at].ravel() if with_vectors else []
-                            rows.append((t, int(s), asks, key[at], strings[at].astype(np.int64), vectors, depth[at]))
+                    own, asking = np.flatnonzero((shard == s) & ~query), np.flatnonzero((shard == s) & query)
+                    for part in range(parts) if len(asking) else np.unique(of[own]).tolist():
+                        for asks, at in ((False, own[of[own] == part]), (True, asking)):
+                            if len(at):
+                                vectors = matrix[at].ravel() if with_vectors else []
+                                rows.append((t, int(s), part, asks, key[at], strings[at].astype(np.int64), vectors, depth[at]))
                 if len(rows) > 64 or t == trees - 1:
                     if rows:
                         yield _rows(rows)
@@ -149,11 +155,11 @@ def _plant(hasher: _Hasher, root: int, with_vectors: bool):
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    tree, shard, query, key, string, vector, depth = zip(*rows)
+    tree, shard, piece, query, key, string, vector, depth = zip(*rows)
     lists = [(key, pa.int64()), (string, pa.int64()), (vector, pa.float64()), (depth, pa.int32())]
     return pa.RecordBatch.from_arrays(
-        [pa.array(tree, pa.int32()), pa.array(shard, pa.int32()), pa.array(query), *[pa.array(x, pa.list_(kind)) for x, kind in lists]],
-        names=["tree", "shard", "query", "key", "string", "vector", "depth"],
+        [*[pa.array(x, pa.int32()) for x in (tree, shard, piece)], pa.array(query), *[pa.array(x, pa.list_(kind)) for x, kind in lists]],
+        names=["tree", "shard", "part", "query", "key", "string", "vector", "depth"],
     )
 
 
@@ -166,7 +172,7 @@ def _gather(table: pa.Table, asks: bool, dimension: int | None):
 
 
 def _descend(root: int):
-    """For each query of a tree's shard: how many rows share at least d first bits, for every d."""
+    """For each query of a part of a tree's shard: how many rows, itself too, share at least d first bits."""
 
     def run(table: pa.Table) -> pa.Table:
         _, have, _, _ = _gather(table, False, None)
@@ -175,7 +181,7 @@ def _descend(root: int):
         counts = np.zeros((len(key), BITS + 1), np.int64)
         for d in range(root, BITS + 1):
             first, last = _prefix(string, d)
-            counts[:, d] = np.searchsorted(have, last, "right") - np.searchsorted(have, first, "left") - 1  # itself
+            counts[:, d] = np.searchsorted(have, last, "right") - np.searchsorted(have, first, "left")
         counts[:, :root] = counts[:, root : root + 1]
         return pa.table({"key": pa.array(key), "counts": pa.array(list(counts), pa.list_(pa.int64()))})
 
@@ -244,10 +250,12 @@ def nearest(
 
     Equal vectors are one class with its smallest ids (one more than ``k`` is all a query can
     need), so copies fill no node. Every class is in every tree: sorted arrays of hash strings,
-    cut into shards of about SHARD_ROWS by their first bits. A query descends to its longest
-    prefix in each tree; then all trees ascend together, bit by bit, to the depth that most
-    queries need, and on until the query meets enough rows over all trees, at most to its
-    shards' roots. Those rows are scored where they lie. Depth and number are measured on at most SAMPLE_QUERIES
+    cut into shards of about SHARD_ROWS by their first bits and, where that prefix would be
+    longer than queries may ascend, by a hash of the row. A query descends to its longest prefix
+    in each tree; then all trees ascend together, bit by bit, to the depth that most queries
+    need, and on until the query meets enough rows over all trees: shards' prefixes are shortened
+    until that holds for every query. Those rows are scored where they lie, in all parts of
+    the shard. Depth and number are measured on at most SAMPLE_QUERIES
     queries whose true neighbours are found by brute force over all rows.
     """
     vector = F.col(f"`{vector_col}`").cast("array<double>")
@@ -279,19 +287,28 @@ def nearest(
     every = classes.select("key", "vector", F.lit(False).alias("query")).unionByName(
         asked.select("key", "vector", F.lit(True).alias("query"))
     )
-    codes = every.mapInArrow(_plant(hasher, root, False), _CODES)
-    counts = codes.groupBy("tree", "shard").applyInArrow(_descend(root), "key long, counts array<long>")
-    sums = counts.groupBy("key").agg(*[F.sum(F.get("counts", F.lit(d))).alias(f"c{d}") for d in range(BITS + 1)])
+    root = min(root, known)
+    while True:
+        parts = max(1, int(np.ceil(n / (1 << root) / SHARD_ROWS)))
+        codes = every.mapInArrow(_plant(hasher, root, parts, False), _CODES)
+        counts = codes.groupBy("tree", "shard", "part").applyInArrow(_descend(root), "key long, counts array<long>")
+        sums = counts.groupBy("key").agg(*[(F.sum(F.get("counts", F.lit(d))) - trees).alias(f"c{d}") for d in range(BITS + 1)])
+        if not root:
+            break
+        sums = cut_lineage(sums)
+        if sums.filter(F.col(f"c{root}") < wanted).isEmpty():
+            break
+        root //= 2  # some query must ascend further
     deep = F.greatest(F.lit(root), *[F.when(F.col(f"c{d}") >= wanted, d).otherwise(root) for d in range(root, BITS + 1)])
-    deep = F.least(deep, F.lit(max(root, known)))
+    deep = F.least(deep, F.lit(known))
     depths = cut_lineage(sums.select("key", deep.cast("int").alias("depth")))
 
     every = (
         classes.select("key", "vector", F.lit(False).alias("query"), F.lit(0).alias("depth"))
         .unionByName(asked.join(depths, "key").select("key", "vector", F.lit(True).alias("query"), "depth"))
     )
-    planted = every.mapInArrow(_plant(hasher, root, True), _CODES)
-    met = planted.groupBy("tree", "shard").applyInArrow(_meet(dimension, k + 1), "asked long, key long, near double")
+    planted = every.mapInArrow(_plant(hasher, root, parts, True), _CODES)
+    met = planted.groupBy("tree", "shard", "part").applyInArrow(_meet(dimension, k + 1), "asked long, key long, near double")
     pairs = met.groupBy("asked", "key").agg(F.max("near").alias("near"))
     best = Window.partitionBy("asked").orderBy(F.desc("near"), "key")
     pairs = pairs.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= 2 * k + 2).select("asked", "key")

@@ -131,6 +131,16 @@ def test_recall(spark, shard_rows, monkeypatch):
     assert np.mean([len(got[i] & set(near)) / 5 for i, near in want.items()]) >= 0.9
 
 
+def test_small_shards_lose_no_recall(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 16)  # 7 bits and more, where queries must ascend further
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
+    want, got = brute_nearest(rows, 5), collections.defaultdict(set)
+    for r in neighbours.nearest(table, F.col("vec_id") % 50 == 0, trees=10).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    assert np.mean([len(got[i] & set(near)) / 5 for i, near in want.items()]) >= 0.9
+
+
 # ---------------------------------------------------------------- queries and the pipeline
 
 
