@@ -18,6 +18,7 @@ RECALL = 0.97  # aimed at on the sample of queries that sets how far queries asc
 SAMPLE_QUERIES, SAMPLE_ROWS = 128, 20_000  # bounds of the two samples
 SHARD_ROWS = 200_000  # rows of a tree that one task holds
 SEED = 7
+TIE = 1e-9  # cosines so close may be equal: their order is left to the exact ranking
 
 
 def _usable(vector: Column) -> Column:
@@ -25,6 +26,12 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
+def _direction(vector: Column) -> Column:
+    """The vector over its largest component; scaled copies are alike and have the same cosines."""
+    top = F.array_max(F.transform(vector, F.abs))
+    return F.get(F.transform(F.array(top), lambda t: F.transform(vector, lambda x: x / t)), F.lit(0))
+
+
 class _Hasher:
     """Hash strings of a tree: on which side of BITS planes a vector lies, first plane first.
 
@@ -189,7 +196,7 @@ def _descend(root: int):
 
 
 def _meet(dimension: int, keep: int):
-    """Score each query against the rows below the node that it has ascended to; the best ``keep`` go on."""
+    """Score each query against the rows below the node that it has ascended to; the best ``keep`` go on, with all that tie."""
 
     def run(table: pa.Table) -> pa.Table:
         rows, have, _, vectors = _gather(table, False, dimension)
@@ -208,10 +215,11 @@ def _meet(dimension: int, keep: int):
             for own in np.array_split(np.flatnonzero(of.ravel() == k), max(1, (b - a) * int((of.ravel() == k).sum()) // 4_000_000)):
                 score = asked[own] @ unit[a:b].T
                 n = min(keep, b - a)
-                at = np.argpartition(-score, n - 1, axis=1)[:, :n] if b - a > n else np.tile(np.arange(b - a), (len(own), 1))
-                out_q.append(np.repeat(key[own], n))
-                out_r.append(rows[a:b][at].ravel())
-                out_s.append(np.take_along_axis(score, at, 1).ravel())
+                last = np.partition(score, b - a - n, axis=1)[:, b - a - n]
+                q, r = np.nonzero(score >= last[:, None] - TIE)
+                out_q.append(key[own][q])
+                out_r.append(rows[a:b][r])
+                out_s.append(score[q, r])
         cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
         return pa.table({"asked": cat(out_q, np.int64), "key": cat(out_r, np.int64), "near": cat(out_s, np.float64)})
 
@@ -248,8 +256,8 @@ def nearest(
     query never meets rows of its own id. An empty table gives an empty result; other columns
     play no part.
 
-    Equal vectors are one class with its smallest ids (one more than ``k`` is all a query can
-    need), so copies fill no node. Every class is in every tree: sorted arrays of hash strings,
+    Equal and scaled vectors are one class with its smallest ids (one more than ``k`` is all a
+    query can need), so copies fill no node; candidates that tie with the last one kept stay. Every class is in every tree: sorted arrays of hash strings,
     cut into shards of about SHARD_ROWS by their first bits and, where that prefix would be
     longer than queries may ascend, by a hash of the row. A query descends to its longest prefix
     in each tree; then all trees ascend together, bit by bit, to the depth that most queries
@@ -261,6 +269,7 @@ def nearest(
     vector = F.col(f"`{vector_col}`").cast("array<double>")
     rows = df.select(F.col(f"`{id_col}`").alias("id"), vector.alias("vector"), asks.alias("query"))
     rows = rows.filter(F.col("id").isNotNull() & _usable(F.col("vector")))
+    rows = rows.withColumn("vector", _direction(F.col("vector")))
     lengths = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
     dimension = lengths["n"] if lengths else 1
     # Class: the smallest id that has the vector; of larger groups only the smallest ids are kept,
@@ -311,7 +320,9 @@ def nearest(
     met = planted.groupBy("tree", "shard", "part").applyInArrow(_meet(dimension, k + 1), "asked long, key long, near double")
     pairs = met.groupBy("asked", "key").agg(F.max("near").alias("near"))
     best = Window.partitionBy("asked").orderBy(F.desc("near"), "key")
-    pairs = pairs.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= 2 * k + 2).select("asked", "key")
+    pairs = pairs.withColumn("at", F.row_number().over(best))
+    last = F.min(F.when(F.col("at") <= 2 * k + 2, F.col("near"))).over(Window.partitionBy("asked"))
+    pairs = pairs.withColumn("last", last).filter(F.col("near") >= F.col("last") - TIE).select("asked", "key")
     with_vectors = pairs.join(classes.select(F.col("key").alias("asked"), F.col("vector").alias("ours")), "asked").join(
         classes.select("key", F.col("vector").alias("theirs")), "key"
     )

@@ -141,6 +141,26 @@ def test_small_shards_lose_no_recall(spark, monkeypatch):
     assert np.mean([len(got[i] & set(near)) / 5 for i, near in want.items()]) >= 0.9
 
 
+def test_scaled_copies_rank_by_id(spark):
+    rng = np.random.default_rng(3)
+    query = rng.normal(size=6)
+    rows = [(0, query.tolist())] + [(100 - i, (query * 2.0**i).tolist()) for i in range(1, 21)]  # smaller ids last
+    rows += [(200 + i, rng.normal(size=6).tolist()) for i in range(40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = neighbours.nearest(table, F.col("vec_id") == 0, trees=5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [80, 81, 82, 83, 84]
+
+
+def test_ties_in_a_shard_all_go_on():
+    import pyarrow as pa
+
+    vectors = np.eye(24)[1:21] + np.eye(24)[0]
+    part = [(False, list(range(20)), [0] * 20, vectors.ravel().tolist(), [0] * 20), (True, [99], [0], np.eye(24)[0].tolist(), [0])]
+    names = ("query", "key", "string", "vector", "depth")
+    met = neighbours._meet(24, 6)(pa.table(dict(zip(names, map(list, zip(*part))))))
+    assert sorted(met["key"].to_pylist()) == list(range(20))
+
+
 # ---------------------------------------------------------------- queries and the pipeline
 
 
