@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, jaccard, line_dedup, mixing, neighbours, ngram_lm, packing, quality, sharding, warc
+from . import chat, exact_dedup, jaccard, line_dedup, mixing, neighbours, ngram_lm, packing, quality, sharding, spelling, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,5 +71,22 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@_query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(_table(spark, folder, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@_query
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.read_back(chat.format_conversations(chat.with_planted(_table(spark, folder, "conversations"))))
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants_of_texts(_table(spark, folder, "documents"))
+
+
 ORACLES["op2_warc"] = warc.SQL
 ORACLES["op5_exact_dedup"] = exact_dedup.SQL
+ORACLES["op12_chat_format"] = chat.SQL
