@@ -83,7 +83,7 @@ def _schema(id_type: pa.DataType) -> pa.Schema:
     return pa.schema([("conv", id_type), ("piece", pa.int64()), ("parts", pa.int64()), ("text", pa.string()), ("generated", pa.list_(span))])
 
 
-def _rendered(source: str, filters: dict, piece_chars: int, names: dict):
+def _rendered(source: str, filters: dict, piece_chars: int, segment_turns: int, names: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = Template(source, filters)
         first = next(batches, None)
@@ -99,7 +99,7 @@ def _rendered(source: str, filters: dict, piece_chars: int, names: dict):
                 given = Turns(messages) if template.divisible else list(messages)
                 pieces, parts = template.pieces(messages=given, **names), 1
             else:
-                parts = -(-total // SEGMENT_TURNS)
+                parts = -(-total // segment_turns)
                 pieces = template.part(Turns(messages, start, total), segment == 0, segment == parts - 1, **names)
             texts, spans, size, number = [], [], 0, segment << 32
             for text, generated in pieces:
@@ -125,6 +125,7 @@ def format_conversations(
     text_col: str = "text",
     filters: dict | None = None,
     piece_chars: int = PIECE_CHARS,
+    segment_turns: int = SEGMENT_TURNS,
     **names: object,
 ) -> DataFrame:
     """Rendered conversations: ``id_col``, piece, parts, text and ``generated``, the spans of the
@@ -152,14 +153,14 @@ def format_conversations(
     plain = cold.repartition("conv").sortWithinPartitions("conv", *order)
     plain = plain.select("conv", F.lit(0).cast("long").alias("segment"), nothing.alias("start"), nothing.alias("total"), "turn", "role", "content")
     kind = dict(rows.dtypes)["conv"]
-    render = _rendered(template, filters, piece_chars, names)
+    render = _rendered(template, filters, piece_chars, segment_turns, names)
     out = plain.mapInArrow(render, f"conv {kind}, {_ROW}")
     if hot is not None:
         placed = with_position(parted(rows, hot, ["conv"])[1], ["conv", "turn", "role", "content"])
         bounds = placed.groupBy("conv").agg(F.min(POSITION).alias("begin"), F.count(F.lit(1)).alias("total"))
         place = F.col(POSITION) - F.col("begin")
         placed = attach(placed, bounds, ["conv"], null_safe=True)
-        placed = placed.select("conv", F.floor(place / F.lit(SEGMENT_TURNS)).cast("long").alias("segment"), place.alias("start"), "total", "turn", "role", "content")
+        placed = placed.select("conv", F.floor(place / F.lit(segment_turns)).cast("long").alias("segment"), place.alias("start"), "total", "turn", "role", "content")
         placed = placed.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "start")
         out = out.unionByName(placed.mapInArrow(render, f"conv {kind}, {_ROW}"))
     return out.withColumnRenamed("conv", id_col)
