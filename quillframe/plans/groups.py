@@ -36,13 +36,15 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def hot_keys(df: DataFrame, by: Sequence[str]) -> DataFrame | None:
-    """Keys of the groups above ``LARGEST_PLAIN_GROUP`` rows, or None when there are none.
+def hot_keys(df: DataFrame, by: Sequence[str], largest: int | None = None) -> DataFrame | None:
+    """Keys of the groups above ``LARGEST_PLAIN_GROUP`` (or fewer: ``largest``) rows, or None
+    when there are none.
 
-    One pass over the key columns with map-side counts. There are at most
-    rows / LARGEST_PLAIN_GROUP such keys; they are written out when there are any."""
+    One pass over the key columns with map-side counts. There are at most one such key per so
+    many rows; they are written out when there are any."""
+    largest = min(LARGEST_PLAIN_GROUP, largest or LARGEST_PLAIN_GROUP)
     counts = df.groupBy(*[F.col(b) for b in by]).agg(F.count(F.lit(1)).alias("_n"))
-    return kept_or_none(counts.filter(F.col("_n") > LARGEST_PLAIN_GROUP).select(*by))
+    return kept_or_none(counts.filter(F.col("_n") > largest).select(*by))
 
 
 def kept_or_none(keys: DataFrame) -> DataFrame | None:

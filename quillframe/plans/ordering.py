@@ -103,6 +103,7 @@ class Layout:
     by: list[str]
     order: Order
     split: bool
+    segment_rows: int | None = None
 
     @property
     def partition(self) -> list[str]:
@@ -117,12 +118,12 @@ class Layout:
         """Drop rows that were only lent to a neighbouring segment."""
         if not self.split:
             return df.drop(POSITION)
-        own = F.col(SEGMENT) == _segment_of(F.col(POSITION))
+        own = F.col(SEGMENT) == _segment_of(F.col(POSITION), self.segment_rows)
         return df.filter(own).drop(SEGMENT, POSITION)
 
 
-def _segment_of(position: Column) -> Column:
-    return F.floor(position / F.lit(groups.SEGMENT_ROWS)).cast("long")
+def _segment_of(position: Column, segment_rows: int) -> Column:
+    return F.floor(position / F.lit(segment_rows)).cast("long")
 
 
 def over_groups(
@@ -132,35 +133,38 @@ def over_groups(
     work: Callable[[Layout], DataFrame],
     before: int = 0,
     after: int = 0,
+    largest: int | None = None,
 ) -> DataFrame:
     """Run ``work`` on rows laid out for windows that look ``before`` rows back and
     ``after`` ahead.
 
     Only hot groups (or a table without group key) go through the split layout; all
-    other rows take the plain one, and the results are put together."""
+    other rows take the plain one, and the results are put together. ``largest`` rows are
+    as many as ``work`` takes in one task, if that is less than a sort does."""
     by = as_list(by)
     if not by:
-        return work(_cut(df, by, order_by, before, after))
-    hot = hot_keys(df, by)
+        return work(_cut(df, by, order_by, before, after, largest))
+    hot = hot_keys(df, by, largest)
     if hot is None:
         return work(Layout(df, by, order_by, split=False))
     cold_rows, hot_rows = parted(df, hot, by)
     plain = work(Layout(cold_rows, by, order_by, split=False))
-    return plain.unionByName(work(_cut(hot_rows, by, order_by, before, after)))
+    return plain.unionByName(work(_cut(hot_rows, by, order_by, before, after, largest)))
 
 
-def _cut(df: DataFrame, by: list[str], order_by: Order, before: int, after: int) -> Layout:
+def _cut(df: DataFrame, by: list[str], order_by: Order, before: int, after: int, largest: int | None = None) -> Layout:
     """Segments of consecutive rows. A row near a segment's edge is lent to the segments
     that look at it, on average 1 + (before + after) / SEGMENT_ROWS copies of each row."""
     order = [*by, *(order_by if isinstance(order_by, list) else [order_by])]
     placed = with_position(df, order)
     p = F.col(POSITION)
+    size = min(groups.SEGMENT_ROWS, largest or groups.SEGMENT_ROWS)
     if before or after:
-        first = _segment_of(F.greatest(p - after, F.lit(0)))
-        rows = placed.withColumn(SEGMENT, F.explode(F.sequence(first, _segment_of(p + before))))
+        first = _segment_of(F.greatest(p - after, F.lit(0)), size)
+        rows = placed.withColumn(SEGMENT, F.explode(F.sequence(first, _segment_of(p + before, size))))
     else:
-        rows = placed.withColumn(SEGMENT, _segment_of(p))
-    return Layout(rows, by, POSITION, split=True)
+        rows = placed.withColumn(SEGMENT, _segment_of(p, size))
+    return Layout(rows, by, POSITION, split=True, segment_rows=size)
 
 
 def _carry(summary: DataFrame, by: list[str], reverse: bool = False):

@@ -294,6 +294,29 @@ def rolling_hours_whole_table(t):
     return out.select("event_id", rnd("mean", 9).alias("mean"), "top", "low", rnd("std", 6).alias("std"))
 
 
+@query(
+    f"""
+    SELECT event_id, round(quantile_cont(value, 0.5) OVER w, 6) AS middle, round(quantile_cont(value, 0.9) OVER w, 6) AS high
+    FROM events WINDOW w AS (ORDER BY epoch_us(ts) RANGE BETWEEN {DAY - 1} PRECEDING AND CURRENT ROW)
+    """
+)
+def rolling_day_quantiles_whole_table(t):
+    out = rolling.rolling_time(t.events, None, "ts", DAY, "value", {"middle": "median", "high": 0.9})
+    return out.select("event_id", rnd("middle", 6).alias("middle"), rnd("high", 6).alias("high"))
+
+
+@query(
+    f"""
+    WITH {GAPS}
+    SELECT event_id, CASE WHEN count(v) OVER w >= 3 THEN round(quantile_cont(v, 0.5) OVER w, 6) END AS middle
+    FROM ev WINDOW w AS (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN {2 * DAY - 1} PRECEDING AND CURRENT ROW)
+    """
+)
+def rolling_two_day_median_by_type(t):
+    out = rolling.rolling_time(with_gaps(t), "event_type", "ts", 2 * DAY, "v", {"middle": "median"}, min_periods=3)
+    return out.select("event_id", rnd("middle", 6).alias("middle"))
+
+
 _LINES = ["l_orderkey", "l_linenumber"]
 _BY_LINE = "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 _LINE_ORDER = [*_LINES, "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
@@ -308,10 +331,8 @@ _LONG = """
 
 
 def _long_frames(t, by):
-    wanted = {"total": ("l_partkey", "sum"), "mean": ("l_quantity", "mean"), "var": ("l_quantity", "var"), "top": ("l_extendedprice", "max")}
-    out = t.lineitem.select(*_LINE_ORDER, "l_quantity")
-    for name, (col, f) in wanted.items():
-        out = rolling.rolling_rows(out, by, _LINE_ORDER, col, 200, {name: f})
+    wanted = {"total": ("sum", "l_partkey"), "mean": ("mean", "l_quantity"), "var": ("var", "l_quantity"), "top": ("max", "l_extendedprice")}
+    out = rolling.rolling_rows(t.lineitem.select(*_LINE_ORDER, "l_quantity"), by, _LINE_ORDER, None, 200, wanted)
     return out.select(*_LINES, "total", rnd("mean", 6).alias("mean"), rnd("var", 6).alias("var"), "top")
 
 
@@ -328,9 +349,9 @@ def rolling_200_rows_by_group(t):
     """
 )
 def rolling_200_rows_whole_table(t):
-    out = t.lineitem.select(*_LINE_ORDER, "l_quantity")
-    out = rolling.rolling_rows(out, None, _LINE_ORDER, "l_partkey", 200, {"total": "sum"})
-    return rolling.rolling_rows(out, None, _LINE_ORDER, "l_quantity", 200, {"middle": "median"}).select(*_LINES, "total", "middle")
+    wanted = {"total": ("sum", "l_partkey"), "middle": ("median", "l_quantity")}
+    out = rolling.rolling_rows(t.lineitem.select(*_LINE_ORDER, "l_quantity"), None, _LINE_ORDER, None, 200, wanted)
+    return out.select(*_LINES, "total", "middle")
 
 
 @query(
