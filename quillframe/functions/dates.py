@@ -36,11 +36,11 @@ def width(freq: str) -> int:
     return int(match[1] or 1) * _UNITS[match[2]]
 
 
-def bucket_index(ts: Column, freq: str) -> Column:
+def bucket_index(ts: Column, freq: str, origin: Column | None = None) -> Column:
     """Running number of the bucket a time falls into.
 
-    Fixed widths count from 1970-01-01 midnight; W counts weeks ending on Sunday,
-    M/MS months, Q/QS quarters and Y/YS years.
+    Fixed widths count from ``origin`` (microseconds; 1970-01-01 midnight); W counts weeks
+    ending on Sunday, M/MS months, Q/QS quarters and Y/YS years.
     """
     if freq == "W":
         return F.floor((F.unix_date(F.to_date(ts)) + 3) / 7).cast("long")
@@ -50,16 +50,18 @@ def bucket_index(ts: Column, freq: str) -> Column:
         return (F.year(ts) * 4 + F.quarter(ts) - 1).cast("long")
     if freq in ("Y", "YS"):
         return F.year(ts).cast("long")
-    return F.floor(micros(ts) / F.lit(width(freq))).cast("long")
+    at = micros(ts) if origin is None else micros(ts) - origin
+    return F.floor(at / F.lit(width(freq))).cast("long")
 
 
-def bucket_label(index: Column, freq: str) -> Column:
+def bucket_label(index: Column, freq: str, origin: Column | None = None) -> Column:
     """The time that names a bucket: its start, or for W, M, Q and Y its last day."""
     if freq == "W":
         return F.date_from_unix_date((index * 7 + 3).cast("int")).cast("timestamp_ntz")
     per_year = {"M": 12, "MS": 12, "Q": 4, "QS": 4, "Y": 1, "YS": 1}.get(freq)
     if per_year is None:
-        return from_micros(index * F.lit(width(freq)))
+        start = index * F.lit(width(freq))
+        return from_micros(start if origin is None else start + origin)
     months = 12 // per_year
     year = F.floor(index / per_year).cast("int")
     month = (F.pmod(index, F.lit(per_year)) * months + 1).cast("int")

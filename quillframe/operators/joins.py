@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import micros
-from ..plans.groups import all_of, as_list
+from ..plans.groups import all_of, as_list, attach
+from ..plans.lineage import cut_lineage
+from ..plans.ordering import ROW_BITS, with_running
 
 
 def merge(
@@ -116,48 +120,114 @@ def _id_set(ids: DataFrame, on: str, ids_col: str | None) -> DataFrame:
     return ids.select(F.col(ids_col or on).alias(on)).distinct()
 
 
+def _measure(kind: T.DataType) -> Callable[[Column], Column]:
+    """Numbers, dates and times as doubles, infinite ones as null."""
+    if isinstance(kind, T.DateType):
+        plain = lambda x: F.unix_date(x).cast("double")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        plain = lambda x: micros(x).cast("double")
+    else:
+        plain = lambda x: x.cast("double")
+    return lambda x: F.when(F.abs(plain(x)) < float("inf"), plain(x))
+
+
+def _closed_ends(closed: str) -> tuple[bool, bool]:
+    if closed not in ("left", "right", "both", "neither"):
+        raise ValueError(f"closed is left, right, both or neither, not {closed}")
+    return closed in ("left", "both"), closed in ("right", "both")
+
+
+def _overlapped(least: list[float], most: list[float]) -> Callable[..., Column]:
+    """Numbers of the first and the last of the ascending ranges that an interval overlaps."""
+
+    @F.pandas_udf("array<int>")
+    def overlapped(low: pd.Series, high: pd.Series) -> pd.Series:
+        first = np.searchsorted(np.array(most), low.fillna(-np.inf), "left")
+        last = np.searchsorted(np.array(least), high.fillna(np.inf), "right") - 1
+        return pd.Series(list(map(list, zip(first, last))))
+
+    return overlapped
+
+
 def interval_lookup(
     df: DataFrame, intervals: DataFrame, col: str, lo: str = "lo", hi: str = "hi", closed: str = "right"
 ) -> DataFrame:
     """Each row with every interval that holds its value (closed left/right/both/neither).
 
     Values and bounds are numbers, dates or times; a null or infinite bound leaves that end
-    open.
-
-    An interval of length up to 2^k touches at most two cells of width 2^k, so both
-    sides meet in an equi-join on (k, cell) with the bounds checked afterwards. Only
-    the distinct levels k, a few dozen at most, are read by the driver.
+    open. A null or infinite value lies in no interval.
+
+    The rows are range-partitioned by value and written with the range they are in; one row
+    per range, its least and greatest value, reaches the driver. An interval goes to the ranges
+    that it overlaps. Inside of it all rows of a range are results; only in the two ranges where
+    it ends are rows looked for: there it touches few cells of a width like its own part's, and
+    both sides meet in an equi-join on (range, width, cell) with the bounds checked afterwards.
+    So open ends share no cell, and work grows with rows, intervals and results.
     """
-    kind = df.schema[col].dataType
-    if isinstance(kind, T.DateType):
-        measure = lambda x: F.unix_date(x).cast("double")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        measure = lambda x: micros(x).cast("double")
+    left_closed, right_closed = _closed_ends(closed)
+    measure = _measure(df.schema[col].dataType)
+    valued = df.withColumn("_value", measure(F.col(col))).filter(F.col("_value").isNotNull())
+    raw = F.monotonically_increasing_id()
+    placed = cut_lineage(valued.repartitionByRange("_value").withColumn("_range", F.shiftright(raw, ROW_BITS).cast("int")))
+    edges = placed.groupBy("_range").agg(F.min("_value").alias("_least"), F.max("_value").alias("_most")).orderBy("_range").collect()
+    if not edges:
+        return df.join(intervals, F.lit(False))
+    sized = intervals.withColumns({"_low": measure(F.col(lo)), "_high": measure(F.col(hi))})
+    sized = sized.filter(F.coalesce(F.col("_low") <= F.col("_high"), F.lit(True)))
+    if len(edges) == 1:
+        sized = sized.withColumn("_number", F.lit(0))
     else:
-        measure = lambda x: x.cast("double")
-    finite = lambda x: F.when(F.abs(x) < float("inf"), x)
-    value = finite(measure(F.col(col)))
-    ends = df.agg(F.min(value).alias("least"), F.max(value).alias("most"))
-    # An open end lies just beyond all values.
-    low = F.coalesce(finite(measure(F.col(lo))), ends.select(F.col("least") - 1).scalar())
-    high = F.coalesce(finite(measure(F.col(hi))), ends.select(F.col("most") + 1).scalar())
-    sized = intervals.withColumns({"_low": low, "_high": high}).filter(F.col("_low") <= F.col("_high"))
-    length = F.greatest(F.col("_high") - F.col("_low"), F.lit(2.0**-40))
-    sized = sized.withColumn("_level", F.ceil(F.log2(length)).cast("int"))
-    levels = [r[0] for r in sized.select("_level").distinct().collect()]
-
-    def cell(x: Column, k: Column) -> Column:
-        return F.floor(x / F.pow(F.lit(2.0), k)).cast("long")
-
-    k = F.col("_level")
-    cells = F.sequence(cell(F.col("_low"), k), cell(F.col("_high"), k))
-    right = sized.withColumn("_cell", F.explode(cells))
-    left = df.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
-    left = left.withColumn("_cell", cell(measure(F.col(col)), k))
-    low_ok = F.col(col) >= F.col(lo) if closed in ("left", "both") else F.col(col) > F.col(lo)
-    high_ok = F.col(col) <= F.col(hi) if closed in ("right", "both") else F.col(col) < F.col(hi)
-    low_ok, high_ok = F.col(lo).isNull() | low_ok, F.col(hi).isNull() | high_ok
-    return left.join(right, ["_level", "_cell"]).filter(low_ok & high_ok).drop("_level", "_cell", "_low", "_high")
+        overlapped = _overlapped([r["_least"] for r in edges], [r["_most"] for r in edges])
+        sized = cut_lineage(sized.withColumn("_span", overlapped("_low", "_high")))  # a Python function, run once
+        first, last = F.col("_span")[0], F.col("_span")[1]
+        sized = sized.filter(first <= last).withColumn("_number", F.explode(F.sequence(first, last))).drop("_span")
+    numbered = [(i, r["_range"], r["_least"], r["_most"]) for i, r in enumerate(edges)]
+    ranges = df.sparkSession.createDataFrame(numbered, "_number int, _range int, _least double, _most double")
+    sized = sized.join(ranges, "_number").drop("_number")
+    sized = sized.filter(F.coalesce(F.col("_low") <= F.col("_most"), F.lit(True)) & F.coalesce(F.col("_high") >= F.col("_least"), F.lit(True)))
+    covers = F.coalesce(F.col("_low") < F.col("_least"), F.lit(True)) & F.coalesce(F.col("_high") > F.col("_most"), F.lit(True))
+    helpers = ["_range", "_value", "_low", "_high", "_least", "_most"]
+    inside = placed.join(sized.filter(covers), "_range").drop(*helpers)
+
+    ending = sized.filter(~covers).withColumns({"_from": F.greatest("_low", "_least"), "_to": F.least("_high", "_most")})
+    # Not so narrow that the cells of a range could not be numbered.
+    bits = lambda x: F.ceil(F.log2(F.greatest(x, F.lit(2.0**-900)))).cast("int")
+    ending = ending.withColumn("_level", F.greatest(bits(F.col("_to") - F.col("_from")), bits(F.col("_most") - F.col("_least")) - 40))
+    cell = lambda x: F.floor((x - F.col("_least")) / F.pow(F.lit(2.0), F.col("_level"))).cast("long")
+    levels = ending.select("_range", "_level", "_least").distinct()
+    cells = ending.withColumn("_cell", F.explode(F.sequence(cell(F.col("_from")), cell(F.col("_to"))))).drop("_least")
+    rows = placed.join(levels, "_range").withColumn("_cell", cell(F.col("_value"))).drop("_least")
+    low_ok = F.col("_value") >= F.col("_low") if left_closed else F.col("_value") > F.col("_low")
+    high_ok = F.col("_value") <= F.col("_high") if right_closed else F.col("_value") < F.col("_high")
+    found = rows.join(cells, ["_range", "_level", "_cell"]).filter(F.coalesce(low_ok, F.lit(True)) & F.coalesce(high_ok, F.lit(True)))
+    found = found.drop(*helpers, "_level", "_cell", "_from", "_to")
+    return inside.unionByName(found).select(*df.columns, *[c for c in intervals.columns if c not in df.columns])
+
+
+def interval_counts(
+    df: DataFrame, intervals: DataFrame, col: str, lo: str = "lo", hi: str = "hi", closed: str = "right", out: str = "n"
+) -> DataFrame:
+    """Each interval with the number of rows whose value it holds, without listing them.
+
+    Bounds and values as in :func:`interval_lookup`. Values are counted, then values and bounds
+    put in one order: an interval holds as many rows as lie before its end and not before its
+    start. The running count is split like any order over a whole table.
+    """
+    left_closed, right_closed = _closed_ends(closed)
+    measure = _measure(df.schema[col].dataType)
+    values = df.select(measure(F.col(col)).alias("_at")).filter(F.col("_at").isNotNull())
+    values = values.groupBy("_at").agg(F.count(F.lit(1)).alias("_rows")).withColumn("_side", F.lit(1))
+    marked = intervals.withColumns({"_low": measure(F.col(lo)), "_high": measure(F.col(hi))})
+    pairs = marked.select("_low", "_high").distinct()
+    # A bound stands before (0) or after (2) the values equal to it; an open start before all.
+    start = F.struct(F.col("_low").alias("_at"), F.lit(0 if left_closed else 2).alias("_side"), F.lit(-1).alias("_sign"))
+    end = F.struct(F.coalesce("_high", F.lit(float("inf"))).alias("_at"), F.lit(2 if right_closed else 0).alias("_side"), F.lit(1).alias("_sign"))
+    bounds = pairs.select("_low", "_high", F.explode(F.array(start, end)).alias("_bound")).select("_low", "_high", "_bound.*")
+    bounds = bounds.filter(F.col("_at").isNotNull()).withColumn("_rows", F.lit(0).cast("long"))
+    events = values.unionByName(bounds, allowMissingColumns=True)
+    running = with_running(events, None, ["_at", "_side"], {"_upto": ("sum", "_rows")}).filter("_sign IS NOT NULL")
+    counted = running.groupBy("_low", "_high").agg(F.greatest(F.sum(F.col("_upto") * F.col("_sign")), F.lit(0)).alias(out))
+    return attach(marked, counted, ["_low", "_high"], null_safe=True).select(*intervals.columns, out)
 
 
 def combine(

@@ -86,11 +86,16 @@ def replace_groups(df: DataFrame, col: str, pat: str, repl: str | Callable[[obje
 
 
 def extract(df: DataFrame, col: str, pat: str, names: Sequence[str]) -> DataFrame:
-    """Groups of the first match, one column each; null where nothing matches."""
-    found = F.col(col).rlike(pat)
-    return df.withColumns(
-        {n: F.when(found, F.nullif(F.regexp_extract(col, pat, i + 1), F.lit(""))) for i, n in enumerate(names)}
-    )
+    """Groups of the first match, one column each; null where nothing matches or the group
+    took no part in the match, empty where it matched nothing."""
+
+    def group(i: int) -> Column:
+        value = F.regexp_extract(col, pat, i)
+        # A reference back to a group that took no part fails; to an empty one it succeeds.
+        took_part = F.col(col).rlike(rf"\A(?>[\s\S]*?(?:{pat}))\{i}")
+        return F.when(value != "", value).when(took_part, "")
+
+    return df.withColumns({n: group(i) for i, n in enumerate(names, 1)})
 
 
 def extract_all(df: DataFrame, col: str, pat: str, keep: Sequence[str], out: str = "value", group: int = 0) -> DataFrame:

@@ -9,9 +9,10 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import dates
-from ..plans.groups import as_list, attach, not_null
+from ..plans.groups import as_list, attach, not_null, scalar_of
 from ..plans.ordering import with_known_neighbours
 
+_ORIGIN = "_origin"
 # A spine is first cut into blocks of this many buckets, so no row ever holds a long array.
 _BLOCK = 10_000
 
@@ -181,6 +182,26 @@ def _bucket_aggregate(function: str, col: str, order: Column) -> Column:
 _EMPTY = {"sum": 0.0, "count": 0, "size": 0}
 
 
+def _with_origin(df: DataFrame, by: list[str], col: str, freq: str, origin: str) -> DataFrame:
+    """Adds the time (in microseconds) that buckets of a fixed width count from.
+
+    ``start_day``: midnight of the first day, ``start``: the first time, each of the table or
+    of the row's group; ``epoch``; or a time. Calendar periods count from themselves, and widths
+    that divide a day have the same buckets from any midnight, so these look for no first day.
+    """
+    fixed = freq not in dates.CALENDAR
+    if not fixed or origin == "epoch" or origin == "start_day" and dates.DAY % dates.width(freq) == 0:
+        return df.withColumn(_ORIGIN, F.lit(0).cast("long"))
+    if origin not in ("start_day", "start"):
+        at = datetime.fromisoformat(origin)
+        return df.withColumn(_ORIGIN, F.lit((at - datetime(1970, 1, 1)) // timedelta(microseconds=1)))
+    first = F.min(col)
+    start = dates.micros(F.date_trunc("day", first).cast("timestamp_ntz") if origin == "start_day" else first)
+    if not by:
+        return df.withColumn(_ORIGIN, scalar_of(df, start))
+    return attach(df, df.groupBy(*by).agg(start.alias(_ORIGIN)), by, null_safe=True)
+
+
 def resample(
     df: DataFrame,
     col: str,
@@ -189,25 +210,30 @@ def resample(
     by=None,
     order_by: Sequence[str] = (),
     out: str = "bucket",
+    origin: str = "start_day",
 ) -> DataFrame:
     """Aggregates per regular bucket from each group's first to its last bucket.
 
+    Buckets of a fixed width count from ``origin``: the midnight before the table's (or the
+    group's) first time, "start" (that time itself), "epoch", or a time given as text.
+
     ``spec`` maps a new name to (function, column): sum, mean, min, max, std, count,
     size, first, last. Buckets without rows are listed too (sum and counts 0, the rest
     null). ``order_by`` breaks ties of equal times for first and last."""
     by = as_list(by)
-    index = dates.bucket_index(F.col(col), freq).alias("_index")
+    timed = _with_origin(not_null(df, [*by, col]), by, col, freq, origin)
+    index = dates.bucket_index(F.col(col), freq, F.col(_ORIGIN)).alias("_index")
     order = F.struct(col, *order_by)
     aggs = [_bucket_aggregate(f, c, order).alias(n) for n, (f, c) in spec.items()]
-    counted = not_null(df, [*by, col]).groupBy(*[F.col(b) for b in by], index).agg(*aggs)
+    counted = timed.groupBy(*[F.col(b) for b in by], index).agg(F.min(_ORIGIN).alias(_ORIGIN), *aggs)
     filled = {n: _EMPTY[f] for n, (f, _) in spec.items() if f in _EMPTY}
-    joined = _spine(counted, by).join(counted, [*by, "_index"], "left").na.fill(filled)
-    return joined.select(*by, dates.bucket_label(F.col("_index"), freq).alias(out), *spec)
+    joined = _spine(counted, by).join(counted.drop(_ORIGIN), [*by, "_index"], "left").na.fill(filled)
+    return joined.select(*by, dates.bucket_label(F.col("_index"), freq, F.col(_ORIGIN)).alias(out), *spec)
 
 
 def _spine(counted: DataFrame, by: list[str]) -> DataFrame:
     """Every bucket number between a group's first and last one."""
-    edges = counted.groupBy(*by).agg(F.min("_index").alias("_lo"), F.max("_index").alias("_hi"))
+    edges = counted.groupBy(*by).agg(F.min("_index").alias("_lo"), F.max("_index").alias("_hi"), F.min(_ORIGIN).alias(_ORIGIN))
     block = F.lit(_BLOCK)
     blocks = F.sequence(F.floor(F.col("_lo") / block), F.floor(F.col("_hi") / block))
     first = F.greatest(F.col("_lo"), F.col("_block") * block)
@@ -216,15 +242,21 @@ def _spine(counted: DataFrame, by: list[str]) -> DataFrame:
         edges.filter(F.col("_lo").isNotNull())
         .withColumn("_block", F.explode(blocks))
         .repartition(*by, "_block")  # else one task would list every bucket of a long series
-        .select(*by, F.explode(F.sequence(first, last)).alias("_index"))
+        .select(*by, _ORIGIN, F.explode(F.sequence(first, last)).alias("_index"))
     )
 
 
 def resample_agg(
-    df: DataFrame, col: str, freq: str, spec: dict[str, Sequence[str]], by=None, order_by: Sequence[str] = ()
+    df: DataFrame,
+    col: str,
+    freq: str,
+    spec: dict[str, Sequence[str]],
+    by=None,
+    order_by: Sequence[str] = (),
+    origin: str = "start_day",
 ) -> DataFrame:
     """Several statistics per column and bucket, named column_function; "ohlc" stands for
-    open, high, low and close."""
+    open, high, low and close. ``origin`` as in :func:`resample`."""
     wanted: dict[str, tuple[str, str]] = {}
     for c, functions in spec.items():
         for f in functions:
@@ -233,20 +265,29 @@ def resample_agg(
                 wanted |= {f"{c}_{n}": (g, c) for n, g in names.items()}
             else:
                 wanted[f"{c}_{f}"] = (f, c)
-    return resample(df, col, freq, wanted, by, order_by)
+    return resample(df, col, freq, wanted, by, order_by, origin=origin)
 
 
 def resample_upsample(
-    df: DataFrame, col: str, freq: str, value: str, method: str | None = None, by=None, limit: int | None = None
+    df: DataFrame,
+    col: str,
+    freq: str,
+    value: str,
+    method: str | None = None,
+    by=None,
+    limit: int | None = None,
+    origin: str = "start_day",
 ) -> DataFrame:
-    """Finer regular times between a group's first and last time (times are unique).
+    """Finer regular times between a group's first and last time (times are unique), from the
+    bucket that holds the first time on; ``origin`` as in :func:`resample`.
 
     ``method`` None leaves new times null; ffill, bfill and linear (by time) fill them.
     ``limit`` bounds how many new times in a row ffill and bfill reach."""
     by = as_list(by)
     known = not_null(df, [*by, col]).select(*by, F.col(col).cast("timestamp_ntz").alias(col), value)
-    index = known.select(*by, dates.bucket_index(F.col(col), freq).alias("_index"))
-    label = dates.bucket_label(F.col("_index"), freq)
+    known_at = _with_origin(known, by, col, freq, origin)
+    index = known_at.select(*by, dates.bucket_index(F.col(col), freq, F.col(_ORIGIN)).alias("_index"), _ORIGIN)
+    label = dates.bucket_label(F.col("_index"), freq, F.col(_ORIGIN))
     grid = _spine(index, by).select(*by, label.alias(col), F.lit(True).alias("_grid"))
     both = grid.join(known, [*by, col], "full")
     if method is None:
@@ -266,9 +307,13 @@ def resample_upsample(
     return near.filter("_grid").select(*by, col, filled.alias(value))
 
 
-def bucket_rows(df: DataFrame, col: str, freq: str, out: str = "bucket", size: str = "bucket_rows") -> DataFrame:
+def bucket_rows(
+    df: DataFrame, col: str, freq: str, out: str = "bucket", size: str = "bucket_rows", origin: str = "start_day"
+) -> DataFrame:
     """Each row's bucket and how many rows share it (counts are joined back, so a busy
-    bucket is not gathered)."""
-    placed = period_of(df, col, freq, out)
+    bucket is not gathered). ``origin`` as in :func:`resample`."""
+    timed = _with_origin(df, [], col, freq, origin)
+    index = dates.bucket_index(F.col(col), freq, F.col(_ORIGIN))
+    placed = timed.withColumn(out, dates.bucket_label(index, freq, F.col(_ORIGIN))).drop(_ORIGIN)
     counts = placed.groupBy(out).agg(F.count(F.lit(1)).alias(size))
     return attach(placed, counts, [out])

@@ -24,7 +24,7 @@ from .lineage import cut_lineage
 Key = str | tuple[str, str]
 Order = Key | Sequence[Key]
 
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
+ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 POSITION = "_position"
 SEGMENT = "_segment"
@@ -64,8 +64,8 @@ def with_position(df: DataFrame, order_by: Order, name: str = POSITION) -> DataF
         .sortWithinPartitions(*keys)
         .withColumn(raw, F.monotonically_increasing_id())
     )
-    part = F.shiftright(F.col(raw), _ROW_BITS)
-    index = F.col(raw).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    part = F.shiftright(F.col(raw), ROW_BITS)
+    index = F.col(raw).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows")).toPandas()
     if len(counts) < 2:
         return placed.withColumn(name, index).drop(raw)

@@ -142,8 +142,7 @@ def interval_lookup(t):
 
 
 _SPANS = """
-    WITH c AS (SELECT c_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders JOIN customer ON o_custkey = c_custkey
-               WHERE c_nationkey = 0 GROUP BY 1),
+    WITH c AS (SELECT c_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1),
     i AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN NULL ELSE a END AS lo, CASE c_custkey % 3 WHEN 1 THEN NULL ELSE b END AS hi FROM c)
 """
 
@@ -156,13 +155,27 @@ _SPANS = """
     """
 )
 def interval_lookup_in_time_with_open_ends(t):
-    """Each customer of a nation has the time from the first to the last order, a third without start, a third without end."""
-    own = t.orders.join(t.customer.filter("c_nationkey = 0"), F.col("o_custkey") == F.col("c_custkey"))
+    """Each customer has the time from the first to the last order, a third without start, a third without end."""
+    own = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     spans = own.groupBy("c_custkey").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
     third = F.col("c_custkey") % 3
     spans = spans.select("c_custkey", F.when(third != 0, F.col("a")).alias("lo"), F.when(third != 1, F.col("b")).alias("hi"))
-    found = joins.interval_lookup(t.orders.select("o_orderdate"), spans, "o_orderdate", closed="both")
-    return found.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("orders"))
+    return joins.interval_counts(t.orders, spans, "o_orderdate", closed="both", out="orders").select("c_custkey", "orders")
+
+
+@query(
+    """
+    WITH i AS (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE s_acctbal END AS lo,
+                      CASE s_suppkey % 3 WHEN 1 THEN NULL ELSE s_acctbal + s_suppkey % 7 * 500 END AS hi FROM supplier)
+    SELECT c_custkey, s_suppkey FROM customer JOIN i ON (lo IS NULL OR c_acctbal >= lo) AND (hi IS NULL OR c_acctbal < hi)
+    """
+)
+def interval_lookup_with_open_ends(t):
+    third = F.col("s_suppkey") % 3
+    high = F.col("s_acctbal") + F.col("s_suppkey") % 7 * 500
+    bands = t.supplier.select("s_suppkey", F.when(third != 0, F.col("s_acctbal")).alias("lo"), F.when(third != 1, high).alias("hi"))
+    found = joins.interval_lookup(t.customer, bands, "c_acctbal", closed="left")
+    return found.select("c_custkey", "s_suppkey")
 
 
 _TWO = """

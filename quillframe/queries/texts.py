@@ -107,6 +107,19 @@ def extract_groups(t):
     return out.select("page_id", "scheme", "host", "page")
 
 
+@query(
+    """
+    SELECT o_orderkey, o_orderpriority[1] AS rank, CASE WHEN o_orderpriority[3] = 'N' THEN 'N' ELSE '' END AS n,
+           CASE WHEN o_orderpriority[3:4] = 'NO' THEN 'O' END AS o
+    FROM orders
+    """
+)
+def extract_empty_groups(t):
+    """A group that matches nothing is empty, one that takes no part is null."""
+    out = text.extract(t.orders, "o_orderpriority", r"^(\d)-(N?)(?:(?<=N)(O))?", ["rank", "n", "o"])
+    return out.select("o_orderkey", "rank", "n", "o")
+
+
 @query(
     r"""
     WITH m AS (SELECT doc_id, regexp_extract_all(text, '[0-9]+') AS v FROM documents)

@@ -120,10 +120,11 @@ def parts_of_time(t):
 
 def _buckets(step: str, by: str = "") -> str:
     key = f"{by}, " if by else ""
+    first = f"(min(ts) OVER (PARTITION BY {by}))" if by else "(min(ts) OVER ())"
     using = f"({key}bucket)"
     group = f"GROUP BY {by}" if by else ""
     return f"""
-    WITH {GAPS}, b AS (SELECT *, time_bucket(INTERVAL '{step}', ts, TIMESTAMP '1970-01-01') AS bucket FROM ev),
+    WITH {GAPS}, b AS (SELECT *, time_bucket(INTERVAL '{step}', ts, date_trunc('day', {first})::TIMESTAMP) AS bucket FROM ev),
     e AS (SELECT {key}min(bucket) AS lo, max(bucket) AS hi FROM b {group}),
     s AS (SELECT {key}unnest(generate_series(lo, hi, INTERVAL '{step}')) AS bucket FROM e),
     a AS (SELECT {key}bucket, sum(v) AS total, avg(v) AS mean, max(v) AS top, count(v) AS known, count(*) AS size
@@ -156,6 +157,29 @@ def resample_by_user(t):
     return _rounded(ts.resample(with_gaps(t), "ts", "6h", _SPEC, by="user_id"))
 
 
+@query(_buckets("7 hours"))
+def resample_seven_hours(t):
+    return _rounded(ts.resample(with_gaps(t), "ts", "7h", _SPEC))
+
+
+@query(_buckets("2 days", "user_id"))
+def resample_two_days_by_user(t):
+    return _rounded(ts.resample(with_gaps(t), "ts", "2D", _SPEC, by="user_id"))
+
+
+@query(
+    """
+    WITH b AS (SELECT *, time_bucket(INTERVAL '50 minutes', ts, min(ts) OVER (PARTITION BY event_type)) AS bucket FROM events),
+    e AS (SELECT event_type, min(bucket) AS lo, max(bucket) AS hi FROM b GROUP BY 1),
+    s AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 50 MINUTE)) AS bucket FROM e)
+    SELECT event_type, bucket, min(value) AS value_min, count(event_id) AS event_id_count
+    FROM s LEFT JOIN b USING (event_type, bucket) GROUP BY 1, 2
+    """
+)
+def resample_from_first_event(t):
+    return ts.resample_agg(t.events, "ts", "50min", {"value": ["min"], "event_id": ["count"]}, by="event_type", origin="start")
+
+
 @query(
     """
     WITH e AS (SELECT min(date_trunc('month', o_orderdate)) AS lo, max(date_trunc('month', o_orderdate)) AS hi FROM orders),
@@ -232,6 +256,20 @@ def upsample_linear(t):
     return out.withColumn("total", rnd("total", 6))
 
 
+@query(
+    """
+    WITH d AS (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS ts, round(sum(value), 4) AS total FROM events GROUP BY 1, 2),
+    s AS (SELECT user_id, unnest(generate_series(min(ts), max(ts), INTERVAL 7 HOUR)) AS ts FROM d GROUP BY 1),
+    j AS (SELECT user_id, ts, total, s.ts IS NOT NULL AS listed FROM d FULL JOIN s USING (user_id, ts))
+    SELECT user_id, ts, total FROM (
+        SELECT user_id, ts, listed, last_value(total IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts) AS total FROM j
+    ) WHERE listed
+    """
+)
+def upsample_seven_hours(t):
+    return ts.resample_upsample(_days(t), "ts", "7h", "total", "ffill", by="user_id")
+
+
 @query(
     """
     SELECT event_id, date_trunc('day', ts)::TIMESTAMP AS bucket, count(*) OVER (PARTITION BY CAST(ts AS DATE)) AS bucket_rows

@@ -607,3 +607,61 @@ def test_ends_of_the_order_both_ways(spark, limit, monkeypatch):
     assert sorted(r.x for r in order.head(df, 20, "x").collect()) == list(range(1, 21))
     assert sorted(r.x for r in order.tail(df, 20, "x").collect()) == list(range(31, 51))
     assert sorted(r.x for r in order.nlargest(df, 3, "x").collect()) == [48, 49, 50]
+
+
+@pytest.mark.parametrize("closed", ["left", "right", "both", "neither"])
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_intervals_by_hand_over_several_ranges(spark, closed, ranges, tiny_segments):
+    import random
+
+    rng = random.Random(3)
+    inf = float("inf")
+    values = [rng.choice([0.0, 1.5, 7.0, rng.uniform(-50, 50), 1e9, -1e12]) for _ in range(150)] + [None, inf]
+    bound = lambda: rng.choice([None, -inf, inf, 0.0, 1.5, 7.0, rng.uniform(-60, 60), 1e9, 2e9, -1e12])
+    bands = [(i, bound(), bound()) for i in range(60)] + [(60, None, None), (61, 7.0, 7.0), (62, 60.0, 1e8), (61, 7.0, 7.0)]
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(ranges == 1).lower())
+    rows = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    intervals = spark.createDataFrame(bands, "band int, lo double, hi double")
+
+    def holds(v, lo, hi):
+        lo, hi = (None if x is None or abs(x) == inf else x for x in (lo, hi))
+        if v is None or v == inf:
+            return False
+        above = lo is None or v > lo or v == lo and closed in ("left", "both")
+        return above and (hi is None or v < hi or v == hi and closed in ("right", "both"))
+
+    want = sorted((i, b) for i, v in enumerate(values) for b, lo, hi in bands if holds(v, lo, hi))
+    got = joins.interval_lookup(rows, intervals, "v", closed=closed)
+    assert got.columns == ["id", "v", "band", "lo", "hi"]
+    assert sorted((r.id, r.band) for r in got.collect()) == want
+    counts = joins.interval_counts(rows, intervals, "v", closed=closed).collect()
+    assert sorted((r.band, r.n) for r in counts) == sorted((b, sum(holds(v, lo, hi) for v in values)) for b, lo, hi in bands)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert joins.interval_lookup(rows.filter("id < 0"), intervals, "v").count() == 0
+    assert {r.n for r in joins.interval_counts(rows.filter("id < 0"), intervals, "v").collect()} == {0}
+
+
+def test_extract_tells_empty_from_missing_groups(spark):
+    df = spark.createDataFrame([("b",), ("ab",), ("xxb ab",), ("z",), (None,), ("aab",), ("c",)], "t string")
+    got = [(r.t, r.one, r.two) for r in text.extract(df, "t", r"(a?)b|(?i:(C))", ["one", "two"]).collect()]
+    assert got == [("b", "", None), ("ab", "a", None), ("xxb ab", "", None), ("z", None, None), (None, None, None), ("aab", "a", None), ("c", None, "c")]
+
+
+def test_buckets_count_from_the_first_day_like_pandas(spark):
+    times = pd.to_datetime(["2024-01-02 03:10", "2024-01-02 09:00", "2024-01-05 23:59", "2024-01-06 00:00"])
+    frame = pd.DataFrame({"ts": times, "g": ["a", "a", "b", "b"], "v": [1.0, 2.0, 3.0, 4.0]})
+    df = spark.createDataFrame([(str(t), g, v) for t, g, v in zip(times, frame.g, frame.v)], "s string, g string, v double")
+    df = df.select(F.col("s").cast("timestamp_ntz").alias("ts"), "g", "v")
+    for freq in ("7h", "2D", "5h", "6h", "50min"):
+        for origin in ("start_day", "start", "epoch"):
+            got = timeseries.resample(df, "ts", freq, {"v": ("sum", "v")}, origin=origin).orderBy("bucket").collect()
+            want = frame.set_index("ts")["v"].resample(freq, origin=origin).sum()
+            assert [(r.bucket, r.v) for r in got] == [(t.to_pydatetime(), v) for t, v in want.items()]
+        got = timeseries.resample(df, "ts", freq, {"v": ("sum", "v")}, by="g").orderBy("g", "bucket").collect()
+        for g, part in frame.groupby("g"):
+            want = part.set_index("ts")["v"].resample(freq).sum()
+            assert [(r.bucket, r.v) for r in got if r.g == g] == [(t.to_pydatetime(), v) for t, v in want.items()]
+    given = timeseries.resample(df, "ts", "7h", {"v": ("count", "v")}, origin="2024-01-02T01:00:00").agg(F.min("bucket")).first()[0]
+    assert str(given) == "2024-01-02 01:00:00"
