@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import SPACES, cut_lineage, fresh, text_or_empty
+from .common import cut_lineage, fresh, text_or_empty
 
 # A passage of at least so many words is deleted where it repeats an earlier one.
 MIN_WORDS = 50
@@ -33,7 +35,9 @@ def _spans(df: DataFrame, column: str, out: str, length: int, both) -> DataFrame
 
 def _hashed(df: DataFrame) -> DataFrame:
     """With ``h``, the hashes of the words, instead of the text."""
-    words = F.filter(F.split("text", SPACES), lambda w: w != "")
+    # A pattern of one plain character is split without a regular expression.
+    text = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.col("text"))
+    words = F.array_remove(F.split(text, " "), "")
     return df.withColumn("h", F.transform(words, lambda w: F.xxhash64(w))).drop("text")
 
 

@@ -134,10 +134,11 @@ def mix_sources(
     weights: tuple[float, ...] = WEIGHTS,
     most: int = MOST,
     seed: int = SEED,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``df``: the words that the mix takes of it.
 
-    Returns ``id_col``, size (words), source, source_size, target and taken. Every document
+    Returns ``id_col`` (and ``row_col``, a number of the caller's for each row), size (words), source, source_size, target and taken. Every document
     of a source is taken ``target // source_size - 1`` times (0 at least); for the remaining
     budget the source's histogram of exact sizes goes through :func:`choose_counts`, and of
     each size the documents that come first in a seeded order are taken once more. Documents are
@@ -158,7 +159,7 @@ def mix_sources(
             F.col(f"`{source_col}`").cast("string").alias("source"),
             word_count(text).alias("size"),
             F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), text).alias("draw"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.monotonically_increasing_id() if row_col is None else F.col(f"`{row_col}`")).alias("row"),
         )
     )
     sizes = slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
@@ -200,6 +201,7 @@ def mix_sources(
     once_more = F.expr("extra DIV n") + (F.col("place") + F.coalesce(F.col("offset"), F.lit(0)) <= extra % n).cast("bigint")
     return joined.select(
         F.col("d.id").alias(id_col),
+        *([] if row_col is None else [F.col("d.row").alias(row_col)]),
         "d.size",
         F.col("d.source").alias("source"),
         "source_size",

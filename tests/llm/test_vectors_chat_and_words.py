@@ -403,3 +403,33 @@ def test_index_finds_every_near_word_once(words, asked):
         ends = lambda a, b: not exact or b.endswith(a[len(a) - exact :]) and one_apart(a[: len(a) - exact], b[: len(b) - exact])
         want = sorted((a, b) for a in kept for b in words if len(b) >= len(a) and one_apart(a, b) and ends(a, b))
         assert got == want
+
+
+# Pipeline stages ------------------------------------------------------------------------------
+
+
+def test_mixing_stage_keeps_the_weights_of_rows_without_id(spark, folder):
+    import corpus_pipeline
+
+    rows = [(None, " ".join(["word"] * (1 + (i * 7 + s) % 9)), "en", source, 5) for s, source in enumerate("abc") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("row", F.lit("x"))
+    out = corpus_pipeline.mixing(spark, docs, folder)
+    assert out.columns == docs.columns
+    words = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    sizes = {s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in "abc"}
+    total = sum(sizes.values())
+    # Weights 5, 2 and 1 share all words; no target is above three times its source.
+    assert abs(words["a"] - total * 5 / 8) <= 10 and abs(words["b"] - total * 2 / 8) <= 10 and abs(words["c"] - total / 8) <= 10
+    assert corpus_pipeline.mixing(spark, docs.limit(0), folder).count() == 0
+
+
+def test_line_dedup_stage_on_every_kind_of_white_space(spark, folder):
+    import corpus_pipeline
+
+    passage = [f"passage{i}" for i in range(55)]
+    first = " ".join(passage)
+    again = "own start " + "".join(w + "\t\n\x0b\x0c\r "[i % 6] for i, w in enumerate(passage)) + "own end"
+    docs = spark.createDataFrame([(1, first, 9), (2, again, 9), (3, first, 9), (4, "  ", 9)], "doc_id long, text string, n_chars long")
+    out = {r["doc_id"]: r["text"].split() for r in corpus_pipeline.line_dedup(spark, docs, folder).collect()}
+    assert out[1] == passage and 3 not in out and out[4] == []
+    assert not set(out[2]) & set(passage[4:-4]) and out[2][:2] == ["own", "start"] and out[2][-2:] == ["own", "end"]
