@@ -31,7 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines go, and documents of which nothing is left by that."""
-    cut = drop_repeated_lines(docs)
+    # Written, or the filter below would be planned into every expression that makes the text.
+    cut = cut_lineage(drop_repeated_lines(docs))
     deleted = F.col(cut.columns[-1])
     left = cut.filter((deleted == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     text_length = F.when(deleted > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
@@ -53,12 +54,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time that the mix takes a document; documents that it does not take go.
 
-    Rows that share an id, or have none, are taken as often as the one of them taken most.
+    The mix is made of rows, so rows that share an id, or have none, are taken each on its own.
     """
-    mixed, times, turn = fresh(docs, "mixed_id", "times", "turn")
-    taken = mix_sources(docs).filter("taken > 0").groupBy(F.col("doc_id").alias(mixed))
-    taken = taken.agg(F.max(F.col("taken") / F.col("size")).cast("int").alias(times))
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(mixed)))
+    row, times, turn = fresh(docs, "row", "times", "turn")
+    # Written, so that rows keep their numbers in both places where they are used.
+    numbered = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+    mixed = mix_sources(numbered, row_col=row).filter("taken > 0")
+    taken = mixed.select(row, (F.col("taken") / F.col("size")).cast("int").alias(times))
+    rows = numbered.join(taken, row)
     return rows.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
 
 
