@@ -14,6 +14,12 @@ from ..plans.lineage import cut_lineage
 from ..plans.ordering import ROW_BITS, with_running
 
 
+# A key of more rows on a side that Spark cannot split is joined apart from the others; there
+# are at most so many of them, the most frequent ones.
+HOT_JOIN_ROWS = 1_000_000
+HOT_JOIN_KEYS = 256
+
+
 def merge(
     left: DataFrame,
     right: DataFrame,
@@ -33,11 +39,14 @@ def merge(
     1:1, 1:m, m:1 or m:m and is checked by grouped counts (an action).
     ``indicator`` names a column holding left_only, right_only or both.
 
-    Spark can split a hot key at run time only on the side an outer join preserves.
-    So a left (right, outer) join is an inner join, whose two sides can both be
-    split, plus the rows without partner, unless ``validate`` proves the other
-    side's keys unique.
+    Spark can split a hot key at run time only on the side an outer join preserves. So a
+    sketch of the other side's keys (of both sides for an outer join), unless ``validate``
+    proves them unique, names keys that may have more than HOT_JOIN_ROWS rows, at most
+    HOT_JOIN_KEYS. All other rows take the plain outer join; those of hot keys an inner join,
+    whose two sides can both be split, plus the rows without partner.
     """
+    if how not in ("inner", "left", "right", "outer"):
+        raise ValueError(f"unknown join {how}")
     keys_l, keys_r = as_list(left_on if on is None else on), as_list(right_on if on is None else on)
     if validate:
         _check(left, keys_l, validate.split(":")[0], "left")
@@ -47,20 +56,18 @@ def merge(
     clash = (set(left.columns) & set(right.columns)) - shared
     out_l = {c: c + suffixes[0] if c in clash else c for c in left.columns}
     out_r = {c: c + suffixes[1] if c in clash else c for c in right.columns}
-    side_l = left.select(*[F.col(c).alias(f"_l_{c}") for c in left.columns])
-    side_r = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
-    pairs = [(F.col(f"_l_{a}"), F.col(f"_r_{b}")) for a, b in zip(keys_l, keys_r)]
+    here = F.lit(True)
+    side_l = left.select(*[F.col(c).alias(f"_l_{c}") for c in left.columns], here.alias("_in_l"))
+    side_r = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns], here.alias("_in_r"))
+    names_l, names_r = [f"_l_{k}" for k in keys_l], [f"_r_{k}" for k in keys_r]
+    types = [(side_l.schema[a].dataType, side_r.schema[b].dataType) for a, b in zip(names_l, names_r)]
+    pairs = [(F.col(a), F.col(b)) for a, b in zip(names_l, names_r)]
     match = all_of([a.eqNullSafe(b) if nulls_match else a == b for a, b in pairs])
 
-    def shaped(joined: DataFrame, seen: str) -> DataFrame:
+    def shaped(joined: DataFrame) -> DataFrame:
         have = set(joined.columns)
-        types = {f"_l_{f.name}": f.dataType for f in left.schema} | {
-            f"_r_{f.name}": f.dataType for f in right.schema
-        }
-
-        def get(name: str) -> Column:
-            return F.col(name) if name in have else F.lit(None).cast(types[name])
-
+        known = {f.name: f.dataType for side in (side_l, side_r) for f in side.schema}
+        get = lambda name: F.col(name) if name in have else F.lit(None).cast(known[name])
         cols = []
         for c in left.columns:
             value = get(f"_l_{c}")
@@ -69,24 +76,55 @@ def merge(
             cols.append(value.alias(out_l[c]))
         cols += [get(f"_r_{c}").alias(out_r[c]) for c in right.columns if c not in shared]
         if indicator:
-            cols.append(F.lit(seen).alias(indicator))
+            alone = F.when(get("_in_l").isNull(), "right_only").when(get("_in_r").isNull(), "left_only")
+            cols.append(alone.otherwise("both").alias(indicator))
         return joined.select(*cols)
 
-    left_unique = bool(validate) and validate.startswith("1")
-    right_unique = bool(validate) and validate.endswith("1")
-    if not indicator and how == "left" and right_unique:
-        return shaped(side_l.join(side_r, match, "left"), "")
-    if not indicator and how == "right" and left_unique:
-        return shaped(side_l.join(side_r, match, "right"), "")
-
-    out = shaped(side_l.join(side_r, match, "inner"), "both")
-    if how in ("left", "outer"):
-        partners = side_r.select(*[f"_r_{k}" for k in keys_r]).distinct()
-        out = out.unionByName(shaped(side_l.join(partners, match, "left_anti"), "left_only"))
-    if how in ("right", "outer"):
-        partners = side_l.select(*[f"_l_{k}" for k in keys_l]).distinct()
-        out = out.unionByName(shaped(side_r.join(partners, match, "left_anti"), "right_only"))
-    return out
+    def parted_join(rows_l: DataFrame, rows_r: DataFrame) -> DataFrame:
+        out = shaped(rows_l.join(rows_r, match, "inner"))
+        if how in ("left", "outer"):
+            out = out.unionByName(shaped(rows_l.join(rows_r.select(*names_r).distinct(), match, "left_anti")))
+        if how in ("right", "outer"):
+            out = out.unionByName(shaped(rows_r.join(rows_l.select(*names_l).distinct(), match, "left_anti")))
+        return out
+
+    hashed = {"l": _key_hash(names_l, [a if a == b else None for a, b in types]), "r": _key_hash(names_r, [b if a == b else None for a, b in types])}
+    hot: set[int] = set()
+    if how in ("left", "outer") and not (validate or "").endswith("1"):
+        hot |= _hot_hashes(side_r, hashed["r"])
+    if how in ("right", "outer") and not (validate or "").startswith("1"):
+        hot |= _hot_hashes(side_l, hashed["l"])
+    if not hot:
+        return shaped(side_l.join(side_r, match, "full" if how == "outer" else how))
+    cold_l, hot_l = (side_l.filter(c) for c in (~hashed["l"].isin(*hot), hashed["l"].isin(*hot)))
+    cold_r, hot_r = (side_r.filter(c) for c in (~hashed["r"].isin(*hot), hashed["r"].isin(*hot)))
+    cold = shaped(cold_l.join(cold_r, match, "full" if how == "outer" else how))
+    return cold.unionByName(parted_join(hot_l, hot_r))
+
+
+def _key_hash(names: Sequence[str], types: Sequence[T.DataType | None]) -> Column:
+    """The same number for equal keys on both sides; keys of different types count as text of
+    doubles, and zeros as one."""
+
+    def plain(name: str, kind: T.DataType | None) -> Column:
+        c = F.col(name)
+        if kind is None:
+            c = F.coalesce(c.try_cast("double").cast("string"), c.cast("string"))
+            return F.when(c == "-0.0", "0.0").otherwise(c)
+        return c + F.lit(0.0).cast(kind) if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else c
+
+    return F.xxhash64(*[plain(n, t) for n, t in zip(names, types)])
+
+
+def _hot_hashes(df: DataFrame, hashed: Column) -> set[int]:
+    """Hashes of keys that may have more than HOT_JOIN_ROWS rows, from one scan of the keys.
+
+    The sketch counts too many rather than too few, and misses no key with a larger share of the
+    rows than one of its counters has.
+    """
+    top = F.expr(f"approx_top_k(_key_hash, {HOT_JOIN_KEYS}, {64 * HOT_JOIN_KEYS})")
+    found = df.select(hashed.alias("_key_hash")).agg(top.alias("top")).first()["top"] or []
+    return {r["item"] for r in found if r["count"] > HOT_JOIN_ROWS}
 
 
 def _check(df: DataFrame, keys: Sequence[str], side: str, name: str) -> None:

@@ -5,16 +5,16 @@ from pyspark.sql import functions as F
 from ..operators import joins
 from .registry import query, rnd
 
+# Keys moved by 40 leave rows without partner on both sides.
 _SIDES = """
-    WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'),
-    c AS (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+    WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders),
+    c AS (SELECT c_custkey + 40 AS c_custkey, c_name FROM customer)
 """
 
 
 def _sides(t):
-    o = t.orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
-    c = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey", "c_name")
-    return o, c
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    return o, t.customer.select((F.col("c_custkey") + 40).alias("c_custkey"), "c_name")
 
 
 def _merged(t, how, **more):
@@ -47,19 +47,18 @@ def merge_outer(t):
 
 @query(
     """
-    WITH f AS (SELECT o_custkey, round(sum(o_totalprice), 2) AS total, count(*) AS n FROM orders
-               WHERE o_orderstatus = 'F' GROUP BY 1),
-    p AS (SELECT o_custkey, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
-    SELECT o_custkey, f.total AS total_f, n, p.total AS total_p FROM f JOIN p USING (o_custkey)
+    WITH f AS (SELECT o_custkey AS key, round(sum(o_totalprice), 2) AS total, count(*) AS n FROM orders GROUP BY 1),
+    p AS (SELECT l_orderkey AS key, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY 1)
+    SELECT key, f.total AS total_f, n, p.total AS total_p FROM f JOIN p USING (key)
     """
 )
 def merge_with_suffixes(t):
-    def totals(status, *more):
-        of_status = t.orders.filter(F.col("o_orderstatus") == status)
-        return of_status.groupBy("o_custkey").agg(rnd(F.sum("o_totalprice"), 2).alias("total"), *more)
+    def totals(rows, key, price, *more):
+        return rows.groupBy(F.col(key).alias("key")).agg(rnd(F.sum(price), 2).alias("total"), *more)
 
-    full, part = totals("F", F.count(F.lit(1)).alias("n")), totals("P")
-    return joins.merge(full, part, on="o_custkey", suffixes=("_f", "_p"), validate="1:1")
+    full = totals(t.orders, "o_custkey", "o_totalprice", F.count(F.lit(1)).alias("n"))
+    part = totals(t.lineitem, "l_orderkey", "l_extendedprice")
+    return joins.merge(full, part, on="key", suffixes=("_f", "_p"), validate="1:1")
 
 
 @query(
@@ -88,7 +87,7 @@ def merge_with_indicator(t):
     """
     WITH e AS (SELECT CASE WHEN event_type <> 'error' THEN user_id END AS who, event_type, value FROM events),
     a AS (SELECT who, count(*) AS n FROM e GROUP BY 1),
-    b AS (SELECT who, max(value) AS top FROM e WHERE value > 20 GROUP BY 1)
+    b AS (SELECT CASE WHEN who % 2 = 0 THEN who END AS who, max(value) AS top FROM e GROUP BY 1)
     SELECT a.who, n, top FROM a LEFT JOIN b ON a.who IS NOT DISTINCT FROM b.who
     """
 )
@@ -96,7 +95,8 @@ def merge_matching_null_keys(t):
     who = F.when(F.col("event_type") != "error", F.col("user_id")).alias("who")
     e = t.events.select(who, "value")
     a = e.groupBy("who").agg(F.count(F.lit(1)).alias("n"))
-    b = e.filter("value > 20").groupBy("who").agg(F.max("value").alias("top"))
+    even = F.when(F.col("who") % 2 == 0, F.col("who")).alias("who")
+    b = e.groupBy(even).agg(F.max("value").alias("top"))
     return joins.merge(a, b, on="who", how="left", nulls_match=True)
 
 

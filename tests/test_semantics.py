@@ -665,3 +665,35 @@ def test_buckets_count_from_the_first_day_like_pandas(spark):
             assert [(r.bucket, r.v) for r in got if r.g == g] == [(t.to_pydatetime(), v) for t, v in want.items()]
     given = timeseries.resample(df, "ts", "7h", {"v": ("count", "v")}, origin="2024-01-02T01:00:00").agg(F.min("bucket")).first()[0]
     assert str(given) == "2024-01-02 01:00:00"
+
+
+@pytest.mark.parametrize("hot_rows", [0, 3, 1_000_000])  # only hot keys, some, none
+@pytest.mark.parametrize("how", ["left", "right", "outer"])
+@pytest.mark.parametrize("nulls_match", [False, True])
+def test_outer_joins_with_hot_keys(spark, how, hot_rows, nulls_match, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_JOIN_ROWS", hot_rows)
+    a = [(k, i) for i, k in enumerate([1, 1, 1, 1, 1, 2, 3, None, None, None, None, 9, 0])]
+    b = [(k, i) for i, k in enumerate([1, 1, 2, 4, 4, 4, 4, None, None, 0])]
+    left, right = spark.createDataFrame(a, "k long, x int"), spark.createDataFrame(b, "k long, y int")
+    same = lambda p, q: p == q if p is not None and q is not None else nulls_match and p is q
+    want = [(k, x, y, "both") for k, x in a for j, y in b if same(k, j)]
+    if how != "right":
+        want += [(k, x, None, "left_only") for k, x in a if not any(same(k, j) for j, _ in b)]
+    if how != "left":
+        want += [(k, None, y, "right_only") for k, y in b if not any(same(k, j) for j, _ in a)]
+    got = joins.merge(left, right, "k", how, indicator="side", nulls_match=nulls_match)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    other = joins.merge(left, right.withColumn("k", F.col("k").cast("double")), "k", how, nulls_match=nulls_match)
+    assert sorted((r.x, r.y) for r in other.fillna(-1).collect()) == sorted((-1 if x is None else x, -1 if y is None else y) for _, x, y, _ in want)
+
+
+def test_zeros_of_either_sign_are_one_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_JOIN_ROWS", 1)
+    left = spark.createDataFrame([(0.0, 1), (-0.0, 2), (1.0, 3)], "k double, x int")
+    right = spark.createDataFrame([(-0.0, 1), (0.0, 2), (0.0, 3)], "k double, y int")
+    assert joins.merge(left, right, "k", "outer").count() == 7
+
+
+def test_outer_join_without_hot_keys_reads_each_table_once(spark):
+    plan = joins.merge(spark.range(50), spark.range(20, 90), "id", "outer", indicator="side")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 2 and plan.count("Join FullOuter") == 1
