@@ -13,6 +13,8 @@ from .words import chunks, hash_spans, mix, running_hash, runs
 
 # Rows that lexicons and scorer are fitted on, at most (in expectation: rows are drawn by hash).
 SAMPLE_ROWS = 10_000
+# Text looked at together: a view of it takes many times its bytes.
+VIEW_BYTES = 500_000
 THRESHOLD = 0.5
 SEED = 11
 
@@ -281,7 +283,7 @@ def fit_scorer(
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at, to, data, ends in chunks(batch["text"]):
+        for at, to, data, ends in chunks(batch["text"], VIEW_BYTES):
             view = _View(data, ends)
             edges = np.cumsum(view.counts)[:-1]
             yield pa.RecordBatch.from_arrays(
@@ -298,7 +300,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _voted(lexicons: list[Lexicon]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, ends in chunks(batch["text"]):
+            for _, _, data, ends in chunks(batch["text"], VIEW_BYTES):
                 view = _View(data, ends)
                 toxic = _code(toxic_votes(view.insults, view.features, view.text_of, lexicons))
                 yield pa.RecordBatch.from_arrays([pa.array(_code(view.shape_votes())), pa.array(toxic)], names=["shape", "toxic"])
@@ -331,7 +333,7 @@ def _scored(model: LabelModel, lexicons: list[Lexicon], number: np.ndarray, weig
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, data, ends in chunks(batch.column(batch.num_columns - 1)):
+            for at, to, data, ends in chunks(batch.column(batch.num_columns - 1), VIEW_BYTES):
                 view = _View(data, ends)
                 shape, toxic = view.shape_votes(), toxic_votes(view.insults, view.features, view.text_of, lexicons)
                 known = _among(view.features, number)
