@@ -52,6 +52,9 @@ HEADLINE = [
     "rolling_two_days",
     "rolling_hours_whole_table",
     "rolling_200_rows_by_group",
+    "rolling_day_quantiles_whole_table",
+    "resample_seven_hours",
+    "interval_lookup_with_open_ends",
     "expanding_statistics",
     "folds_by_group",
     "batch_plan",
