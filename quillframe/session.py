@@ -30,12 +30,15 @@ def local_session(cores: int | str = "*", app: str = "quillframe", **conf: str)
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting it is a folder below the warehouse, which all executors share too.
+    Without that setting a local session takes a folder below the warehouse; on a cluster that
+    may be a folder of the driver's machine alone, so there it is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(shared)
