@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import micros
@@ -175,18 +173,6 @@ def _closed_ends(closed: str) -> tuple[bool, bool]:
     return closed in ("left", "both"), closed in ("right", "both")
 
 
-def _overlapped(least: list[float], most: list[float]) -> Callable[..., Column]:
-    """Numbers of the first and the last of the ascending ranges that an interval overlaps."""
-
-    @F.pandas_udf("array<int>")
-    def overlapped(low: pd.Series, high: pd.Series) -> pd.Series:
-        first = np.searchsorted(np.array(most), low.fillna(-np.inf), "left")
-        last = np.searchsorted(np.array(least), high.fillna(np.inf), "right") - 1
-        return pd.Series(list(map(list, zip(first, last))))
-
-    return overlapped
-
-
 def interval_lookup(
     df: DataFrame, intervals: DataFrame, col: str, lo: str = "lo", hi: str = "hi", closed: str = "right"
 ) -> DataFrame:
@@ -212,13 +198,14 @@ def interval_lookup(
         return df.join(intervals, F.lit(False))
     sized = intervals.withColumns({"_low": measure(F.col(lo)), "_high": measure(F.col(hi))})
     sized = sized.filter(F.coalesce(F.col("_low") <= F.col("_high"), F.lit(True)))
-    if len(edges) == 1:
-        sized = sized.withColumn("_number", F.lit(0))
-    else:
-        overlapped = _overlapped([r["_least"] for r in edges], [r["_most"] for r in edges])
-        sized = cut_lineage(sized.withColumn("_span", overlapped("_low", "_high")))  # a Python function, run once
-        first, last = F.col("_span")[0], F.col("_span")[1]
-        sized = sized.filter(first <= last).withColumn("_number", F.explode(F.sequence(first, last))).drop("_span")
+    # Ranges that end before the interval come first, those that begin after it last.
+    bounds = {c: F.array(*[F.lit(r[c]) for r in edges]) for c in ("_least", "_most")}
+    first = F.coalesce(F.size(F.filter(bounds["_most"], lambda x: x < F.col("_low"))), F.lit(0))
+    last = F.coalesce(F.size(F.filter(bounds["_least"], lambda x: x <= F.col("_high"))), F.lit(len(edges))) - 1
+    first = F.when(F.col("_low").isNull(), 0).otherwise(first)
+    last = F.when(F.col("_high").isNull(), len(edges) - 1).otherwise(last)
+    sized = sized.withColumns({"_first": first, "_last": last}).filter(F.col("_first") <= F.col("_last"))
+    sized = sized.withColumn("_number", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
     numbered = [(i, r["_range"], r["_least"], r["_most"]) for i, r in enumerate(edges)]
     ranges = df.sparkSession.createDataFrame(numbered, "_number int, _range int, _least double, _most double")
     sized = sized.join(ranges, "_number").drop("_number")
