@@ -14,31 +14,41 @@ MIN_WORDS = 50
 RAGGED_WORDS = 4
 # A token is a word with the white space before it.
 TOKEN = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
-_AT = 24  # bits of a word's place in an anchor
+_AT = (1 << 24) - 1  # bits of a word's place beside its hash
+_ARITY = 4  # spans that one pass joins
 
 
 def _text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _spans(df: DataFrame, column: str, out: str, length: int, both) -> DataFrame:
-    """``out``: for each element of ``column``, ``both`` folded over ``length`` elements from it on, by doubling."""
+def _spans(df: DataFrame, column: str, out: str, length: int, join) -> DataFrame:
+    """``out``: for each element of ``column``, ``join`` over ``length`` elements from it on, in few passes."""
     names, done = (f"{out}_a", f"{out}_b"), 1
     df = df.withColumn(names[0], F.col(column))
     while done < length:
-        step = min(done, length - done)  # spans may overlap
         a, b = names
-        df = df.withColumn(b, F.transform(a, lambda x, i: both(x, F.get(F.col(a), i + step)))).drop(a)  # noqa: B023
-        done, names = done + step, (b, a)
+        reach = min(done * _ARITY, length)
+        steps = sorted({min(k * done, reach - done) for k in range(1, _ARITY)})  # spans may overlap
+        df = df.withColumn(b, F.transform(a, lambda x, i: join(x, *[F.get(F.col(a), i + k) for k in steps]))).drop(a)  # noqa: B023
+        done, names = reach, (b, a)
     return df.withColumnRenamed(names[0], out)
 
 
-def _hashed(df: DataFrame) -> DataFrame:
-    """With ``h``, the hashes of the words, instead of the text."""
+def _with_spans(df: DataFrame, min_words: int, span: int) -> DataFrame:
+    """With ``n``, the number of words, and ``g``, the hashes of the spans from each word on (shorter at the end); no text."""
     # A pattern of one plain character is split without a regular expression.
     text = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.col("text"))
     words = F.array_remove(F.split(text, " "), "")
-    return df.withColumn("h", F.transform(words, lambda w: F.xxhash64(w))).drop("text")
+    hashed = df.withColumn("h", F.transform(words, lambda w: F.xxhash64(w))).drop("text")
+    hashed = hashed.withColumn("n", F.size("h")).filter(F.col("n") >= min_words)
+    return _spans(hashed, "h", "g", span, F.xxhash64).drop("h")
+
+
+def _cover(start: Column, length: int, span: int) -> list[Column]:
+    """Hashes of spans that cover ``length`` words from ``start`` on, none beyond them."""
+    steps = sorted({min(k, length - span) for k in range(0, length, span)}) if length > span else [0]
+    return [F.get("g", start + k) for k in steps]
 
 
 def _clip(at: Column, before: int) -> Column:
@@ -51,54 +61,45 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A word goes if it lies in a window of ``min_words`` words that is equal, word for word, to
     an earlier one (smallest id, null last, then word); lines play no part. Exact:
 
-    1. Every window has an anchor: of the spans of half as many words in it, the first with
+    1. Every window has an anchor: of the spans of a third as many words in it, the first with
        the smallest hash. Equal windows have equal anchors at the same distance, and
-       neighbouring windows mostly share theirs, so about one word in 13 is an anchor.
+       neighbouring windows mostly share theirs, so about one word in 18 is an anchor. Only
+       anchors whose hash occurs at several places go on.
     2. The context of an anchor is all windows that may have it. Of places with equal contexts
        the first stays and all others go.
     3. Where contexts around equal anchors differ, their first places list their windows, which
        meet by content; again all but the first go.
 
-    Every place meets the first one only, so work grows with the number of places, not of
-    pairs; of every word the first copy stays.
+    Contexts and windows are compared by the hashes of the spans that cover them. Every place
+    meets the first one only, so work grows with the number of places, not of pairs; of every
+    word the first copy stays.
     """
-    span = max(1, min_words // 2)
+    span = max(1, min_words // 3)
     wide = min_words - span  # windows reach so far beyond an anchor on either side
     texts = df.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
     texts = texts.withColumn("text_key", _text_key(F.col("text")))
-    hashed = _hashed(texts).filter(F.size("h") >= min_words)
-    spans = _spans(hashed, "h", "g", span, lambda x, y: F.xxhash64(x, y))
-    coded = F.transform("g", lambda x, i: F.shiftleft(F.shiftright(x, _AT), _AT).bitwiseOR(i.cast("bigint") % (1 << _AT)))
-    least = _spans(spans.withColumn("g", coded), "g", "least", wide + 1, lambda x, y: F.least(x, y))
-    windows = F.transform(F.slice("least", 1, F.size("h") - min_words + 1), lambda x, j: F.struct(x.alias("x"), (j + F.pmod(x - j, F.lit(1 << _AT))).alias("at")))
-    found = least.select("id", "text_key", "h", F.array_distinct(windows).alias("anchors"))
-    context = lambda h, at: F.slice(h, _clip(at, wide).cast("int") + 1, (at - _clip(at, wide)).cast("int") + span + wide)
-    anchors = found.select(
-        "id",
-        "text_key",
-        F.size("h").alias("n"),
-        F.explode(
-            F.transform(
-                "anchors",
-                lambda a: F.struct(
-                    F.shiftright(a["x"], _AT).alias("print"),
-                    a["at"].cast("int").alias("at"),
-                    # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
-                    F.xxhash64(F.least(a["at"], F.lit(wide)), context(F.col("h"), a["at"])).alias("context"),
-                ),
-            )
-        ).alias("a"),
-    )
-    anchors = cut_lineage(
-        anchors.select(
-            "id",
-            "text_key",
-            F.col("a.at").alias("at"),
-            F.least(F.col("a.at") + span + wide, F.col("n")).cast("int").alias("end"),
-            F.col("a.print").alias("print"),
-            F.col("a.context").alias("context"),
-        )
-    )
+    spans = _with_spans(texts, min_words, span)
+    mask = F.lit(_AT)
+    coded = F.transform("g", lambda x, i: x.bitwiseAND(F.lit(~_AT).cast("bigint")).bitwiseOR(i.bitwiseAND(mask).cast("bigint")))
+    least = _spans(spans.withColumn("coded", coded), "coded", "least", wide + 1, F.least)
+    # The place in the text is the first one from the window's first word on with these bits.
+    place = lambda x, j: j + (x.bitwiseAND(mask).cast("int") - j).bitwiseAND(mask)
+    windows = F.slice("least", 1, F.col("n") - min_words + 1)
+    found = least.withColumn("ats", F.array_distinct(F.transform(windows, place))).select("id", "text_key", "n", "g", "ats")
+
+    def anchor(at: Column) -> Column:
+        # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
+        # There, spans from the start on reach into the anchor, and so hold nothing else.
+        left = [F.get("g", _clip(at, k)) for k in sorted({*range(span, wide, span), wide}, reverse=True)]
+        context = F.xxhash64(F.least(at, F.lit(wide)), *left, *_cover(at, span + wide, span))
+        return F.struct(at.alias("at"), F.least(at + span + wide, F.col("n")).alias("end"), F.get("g", at).alias("print"), context.alias("context"))
+
+    anchors = found.select("id", "text_key", F.explode(F.transform("ats", anchor)).alias("a")).select("id", "text_key", "a.*")
+    anchors = cut_lineage(anchors)
+
+    where = F.xxhash64("id", "text_key", "at")
+    several = anchors.groupBy("print").agg(F.min(where).alias("a"), F.max(where).alias("b")).filter("a <> b").select("print")
+    anchors = cut_lineage(anchors.join(several, "print"))
 
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_key", "at")
     groups = anchors.groupBy("print", "context").agg(F.min(order).alias("first"), F.max(order).alias("last"))
@@ -111,10 +112,11 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "print")).alias("anchors"))
     renamed = listed.select(F.col("id").alias("o_id"), F.col("text_key").alias("o_key"), "anchors")
     again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
-    places = _hashed(again).dropDuplicates(["id", "text_key"]).select("id", "text_key", "h", F.explode("anchors").alias("a"))
-    starts = F.sequence(_clip(F.col("a.at"), wide), F.least(F.col("a.at"), F.size("h") - min_words))
-    content = lambda j: F.struct(j.cast("int").alias("at"), F.xxhash64(F.slice("h", j.cast("int") + 1, min_words)).alias("content"))
-    parts = places.select("id", "text_key", F.col("a.print").alias("print"), F.explode(F.transform(starts, content)).alias("w"))
+    content = lambda j: F.struct(j.alias("at"), F.xxhash64(*_cover(j, min_words, span)).alias("content"))
+    starts = lambda a: F.sequence(_clip(a["at"], wide), F.least(a["at"], F.col("n") - min_words))
+    listing = F.transform("anchors", lambda a: F.struct(a["print"].alias("print"), F.transform(starts(a), content).alias("w")))
+    parts = _with_spans(again, min_words, span).dropDuplicates(["id", "text_key"]).select("id", "text_key", F.explode(listing).alias("p"))
+    parts = parts.select("id", "text_key", F.col("p.print").alias("print"), F.explode("p.w").alias("w"))
     parts = cut_lineage(parts.select("id", "text_key", "print", "w.at", "w.content"))
     earliest = parts.groupBy("print", "content").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
     part = parts.join(earliest.select("print", "content", "first"), ["print", "content"]).filter(order != F.col("first"))
