@@ -67,8 +67,9 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
        anchors whose hash occurs at several places go on.
     2. The context of an anchor is all windows that may have it. Of places with equal contexts
        the first stays and all others go.
-    3. Where contexts around equal anchors differ, their first places list their windows, which
-       meet by content; again all but the first go.
+    3. Where contexts around equal anchors differ, a window holds half of what it has beyond the
+       anchor on the left or on the right. First places that share such a half with another list
+       the windows that hold it, which meet by content; again all but the first go.
 
     Contexts and windows are compared by the hashes of the spans that cover them. Every place
     meets the first one only, so work grows with the number of places, not of pairs; of every
@@ -76,6 +77,8 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     span = max(1, min_words // 3)
     wide = min_words - span  # windows reach so far beyond an anchor on either side
+    half = (wide + 1) // 2  # and so far to the left, or ``rest`` to the right
+    rest = wide - half + 1
     texts = df.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
     texts = texts.withColumn("text_key", _text_key(F.col("text")))
     spans = _with_spans(texts, min_words, span)
@@ -92,9 +95,19 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # There, spans from the start on reach into the anchor, and so hold nothing else.
         left = [F.get("g", _clip(at, k)) for k in sorted({*range(span, wide, span), wide}, reverse=True)]
         context = F.xxhash64(F.least(at, F.lit(wide)), *left, *_cover(at, span + wide, span))
-        return F.struct(at.alias("at"), F.least(at + span + wide, F.col("n")).alias("end"), F.get("g", at).alias("print"), context.alias("context"))
+        before = F.when(at >= half, F.hash(*_cover(at - half, half, span)))
+        behind = F.when(at + span + rest <= F.col("n"), F.hash(*_cover(at + span, rest, span)))
+        return F.struct(
+            at.alias("at"),
+            F.least(at + span + wide, F.col("n")).alias("end"),
+            F.get("g", at).alias("print"),
+            context.alias("context"),
+            before.alias("before"),
+            behind.alias("behind"),
+        )
 
-    anchors = found.select("id", "text_key", F.explode(F.transform("ats", anchor)).alias("a")).select("id", "text_key", "a.*")
+    # An inner explode would have its array computed once more by a filter for empty ones; here none is.
+    anchors = found.select("id", "text_key", F.explode_outer(F.transform("ats", anchor)).alias("a")).select("id", "text_key", "a.*")
     anchors = cut_lineage(anchors)
 
     where = F.xxhash64("id", "text_key", "at")
@@ -102,21 +115,27 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     anchors = cut_lineage(anchors.join(several, "print"))
 
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_key", "at")
-    groups = anchors.groupBy("print", "context").agg(F.min(order).alias("first"), F.max(order).alias("last"))
+    groups = anchors.groupBy("print", "context").agg(
+        F.min(order).alias("first"), F.max(order).alias("last"), F.min("before").alias("before"), F.min("behind").alias("behind")
+    )
     groups = cut_lineage(groups.withColumn("several", F.col("first") != F.col("last")))
     copies = anchors.join(groups.filter("several").select("print", "context", "first"), ["print", "context"])
     whole = copies.filter(order != F.col("first")).select("id", "text_key", _clip(F.col("at"), wide).alias("from"), (F.col("end") - 1).alias("to"))
 
-    mixed = groups.groupBy("print").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").select("print")
-    firsts = groups.join(mixed, "print", "left_semi").select("first.*", "print")
-    listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "print")).alias("anchors"))
+    sides = F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("before").alias("beside")), F.struct(F.lit(False).alias("left"), F.col("behind").alias("beside"))))
+    sided = groups.select("print", "context", "first", sides.alias("s")).select("print", "context", "first", "s.*").filter("beside IS NOT NULL")
+    shared = sided.groupBy("print", "left", "beside").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1").drop("contexts")
+    firsts = sided.join(shared, ["print", "left", "beside"], "left_semi").select("first.*", "print", "left")
+    listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "print", "left")).alias("anchors"))
     renamed = listed.select(F.col("id").alias("o_id"), F.col("text_key").alias("o_key"), "anchors")
     again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
     content = lambda j: F.struct(j.alias("at"), F.xxhash64(*_cover(j, min_words, span)).alias("content"))
-    starts = lambda a: F.sequence(_clip(a["at"], wide), F.least(a["at"], F.col("n") - min_words))
+    start = lambda a: F.when(a["left"], _clip(a["at"], wide)).otherwise(_clip(a["at"], half - 1))
+    stop = lambda a: F.least(F.when(a["left"], a["at"] - half).otherwise(a["at"]), F.col("n") - min_words)
+    starts = lambda a: F.when(start(a) <= stop(a), F.sequence(start(a), stop(a)))
     listing = F.transform("anchors", lambda a: F.struct(a["print"].alias("print"), F.transform(starts(a), content).alias("w")))
-    parts = _with_spans(again, min_words, span).dropDuplicates(["id", "text_key"]).select("id", "text_key", F.explode(listing).alias("p"))
-    parts = parts.select("id", "text_key", F.col("p.print").alias("print"), F.explode("p.w").alias("w"))
+    parts = _with_spans(again, min_words, span).dropDuplicates(["id", "text_key"]).select("id", "text_key", F.explode_outer(listing).alias("p"))
+    parts = parts.select("id", "text_key", F.col("p.print").alias("print"), F.explode_outer("p.w").alias("w")).filter("w IS NOT NULL")
     parts = cut_lineage(parts.select("id", "text_key", "print", "w.at", "w.content"))
     earliest = parts.groupBy("print", "content").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
     part = parts.join(earliest.select("print", "content", "first"), ["print", "content"]).filter(order != F.col("first"))
