@@ -1,12 +1,19 @@
-"""Deleting repeated passages, found by winnowing (DataFrame functions only)."""
+"""Deleting repeated passages, found by winnowing.
+
+Words are hashed in Arrow batches; everything between texts is done with DataFrame functions.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut_lineage, fresh, text_or_empty
+from .words import Spans, chunks, mix
 
 # A passage of at least so many words is deleted where it repeats an earlier one.
 MIN_WORDS = 50
@@ -14,41 +21,113 @@ MIN_WORDS = 50
 RAGGED_WORDS = 4
 # A token is a word with the white space before it.
 TOKEN = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
-_AT = (1 << 24) - 1  # bits of a word's place beside its hash
-_ARITY = 4  # spans that one pass joins
+# Text hashed at once; a longer document is handled alone.
+CHUNK_BYTES = 1_000_000
+_AT = np.uint64((1 << 24) - 1)  # bits of a word's place beside its hash
 
 
 def _text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _spans(df: DataFrame, column: str, out: str, length: int, join) -> DataFrame:
-    """``out``: for each element of ``column``, ``join`` over ``length`` elements from it on, in few passes."""
-    names, done = (f"{out}_a", f"{out}_b"), 1
-    df = df.withColumn(names[0], F.col(column))
-    while done < length:
-        a, b = names
-        reach = min(done * _ARITY, length)
-        steps = sorted({min(k * done, reach - done) for k in range(1, _ARITY)})  # spans may overlap
-        df = df.withColumn(b, F.transform(a, lambda x, i: join(x, *[F.get(F.col(a), i + k) for k in steps]))).drop(a)  # noqa: B023
-        done, names = reach, (b, a)
-    return df.withColumnRenamed(names[0], out)
-
-
-def _with_spans(df: DataFrame, min_words: int, span: int) -> DataFrame:
-    """With ``n``, the number of words, and ``g``, the hashes of the spans from each word on (shorter at the end); no text."""
-    # A pattern of one plain character is split without a regular expression.
-    text = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.col("text"))
-    words = F.array_remove(F.split(text, " "), "")
-    hashed = df.withColumn("h", F.transform(words, lambda w: F.xxhash64(w))).drop("text")
-    hashed = hashed.withColumn("n", F.size("h")).filter(F.col("n") >= min_words)
-    return _spans(hashed, "h", "g", span, F.xxhash64).drop("h")
-
-
-def _cover(start: Column, length: int, span: int) -> list[Column]:
-    """Hashes of spans that cover ``length`` words from ``start`` on, none beyond them."""
-    steps = sorted({min(k, length - span) for k in range(0, length, span)}) if length > span else [0]
-    return [F.get("g", start + k) for k in steps]
+def _numbers(values: np.ndarray, known: np.ndarray | None = None) -> pa.Array:
+    """Hashes as signed numbers, null where not ``known``."""
+    return pa.array(values.view(np.int64), mask=None if known is None else ~known)
+
+
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """For each element but the last, the least of ``width`` elements from it on."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values, done = np.minimum(values[:-step], values[step:]), done + step
+    return values
+
+
+class _Shape:
+    """The lengths that follow from that of a window."""
+
+    def __init__(self, min_words: int):
+        self.window = min_words
+        self.span = max(1, min_words // 3)
+        self.wide = min_words - self.span  # windows reach so far beyond an anchor on either side
+        self.half = (self.wide + 1) // 2  # and so far to the left, or ``rest`` to the right
+        self.rest = self.wide - self.half + 1
+
+
+def _anchors(shape: _Shape):
+    """Anchors of each text's windows, with their hash, that of their context and those of its halves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, _, data, ends in chunks(batch["text"], CHUNK_BYTES):
+                spans = Spans(data, ends)
+                last = np.repeat(spans.firsts + spans.counts, spans.counts)  # the word after each word's text
+                words = len(last)
+                if words < shape.window:
+                    continue
+                j = np.arange(words - shape.span + 1)
+                prints = spans.hash(j, j + shape.span)
+                # Of equal hashes the first: its place stands in the lower bits.
+                least = _least((prints & ~_AT) | (j.astype(np.uint64) & _AT), shape.wide + 1)
+                j = np.flatnonzero(last[: len(least)] - np.arange(len(least)) >= shape.window)
+                place = np.unique(j + (((least[j] & _AT).astype(np.int64) - j) & int(_AT)))
+                text = np.searchsorted(spans.firsts + spans.counts, place, "right")
+                first, end = spans.firsts[text], last[place]
+                left, right = np.maximum(first, place - shape.wide), np.minimum(end, place + shape.span + shape.wide)
+                # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
+                context = mix(spans.hash(left, right) + (place - left).astype(np.uint64))
+                start, stop = place - shape.half, place + shape.span + shape.rest
+                has_left, has_right = start >= first, stop <= end
+                before = spans.hash(np.where(has_left, start, place), place)
+                behind = spans.hash(place + shape.span, np.where(has_right, stop, place + shape.span))
+                rows = pa.array(at + text)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["id"].take(rows),
+                        batch["text_key"].take(rows),
+                        pa.array(place - first, pa.int32()),
+                        pa.array(right - place, pa.int32()),
+                        _numbers(prints[place]),
+                        _numbers(context),
+                        _numbers(before, has_left),
+                        _numbers(behind, has_right),
+                    ],
+                    names=["id", "text_key", "at", "reach", "print", "context", "before", "behind"],
+                )
+
+    return run
+
+
+def _windows(shape: _Shape):
+    """The windows that hold the named half of the context of a text's listed anchors, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, data, ends in chunks(batch["text"], CHUNK_BYTES):
+                spans = Spans(data, ends)
+                listed = batch["anchors"].slice(at, to - at)
+                text = np.repeat(np.arange(to - at), pc.list_value_length(listed).to_numpy())
+                flat = listed.flatten()
+                place, left = (pc.struct_field(flat, k).to_numpy(zero_copy_only=False) for k in (0, 1))
+                start = np.maximum(place - np.where(left, shape.wide, shape.half - 1), 0)
+                stop = np.minimum(np.where(left, place - shape.half, place), spans.counts[text] - shape.window)
+                many = np.maximum(stop - start + 1, 0)
+                own = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                j = np.unique(np.repeat(spans.firsts[text] + start, many) + own)
+                text = np.searchsorted(spans.firsts + spans.counts, j, "right")
+                rows = pa.array(at + text)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["id"].take(rows),
+                        batch["text_key"].take(rows),
+                        pa.array(j - spans.firsts[text], pa.int32()),
+                        _numbers(spans.hash(j, j + shape.window)),
+                    ],
+                    names=["id", "text_key", "at", "content"],
+                )
+
+    return run
 
 
 def _clip(at: Column, before: int) -> Column:
@@ -71,43 +150,16 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
        anchor on the left or on the right. First places that share such a half with another list
        the windows that hold it, which meet by content; again all but the first go.
 
-    Contexts and windows are compared by the hashes of the spans that cover them. Every place
-    meets the first one only, so work grows with the number of places, not of pairs; of every
-    word the first copy stays.
+    Contexts and windows are compared by 64-bit hashes. Every place meets the first one only,
+    so work grows with the number of places, not of pairs; of every word the first copy stays.
     """
-    span = max(1, min_words // 3)
-    wide = min_words - span  # windows reach so far beyond an anchor on either side
-    half = (wide + 1) // 2  # and so far to the left, or ``rest`` to the right
-    rest = wide - half + 1
+    shape = _Shape(min_words)
     texts = df.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
     texts = texts.withColumn("text_key", _text_key(F.col("text")))
-    spans = _with_spans(texts, min_words, span)
-    mask = F.lit(_AT)
-    coded = F.transform("g", lambda x, i: x.bitwiseAND(F.lit(~_AT).cast("bigint")).bitwiseOR(i.bitwiseAND(mask).cast("bigint")))
-    least = _spans(spans.withColumn("coded", coded), "coded", "least", wide + 1, F.least)
-    # The place in the text is the first one from the window's first word on with these bits.
-    place = lambda x, j: j + (x.bitwiseAND(mask).cast("int") - j).bitwiseAND(mask)
-    windows = F.slice("least", 1, F.col("n") - min_words + 1)
-    found = least.withColumn("ats", F.array_distinct(F.transform(windows, place))).select("id", "text_key", "n", "g", "ats")
-
-    def anchor(at: Column) -> Column:
-        # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
-        # There, spans from the start on reach into the anchor, and so hold nothing else.
-        left = [F.get("g", _clip(at, k)) for k in sorted({*range(span, wide, span), wide}, reverse=True)]
-        context = F.xxhash64(F.least(at, F.lit(wide)), *left, *_cover(at, span + wide, span))
-        before = F.when(at >= half, F.hash(*_cover(at - half, half, span)))
-        behind = F.when(at + span + rest <= F.col("n"), F.hash(*_cover(at + span, rest, span)))
-        return F.struct(
-            at.alias("at"),
-            F.least(at + span + wide, F.col("n")).alias("end"),
-            F.get("g", at).alias("print"),
-            context.alias("context"),
-            before.alias("before"),
-            behind.alias("behind"),
-        )
-
-    # An inner explode would have its array computed once more by a filter for empty ones; here none is.
-    anchors = found.select("id", "text_key", F.explode_outer(F.transform("ats", anchor)).alias("a")).select("id", "text_key", "a.*")
+    kind = texts.schema["id"].dataType.simpleString()
+    anchors = texts.mapInArrow(
+        _anchors(shape), f"id {kind}, text_key long, at int, reach int, print long, context long, before long, behind long"
+    )
     anchors = cut_lineage(anchors)
 
     where = F.xxhash64("id", "text_key", "at")
@@ -120,25 +172,19 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     groups = cut_lineage(groups.withColumn("several", F.col("first") != F.col("last")))
     copies = anchors.join(groups.filter("several").select("print", "context", "first"), ["print", "context"])
-    whole = copies.filter(order != F.col("first")).select("id", "text_key", _clip(F.col("at"), wide).alias("from"), (F.col("end") - 1).alias("to"))
+    whole = copies.filter(order != F.col("first")).select("id", "text_key", _clip(F.col("at"), shape.wide).alias("from"), (F.col("at") + F.col("reach") - 1).alias("to"))
 
     sides = F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("before").alias("beside")), F.struct(F.lit(False).alias("left"), F.col("behind").alias("beside"))))
     sided = groups.select("print", "context", "first", sides.alias("s")).select("print", "context", "first", "s.*").filter("beside IS NOT NULL")
     shared = sided.groupBy("print", "left", "beside").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1").drop("contexts")
-    firsts = sided.join(shared, ["print", "left", "beside"], "left_semi").select("first.*", "print", "left")
-    listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "print", "left")).alias("anchors"))
+    firsts = sided.join(shared, ["print", "left", "beside"], "left_semi").select("first.*", "left")
+    listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "left")).alias("anchors"))
     renamed = listed.select(F.col("id").alias("o_id"), F.col("text_key").alias("o_key"), "anchors")
     again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
-    content = lambda j: F.struct(j.alias("at"), F.xxhash64(*_cover(j, min_words, span)).alias("content"))
-    start = lambda a: F.when(a["left"], _clip(a["at"], wide)).otherwise(_clip(a["at"], half - 1))
-    stop = lambda a: F.least(F.when(a["left"], a["at"] - half).otherwise(a["at"]), F.col("n") - min_words)
-    starts = lambda a: F.when(start(a) <= stop(a), F.sequence(start(a), stop(a)))
-    listing = F.transform("anchors", lambda a: F.struct(a["print"].alias("print"), F.transform(starts(a), content).alias("w")))
-    parts = _with_spans(again, min_words, span).dropDuplicates(["id", "text_key"]).select("id", "text_key", F.explode_outer(listing).alias("p"))
-    parts = parts.select("id", "text_key", F.col("p.print").alias("print"), F.explode_outer("p.w").alias("w")).filter("w IS NOT NULL")
-    parts = cut_lineage(parts.select("id", "text_key", "print", "w.at", "w.content"))
-    earliest = parts.groupBy("print", "content").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
-    part = parts.join(earliest.select("print", "content", "first"), ["print", "content"]).filter(order != F.col("first"))
+    parts = again.select("id", "text_key", "text", "anchors").mapInArrow(_windows(shape), f"id {kind}, text_key long, at int, content long")
+    parts = cut_lineage(parts)
+    earliest = parts.groupBy("content").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
+    part = parts.join(earliest.select("content", "first"), "content").filter(order != F.col("first"))
     ranges = whole.unionByName(part.select("id", "text_key", F.col("at").alias("from"), (F.col("at") + min_words - 1).alias("to")))
 
     of_text = Window.partitionBy("id", "text_key").orderBy("from", "to")

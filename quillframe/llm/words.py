@@ -77,9 +77,9 @@ def runs(data: np.ndarray, ends: np.ndarray, parts: np.ndarray = _SPACE) -> tupl
     return starts, stops, np.diff(np.searchsorted(starts, edges))
 
 
-def running_hash(data: np.ndarray) -> np.ndarray:
-    """Sums from which :func:`hash_spans` takes the hash of any span of the bytes."""
-    return np.cumsum(_BYTE[_LOWER[data]] * _tables(len(data))[0])
+def running_hash(data: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Sums from which :func:`hash_spans` takes the hash of any span of the bytes, with ``fold`` of A-Z as a-z."""
+    return np.cumsum(_BYTE[_LOWER[data] if fold else data] * _tables(len(data))[0])
 
 
 def hash_spans(summed: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -118,6 +118,22 @@ def chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[in
         at = to
 
 
+class Spans:
+    """Hashes of spans of words, case and all: as many steps for a long span as for a short one."""
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray):
+        starts, stops, self.counts = runs(data, ends)
+        words = hash_spans(running_hash(data, fold=False), starts, stops) if len(starts) else np.zeros(0, np.uint64)
+        self.firsts = np.cumsum(self.counts) - self.counts
+        up, self._down = _tables(len(words) + 1)
+        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up[1:])])
+
+    def hash(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Of the words from ``start`` up to, not with, ``stop``; numbers count through all texts."""
+        length = (stop - start).astype(np.uint64)
+        return mix((self._sums[stop] - self._sums[start]) * self._down[start] + length)
+
+
 def word_hash(word: str) -> int:
     """The hash of one word, for tests."""
     data = np.frombuffer(word.encode(), np.uint8)
