@@ -163,14 +163,16 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     anchors = cut_lineage(anchors)
 
     where = F.xxhash64("id", "text_key", "at")
-    several = anchors.groupBy("print").agg(F.min(where).alias("a"), F.max(where).alias("b")).filter("a <> b").select("print")
+    # Two hashes of places tell, in less room than two places, whether there are several.
+    places = [F.min(where).alias("a"), F.max(where).alias("b")]
+    several = anchors.groupBy("print").agg(*places).filter("a <> b").select("print")
     anchors = cut_lineage(anchors.join(several, "print"))
 
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_key", "at")
     groups = anchors.groupBy("print", "context").agg(
-        F.min(order).alias("first"), F.max(order).alias("last"), F.min("before").alias("before"), F.min("behind").alias("behind")
+        F.min(order).alias("first"), *places, F.min("before").alias("before"), F.min("behind").alias("behind")
     )
-    groups = cut_lineage(groups.withColumn("several", F.col("first") != F.col("last")))
+    groups = cut_lineage(groups.withColumn("several", F.col("a") != F.col("b")).drop("a", "b"))
     copies = anchors.join(groups.filter("several").select("print", "context", "first"), ["print", "context"])
     whole = copies.filter(order != F.col("first")).select("id", "text_key", _clip(F.col("at"), shape.wide).alias("from"), (F.col("at") + F.col("reach") - 1).alias("to"))
 
@@ -183,7 +185,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
     parts = again.select("id", "text_key", "text", "anchors").mapInArrow(_windows(shape), f"id {kind}, text_key long, at int, content long")
     parts = cut_lineage(parts)
-    earliest = parts.groupBy("content").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
+    earliest = parts.groupBy("content").agg(F.min(order).alias("first"), *places).filter("a <> b")
     part = parts.join(earliest.select("content", "first"), "content").filter(order != F.col("first"))
     ranges = whole.unionByName(part.select("id", "text_key", F.col("at").alias("from"), (F.col("at") + min_words - 1).alias("to")))
 
