@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 from .common import cut_lineage, fresh, text_or_empty
 from .words import chunks, hash_spans, mix, running_hash, runs
 
-# Rows that lexicons and scorer are fitted on, at most (in expectation: rows are drawn by hash).
+# Rows that the scorer, and labelled rows that the lexicons, are fitted on, at most.
 SAMPLE_ROWS = 10_000
 # Text looked at together: a view of it takes many times its bytes.
 VIEW_BYTES = 500_000
 THRESHOLD = 0.5
 SEED = 11
+_PLACES = (1 << 63) - 1
 
 # Insults, and common short words of four languages.
 INSULTS = (
@@ -347,6 +348,13 @@ def _scored(model: LabelModel, lexicons: list[Lexicon], number: np.ndarray, weig
     return run
 
 
+def _fewest(df: DataFrame, rows: int) -> DataFrame:
+    """id and text of at most ``rows`` distinct rows, those with the smallest places."""
+    distinct = df.groupBy("place").agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    kept = distinct.select("place").orderBy("place").limit(rows)
+    return distinct.join(F.broadcast(kept), "place").select("id", "text")
+
+
 def quality_scores(
     df: DataFrame,
     labels: DataFrame | None = None,
@@ -358,12 +366,12 @@ def quality_scores(
 ) -> DataFrame:
     """One row per row of ``df``: posterior and score of being bad, and whether it is kept.
 
-    Labellers look at shape (SHAPES) and at toxicity (TOXIC). Of the latter, three use a
-    lexicon of words and beginnings that mark the toxic rows of ``labels`` (id_col, toxic)
-    within a sample of at most ``sample_rows`` rows; without labels they abstain. The votes of
-    all rows, as counts of distinct vote rows, go through EM (:func:`fit_label_model`); the
-    posterior of the sample trains the scorer, and the score of the whole text decides: kept
-    where it is below ``threshold``.
+    Labellers look at shape (SHAPES) and at toxicity (TOXIC). Of the latter, four use a
+    lexicon of words and beginnings that mark the toxic ones among at most ``sample_rows`` rows
+    with ``labels`` (id_col, toxic); without labels they abstain. The votes of all rows, as
+    counts of distinct vote rows, go through EM (:func:`fit_label_model`); the posterior of at
+    most ``sample_rows`` distinct rows, drawn by hash, trains the scorer, and the score of the
+    whole text decides: kept where it is below ``threshold``.
 
     Returns ``id_col``, the columns named in ``carry``, posterior, score and kept (by a longer
     name where a carried column has that name). Null and
@@ -372,17 +380,23 @@ def quality_scores(
     table gives an empty result.
     """
     text = text_or_empty(text_col).alias("text")
-    rows = df.count()
     ident = F.col(f"`{id_col}`").cast("bigint").alias("id")
-    drawn = F.pmod(F.xxhash64(F.lit(SEED), F.col(f"`{id_col}`"), text_or_empty(text_col)), F.lit(1_000_000))
-    part = df.filter(drawn < int(1_000_000 * min(1.0, sample_rows / max(1, rows))))
-    sample = cut_lineage(part.select(ident, text).mapInArrow(_sampled, "id long, shape long, insults long, features binary"))
+    seen = "id long, shape long, insults long, features binary"
+    share = min(1.0, 1.5 * sample_rows / max(1, df.count()))  # more than are wanted, so that enough are drawn
+    place = F.xxhash64(F.lit(SEED), ident, text).alias("place")
+    near = df.select(ident, text, place).filter(F.col("place").bitwiseAND(F.lit(_PLACES)) <= F.lit(min(_PLACES, int(_PLACES * share))))
+    sample = cut_lineage(_fewest(near, sample_rows).mapInArrow(_sampled, seen))
 
     lexicons: list[Lexicon] = [(np.zeros(0, np.uint64), np.zeros(0))] * (len(TOXIC) - 1)
     if labels is not None:
         known = labels.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col("toxic").cast("int").alias("toxic"))
         known = known.filter("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
-        found = sample.join(known, "id").groupBy(F.lit(0).alias("all")).applyInArrow(_lexicon_task, "value binary, ratio binary, at int").collect()
+        # The ids are bounded before the texts are looked up: their side of the join is small.
+        drawn = known.withColumn("place", F.xxhash64(F.lit(SEED), "id")).orderBy("place", "id").limit(sample_rows).drop("place")
+        labelled = df.select(ident, text, place).join(F.broadcast(drawn.select("id")), "id")
+        labelled = _fewest(labelled, sample_rows).mapInArrow(_sampled, seen)
+        marked = labelled.join(F.broadcast(drawn), "id").groupBy(F.lit(0).alias("all"))
+        found = marked.applyInArrow(_lexicon_task, "value binary, ratio binary, at int").collect()
         if found:
             lexicons = [(np.frombuffer(r["value"], np.uint64), np.frombuffer(r["ratio"])) for r in sorted(found, key=lambda r: r["at"])]
     votes = df.select(text).mapInArrow(_voted(lexicons), "shape long, toxic long").groupBy("shape", "toxic").count()
