@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..plans.groups import as_list, attach, largest_group, not_null, scalar_of
 from ..plans.ordering import Order, sort_columns, with_group_position
 from ..plans.quantiles import group_quantiles, quantile_name
+from .mergeable import FAN_IN, Mergeable, group_merged
 
 # Spark keeps only the first n rows per group before the shuffle up to this n.
 GROUP_LIMIT_ROWS = 1000
@@ -230,13 +231,19 @@ def group_transform(df: DataFrame, by, col: str, wanted: dict[str, str]) -> Data
 
 
 def group_custom(
-    df: DataFrame, by, wanted: dict[str, tuple[Callable[[pd.Series], float], str]], largest: int = 1_000_000
+    df: DataFrame, by, wanted: dict[str, tuple[Callable[[pd.Series], float] | Mergeable, str]], largest: int = 1_000_000
 ) -> DataFrame:
     """Own aggregate functions: new name -> (function of a Series to a number, column).
 
-    Such a function sees a group's values at once, so groups above ``largest`` rows are
-    refused; :func:`group_apply` with ``merge`` works on slices of them."""
+    A :class:`Mergeable` function takes groups of any size. A plain one sees a group's values
+    at once, so groups above ``largest`` rows are refused; :func:`group_apply` with ``merge``
+    works on slices of them. All functions of a call are of one sort."""
     by = as_list(by)
+    parts = [isinstance(fn, Mergeable) for fn, _ in wanted.values()]
+    if any(parts):
+        if not all(parts):
+            raise ValueError("mergeable and plain functions take calls of their own")
+        return group_merged(df, by, wanted)
     df = not_null(df, by)
     top = largest_group(df, by)
     if top > largest:
@@ -266,8 +273,9 @@ def group_apply(
     A function that must see a whole group can only run where the group fits into
     one worker; a group above ``largest`` rows is refused instead of failing there.
     For such data give ``merge``: ``fn`` then sees slices of about ``slice_rows`` rows
-    of a group (split by a hash of ``slice_key``) and ``merge`` the stacked results of
-    all slices of one group. Both results have ``schema``, which includes the keys.
+    of a group (split by a hash of ``slice_key``) and ``merge`` the stacked results of at
+    most about ``FAN_IN`` slices of one group, in rounds, so it must not matter which are
+    merged first. Both results have ``schema``, which includes the keys.
     """
     by = as_list(by)
     df = not_null(df, by)
@@ -278,13 +286,21 @@ def group_apply(
         return _spread(df, by).groupBy(*by).applyInPandas(fn, schema)
     slices = max(1, -(-top // slice_rows))
     cut = df.withColumn("_slice", F.pmod(F.xxhash64(slice_key), F.lit(slices)))
+    numbered = T.StructType([*(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)]).add("_slice", T.LongType())
 
-    def one_slice(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(pdf.drop(columns="_slice"))
+    def within(work: Callable[[pd.DataFrame], pd.DataFrame]):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            return work(pdf.drop(columns="_slice")).assign(_slice=pdf["_slice"].iloc[0])
+
+        return run
 
     keys = [*by, "_slice"]
-    partial = _spread(cut, keys).groupBy(*keys).applyInPandas(one_slice, schema)
-    return partial.groupBy(*by).applyInPandas(merge, schema)
+    partial = _spread(cut, keys).groupBy(*keys).applyInPandas(within(fn), numbered)
+    while slices > FAN_IN:
+        slices = -(-slices // FAN_IN)
+        partial = partial.withColumn("_slice", F.pmod("_slice", F.lit(slices)))
+        partial = partial.groupBy(*keys).applyInPandas(within(merge), numbered)
+    return partial.drop("_slice").groupBy(*by).applyInPandas(merge, schema)
 
 
 def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:

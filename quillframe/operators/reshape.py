@@ -1,8 +1,8 @@
 """Wide and long tables, cross tables, one-hot columns and codes.
 
-Every distinct value of a pivoted column becomes a column, so those values must be
-few; when they are not given they are read by one query and checked against
-``MAX_COLUMNS``.
+In the wide forms every distinct value of a pivoted column becomes a column, so those values
+must be few; when they are not given they are read by one query and checked against
+``MAX_COLUMNS``. :func:`pivot_sparse` has no such bound.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.groups import as_list, attach, not_null, scalar_of
 from ..plans.ordering import Order, key_names, with_position
@@ -23,7 +23,7 @@ def column_values(df: DataFrame, col: str) -> list:
     found = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(MAX_COLUMNS + 1)
     values = sorted(r[0] for r in found.collect())
     if len(values) > MAX_COLUMNS:
-        raise ValueError(f"{col} has more than {MAX_COLUMNS} values")
+        raise ValueError(f"{col} has more than {MAX_COLUMNS} values; use pivot_sparse")
     return values
 
 
@@ -56,6 +56,38 @@ def pivot_table(
     return wide if fill_value is None else wide.na.fill(fill_value, [str(c) for c in categories])
 
 
+def pivot_sparse(
+    df: DataFrame, index, columns: str, values: str, aggfunc: str = "mean", block: int | None = None
+) -> DataFrame:
+    """:func:`pivot_table` over any number of values: index, ``labels`` and ``cells``.
+
+    Both are arrays, ascending by label, that hold the cells with rows only (a cell of nulls
+    is a null); null labels make no cell. No value is known when the plan is built. With
+    ``block``, for index values that have more cells than a row should hold, a row has the
+    labels of one hash block out of ``block`` and their number in ``block``."""
+    index = as_list(index)
+    cells = not_null(df, [*index, columns]).groupBy(*index, columns).agg(_FUNCTIONS[aggfunc](values).alias("_v"))
+    keys = list(index)
+    if block is not None:
+        cells = cells.withColumn("block", F.pmod(F.xxhash64(columns), F.lit(block)))
+        keys.append("block")
+    entries = F.array_sort(F.collect_list(F.struct(F.col(columns).alias("label"), F.col("_v").alias("cell"))))
+    rows = cells.groupBy(*keys).agg(entries.alias("_e"))
+    return rows.select(*keys, F.col("_e.label").alias("labels"), F.col("_e.cell").alias("cells"))
+
+
+def sparse_columns(sparse: DataFrame, categories: Sequence, fill_value: Any = None) -> DataFrame:
+    """The wide form of :func:`pivot_sparse` for the given categories only."""
+    keys = [c for c in sparse.columns if c not in ("labels", "cells")]
+
+    def cell(c: Any) -> Column:
+        at = F.array_position("labels", F.lit(c)).cast("int")
+        value = F.when(at > 0, F.get("cells", at - 1))
+        return (value if fill_value is None else F.coalesce(value, F.lit(fill_value))).alias(str(c))
+
+    return sparse.select(*keys, *[cell(c) for c in categories])
+
+
 def pivot_table_margins(
     df: DataFrame,
     index: str,

@@ -1,10 +1,12 @@
 """Whole-table and grouped aggregation."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.numeric import natural_log
 from ..operators import aggregate as agg
+from ..operators.mergeable import Mergeable
 from .registry import GAPS, query, rnd, with_gaps
 
 
@@ -227,6 +229,36 @@ def custom_aggregate(t):
     return out.withColumn("deviation", rnd("deviation", 6))
 
 
+_GEOMETRIC = Mergeable(
+    update=lambda values: {"n": len(values), "logs": float(np.log(values).sum())},
+    merge=lambda states: {"n": int(states["n"].sum()), "logs": float(states["logs"].sum())},
+    finish=lambda state: float(np.exp(state["logs"] / state["n"])) if state["n"] else None,
+    state="n long, logs double",
+)
+_RANGE = Mergeable(
+    update=lambda values: {"low": values.min(), "high": values.max()},
+    merge=lambda states: {"low": states["low"].min(), "high": states["high"].max()},
+    finish=lambda state: state["high"] - state["low"],
+    state="low double, high double",
+)
+
+
+@query(
+    """
+    SELECT l_returnflag, round(exp(avg(ln(l_extendedprice))), 3) AS geometric, max(l_quantity) - min(l_quantity) AS spread
+    FROM lineitem GROUP BY 1
+    """
+)
+def custom_aggregate_of_any_size(t):
+    wanted = {"geometric": (_GEOMETRIC, "l_extendedprice"), "spread": (_RANGE, "l_quantity")}
+    return agg.group_custom(t.lineitem, "l_returnflag", wanted).withColumn("geometric", rnd("geometric", 3))
+
+
+@query("SELECT round(exp(avg(ln(o_totalprice))), 3) AS geometric FROM orders")
+def custom_aggregate_of_table(t):
+    return agg.group_custom(t.orders, [], {"geometric": (_GEOMETRIC, "o_totalprice")}).select(rnd("geometric", 3).alias("geometric"))
+
+
 def _spread(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(
         {"user_id": [pdf["user_id"].iloc[0]], "low": [pdf["value"].min()], "high": [pdf["value"].max()]}

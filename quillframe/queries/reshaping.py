@@ -146,3 +146,29 @@ def codes_by_first_appearance(t):
 @query(_KIND + "SELECT kind, code FROM f")
 def table_of_codes(t):
     return reshape.factorize(_kinds(t), "kind", "event_id")[1]
+
+
+@query(
+    """
+    WITH c AS (SELECT l_suppkey, l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS v FROM lineitem GROUP BY ALL)
+    SELECT l_suppkey, count(*) AS n, string_agg(l_orderkey || '=' || v, ' ' ORDER BY l_orderkey) AS cells FROM c GROUP BY 1
+    """
+)
+def pivot_over_any_number_of_values(t):
+    """A column for each order, of which there are as many as the table has."""
+    sparse = reshape.pivot_sparse(t.lineitem, "l_suppkey", "l_orderkey", "l_quantity", "sum")
+    cell = F.zip_with("labels", "cells", lambda k, v: F.concat_ws("=", k.cast("string"), v.cast("long").cast("string")))
+    return sparse.select("l_suppkey", F.size("labels").cast("long").alias("n"), F.array_join(cell, " ").alias("cells"))
+
+
+@query(
+    """
+    SELECT o_custkey, coalesce(round(sum(o_totalprice) FILTER (o_orderstatus = 'F'), 2), 0) AS "F",
+           coalesce(round(sum(o_totalprice) FILTER (o_orderstatus = 'O'), 2), 0) AS "O"
+    FROM orders GROUP BY 1
+    """
+)
+def pivot_sparse_to_columns(t):
+    sparse = reshape.pivot_sparse(t.orders, "o_custkey", "o_orderstatus", "o_totalprice", "sum")
+    wide = reshape.sparse_columns(sparse, ["F", "O"], fill_value=0.0)
+    return wide.select("o_custkey", rnd("F", 2).alias("F"), rnd("O", 2).alias("O"))

@@ -697,3 +697,67 @@ def test_zeros_of_either_sign_are_one_hot_key(spark, monkeypatch):
 def test_outer_join_without_hot_keys_reads_each_table_once(spark):
     plan = joins.merge(spark.range(50), spark.range(20, 90), "id", "outer", indicator="side")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range (") == 2 and plan.count("Join FullOuter") == 1
+
+
+# ---------------------------------------------------------------- own aggregates in parts, sparse pivots
+
+
+def _mean_in_parts():
+    return aggregate.Mergeable(
+        update=lambda v: {"n": len(v), "total": float(v.sum())},
+        merge=lambda s: {"n": int(s["n"].sum()), "total": float(s["total"].sum())},
+        finish=lambda s: s["total"] / s["n"] if s["n"] else None,
+        state="n long, total double",
+    )
+
+
+def test_group_custom_in_parts_takes_any_group(spark, monkeypatch):
+    from quillframe.operators import mergeable
+
+    monkeypatch.setattr(mergeable, "FAN_IN", 3)  # several rounds of merging
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        df = spark.range(3000).select(
+            F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 10 == 8, "cold").alias("g"),
+            F.when(F.col("id") % 3 > 0, F.col("id").cast("double")).alias("v"),
+        )
+        df = df.unionByName(spark.createDataFrame([("none", None)], "g string, v double"))
+        got = {r["g"]: r["m"] for r in aggregate.group_custom(df, "g", {"m": (_mean_in_parts(), "v")}, largest=1).collect()}
+        want = {r["g"]: r["m"] for r in df.filter("g IS NOT NULL").groupBy("g").agg(F.avg("v").alias("m")).collect()}
+        assert set(got) == {"hot", "cold", "none"} and got["none"] is None
+        assert all(abs(got[g] - want[g]) < 1e-9 for g in ("hot", "cold"))
+        whole = aggregate.group_custom(df, [], {"m": (_mean_in_parts(), "v")}).first()["m"]
+        assert abs(whole - df.agg(F.avg("v")).first()[0]) < 1e-9
+        assert aggregate.group_custom(df.limit(0), "g", {"m": (_mean_in_parts(), "v")}).count() == 0
+        assert aggregate.group_custom(df.limit(0), [], {"m": (_mean_in_parts(), "v")}).count() == 0
+        with pytest.raises(ValueError):
+            aggregate.group_custom(df, "g", {"m": (_mean_in_parts(), "v"), "n": (len, "v")})
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_group_apply_merges_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "FAN_IN", 2)
+    df = spark.range(200).select(F.lit("a").alias("g"), "id")
+    top = lambda pdf: pdf.nlargest(3, "id")[["g", "id"]]
+    got = aggregate.group_apply(df, "g", top, "g string, id long", merge=top, slice_key="id", slice_rows=10)
+    assert sorted(r["id"] for r in got.collect()) == [197, 198, 199]
+
+
+def test_pivot_sparse_has_no_bound_on_columns(spark):
+    from quillframe.operators import reshape
+
+    df = spark.range(20_500).select((F.col("id") % 2).alias("i"), F.col("id").alias("c"), F.col("id").alias("v"))
+    with pytest.raises(ValueError):
+        reshape.pivot_table(df, "i", "c", "v")
+    got = {r["i"]: r for r in reshape.pivot_sparse(df, "i", "c", "v", "sum").collect()}
+    assert len(got[0]["labels"]) == len(got[1]["labels"]) == 10_250
+    assert got[1]["labels"] == got[1]["cells"] == list(range(1, 20_500, 2))
+    blocks = reshape.pivot_sparse(df, "i", "c", "v", "sum", block=7).collect()
+    assert len(blocks) == 14 and sorted(x for r in blocks for x in r["labels"]) == list(range(20_500))
+    rows = spark.createDataFrame([(1, "a", 2), (1, "a", 3), (1, "b", None), (1, None, 9), (None, "a", 9), (2, "b", 4)], "i int, c string, v int")
+    sparse = reshape.pivot_sparse(rows, "i", "c", "v", "sum")
+    assert {(r["i"], *r["labels"], *r["cells"]) for r in sparse.collect()} == {(1, "a", "b", 5, None), (2, "b", 4)}
+    wide = reshape.sparse_columns(sparse, ["b", "z"], fill_value=0).collect()
+    assert {tuple(r) for r in wide} == {(1, 0, 0), (2, 4, 0)}
