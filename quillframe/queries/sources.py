@@ -51,7 +51,7 @@ def csv_with_key_columns(t):
 def corpus_of_text_files(t):
     path = t.scratch()
     io.write_corpus(t.documents, path)
-    files = io.read_corpus(t.spark, path, id_pattern=r"doc_id=(\d+)/")
+    files = io.read_corpus(t.spark, path, id_pattern=r"doc_id=(\d+)\.txt$")
     text = F.regexp_replace("text", r"\n\z", "")
     return files.select(
         F.col("doc_id").cast("long"), F.length(text).cast("long").alias("n_chars"), F.md5(text).alias("digest")

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 # The file name without its extension.
 NAME = r"([^/]*?)(?:\.[^./]*)?$"
+NOT_IN_PATHS = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def read_corpus(
@@ -20,14 +28,64 @@ def read_corpus(
 
 
 def write_corpus(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """One folder per id holding the text and a final line break.
+    """One file per id, ``<id_col>=<id>.txt``, holding the text and a final line break.
 
-    Many small files cost time per file, not per byte, so the rows are spread over a
-    fixed number of tasks instead of being packed by size."""
+    Rows that share an id share its file, in the order of their texts. Many small files cost time
+    per file and per folder, not per byte: so the rows are spread over a fixed number of tasks,
+    and each writes its files straight into one folder of its own. A file appears under its name
+    when it is whole, so a repeated task leaves what the first one did. ``path`` must be new and
+    one that all executors reach.
+    """
     spark = df.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    rows = df.select(F.col(id_col), F.col(text_col).alias("value")).repartition(tasks, id_col)
-    rows.write.partitionBy(id_col).text(path)
+    store, root = open_store(path)
+    if store.get_file_info(root).type != fs.FileType.NotFound:
+        raise FileExistsError(path)
+    rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.repartition(tasks, "id").sortWithinPartitions("id", "text")
+    store.create_dir(root, recursive=True)
+    rows.mapInArrow(_write_files(path, id_col), "files long").agg(F.sum("files")).collect()
+
+
+def open_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI; executors reach the same files by it."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[5:]
+    return fs.FileSystem.from_uri(path)
+
+
+def _write_files(path: str, id_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_store(path)
+        context = TaskContext.get()
+        folder = f"{root}/{context.partitionId():05d}"
+        hidden = f"{folder}/_{uuid.uuid4().hex}"  # no reader takes a name that begins so
+        files, current, out = 0, None, None
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                store.move(hidden, f"{folder}/{id_col}={_escaped(current)}.txt")
+
+        for batch in batches:
+            for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
+                if out is None or (key or "") != (current or ""):
+                    if out is None:
+                        store.create_dir(folder, recursive=True)
+                    close()
+                    current, out, files = key, store.open_output_stream(hidden, compression=None), files + 1
+                out.write((text or "").encode("utf-8", "surrogatepass") + b"\n")
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
+
+    return run
+
+
+def _escaped(key: str | None) -> str:
+    """An id as Spark writes it into a path."""
+    if not key:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return NOT_IN_PATHS.sub(lambda m: f"%{ord(m[0]):02X}", key)
 
 
 def attach_corpus(

@@ -329,6 +329,19 @@ def test_corpus_ids_come_from_file_names(spark, tmp_path):
     assert rows(io.read_corpus(spark, str(tmp_path))) == [("AB 12", "one\ntwo\n"), ("CD34", "né")]
 
 
+def test_corpus_is_written_as_files_in_few_folders(spark, tmp_path):
+    texts = [(f"{i}", f"text {i}\n" * 2) for i in range(60)] + [("a/b", None), ("7", "again"), (None, "no id")]
+    path = tmp_path / "corpus"
+    io.write_corpus(spark.createDataFrame(texts, "doc_id string, text string"), str(path))
+    want = {f"doc_id={i}": f"text {i}\n" * 2 + "\n" for i in range(60)}
+    want |= {"doc_id=a%2Fb": "\n", "doc_id=7": "again\ntext 7\ntext 7\n\n", "doc_id=__HIVE_DEFAULT_PARTITION__": "no id\n"}
+    assert {f.stem: f.read_text() for f in path.rglob("*.txt")} == want
+    assert dict(rows(io.read_corpus(spark, str(path)))) == want
+    assert len(list(path.iterdir())) <= 8  # a folder for each task, not for each document
+    with pytest.raises(FileExistsError):
+        io.write_corpus(spark.createDataFrame(texts, "doc_id string, text string"), str(path))
+
+
 def test_csv_keeps_quotes_and_separators(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi", you', None), (2, "b", 2.5)], "id int, s string, v double")
     io.write_csv(df, str(tmp_path / "out"))
