@@ -774,3 +774,18 @@ def test_pivot_sparse_has_no_bound_on_columns(spark):
     assert {(r["i"], *r["labels"], *r["cells"]) for r in sparse.collect()} == {(1, "a", "b", 5, None), (2, "b", 4)}
     wide = reshape.sparse_columns(sparse, ["b", "z"], fill_value=0).collect()
     assert {tuple(r) for r in wide} == {(1, 0, 0), (2, 4, 0)}
+
+
+def test_wide_intervals_are_dealt_out_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "PAIRS_PER_TASK", 500)
+    monkeypatch.setattr(joins, "LEAST_BLOCK", 16)
+    monkeypatch.setattr(joins, "LARGEST_BLOCK", 16)
+    values = [(i, None if i % 50 == 7 else float(i // 3)) for i in range(300)]
+    spans = [(k, None if k % 3 == 0 else float(k), None if k % 3 == 1 else 60.0 + k) for k in range(80)] + [(80, 5.0, 4.0)]
+    df = spark.createDataFrame(values, "id int, v double")
+    bands = spark.createDataFrame(spans, "k int, lo double, hi double")
+    got = joins.interval_lookup(df, bands, "v", closed="left")
+    want = [(i, k) for i, v in values for k, lo, hi in spans if v is not None and (lo is None or v >= lo) and (hi is None or v < hi)]
+    assert rows(got, "id", "k") == sorted(want, key=str)
+    shares = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(shares) < len(want) / 5
