@@ -20,7 +20,7 @@ from ..plans.ordering import POSITION, SEGMENT, Layout, Order, over_groups, with
 # A frame of at most so many rows is added up anew for every row; a longer one is merged.
 SHORT_FRAME = 32
 # Groups above so many rows are cut into segments for quantiles, which hold a segment in memory.
-QUANTILE_ROWS = 500_000
+QUANTILE_ROWS = 250_000
 
 _FUNCTIONS: dict[str, Callable[[str], Column]] = {
     "sum": F.sum,
@@ -288,13 +288,19 @@ def _merged_spans(df: DataFrame, by: list[str], time: str, span_us: int, work: _
 def _ranked_spans(df: DataFrame, by: list[str], time: str, span_us: int, quantiles: dict[str, dict[str, float]], least: int) -> DataFrame:
     """Groups that fit a task are worked on whole. Others are cut at times between equally many
     rows; a segment borrows the rows of one span before its cut, so a task holds a segment and
-    one frame."""
+    one frame. A frame follows from its time: only keys, times and values are sent to the tasks,
+    and each time's results join the rows."""
     at = F.col(_AT)
     timed = df.withColumn(_AT, micros(F.col(time)))
+    values = {c: f"{_VALUE}{i}" for i, c in enumerate(quantiles)}
+    sent = timed.select(*by, _AT, *[F.col(c).cast("double").alias(v) for c, v in values.items()])
+    new = [out for qs in quantiles.values() for out in qs]
 
     def ranked(rows: DataFrame, partition: list[str]) -> DataFrame:
-        rows = rows.withColumns({_KEY: at, _START: at - (span_us - 1), _END: at})
-        return _with_quantiles(rows, partition, quantiles, least)
+        schema = StructType([*rows.select(*partition, _AT).schema, *[StructField(out, DoubleType()) for out in new]])
+        asked = {values[c]: qs for c, qs in quantiles.items()}
+        found = rows.groupBy(*partition).applyInArrow(_quantiles_of_times(partition, span_us, asked, least), schema)
+        return found.select(*by, _AT, *new)
 
     def cut(rows: DataFrame) -> DataFrame:
         placed = with_position(rows, [*by, _AT])
@@ -305,15 +311,47 @@ def _ranked_spans(df: DataFrame, by: list[str], time: str, span_us: int, quantil
         home = F.array_max(F.filter("_cuts", lambda c: c <= at))
         asked = F.filter("_cuts", lambda c: (c > at) & (c < at + span_us))
         placed = placed.withColumn(_SPAN, home).withColumn(SEGMENT, F.explode(F.concat(F.array(home), F.coalesce(asked, F.array().cast("array<long>"))))).drop("_cuts")
-        return ranked(placed, [SEGMENT, *by]).filter(F.col(SEGMENT).eqNullSafe(F.col(_SPAN))).drop(SEGMENT, _SPAN)
+        return ranked(placed.withColumn(_OWN, F.col(SEGMENT).eqNullSafe(F.col(_SPAN))).drop(_SPAN), [SEGMENT, *by])
 
     if not by:
-        return cut(timed).drop(_AT)
-    hot = hot_keys(timed, by, QUANTILE_ROWS)
-    if hot is None:
-        return ranked(timed, by).drop(_AT)
-    cold_rows, hot_rows = parted(timed, hot, by)
-    return ranked(cold_rows, by).unionByName(cut(hot_rows)).drop(_AT)
+        found = cut(sent)
+    elif (hot := hot_keys(sent, by, QUANTILE_ROWS)) is None:
+        found = ranked(sent.withColumn(_OWN, F.lit(True)), by)
+    else:
+        cold_rows, hot_rows = parted(sent, hot, by)
+        found = ranked(cold_rows.withColumn(_OWN, F.lit(True)), by).unionByName(cut(hot_rows))
+    return attach(timed.drop(*new), found, [*by, _AT], null_safe=True).drop(_AT)
+
+
+def _quantiles_of_times(partition: list[str], span_us: int, asked: dict[str, dict[str, float]], least: int):
+    """For each time of a row that is ``_OWN``, once, the quantiles of columns over the span that
+    ends there; without a time, over all rows without one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        keyed = ~table[_AT].is_null().to_numpy(zero_copy_only=False)
+        own = table[_OWN].to_numpy(zero_copy_only=False).astype(bool)
+        key = table[_AT].fill_null(0).to_numpy()
+        times = np.unique(key[keyed & own])
+        order = np.lexsort((key, ~keyed))  # rows without a time at the end
+        m = int(keyed.sum())
+        key = key[order][:m]
+        start, end = np.searchsorted(key, times - (span_us - 1), "left"), np.searchsorted(key, times, "right")
+        timeless = np.zeros(len(times) + int((own & ~keyed).any()), bool)
+        if len(timeless) > len(times):
+            times, start, end = np.append(times, 0), np.append(start, m), np.append(end, len(order))
+            timeless[-1] = True
+        out = table.select(partition).take(pa.array(np.zeros(len(times), np.int64)))
+        out = out.append_column(_AT, pa.array(times, pa.int64(), mask=timeless))
+        for v, qs in asked.items():
+            known = ~table[v].is_null().to_numpy(zero_copy_only=False)
+            numbers = table[v].fill_null(0.0).to_numpy()
+            found = frame_quantiles(numbers[order], known[order], start, end, list(qs.values()), least)
+            for name, q in zip(qs, found):
+                out = out.append_column(name, pa.array(q.data, pa.float64(), mask=np.ma.getmaskarray(q)))
+        return out
+
+    return run
 
 
 def _cuts(placed: DataFrame, by: list[str], span_us: int) -> DataFrame:

@@ -11,11 +11,13 @@ class RankTree:
 
     def __init__(self, values: np.ndarray) -> None:
         self.values, ranks = np.unique(values, return_inverse=True)
+        narrow = np.int32 if len(values) < 2**31 else np.int64
+        ranks = ranks.astype(narrow)
         self.bits = max(1, int(max(len(self.values) - 1, 0)).bit_length())
         self.zeros = []  # per bit: zeros before each place
         for bit in range(self.bits - 1, -1, -1):
             one = (ranks >> bit) & 1
-            self.zeros.append(np.concatenate([[0], np.cumsum(1 - one)]))
+            self.zeros.append(np.concatenate([np.zeros(1, narrow), np.cumsum(1 - one, dtype=narrow)]))
             ranks = np.concatenate([ranks[one == 0], ranks[one == 1]])
 
     def smallest(self, start: np.ndarray, end: np.ndarray, k: np.ndarray) -> np.ndarray:

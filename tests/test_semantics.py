@@ -789,3 +789,19 @@ def test_wide_intervals_are_dealt_out_to_many_tasks(spark, monkeypatch):
     assert rows(got, "id", "k") == sorted(want, key=str)
     shares = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert max(shares) < len(want) / 5
+
+
+def test_quantiles_of_spans_send_only_numbers_to_the_tasks(spark):
+    day = dt.datetime(2024, 1, 1)
+    data = [(i, "ab"[i % 2], None if i % 17 == 0 else day + dt.timedelta(hours=i // 3), None if i % 5 == 0 else float(i * 7 % 23), "x" * 50) for i in range(120)]
+    df = spark.createDataFrame(data, "id int, k string, ts timestamp_ntz, v double, note string")
+    got = rolling.rolling_time(df, "k", "ts", 6 * 3_600_000_000, "v", {"v": "median", "high": 0.9})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    tasks = plan[plan.index("FlatMapGroupsInArrow") :]
+    assert "note#" not in tasks and got.columns == ["id", "k", "ts", "note", "v", "high"]
+    found = {r["id"]: (r["v"], r["high"]) for r in got.collect()}
+    assert len(found) == len(data)
+    for i, k, ts, _, _ in data:
+        span = dt.timedelta(hours=6)
+        frame = [v for _, k2, t, v, _ in data if k2 == k and v is not None and (t is ts if ts is None or t is None else ts - span < t <= ts)]
+        assert found[i] == (pytest.approx(tuple(np.quantile(frame, [0.5, 0.9]))) if frame else (None, None))
