@@ -13,6 +13,8 @@ from .lineage import cut_lineage
 # a larger one is cut into segments of SEGMENT_ROWS rows.
 LARGEST_PLAIN_GROUP = 4_000_000
 SEGMENT_ROWS = 1_000_000
+# Rows of small groups that one task takes.
+TASK_ROWS = 250_000
 
 
 def as_list(names: str | Sequence[str] | None) -> list[str]:
@@ -38,13 +40,30 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 def hot_keys(df: DataFrame, by: Sequence[str], largest: int | None = None) -> DataFrame | None:
     """Keys of the groups above ``LARGEST_PLAIN_GROUP`` (or fewer: ``largest``) rows, or None
-    when there are none.
+    when there are none."""
+    return hot_keys_and_rows(df, by, largest)[0]
+
+
+def hot_keys_and_rows(df: DataFrame, by: Sequence[str], largest: int | None = None) -> tuple[DataFrame | None, int]:
+    """:func:`hot_keys` and the number of rows of ``df``.
 
     One pass over the key columns with map-side counts. There are at most one such key per so
     many rows; they are written out when there are any."""
     largest = min(LARGEST_PLAIN_GROUP, largest or LARGEST_PLAIN_GROUP)
     counts = df.groupBy(*[F.col(b) for b in by]).agg(F.count(F.lit(1)).alias("_n"))
-    return kept_or_none(counts.filter(F.col("_n") > largest).select(*by))
+    most, rows = counts.agg(F.max("_n"), F.sum("_n")).first()
+    hot = cut_lineage(counts.filter(F.col("_n") > largest).select(*by)) if (most or 0) > largest else None
+    return hot, rows or 0
+
+
+def in_small_tasks(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
+    """``df``, of about so many rows, dealt out by group to tasks of about ``TASK_ROWS`` rows, for
+    work that sorts them several times in one task. However large a table is, such a task needs no
+    more memory."""
+    if rows <= TASK_ROWS:
+        return df
+    tasks = max(-(-rows // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *by)
 
 
 def kept_or_none(keys: DataFrame) -> DataFrame | None:

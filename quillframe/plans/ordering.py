@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from . import groups
-from .groups import as_list, attach, hot_keys, parted
+from .groups import as_list, attach, hot_keys_and_rows, in_small_tasks, parted
 from .lineage import cut_lineage
 
 Key = str | tuple[str, str]
@@ -144,11 +144,11 @@ def over_groups(
     by = as_list(by)
     if not by:
         return work(_cut(df, by, order_by, before, after, largest))
-    hot = hot_keys(df, by, largest)
+    hot, rows = hot_keys_and_rows(df, by, largest)
     if hot is None:
-        return work(Layout(df, by, order_by, split=False))
+        return work(Layout(in_small_tasks(df, by, rows), by, order_by, split=False))
     cold_rows, hot_rows = parted(df, hot, by)
-    plain = work(Layout(cold_rows, by, order_by, split=False))
+    plain = work(Layout(in_small_tasks(cold_rows, by, rows), by, order_by, split=False))
     return plain.unionByName(work(_cut(hot_rows, by, order_by, before, after, largest)))
 
 

@@ -805,3 +805,13 @@ def test_quantiles_of_spans_send_only_numbers_to_the_tasks(spark):
         span = dt.timedelta(hours=6)
         frame = [v for _, k2, t, v, _ in data if k2 == k and v is not None and (t is ts if ts is None or t is None else ts - span < t <= ts)]
         assert found[i] == (pytest.approx(tuple(np.quantile(frame, [0.5, 0.9]))) if frame else (None, None))
+
+
+def test_small_groups_are_dealt_out_to_tasks_of_few_rows(spark, monkeypatch):
+    from quillframe.plans import groups
+
+    monkeypatch.setattr(groups, "TASK_ROWS", 100)
+    df = spark.range(4000).select("id", (F.col("id") % 200).alias("k"), (F.col("id") % 7).cast("double").alias("v"))
+    got = rolling.rolling_rows(df, "k", "id", "v", 40, {"top": "max"}, min_periods=1)
+    shares = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(shares) == 4000 and max(shares) <= 400
