@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
-import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -14,14 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import cut_lineage, text_or_empty
+from .words import chunks, hash_spans, running_hash
 
 SEQUENCE = 2048
 END_ID = 0
-# Text tokenised at once, and how many words and stems a worker remembers (about 200 bytes each).
-CHUNK_CHARS = 2_000_000
-CACHE_WORDS, CACHE_STEMS = 700_000, 1_200_000
+# Text tokenised at once; rows at once, where texts are tokenised whole; units encoded in one text.
+CHUNK_BYTES = 2_000_000
+ROWS_AT_ONCE = 1_000
+UNITS_PER_TEXT = 2_000
+# How many units a worker remembers (about 50 bytes each), and the bytes of the longest one.
+CACHE_UNITS = 1_500_000
 CACHE_LENGTH = 48
-STEMS_PER_TEXT = 2_000
 # Pieces of one length that one task puts in order.
 PART_ROWS = 200_000
 
@@ -35,89 +39,189 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# What units rest on: white space parts words, letters are lowered one by one, and within a word
+# runs of letters, single digits and runs of other signs part by themselves.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+# Classes of bytes. Words that hold an odd one (an apostrophe, the bar of an added token, control
+# characters, anything but ASCII and the letters U+00C0 to U+024F) are one unit each.
+_BLANK, _LETTER, _SIGN, _DIGIT, _ODD = range(5)
+_CLASS = np.full(256, _ODD, np.uint8)
+_CLASS[[0x20, 0x09, 0x0A, 0x0D]] = _BLANK
+_CLASS[0x21:0x7F] = _SIGN
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _CLASS[0x80:0xC0] = _CLASS[0xC3:0xCA] = _LETTER
+_CLASS[[ord("'"), ord("|")]] = _ODD
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+
+
+def _stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all stretches, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def _units(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes with A-Z as a-z where case plays no part, first and last byte of each unit, and which are odd."""
+    kind = _CLASS[data]
+    begins = np.concatenate([[0], ends[:-1]])
+    some = begins < ends  # a text's edge parts units as well
+    new = np.ones(len(data) + 1, bool)
+    new[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    new[ends] = new[begins] = True
+    inside = kind != _BLANK
+    first, last = new[:-1] & inside, new[1:] & inside
+    low = _LOWER[data]
+    # Signs among the letters (U+00D7, U+00F7), one that lowers to two (U+0130), letters from U+0250 on.
+    lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC9))
+    a, b = data[lead], data[lead + 1]
+    strange = ((a == 0xC3) & ((b == 0x97) | (b == 0xB7))) | ((a == 0xC4) & (b == 0xB0)) | ((a == 0xC9) & (b >= 0x90))
+    odd = np.concatenate([np.flatnonzero(kind == _ODD), lead[strange]])
+    whole = np.zeros(0, np.int64)
+    if len(odd):
+        edge = np.zeros(len(data) + 1, bool)
+        edge[ends] = edge[begins[some]] = True
+        starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]])))
+        stops = np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]])))
+        word = np.unique(np.searchsorted(starts, odd, "right") - 1)
+        whole = starts[word]
+        own = _stretches(whole, stops[word] + 1 - whole)
+        low[own], first[own], last[own] = data[own], False, False
+        first[whole], last[stops[word]] = True, True
+    starts, stops = np.flatnonzero(first), np.flatnonzero(last)
+    strange = np.zeros(len(starts), bool)
+    strange[np.searchsorted(starts, whole)] = True
+    return low, starts, stops, strange
+
+
 class _WordEncoder:
-    """Encodes texts word by word, where the tokenizer marks the ends of words.
+    """Encodes texts unit by unit, where the tokenizer parts texts as word_bpe_49k does.
 
-    Such a tokenizer (word_bpe_49k) drops white space and never joins over a space (its normaliser and its
-    pattern act within words, its added tokens hold no space), so a text's ids are those of
-    its words in a row, and a word that was seen need not be encoded again. It also lowers
-    letters one by one and parts letters from a mark after them, so a word of Latin letters
-    with or without one mark has the ids of its lower-case stem and of the mark.
+    Such a tokenizer drops white space, never joins over a space and marks the last id of every
+    run of letters, digit and run of signs, so a text's ids are those of its units in a row, and
+    a unit that was seen need not be encoded again: units are found, looked up by 64-bit hashes
+    and replaced by their ids in whole Arrow batches. A longer unit than CACHE_LENGTH bytes is
+    encoded wherever it stands. Texts go whole to any other tokenizer.
     """
 
-    MARKS = frozenset(".,;:!?")
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a unit
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        parts = json.loads(self.tokenizer.to_str())
+        self.by_units = (
+            parts["normalizer"] == _NORMALIZER
+            and (parts["pre_tokenizer"] or {}).get("pretokenizers", [None])[0] == _SPLIT
+            and all("|" in t["content"] and not set(t["content"]) & set(" \t\n\r") for t in parts["added_tokens"])
+            and bool(self.last.any())
+        )
+        self._forget()
+
+    def _forget(self) -> None:
+        # Hashes of units, ascending; where the ids of each begin, and how many they are.
+        self.keys, self.begins, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one after the other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum()), sizes
+
+    def _plain(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units that are not odd, many in one text: each ends at its own last id."""
+        found, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(starts), UNITS_PER_TEXT):
+            begin, length = starts[at : at + UNITS_PER_TEXT], (stops - starts + 1)[at : at + UNITS_PER_TEXT]
+            text = np.full(length.sum() + len(length), 0x20, np.uint8)
+            text[_stretches(np.cumsum(length + 1) - length - 1, length)] = data[_stretches(begin, length)]
+            ids = np.array(self.tokenizer.encode(text.tobytes().decode(), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(begin) or ends[-1] != len(ids):
+                raise ValueError("this tokenizer does not end each unit by an id of its own")
+            found.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        return np.concatenate(found), np.concatenate(sizes)
+
+    def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, odd: np.ndarray) -> None:
+        """Encodes these units, each once, and remembers their ids."""
+        order = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
+        words = [data[a : b + 1].tobytes().decode() for a, b in zip(starts[odd].tolist(), stops[odd].tolist())]
+        ids, sizes = map(np.concatenate, zip(self._plain(data, starts[~odd], stops[~odd]), self._whole(words)))
+        if self.used + len(ids) > len(self.pool):
+            pool = np.zeros(2 * (self.used + len(ids)), np.uint32)
+            pool[: self.used] = self.pool[: self.used]
+            self.pool = pool
+        self.pool[self.used : self.used + len(ids)] = ids
+        begins = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        keys = np.concatenate([self.keys, keys[order]])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.begins, self.sizes = np.concatenate([self.begins, begins])[order], np.concatenate([self.sizes, sizes])[order]
+
+    def _chunk(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts that end at ``ends``, one after the other, and the first place after each one's."""
+        data, starts, stops, odd = _units(data, ends)
+        if len(self.keys) > CACHE_UNITS:
+            self._forget()
+        long = stops - starts >= CACHE_LENGTH
+        keys = hash_spans(running_hash(data, fold=False), starts, stops)
+        coded = pa.array(keys[~long]).dictionary_encode()
+        distinct, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        at = np.zeros(len(distinct), np.int64)
+        at[which] = np.flatnonzero(~long)  # any place of each
+        if len(self.keys):
+            found = self.keys[np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)] == distinct
+            at = at[~found]
+        else:
+            found = np.zeros(len(distinct), bool)
+        if len(at):
+            self._learn(distinct[~found], data, starts[at], stops[at], odd[at])
+        place = np.searchsorted(self.keys, distinct)
+        begins, sizes = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        begins[~long], sizes[~long] = self.begins[place][which], self.sizes[place][which]
+        pool = self.pool[: self.used]
+        if long.any():
+            words = [data[a : b + 1].tobytes().decode() for a, b in zip(starts[long].tolist(), stops[long].tolist())]
+            ids, sizes[long] = self._whole(words)
+            begins[long] = self.used + np.cumsum(sizes[long]) - sizes[long]
+            pool = np.concatenate([pool, ids])
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        return pool[_stretches(begins, sizes)], upto[np.searchsorted(starts, ends)]
+
+    def chunks(self, texts: pa.Array) -> Iterator[tuple[int, list[memoryview]]]:
+        """The first row of a stretch of texts, and each text's ids as little-endian unsigned 32-bit numbers."""
+        if not self.by_units:
+            for at in range(0, len(texts), ROWS_AT_ONCE):
+                ids, sizes = self._whole(texts.slice(at, ROWS_AT_ONCE).fill_null("").to_pylist())
+                yield at, self._cut(ids, np.cumsum(sizes))
+            return
+        for at, _, data, ends in chunks(texts, CHUNK_BYTES):
+            yield at, self._cut(*(self._chunk(data, ends) if len(data) else (np.zeros(0, np.uint32), ends)))
 
     @staticmethod
-    def bytes_of(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _stem_bytes(self, stems: list[str]) -> Iterator[bytes]:
-        """Ids of stems of letters, many in one text: each ends at its own last id."""
-        for at in range(0, len(stems), STEMS_PER_TEXT):
-            part = stems[at : at + STEMS_PER_TEXT]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
-            if len(ends) != len(part):
-                raise ValueError("this tokenizer does not end each run of letters by an id of its own")
-            data, begin = ids.tobytes(), 0
-            for end in ends.tolist():
-                yield data[begin:end]
-                begin = end
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        stems, marks = self.stems, self.MARKS
-        parts, letters, others = [], set(), set(marks)
-        for w in words:
-            mark = w[-1:]
-            stem = (w[:-1] if mark in marks else w).lower()
-            # Letters before U+0250 do not change with their neighbours.
-            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
-                parts.append((w, stem, mark if mark in marks else ""))
-                letters.add(stem)
-            elif w:
-                parts.append((w, w, ""))
-                others.add(w)
-        new = list(letters.difference(stems))
-        stems.update(zip(new, self._stem_bytes(new)))
-        rest = list(others.difference(stems))
-        stems.update(zip(rest, [self.bytes_of(e.ids) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]))
-        new += rest
-        out = {w: stems[stem] + stems[mark] if mark else stems[stem] for w, stem, mark in parts}
-        out[""] = b""
-        if len(stems) > CACHE_STEMS:
-            stems.clear()
-        else:
-            for w in new:
-                if len(w) > CACHE_LENGTH:
-                    del stems[w]
-        return out
+    def _cut(ids: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+        data = memoryview(ids.astype("<u4").tobytes())
+        edges = [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(edges, edges[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers, without the end id."""
-        if not self.last.any():  # another kind of tokenizer: nothing is known about its words
-            return [self.bytes_of(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        words = [t.split(" ") for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        known = self.words
-        learned = self._learn(list(set().union(*words).difference(known)))
-        known.update(learned)
-        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
-        for w in learned:
-            if len(w) > CACHE_LENGTH:
-                del known[w]
-        return out
+        return [bytes(ids) for _, part in self.chunks(pa.array(texts, pa.large_string())) for ids in part]
 
 
 _PIECES = pa.schema(
@@ -140,21 +244,15 @@ def _cut(path: str, limit: int):
             _WORKER.update(path=path, encoder=_WordEncoder(path))
         encoder = _WORKER["encoder"]
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            lengths = np.cumsum([len(t) for t in texts])
-            at = 0
-            while at < batch.num_rows:
-                reach = (lengths[at - 1] if at else 0) + CHUNK_CHARS
-                to = max(at + 1, int(np.searchsorted(lengths, reach, "right")))
-                part = batch.slice(at, to - at)
+            for at, found in encoder.chunks(batch["text"]):
+                part = batch.slice(at, len(found))
                 out = []
-                for key, row, data in zip(part["id"].to_pylist(), part["row"].to_pylist(), encoder.encode(texts[at:to])):
-                    data += end
+                for key, row, ids in zip(part["id"].to_pylist(), part["row"].to_pylist(), found):
+                    data = bytes(ids) + end
                     for k, b in enumerate(range(0, len(data), 4 * limit)):
                         piece = data[b : b + 4 * limit]
                         out.append((key, row, k, b // 4, len(piece) // 4, zlib.crc32(piece)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECES)], schema=_PIECES)
-                at = to
 
     return run
 

@@ -203,6 +203,31 @@ def test_words_and_marks_encode_as_whole_texts_do():
         assert encoder.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in plain]
 
 
+def test_known_units_need_no_tokenizer():
+    encoder = packing._WordEncoder(packing.public_tokenizer())
+    encoder.encode(["one two. 3 (straße) & it's"])
+    new = ["(TWO)\n& one3.straße\tit's", "3.& 33.."]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in new]
+    whole, encoder.tokenizer = encoder.tokenizer, None
+    assert encoder.encode(new[:1]) == want[:1]
+    encoder.tokenizer = whole
+    assert encoder.encode(new) == want
+
+
+def test_units_encode_as_whole_texts_do(monkeypatch):
+    rng = np.random.default_rng(13)
+    parts = [*"aAbSstmrev019 .,!?'|<>_-*&^`\t\n\r\x0b\x0c\x00\x1c", "<|endoftext|>", "'s", "'re", *"éÉÀñßẞİıſŉ×÷ɐȀµª\u0301\u0307\u200b’日жΣς가😀²½"]
+    parts += ["x" * n for n in (47, 48, 49)]
+    texts = ["".join(parts[k] for k in rng.integers(0, len(parts), rng.integers(0, 30))) for _ in range(5_000)]
+    encoder = packing._WordEncoder(packing.public_tokenizer())
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 5_000)
+    monkeypatch.setattr(packing, "CACHE_UNITS", 3_000)
+    assert encoder.encode(texts) == want
+    encoder.by_units = False  # as for another kind of tokenizer
+    assert encoder.encode(texts) == want
+
+
 # ---------------------------------------------------------------- line dedup
 
 
