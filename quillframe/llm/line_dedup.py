@@ -1,19 +1,12 @@
-"""Deleting repeated passages, found by winnowing.
-
-Words are hashed in Arrow batches; everything between texts is done with DataFrame functions.
-"""
+"""Deleting repeated passages, found by winnowing (DataFrame functions only)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import cut_lineage, fresh, text_or_empty
-from .words import Spans, chunks, mix
+from .common import cut_lineage, fresh, scratch_path, text_or_empty
 
 # A passage of at least so many words is deleted where it repeats an earlier one.
 MIN_WORDS = 50
@@ -21,29 +14,14 @@ MIN_WORDS = 50
 RAGGED_WORDS = 4
 # A token is a word with the white space before it.
 TOKEN = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
-# Text hashed at once; a longer document is handled alone.
-CHUNK_BYTES = 1_000_000
-_AT = np.uint64((1 << 24) - 1)  # bits of a word's place beside its hash
+# Values between two windows' outer words that are compared before all of them.
+NEAR = 8
 
 
 def _text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _numbers(values: np.ndarray, known: np.ndarray | None = None) -> pa.Array:
-    """Hashes as signed numbers, null where not ``known``."""
-    return pa.array(values.view(np.int64), mask=None if known is None else ~known)
-
-
-def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """For each element but the last, the least of ``width`` elements from it on."""
-    done = 1
-    while done < width:
-        step = min(done, width - done)
-        values, done = np.minimum(values[:-step], values[step:]), done + step
-    return values
-
-
 class _Shape:
     """The lengths that follow from that of a window."""
 
@@ -55,83 +33,64 @@ class _Shape:
         self.rest = self.wide - self.half + 1
 
 
-def _anchors(shape: _Shape):
-    """Anchors of each text's windows, with their hash, that of their context and those of its halves."""
+def _clip(at: Column, before: int) -> Column:
+    return F.greatest(at - before, F.lit(0))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, _, data, ends in chunks(batch["text"], CHUNK_BYTES):
-                spans = Spans(data, ends)
-                last = np.repeat(spans.firsts + spans.counts, spans.counts)  # the word after each word's text
-                words = len(last)
-                if words < shape.window:
-                    continue
-                j = np.arange(words - shape.span + 1)
-                prints = spans.hash(j, j + shape.span)
-                # Of equal hashes the first: its place stands in the lower bits.
-                least = _least((prints & ~_AT) | (j.astype(np.uint64) & _AT), shape.wide + 1)
-                j = np.flatnonzero(last[: len(least)] - np.arange(len(least)) >= shape.window)
-                place = np.unique(j + (((least[j] & _AT).astype(np.int64) - j) & int(_AT)))
-                text = np.searchsorted(spans.firsts + spans.counts, place, "right")
-                first, end = spans.firsts[text], last[place]
-                left, right = np.maximum(first, place - shape.wide), np.minimum(end, place + shape.span + shape.wide)
-                # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
-                context = mix(spans.hash(left, right) + (place - left).astype(np.uint64))
-                start, stop = place - shape.half, place + shape.span + shape.rest
-                has_left, has_right = start >= first, stop <= end
-                before = spans.hash(np.where(has_left, start, place), place)
-                behind = spans.hash(place + shape.span, np.where(has_right, stop, place + shape.span))
-                rows = pa.array(at + text)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["id"].take(rows),
-                        batch["text_key"].take(rows),
-                        pa.array(place - first, pa.int32()),
-                        pa.array(right - place, pa.int32()),
-                        _numbers(prints[place]),
-                        _numbers(context),
-                        _numbers(before, has_left),
-                        _numbers(behind, has_right),
-                    ],
-                    names=["id", "text_key", "at", "reach", "print", "context", "before", "behind"],
-                )
-
-    return run
-
-
-def _windows(shape: _Shape):
-    """The windows that hold the named half of the context of a text's listed anchors, each once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, to, data, ends in chunks(batch["text"], CHUNK_BYTES):
-                spans = Spans(data, ends)
-                listed = batch["anchors"].slice(at, to - at)
-                text = np.repeat(np.arange(to - at), pc.list_value_length(listed).to_numpy())
-                flat = listed.flatten()
-                place, left = (pc.struct_field(flat, k).to_numpy(zero_copy_only=False) for k in (0, 1))
-                start = np.maximum(place - np.where(left, shape.wide, shape.half - 1), 0)
-                stop = np.minimum(np.where(left, place - shape.half, place), spans.counts[text] - shape.window)
-                many = np.maximum(stop - start + 1, 0)
-                own = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                j = np.unique(np.repeat(spans.firsts[text] + start, many) + own)
-                text = np.searchsorted(spans.firsts + spans.counts, j, "right")
-                rows = pa.array(at + text)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["id"].take(rows),
-                        batch["text_key"].take(rows),
-                        pa.array(j - spans.firsts[text], pa.int32()),
-                        _numbers(spans.hash(j, j + shape.window)),
-                    ],
-                    names=["id", "text_key", "at", "content"],
-                )
-
-    return run
+def _hashed(texts: DataFrame) -> DataFrame:
+    """With ``h``, the hashes of a text's words, and their number instead of the text."""
+    # A pattern of one plain character is split without a regular expression.
+    text = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.col("text"))
+    words = F.array_remove(F.split(text, " "), "")
+    return texts.withColumn("h", F.transform(words, lambda w: F.xxhash64(w))).drop("text").withColumn("n", F.size("h"))
 
 
-def _clip(at: Column, before: int) -> Column:
-    return F.greatest(at - before, F.lit(0))
+def _span(start: Column, length: Column | int) -> Column:
+    """The hash of ``length`` words from ``start`` on."""
+    return F.xxhash64(F.slice("h", start + 1, length))
+
+
+# Only hashing words runs a function per word. Arrays are exploded before anything else is taken from
+# them, as slices and hashes outside of such functions are compiled; an inner explode would have its
+# array computed once more by a filter for empty ones.
+
+
+def _anchors(texts: DataFrame, shape: _Shape) -> DataFrame:
+    """Anchors of each text's windows, with their hash, that of their context and those of its halves."""
+    final, j, at = F.col("n") - shape.window, F.col("j"), F.col("at")
+    rows = _hashed(texts).withColumn("j", F.explode_outer(F.when(final >= 0, F.sequence(F.lit(0), final))))
+    # A window's anchor is another one than that of the window before if that has left the window or
+    # a lower one has come. The least value between them is named once, or it would be computed twice.
+    both = F.array_min(F.slice("h", j + 1, shape.wide))
+    outer = F.least(F.get("h", j - 1), F.try_add(F.get("h", j + shape.wide), F.lit(1)))
+    moved = F.coalesce(both >= outer, F.lit(True))
+    if shape.wide > NEAR:  # a few of these values rule most windows out
+        moved = (F.least(*[F.get("h", j + k) for k in range(NEAR)]) >= outer) & moved
+    rows = rows.filter((j == 0) | (j > 0) & moved)
+    places = F.slice("h", j + 1, shape.wide + 1)
+    rows = rows.withColumn("at", (j + F.array_position(places, F.array_min(places)) - 1).cast("int"))
+    left, right = _clip(at, shape.wide), F.least(at + shape.span + shape.wide, F.col("n"))
+    return rows.select(
+        "id",
+        "text_key",
+        "at",
+        (right - at).alias("reach"),
+        _span(at, shape.span).alias("print"),
+        # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
+        F.xxhash64(at - left, _span(left, right - left)).alias("context"),
+        F.when(at >= shape.half, _span(at - shape.half, shape.half)).alias("before"),
+        F.when(at + shape.span + shape.rest <= F.col("n"), _span(at + shape.span, shape.rest)).alias("behind"),
+    )
+
+
+def _windows(again: DataFrame, shape: _Shape) -> DataFrame:
+    """The windows that hold the named half of the context of a text's listed anchors, each once."""
+    start = lambda a: F.when(a["left"], _clip(a["at"], shape.wide)).otherwise(_clip(a["at"], shape.half - 1))
+    stop = lambda a: F.least(F.when(a["left"], a["at"] - shape.half).otherwise(a["at"]), F.col("n") - shape.window)
+    starts = lambda a: F.when(start(a) <= stop(a), F.sequence(start(a), stop(a))).otherwise(F.array().cast("array<int>"))
+    listed = F.array_distinct(F.flatten(F.transform("anchors", starts)))
+    rows = _hashed(again).withColumn("at", F.explode_outer(listed)).filter("at IS NOT NULL")
+    return rows.select("id", "text_key", "at", _span(F.col("at"), shape.window).alias("content"))
 
 
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -141,9 +100,9 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     an earlier one (smallest id, null last, then word); lines play no part. Exact:
 
     1. Every window has an anchor: of the spans of a third as many words in it, the first with
-       the smallest hash. Equal windows have equal anchors at the same distance, and
+       the smallest hash of its first word. Equal windows have equal anchors at the same distance, and
        neighbouring windows mostly share theirs, so about one word in 18 is an anchor. Only
-       anchors whose hash occurs at several places go on.
+       anchors whose span's hash occurs several times go on.
     2. The context of an anchor is all windows that may have it. Of places with equal contexts
        the first stays and all others go.
     3. Where contexts around equal anchors differ, a window holds half of what it has beyond the
@@ -156,24 +115,24 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shape = _Shape(min_words)
     texts = df.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
     texts = texts.withColumn("text_key", _text_key(F.col("text")))
-    kind = texts.schema["id"].dataType.simpleString()
-    anchors = texts.mapInArrow(
-        _anchors(shape), f"id {kind}, text_key long, at int, reach int, print long, context long, before long, behind long"
-    )
-    anchors = cut_lineage(anchors)
-
-    where = F.xxhash64("id", "text_key", "at")
-    # Two hashes of places tell, in less room than two places, whether there are several.
-    places = [F.min(where).alias("a"), F.max(where).alias("b")]
-    several = anchors.groupBy("print").agg(*places).filter("a <> b").select("print")
+    everywhere = _anchors(texts, shape)
+    path = scratch_path(texts, "table")
+    everywhere.write.parquet(path)
+    anchors = df.sparkSession.read.schema(everywhere.schema).parquet(path)
+
+    # Repeated rows count as well: they go on here, and are told from other places by their order below.
+    many = F.count(F.lit(1)).alias("many")
+    several = anchors.groupBy("print").agg(many).filter("many > 1").select("print")
     anchors = cut_lineage(anchors.join(several, "print"))
+    # Anchors that occur once are not read again: an empty table takes their room.
+    anchors.limit(0).write.mode("overwrite").parquet(path)
 
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_key", "at")
     groups = anchors.groupBy("print", "context").agg(
-        F.min(order).alias("first"), *places, F.min("before").alias("before"), F.min("behind").alias("behind")
+        F.min(order).alias("first"), many, F.min("before").alias("before"), F.min("behind").alias("behind")
     )
-    groups = cut_lineage(groups.withColumn("several", F.col("a") != F.col("b")).drop("a", "b"))
-    copies = anchors.join(groups.filter("several").select("print", "context", "first"), ["print", "context"])
+    groups = cut_lineage(groups)
+    copies = anchors.join(groups.filter("many > 1").select("print", "context", "first"), ["print", "context"])
     whole = copies.filter(order != F.col("first")).select("id", "text_key", _clip(F.col("at"), shape.wide).alias("from"), (F.col("at") + F.col("reach") - 1).alias("to"))
 
     sides = F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("before").alias("beside")), F.struct(F.lit(False).alias("left"), F.col("behind").alias("beside"))))
@@ -183,9 +142,8 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "left")).alias("anchors"))
     renamed = listed.select(F.col("id").alias("o_id"), F.col("text_key").alias("o_key"), "anchors")
     again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
-    parts = again.select("id", "text_key", "text", "anchors").mapInArrow(_windows(shape), f"id {kind}, text_key long, at int, content long")
-    parts = cut_lineage(parts)
-    earliest = parts.groupBy("content").agg(F.min(order).alias("first"), *places).filter("a <> b")
+    parts = cut_lineage(_windows(again.select("id", "text_key", "text", "anchors"), shape))
+    earliest = parts.groupBy("content").agg(F.min(order).alias("first"), many).filter("many > 1")
     part = parts.join(earliest.select("content", "first"), "content").filter(order != F.col("first"))
     ranges = whole.unionByName(part.select("id", "text_key", F.col("at").alias("from"), (F.col("at") + min_words - 1).alias("to")))
 

@@ -314,6 +314,18 @@ def test_every_repeated_window_of_words_goes(spark):
     assert {r["doc_id"]: r["text"].split() for r in got} == want and any(len(t.split()) > len(want[i]) > 0 for i, t in texts)
 
 
+def test_passages_are_found_without_python(spark, capsys):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"a {passage} b"), (2, f"c {passage} d")], "doc_id long, text string")
+    shape = line_dedup._Shape(50)
+    anchors = line_dedup._anchors(docs.selectExpr("doc_id AS id", "text", "0L AS text_key"), shape)
+    listed = docs.selectExpr("doc_id AS id", "text", "0L AS text_key", "array(named_struct('at', 20, 'left', true)) AS anchors")
+    for part in (anchors, line_dedup._windows(listed, shape)):
+        part.explain()
+        assert "InArrow" not in (plan := capsys.readouterr().out) and "Python" not in plan
+    assert [r["deleted_lines"] for r in rows(line_dedup.drop_repeated_lines(docs))].count(1) == 1
+
+
 # ---------------------------------------------------------------- n-gram Jaccard join
 
 
