@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -142,6 +142,9 @@ class _View:
         self.counts = np.bincount((pairs >> np.uint64(35)).astype(np.int64), minlength=n)
         self.text_of = np.repeat(np.arange(n), self.counts)
 
+    def toxic_votes(self, lexicons: list[Lexicon]) -> np.ndarray:
+        return toxic_votes(self.insults, lexicons, lambda kind: (self.features, self.text_of))
+
     def shape_votes(self) -> np.ndarray:
         """Votes of the shape labellers, a column each; very short texts get none."""
         out = []
@@ -154,10 +157,14 @@ class _View:
 Lexicon = tuple[np.ndarray, np.ndarray]  # features, ascending, and their log ratios
 
 
-def toxic_votes(insults: np.ndarray, features: np.ndarray, text_of: np.ndarray, lexicons: list[Lexicon]) -> np.ndarray:
-    """Votes of the toxicity labellers; one without a lexicon abstains."""
+def toxic_votes(insults: np.ndarray, lexicons: list[Lexicon], of_kind: Callable[[np.uint64], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Votes of the toxicity labellers; one without a lexicon abstains.
+
+    ``of_kind`` gives the features of (at least) a kind, and the text of each.
+    """
     votes = [np.where(insults > 0, BAD, GOOD)]
-    for value, ratio in lexicons:
+    for kind, (value, ratio) in zip((WORD, *PREFIXES.values()), lexicons):
+        features, text_of = of_kind(kind)
         known = _among(features, value)
         sums = np.bincount(text_of[known], ratio[np.searchsorted(value, features[known])], minlength=len(insults))
         votes.append(np.where(sums >= TOXIC_FROM, BAD, GOOD) if len(value) else np.full(len(insults), ABSTAIN))
@@ -226,57 +233,94 @@ class LabelModel:
 # ---------------------------------------------------------------- the scorer
 
 
-def fit_lexicons(features: list[np.ndarray], toxic: np.ndarray) -> list[Lexicon]:
+class Features:
+    """Features of sampled rows, given one kind at a time: all of them at once, sorted, take many times their bytes."""
+
+    def __init__(self, column: pa.ChunkedArray | list[np.ndarray]):
+        """Of each row, the bytes of its ascending features (or these themselves)."""
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []  # features of some rows laid end to end, and their edges
+        self.rows = len(column)
+        for part in column.chunks if isinstance(column, pa.ChunkedArray) else [pa.array([f.tobytes() for f in column], pa.binary())]:
+            part = part.cast(pa.large_binary())
+            edges = np.frombuffer(part.buffers()[1], np.int64, len(part) + 1, part.offset * 8) // 8 if len(part) else np.zeros(1, np.int64)
+            if edges[-1] > edges[0]:
+                flat = np.frombuffer(part.buffers()[2], np.uint64, edges[-1] - edges[0], edges[0] * 8)
+            else:
+                flat = np.zeros(0, np.uint64)
+            self.parts.append((flat, edges - edges[0]))
+
+    def of(self, kind: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the features of a kind, and the row of each; row by row, ascending in each."""
+        numbers, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for flat, edges in self.parts:
+            halves = flat.view(np.uint32).reshape(-1, 2)  # the hash, then the kind
+            at = np.flatnonzero(halves[:, 1] == kind)
+            numbers.append(halves[at, 0])
+            counts.append(np.diff(np.searchsorted(at, edges)))
+        return np.concatenate(numbers), np.repeat(np.arange(self.rows), np.concatenate(counts))
+
+
+def _full(kind: np.uint64, number: np.ndarray) -> np.ndarray:
+    return (kind << np.uint64(32)) | number.astype(np.uint64)
+
+
+def fit_lexicons(features: Features, toxic: np.ndarray) -> list[Lexicon]:
     """Features that mark labelled toxic texts, by kind: words, and beginnings of each length."""
-    every = np.concatenate(features) if features else np.zeros(0, np.uint64)
-    marked = np.repeat(toxic, [len(f) for f in features])
-    value, inverse = np.unique(every, return_inverse=True)
-    hit, miss = (np.bincount(inverse[marked == t], minlength=len(value)) for t in (1, 0))
     yes, no = max(1, int((toxic == 1).sum())), max(1, int((toxic == 0).sum()))
-    ratio = np.log((hit + 0.5) / (yes + 1)) - np.log((miss + 0.5) / (no + 1))
-    # Log odds against so many hits by chance: with so many features, rare ones are rarely proof.
     rate = yes / (yes + no)
     log = lambda n, of: n * np.log(np.maximum(n, 1e-300) / of)
-    proof = log(hit, (hit + miss) * rate) + log(miss, (hit + miss) * (1 - rate))
-    good = (ratio >= np.log(12)) & (proof >= 22)
-    kind = value >> np.uint64(32)
-    return [(value[good & (kind == k)], ratio[good & (kind == k)]) for k in (WORD, *PREFIXES.values())]
+    out = []
+    for kind in (WORD, *PREFIXES.values()):
+        number, row = features.of(kind)
+        value, inverse = np.unique(number, return_inverse=True)
+        hit, miss = (np.bincount(inverse[toxic[row] == t], minlength=len(value)) for t in (1, 0))
+        ratio = np.log((hit + 0.5) / (yes + 1)) - np.log((miss + 0.5) / (no + 1))
+        # Log odds against so many hits by chance: with so many features, rare ones are rarely proof.
+        proof = log(hit, (hit + miss) * rate) + log(miss, (hit + miss) * (1 - rate))
+        good = (ratio >= np.log(12)) & (proof >= 22)
+        out.append((_full(kind, value[good]), ratio[good]))
+    return out
 
 
 def fit_scorer(
-    features: list[np.ndarray], votes: np.ndarray, bad: np.ndarray, steps: int = 150, ridge: float = 0.3
+    features: Features, votes: np.ndarray, bad: np.ndarray, steps: int = 150, ridge: float = 0.3
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Logistic weights of hashed features and of bad votes under soft labels.
 
     Features that tell nothing have no weight. Returns feature numbers (ascending), their
     weights, and the weights of the votes with the constant last.
     """
-    rows = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    every = np.concatenate(features) if features else np.zeros(0, np.uint64)
-    value, inverse = np.unique(every, return_inverse=True)
     n, total = max(1, len(bad)), float(bad.sum())
-    seen, with_bad = np.bincount(inverse, minlength=len(value)), np.bincount(inverse, bad[rows], minlength=len(value))
     rate = min(max(total / n, 1e-6), 1 - 1e-6)
-    apart = (with_bad - seen * rate) ** 2 / (seen * rate * (1 - rate))
-    use = np.flatnonzero((seen >= 3) & (apart > 15))
-    place = np.full(len(value), -1)
-    place[use] = np.arange(len(use))
-    col = place[inverse]
-    rows, col = rows[col >= 0], col[col >= 0]
+    numbers, in_row, in_col, many = [], [], [], 0
+    for kind in (WORD, SHAPE, *PREFIXES.values()):
+        number, row = features.of(kind)
+        value, inverse = np.unique(number, return_inverse=True)
+        seen, with_bad = np.bincount(inverse, minlength=len(value)), np.bincount(inverse, bad[row], minlength=len(value))
+        apart = (with_bad - seen * rate) ** 2 / (seen * rate * (1 - rate))
+        use = np.flatnonzero((seen >= 3) & (apart > 15))
+        place = np.full(len(value), -1)
+        place[use] = np.arange(many, many + len(use))
+        col = place[inverse]
+        numbers.append(_full(kind, value[use]))
+        in_row.append(row[col >= 0])
+        in_col.append(col[col >= 0])
+        many += len(use)
+    rows, col = np.concatenate(in_row), np.concatenate(in_col)
     dense = np.column_stack([votes == BAD, np.ones(len(bad))]).astype(float)
-    weight, plain = np.zeros(len(use)), np.zeros(dense.shape[1])
+    weight, plain = np.zeros(many), np.zeros(dense.shape[1])
     plain[-1] = np.log(rate / (1 - rate))
-    square, square_plain = np.full(len(use), 1e-8), np.full(len(plain), 1e-8)
+    square, square_plain = np.full(many, 1e-8), np.full(len(plain), 1e-8)
     for _ in range(steps):  # AdaGrad on the whole sample
         z = dense @ plain + np.bincount(rows, weight[col], minlength=len(bad))
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - bad
-        step = np.bincount(col, error[rows], minlength=len(use)) + ridge * weight
+        step = np.bincount(col, error[rows], minlength=many) + ridge * weight
         square += step * step
         weight -= 0.5 * step / np.sqrt(square)
         step = error @ dense
         square_plain += step * step
         plain -= 0.5 * step / np.sqrt(square_plain)
-    return value[use], weight, plain
+    return np.concatenate(numbers), weight, plain
 
 
 # ---------------------------------------------------------------- the jobs
@@ -303,25 +347,27 @@ def _voted(lexicons: list[Lexicon]):
         for batch in batches:
             for _, _, data, ends in chunks(batch["text"], VIEW_BYTES):
                 view = _View(data, ends)
-                toxic = _code(toxic_votes(view.insults, view.features, view.text_of, lexicons))
+                toxic = _code(view.toxic_votes(lexicons))
                 yield pa.RecordBatch.from_arrays([pa.array(_code(view.shape_votes())), pa.array(toxic)], names=["shape", "toxic"])
 
     return run
 
 
 def _lexicon_task(table: pa.Table) -> pa.Table:
-    features = [np.frombuffer(f, np.uint64) for f in table["features"].to_pylist()]
-    found = fit_lexicons(features, table["toxic"].to_numpy())
+    found = fit_lexicons(Features(table["features"]), table["toxic"].to_numpy())
     values, ratios = ([x.tobytes() for x in column] for column in zip(*found))
     return pa.table({"value": pa.array(values, pa.binary()), "ratio": pa.array(ratios, pa.binary()), "at": pa.array(range(len(found)), pa.int32())})
 
 
 def _scorer_task(model: LabelModel, lexicons: list[Lexicon]):
     def run(table: pa.Table) -> pa.Table:
-        features = [np.frombuffer(f, np.uint64) for f in table["features"].to_pylist()]
-        text_of = np.repeat(np.arange(len(features)), [len(f) for f in features])
-        flat = np.concatenate(features) if features else np.zeros(0, np.uint64)
-        shape, toxic = table["shape"].to_numpy(), toxic_votes(table["insults"].to_numpy(), flat, text_of, lexicons)
+        features, shape = Features(table["features"]), table["shape"].to_numpy()
+
+        def of_kind(kind: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+            number, row = features.of(kind)
+            return _full(kind, number), row
+
+        toxic = toxic_votes(table["insults"].to_numpy(), lexicons, of_kind)
         votes = np.column_stack([_decode(shape, len(SHAPES)), toxic])
         fitted = fit_scorer(features, votes, model.bad(shape, _code(toxic)))
         return pa.table({n: [x.tobytes()] for n, x in zip(("number", "weight", "plain"), fitted)})
@@ -329,19 +375,21 @@ def _scorer_task(model: LabelModel, lexicons: list[Lexicon]):
     return run
 
 
-def _scored(model: LabelModel, lexicons: list[Lexicon], number: np.ndarray, weight: np.ndarray, plain: np.ndarray, names: list[str]):
-    """Posterior and score; the text is the last column, all others are passed on."""
+def _scored(
+    model: LabelModel, lexicons: list[Lexicon], number: np.ndarray, weight: np.ndarray, plain: np.ndarray, names: list[str], text_at: int
+):
+    """Posterior and score of the text in that column; as many columns as have names beside these two are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, data, ends in chunks(batch.column(batch.num_columns - 1), VIEW_BYTES):
+            for at, to, data, ends in chunks(batch.column(text_at), VIEW_BYTES):
                 view = _View(data, ends)
-                shape, toxic = view.shape_votes(), toxic_votes(view.insults, view.features, view.text_of, lexicons)
+                shape, toxic = view.shape_votes(), view.toxic_votes(lexicons)
                 known = _among(view.features, number)
                 w = weight[np.searchsorted(number, view.features[known])]
                 z = np.column_stack([np.column_stack([shape, toxic]) == BAD, np.ones(to - at)]) @ plain
                 z += np.bincount(view.text_of[known], w, minlength=to - at)
-                columns = [c.slice(at, to - at) for c in batch.columns[:-1]]
+                columns = [c.slice(at, to - at) for c in batch.columns[: len(names) - 2]]
                 more = [pa.array(model.bad(_code(shape), _code(toxic))), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))]
                 yield pa.RecordBatch.from_arrays(columns + more, names=names)
 
@@ -413,6 +461,9 @@ def quality_scores(
     carried = df.select(*[F.col(f"`{c}`") for c in (id_col, *extra)])
     posterior, score, kept = fresh(carried, "posterior", "score", "kept")
     ddl = ", ".join([*[f"`{c}` {fields[c]}" for c in (id_col, *extra)], f"{posterior} double", f"{score} double"])
+    # A carried text is not sent twice.
+    text_at = carried.columns.index(text_col) if text_col in carried.columns and fields[text_col] == "string" else len(carried.columns)
     (last,) = fresh(df, "text")
-    full = df.select(*[F.col(f"`{c}`") for c in (id_col, *extra)], text.alias(last))
-    return full.mapInArrow(_scored(model, lexicons, number, weight, plain, [*carried.columns, posterior, score]), ddl).withColumn(kept, F.col(score) < threshold)
+    full = carried if text_at < len(carried.columns) else df.select(*[F.col(f"`{c}`") for c in carried.columns], text.alias(last))
+    scored = _scored(model, lexicons, number, weight, plain, [*carried.columns, posterior, score], text_at)
+    return full.mapInArrow(scored, ddl).withColumn(kept, F.col(score) < threshold)

@@ -483,3 +483,31 @@ def test_quality_of_awkward_rows(edge, nothing, spark):
     assert quality.quality_scores(nothing).count() == 0
 
 
+
+
+def test_sample_is_fitted_in_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    toxic = (np.arange(2000) % 4 == 0).astype(np.int32)
+    mark = {0: 7, 3: 8}  # a word and a beginning that toxic rows alone have
+    features = []
+    for t in toxic:
+        own = rng.integers(10, 9000, 1000).astype(np.uint64) | rng.integers(0, 5, 1000).astype(np.uint64) << np.uint64(32)
+        features.append(np.unique(np.append(own, [k << 32 | v for k, v in mark.items()] if t else []).astype(np.uint64)))
+    table = pa.table({"id": np.arange(2000), "shape": np.full(2000, 3280), "insults": toxic, "features": pa.array([f.tobytes() for f in features], pa.binary()), "toxic": toxic})
+    table = pa.concat_tables([table.slice(0, 700), table.slice(700, 0), table.slice(700)])
+    tracemalloc.start()
+    found = quality._lexicon_task(table)
+    lexicons = [(np.frombuffer(v.as_py(), np.uint64), np.frombuffer(r.as_py())) for v, r in zip(found["value"], found["ratio"])]
+    assert [v.tolist() for v, _ in lexicons] == [[7], [], [3 << 32 | 8], []]
+    good, bad, not_known = quality.GOOD, quality.BAD, quality.ABSTAIN
+    code = quality._code(np.array([[v, v, not_known, v, not_known] for v in (good, bad)])).tolist()
+    model = quality.LabelModel([(3280, code[t], int((toxic == t).sum())) for t in (0, 1)])
+    fitted = quality._scorer_task(model, lexicons)(table)
+    assert np.frombuffer(fitted["number"][0].as_py(), np.uint64).tolist() == [7, 3 << 32 | 8]
+    # At most twice the bytes of the sample: sorted all at once, they took more than seven times as much.
+    assert tracemalloc.get_traced_memory()[1] < 2 * sum(f.nbytes for f in features)
+    tracemalloc.stop()
