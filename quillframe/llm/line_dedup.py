@@ -39,9 +39,12 @@ def _clip(at: Column, before: int) -> Column:
 
 def _hashed(texts: DataFrame) -> DataFrame:
     """With ``h``, the hashes of a text's words, and their number instead of the text."""
-    # A pattern of one plain character is split without a regular expression.
-    text = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.col("text"))
-    words = F.array_remove(F.split(text, " "), "")
+    # A pattern of one plain character is split without a regular expression, and looking for a
+    # character takes much less time than replacing it.
+    rare, text = "\t\x0b\x0c\r", F.col("text")
+    some = reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in rare])
+    text = F.when(some, reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), rare, text)).otherwise(text)
+    words = F.array_remove(F.split(F.array_join(F.split(text, "\n"), " "), " "), "")
     return texts.withColumn("h", F.transform(words, lambda w: F.xxhash64(w))).drop("text").withColumn("n", F.size("h"))
 
 
@@ -69,17 +72,21 @@ def _anchors(texts: DataFrame, shape: _Shape) -> DataFrame:
     rows = rows.filter((j == 0) | (j > 0) & moved)
     places = F.slice("h", j + 1, shape.wide + 1)
     rows = rows.withColumn("at", (j + F.array_position(places, F.array_min(places)) - 1).cast("int"))
-    left, right = _clip(at, shape.wide), F.least(at + shape.span + shape.wide, F.col("n"))
+    # The parts of a context are hashed each on its own, so no word is hashed twice.
+    near, far = _clip(at, shape.half), _clip(at, shape.wide)
+    end, beyond = (F.least(at + shape.span + k, F.col("n")) for k in (shape.rest, shape.wide))
+    rows = rows.withColumn("print", _span(at, shape.span)).withColumn("before", _span(near, at - near))
+    rows = rows.withColumn("behind", _span(at + shape.span, end - at - shape.span))
     return rows.select(
         "id",
         "text_key",
         "at",
-        (right - at).alias("reach"),
-        _span(at, shape.span).alias("print"),
-        # The anchor's distance from the start counts: contexts at the ends of texts are shorter.
-        F.xxhash64(at - left, _span(left, right - left)).alias("context"),
-        F.when(at >= shape.half, _span(at - shape.half, shape.half)).alias("before"),
-        F.when(at + shape.span + shape.rest <= F.col("n"), _span(at + shape.span, shape.rest)).alias("behind"),
+        (beyond - at).alias("reach"),
+        "print",
+        # The anchor's distances from both ends count: contexts at the ends of texts are shorter.
+        F.xxhash64(at - far, beyond - at, _span(far, near - far), "before", "print", "behind", _span(end, beyond - end)).alias("context"),
+        F.when(at >= shape.half, F.col("before")).alias("before"),
+        F.when(at + shape.span + shape.rest <= F.col("n"), F.col("behind")).alias("behind"),
     )
 
 
@@ -103,13 +110,13 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
        the smallest hash of its first word. Equal windows have equal anchors at the same distance, and
        neighbouring windows mostly share theirs, so about one word in 18 is an anchor. Only
        anchors whose span's hash occurs several times go on.
-    2. The context of an anchor is all windows that may have it. Of places with equal contexts
-       the first stays and all others go.
+    2. The context of an anchor is all windows that may have it. Places with equal contexts are
+       ranked: the first stays and all others go.
     3. Where contexts around equal anchors differ, a window holds half of what it has beyond the
        anchor on the left or on the right. First places that share such a half with another list
-       the windows that hold it, which meet by content; again all but the first go.
+       the windows that hold it, which are ranked by content; again all but the first go.
 
-    Contexts and windows are compared by 64-bit hashes. Every place meets the first one only,
+    Contexts and windows are compared by 64-bit hashes. Places are sorted, never paired,
     so work grows with the number of places, not of pairs; of every word the first copy stays.
     """
     shape = _Shape(min_words)
@@ -120,31 +127,30 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     everywhere.write.parquet(path)
     anchors = df.sparkSession.read.schema(everywhere.schema).parquet(path)
 
-    # Repeated rows count as well: they go on here, and are told from other places by their order below.
+    # Repeated rows count as well: they go on here, and share a rank with their like below.
     many = F.count(F.lit(1)).alias("many")
     several = anchors.groupBy("print").agg(many).filter("many > 1").select("print")
-    anchors = cut_lineage(anchors.join(several, "print"))
+    # Dealt out by context as well: a frequent print has many.
+    anchors = anchors.join(several, "print").repartition("print", "context")
+    order = [F.col("id").isNull(), "id", "text_key", "at"]
+    alike = Window.partitionBy("print", "context").orderBy(*order)
+    anchors = cut_lineage(anchors.withColumn("rank", F.rank().over(alike)).withColumn("turn", F.row_number().over(alike)))
     # Anchors that occur once are not read again: an empty table takes their room.
-    anchors.limit(0).write.mode("overwrite").parquet(path)
+    anchors.limit(0).select(everywhere.columns).write.mode("overwrite").parquet(path)
 
-    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_key", "at")
-    groups = anchors.groupBy("print", "context").agg(
-        F.min(order).alias("first"), many, F.min("before").alias("before"), F.min("behind").alias("behind")
-    )
-    groups = cut_lineage(groups)
-    copies = anchors.join(groups.filter("many > 1").select("print", "context", "first"), ["print", "context"])
-    whole = copies.filter(order != F.col("first")).select("id", "text_key", _clip(F.col("at"), shape.wide).alias("from"), (F.col("at") + F.col("reach") - 1).alias("to"))
+    whole = anchors.filter("rank > 1").select("id", "text_key", _clip(F.col("at"), shape.wide).alias("from"), (F.col("at") + F.col("reach") - 1).alias("to"))
 
     sides = F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("before").alias("beside")), F.struct(F.lit(False).alias("left"), F.col("behind").alias("beside"))))
-    sided = groups.select("print", "context", "first", sides.alias("s")).select("print", "context", "first", "s.*").filter("beside IS NOT NULL")
-    shared = sided.groupBy("print", "left", "beside").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1").drop("contexts")
-    firsts = sided.join(shared, ["print", "left", "beside"], "left_semi").select("first.*", "left")
+    sided = anchors.filter("turn = 1").select("print", "id", "text_key", "at", sides.alias("s")).select("print", "id", "text_key", "at", "s.*").filter("beside IS NOT NULL")
+    contexts = F.count(F.lit(1)).over(Window.partitionBy("print", "left", "beside"))
+    firsts = sided.withColumn("contexts", contexts).filter("contexts > 1")
     listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "left")).alias("anchors"))
     renamed = listed.select(F.col("id").alias("o_id"), F.col("text_key").alias("o_key"), "anchors")
     again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
-    parts = cut_lineage(_windows(again.select("id", "text_key", "text", "anchors"), shape))
-    earliest = parts.groupBy("content").agg(F.min(order).alias("first"), many).filter("many > 1")
-    part = parts.join(earliest.select("content", "first"), "content").filter(order != F.col("first"))
+    parts = _windows(again.select("id", "text_key", "text", "anchors"), shape)
+    part = parts.withColumn("rank", F.rank().over(Window.partitionBy("content").orderBy(*order))).filter("rank > 1")
+    # Written, so that the texts dealt out for it may leave the disks before they are dealt out again.
+    part = cut_lineage(part.select("id", "text_key", "at"))
     ranges = whole.unionByName(part.select("id", "text_key", F.col("at").alias("from"), (F.col("at") + min_words - 1).alias("to")))
 
     of_text = Window.partitionBy("id", "text_key").orderBy("from", "to")
@@ -183,7 +189,7 @@ def drop_repeated_lines(
     empty. Rows that agree in id and text are one document: they lose the same words. Null ids
     come last. New columns give way to columns of the same name by a longer name.
     """
-    runs = repeated_passages(df, id_col, text_col, min_words)
+    runs = cut_lineage(repeated_passages(df, id_col, text_col, min_words))
     key, marks, many, gone, token = fresh(df, "text_key", "runs", "lines", "deleted_lines", "tokens")
     found = runs.select(F.col("id").alias(f"{key}_id"), F.col("text_key").alias(f"{key}_r"), F.col("runs").alias(marks))
     keyed = df.withColumn(key, _text_key(text_or_empty(text_col)))

@@ -326,6 +326,28 @@ def test_passages_are_found_without_python(spark, capsys):
     assert [r["deleted_lines"] for r in rows(line_dedup.drop_repeated_lines(docs))].count(1) == 1
 
 
+def test_line_dedup_sorts_places_once(spark, capsys):
+    """Places are ranked: none is dealt out twice to meet the first of its like, and no word is hashed twice for a context."""
+    passage = [f"p{i}" for i in range(120)]
+    docs = spark.createDataFrame([(k, " ".join([*passage[:k], f"x{k}", *passage[k:]])) for k in (3, 70, 117)] * 2, "id long, text string")
+    shape = line_dedup._Shape(50)
+    anchors = line_dedup._anchors(docs.withColumn("text_key", line_dedup._text_key(docs["text"])), shape)
+    for r in anchors.collect():
+        words = dict(docs.collect())[r["id"]].split()
+        assert (r["before"] is None) == (r["at"] < shape.half) and (r["behind"] is None) == (r["at"] + shape.span + shape.rest > len(words))
+        assert r["reach"] == min(r["at"] + shape.span + shape.wide, len(words)) - r["at"]
+    context = {}
+    for r in anchors.collect():
+        words = dict(docs.collect())[r["id"]].split()
+        left = max(0, r["at"] - shape.wide)
+        context.setdefault(r["context"], set()).add((r["at"] - left, *words[left : r["at"] + r["reach"]]))
+    assert all(len(x) == 1 for x in context.values()) and len(set().union(*context.values())) == len(context)
+    line_dedup.repeated_passages(docs.withColumnRenamed("id", "doc_id")).explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+    out = line_dedup.drop_repeated_lines(docs, id_col="id")
+    assert sorted((r["id"], r["deleted_lines"]) for r in rows(out)) == [(3, 0), (3, 0), (70, 1), (70, 1), (117, 1), (117, 1)]
+
+
 # ---------------------------------------------------------------- n-gram Jaccard join
 
 
