@@ -16,6 +16,8 @@ RAGGED_WORDS = 4
 TOKEN = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
 # Values between two windows' outer words that are compared before all of them.
 NEAR = 8
+# A sieve of hashed keys has 2 to this power times 64 bits at most, however many keys there are.
+SIEVE_BITS = 18
 
 
 def _text_key(text: Column) -> Column:
@@ -100,6 +102,23 @@ def _windows(again: DataFrame, shape: _Shape) -> DataFrame:
     return rows.select("id", "text_key", "at", _span(F.col("at"), shape.window).alias("content"))
 
 
+def _sieved(df: DataFrame, key_col: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be one of ``wanted`` (one column), and those whose key is none of them.
+
+    Joins deal out whole texts, so those that meet nothing stay out of them. The keys are hashes;
+    all that goes to every executor is a bit for each value of some of their bits.
+    """
+    place, bits = fresh(df, "place", "bits")
+    number = lambda key: F.shiftrightunsigned(key, 64 - SIEVE_BITS)
+    bit = lambda key: key.bitwiseAND(F.lit(63)).cast("int")
+    key, one = F.col(wanted.columns[0]), F.lit(1).cast("bigint")
+    sieve = wanted.groupBy(number(key).alias(place)).agg(F.bit_or(F.call_function("shiftleft", one, bit(key))).alias(bits))
+    own = F.col(f"`{key_col}`")
+    met = df.withColumn(place, number(own)).join(F.broadcast(sieve), place, "left")
+    may = F.coalesce(F.getbit(F.col(bits), bit(own)) == 1, F.lit(False))
+    return met.filter(may).drop(place, bits), met.filter(~may).drop(place, bits)
+
+
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """For documents with deletions: id, text_key and runs, ascending and apart, each by its first and last word (from 0).
 
@@ -144,9 +163,11 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sided = anchors.filter("turn = 1").select("print", "id", "text_key", "at", sides.alias("s")).select("print", "id", "text_key", "at", "s.*").filter("beside IS NOT NULL")
     contexts = F.count(F.lit(1)).over(Window.partitionBy("print", "left", "beside"))
     firsts = sided.withColumn("contexts", contexts).filter("contexts > 1")
-    listed = firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "left")).alias("anchors"))
+    # Written, as it is used twice.
+    listed = cut_lineage(firsts.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "left")).alias("anchors")))
     renamed = listed.select(F.col("id").alias("o_id"), F.col("text_key").alias("o_key"), "anchors")
-    again = texts.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
+    met, _ = _sieved(texts, "text_key", listed.select("text_key"))
+    again = met.join(renamed, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
     parts = _windows(again.select("id", "text_key", "text", "anchors"), shape)
     part = parts.withColumn("rank", F.rank().over(Window.partitionBy("content").orderBy(*order))).filter("rank > 1")
     # Written, so that the texts dealt out for it may leave the disks before they are dealt out again.
@@ -193,7 +214,8 @@ def drop_repeated_lines(
     key, marks, many, gone, token = fresh(df, "text_key", "runs", "lines", "deleted_lines", "tokens")
     found = runs.select(F.col("id").alias(f"{key}_id"), F.col("text_key").alias(f"{key}_r"), F.col("runs").alias(marks))
     keyed = df.withColumn(key, _text_key(text_or_empty(text_col)))
-    joined = keyed.join(found, keyed[f"`{id_col}`"].eqNullSafe(F.col(f"{key}_id")) & (F.col(key) == F.col(f"{key}_r")), "left")
+    met, others = _sieved(keyed, key, runs.select("text_key"))
+    joined = met.join(found, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{key}_id")) & (F.col(key) == F.col(f"{key}_r")), "left")
     text = F.col(f"`{text_col}`").cast("string")
     tokens, cuts = F.col(token), F.col(marks)
     # The white space at the end is one more token, so a deletion always has one after it.
@@ -230,11 +252,10 @@ def drop_repeated_lines(
         (i > 0) & (breaks(F.get(cuts, F.greatest(i - 1, F.lit(0)))["to"] + 2, r["from"] - F.get(cuts, F.greatest(i - 1, F.lit(0)))["to"]) == 0), 0
     ).otherwise(1)
     dead = F.aggregate(F.transform(cuts, inside), F.lit(0), lambda a, x: a + x)
-    return joined.select(
-        *[
-            F.when(cuts.isNull(), text).otherwise(new_text).alias(c) if c == text_col else F.col(f"`{c}`")
-            for c in df.columns
-        ],
-        F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias(many),
-        F.when(cuts.isNull(), 0).otherwise(dead).alias(gone),
-    )
+
+    def result(rows: DataFrame, new: Column, deleted: Column) -> DataFrame:
+        texts = [new.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
+        return rows.select(*texts, F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias(many), deleted.alias(gone))
+
+    changed = result(joined, F.when(cuts.isNull(), text).otherwise(new_text), F.when(cuts.isNull(), 0).otherwise(dead))
+    return result(others, text, F.lit(0)).union(changed)

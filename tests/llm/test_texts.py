@@ -348,6 +348,50 @@ def test_line_dedup_sorts_places_once(spark, capsys):
     assert sorted((r["id"], r["deleted_lines"]) for r in rows(out)) == [(3, 0), (3, 0), (70, 1), (70, 1), (117, 1), (117, 1)]
 
 
+def dealt_out(df):
+    """The most rows that one shuffle of the plan deals out."""
+
+    def walk(node):
+        below = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+        metrics = node.metrics()
+        own = metrics.apply("shuffleRecordsWritten").value() if metrics.contains("shuffleRecordsWritten") else 0
+        children = node.children()
+        return max([own, *map(walk, below + [children.apply(i) for i in range(children.size())])])
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_without_repeats_are_not_dealt_out(spark, monkeypatch):
+    own = lambda k, n: [f"t{k}x{i}" for i in range(n)]
+    texts = [(k, " ".join(own(k, 90))) for k in range(300)]
+    passage = own("p", 60)
+    texts += [(400 + k, " ".join([*own(f"a{k}", 30), *passage, *own(f"b{k}", 30)])) for k in range(3)]
+    texts += [(None, None), (None, texts[0][1]), (7, texts[7][1])]
+    listed, windows = [], line_dedup._windows
+    monkeypatch.setattr(line_dedup, "_windows", lambda again, shape: listed.append(again) or windows(again, shape))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many texts
+    try:
+        out = line_dedup.drop_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+        assert dealt_out(out) <= 30 and dealt_out(listed[0]) <= 30
+        got = sorted((r["doc_id"] or 0, len((r["text"] or "").split()), r["deleted_lines"]) for r in out.collect())
+        assert got == sorted([(0, 0, 0), (0, 0, 1), (7, 90, 0), *((k, 90, 0) for k in range(300)), (400, 120, 0), (401, 60, 1), (402, 60, 1)])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_full_sieve_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SIEVE_BITS", 1)
+    rows = spark.range(-500, 500).selectExpr("xxhash64(id) AS key", "id AS `place.x`", "id AS place").union(spark.sql("SELECT null, 0L, 0L"))
+    wanted = rows.filter("place > 400").select("key")
+    met, others = line_dedup._sieved(rows, "key", wanted)
+    assert met.columns == others.columns == rows.columns and met.union(others).exceptAll(rows).isEmpty()
+    assert met.count() + others.count() == 1001 and wanted.exceptAll(met.select("key")).isEmpty()
+    met, others = line_dedup._sieved(rows, "key", wanted.limit(0))
+    assert met.count() == 0 and others.count() == 1001
+
+
 # ---------------------------------------------------------------- n-gram Jaccard join
 
 
