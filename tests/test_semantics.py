@@ -815,3 +815,43 @@ def test_small_groups_are_dealt_out_to_tasks_of_few_rows(spark, monkeypatch):
     got = rolling.rolling_rows(df, "k", "id", "v", 40, {"top": "max"}, min_periods=1)
     shares = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sum(shares) == 4000 and max(shares) <= 400
+
+
+def test_corpus_is_listed_by_tasks_as_spark_would_read_it(spark, tmp_path):
+    import bz2
+    import gzip
+
+    names = {"a b+c.txt": b"one\r\n", "100%41 #;[x].txt": "né".encode(), "bytes": b"\xff\xfe", "sub/deep/d.txt": b"d", "_k=1.txt": b"k", "_metadata/m.txt": b"m"}
+    passed_over = {"empty.txt": b"", "_tmp.txt": b"x", ".dot": b"x", "x._COPYING_": b"x", ".git/x.txt": b"x", "sub/_tmp/x.txt": b"x"}
+    packed = {"p.txt.gz": gzip.compress(b"one ") + gzip.compress(b"two"), "q.txt.BZ2": bz2.compress(b"three"), "sub.gz/plain": b"plain"}
+    for name, content in (names | passed_over | packed).items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    for pattern in (r"([^/]*?)(?:\.[^./]*)?$", "(.*)"):
+        got = io.read_corpus(spark, str(tmp_path), id_pattern=pattern)
+        assert got.inputFiles() == []  # the driver has no list of the files
+        assert got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 1 << 40  # no plan takes the texts for small
+        theirs = spark.read.option("recursiveFileLookup", True).text(str(tmp_path), wholetext=True)
+        theirs = theirs.select(F.regexp_extract(F.url_decode("_metadata.file_path"), pattern, 1).alias("doc_id"), F.col("value").alias("text"))
+        assert got.schema == theirs.schema
+        assert rows(got.withColumn("text", F.hex("text"))) == rows(theirs.withColumn("text", F.hex("text")))
+        assert got.count() == len(names) + len(packed)
+    (tmp_path / "none").mkdir()
+    assert io.read_corpus(spark, str(tmp_path / "none")).count() == 0
+    assert rows(io.read_corpus(spark, str(tmp_path / "sub/d*"))) == [("d", "d")]
+
+
+@pytest.mark.parametrize("most", [100, 2])
+def test_only_texts_that_share_an_id_are_brought_together(spark, tmp_path, monkeypatch, most):
+    from quillframe.sources import corpus
+
+    monkeypatch.setattr(corpus, "REPEATED_IDS", most)
+    texts = [(f"{i}", f"{i:06d}" * 2_000) for i in range(200)] + [("7", "b"), ("9", "a"), (None, "y"), ("", "x"), (None, "w")]
+    df, sent = spark.createDataFrame(texts, "doc_id string, text string").repartition(3), []
+    repartition = type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda df, *by: sent.append(df.count()) or repartition(df, *by))
+    io.write_corpus(df, str(tmp_path / "c"))
+    assert sent == [7 if most == 100 else 205]
+    want = {f"doc_id={i}": f"{i:06d}" * 2_000 + "\n" for i in range(200)} | {"doc_id=__HIVE_DEFAULT_PARTITION__": "w\ny\nx\n"}
+    want |= {"doc_id=7": want["doc_id=7"] + "b\n", "doc_id=9": want["doc_id=9"] + "a\n"}
+    assert rows(io.read_corpus(spark, str(tmp_path / "c"))) == sorted(want.items(), key=str)
