@@ -121,9 +121,16 @@ def rolling_rows(
     return df.select(*[c for c in df.columns if c not in wanted], *wanted)
 
 
-def _with_quantiles(rows: DataFrame, partition: list[str], quantiles: dict[str, dict[str, float]], least: int) -> DataFrame:
+def _with_quantiles(
+    rows: DataFrame, partition: list[str], quantiles: dict[str, dict[str, float]], least: int, span_us: int | None = None
+) -> DataFrame:
     """Adds quantiles of columns over the rows of a partition whose ``_KEY`` lies between a row's
-    ``_START`` and ``_END``, both included; rows without a key have each other."""
+    ``_START`` and ``_END``, both included; rows without a key have each other. With ``span_us`` one
+    row for each ``_AT`` of a row that is ``_OWN``, over the span that ends there."""
+    if span_us is not None:
+        new = [StructField(out, DoubleType()) for qs in quantiles.values() for out in qs]
+        schema = StructType([*rows.select(*partition, _AT).schema, *new])
+        return rows.groupBy(*partition).applyInArrow(_quantiles_of_times(partition, span_us, quantiles, least), schema)
     given = [c for c in rows.columns if c not in (_KEY, _START, _END)]
     values = {c: f"{_VALUE}{i}" for i, c in enumerate(quantiles)}
     rows = rows.withColumns({v: F.col(c).cast("double") for c, v in values.items()})
@@ -297,10 +304,8 @@ def _ranked_spans(df: DataFrame, by: list[str], time: str, span_us: int, quantil
     new = [out for qs in quantiles.values() for out in qs]
 
     def ranked(rows: DataFrame, partition: list[str]) -> DataFrame:
-        schema = StructType([*rows.select(*partition, _AT).schema, *[StructField(out, DoubleType()) for out in new]])
         asked = {values[c]: qs for c, qs in quantiles.items()}
-        found = rows.groupBy(*partition).applyInArrow(_quantiles_of_times(partition, span_us, asked, least), schema)
-        return found.select(*by, _AT, *new)
+        return _with_quantiles(rows, partition, asked, least, span_us).select(*by, _AT, *new)
 
     def cut(rows: DataFrame) -> DataFrame:
         placed = with_position(rows, [*by, _AT])
